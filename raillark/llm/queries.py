@@ -6,10 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from raillark.llm.co_training import op4_co_training_quality
+from raillark.llm.fingerprints import op5_scaled_sketch
 from raillark.llm.near_dedup import op7_minhash_near_dedup
+from raillark.llm.packing import op9_best_fit_packing
+from raillark.llm.quality_rules import op1_distribution_rules
+from raillark.llm.token_counts import op8_token_counts
+from raillark.llm.toxicity import op2_conv_toxicity
+from raillark.llm.viterbi import op6_piece_encoding
+from raillark.llm.warc_zstd import op10_warc_zstd
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_distribution_rules": op1_distribution_rules,
+    "op2_conv_toxicity": op2_conv_toxicity,
+    "op4_co_training_quality": op4_co_training_quality,
+    "op5_scaled_sketch": op5_scaled_sketch,
+    "op6_piece_encoding": op6_piece_encoding,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_token_counts": op8_token_counts,
+    "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_warc_zstd": op10_warc_zstd,
 }
 
 ORACLE_SQL: dict[str, str] = {}
