@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from raillark.llm.co_training import op4_co_training_quality
 from raillark.llm.fingerprints import op5_scaled_sketch
+from raillark.llm.line_dedup import op3_line_set_join
 from raillark.llm.near_dedup import op7_minhash_near_dedup
 from raillark.llm.packing import op9_best_fit_packing
 from raillark.llm.quality_rules import op1_distribution_rules
@@ -19,6 +20,7 @@ from raillark.llm.warc_zstd import op10_warc_zstd
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_distribution_rules": op1_distribution_rules,
     "op2_conv_toxicity": op2_conv_toxicity,
+    "op3_line_set_join": op3_line_set_join,
     "op4_co_training_quality": op4_co_training_quality,
     "op5_scaled_sketch": op5_scaled_sketch,
     "op6_piece_encoding": op6_piece_encoding,
