@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from raillark.plans import catalogue_expr, catalogue_jobs, catalogue_joins, catalogue_rows  # noqa: F401
+from raillark.plans.base import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
