@@ -7,16 +7,16 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 #: Rules of the direction state: seconds, scores and counts.
 RETAIN_S, EXPIRE_S = 180, 600
 STRONG_SCORE, STRONG_MARGIN, SWITCH_SAMPLES = 0.78, 0.25, 2
 
-STATE_FIELDS = "family string, direction_id string, score double, confident_at double, seen_at double, pending string, pending_count int"
-DECISION_FIELDS = "vehicle_id string, event_id long, direction_id string, family string, reason string"
+STATE = StructType([StructField(n, t()) for n, t in (("family", StringType), ("direction_id", StringType), ("score", DoubleType), ("confident_at", DoubleType), ("seen_at", DoubleType), ("pending", StringType), ("pending_count", IntegerType))])
+DECISION = StructType([StructField(n, t()) for n, t in (("vehicle_id", StringType), ("event_id", LongType), ("direction_id", StringType), ("family", StringType), ("reason", StringType))])
 
 
 def latest_view(df: DataFrame, keys: list[str], now: str, ttl_s: int, max_stale_s: int, ts: str = "ts") -> DataFrame:
@@ -117,31 +117,26 @@ def replay_direction(evidence: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["vehicle_id", "event_id", "direction_id", "family", "reason"])
 
     rows = evidence.select("vehicle_id", "event_id", "ts", "family", "direction_id", "score", "margin", "confident")
-    return rows.repartition("vehicle_id").sortWithinPartitions("vehicle_id", "ts", "event_id").mapInPandas(run, DECISION_FIELDS)
+    return rows.repartition("vehicle_id").sortWithinPartitions("vehicle_id", "ts", "event_id").mapInPandas(run, DECISION)
 
 
-class DirectionState(StatefulProcessor):
+def _keyed(key: tuple, rows: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
     """The vehicle's state on a stream; idle vehicles expire."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("direction", StructType.fromDDL(STATE_FIELDS), ttlDurationMs=EXPIRE_S * 1000)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        names = [f.split()[0] for f in STATE_FIELDS.split(", ")]
-        got = self.state.get() if self.state.exists() else None
-        state = dict(zip(names, got, strict=True)) if got else None
-        out = []
-        for row in pd.concat(list(rows)).sort_values(["ts", "event_id"]).itertuples(index=False):
-            state, made = _move(state, row)
-            out.append(made)
-        if state is not None:
-            self.state.update(tuple(state[n] for n in names))
-        yield pd.DataFrame(out, columns=["vehicle_id", "event_id", "direction_id", "family", "reason"])
-
-    def close(self) -> None:
-        pass
+    names = STATE.fieldNames()
+    if held.hasTimedOut:
+        held.remove()
+        return
+    state = dict(zip(names, held.get, strict=True)) if held.exists else None
+    out = []
+    for row in pd.concat(list(rows)).sort_values(["ts", "event_id"]).itertuples(index=False):
+        state, made = _move(state, row)
+        out.append(made)
+    if state is not None:
+        held.update(tuple(state[n] for n in names))
+        held.setTimeoutDuration(EXPIRE_S * 1000)
+    yield pd.DataFrame(out, columns=DECISION.fieldNames())
 
 
 def infer_direction(evidence: DataFrame) -> DataFrame:
-    """Direction decisions of a stream of evidence rows; needs the RocksDB state store."""
-    return evidence.groupBy("vehicle_id").transformWithStateInPandas(statefulProcessor=DirectionState(), outputStructType=StructType.fromDDL(DECISION_FIELDS), outputMode="append", timeMode="processingTime")
+    """Direction decisions of a stream of evidence rows, one keyed state a vehicle."""
+    return evidence.groupBy("vehicle_id").applyInPandasWithState(_keyed, DECISION, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
