@@ -1,24 +1,27 @@
 """MinHash near-dedup by an inverted join on signature coordinates (operator 7).
 
-Every document is posted under each coordinate-value pair of a prefix of its
-signature.  A pair of documents whose sets are alike enough agrees on at least
-``MATCHES`` of the ``COORDS`` coordinates, so it meets under one of the first
-``COORDS - MATCHES + 1`` of them.  Lists are worked in two rounds:
+Every document is posted under ``COORDS`` coordinate-value pairs, each a hash of
+``WIDTH`` min-hashes.  A pair of documents is a candidate if it meets in a list
+and agrees on at least ``MATCHES`` of all ``HASHES`` min-hashes.  Lists are worked
+in two rounds:
 
 1. each document takes one partner, the list pivot that it meets most often
    (collisions are counted by a plain aggregation); these links are confirmed on
    full shingle sets and closed to components;
 2. lists whose members already lie in one component are skipped; in the others
-   the members of different components are merged by counting equal coordinates,
-   and pairs over the threshold are confirmed on full sets as well.
+   the members of different components are merged by counting equal min-hashes,
+   and pairs over the threshold are confirmed on full sets as well.  A pair is
+   taken up in the list of its first common coordinate only.
 
 Round 2 looks at every pair of a mixed list, so no link is lost to round 1; lists
-longer than ``BLOCK`` are dealt to block-by-block cells.  Only pairs that can
-still change a component are emitted, never all pairs of a group.
+longer than ``BLOCK`` are dealt to block-by-block cells.  It first flags the
+documents with a candidate partner and then confirms, with their texts at hand,
+only pairs of components not yet joined: what it emits follows the number of
+rows, never the pairs of a group.
 
-Coordinates are hashes of three min-hashes each: documents that merely share a
-passage then rarely meet, and at similarity 0.85 the chance that a pair agrees
-on fewer than ``MATCHES`` coordinates is below 1e-5.
+Documents that merely share a passage rarely meet under a hash of three
+min-hashes.  At similarity 0.85 a pair meets nowhere with a chance below 1e-8 and
+agrees on fewer than ``MATCHES`` min-hashes with one below 1e-5.
 
 Defined results: a document without words has no shingle and is linked with
 nothing; a null text counts as empty; exact copies of a set form a class whose
@@ -39,22 +42,21 @@ from pyspark.sql import functions as F
 from raillark.llm import scan
 from raillark.llm.workspace import pick, stored
 
-COORDS, WIDTH, MATCHES = 32, 3, 8
-PREFIX = COORDS - MATCHES + 1
-BLOCK = 4096
-_SEEDS = np.random.default_rng(7).integers(1, 1 << 32, (2, COORDS * WIDTH), dtype=np.uint64).astype(np.uint32)
+COORDS, WIDTH, HASHES, MATCHES = 20, 3, 96, 65
+BLOCK = 2048
+_SEEDS = np.random.default_rng(7).integers(1, 1 << 32, (2, HASHES), dtype=np.uint64).astype(np.uint32)
 _MULT = _SEEDS[0] | np.uint32(1)
 _XOR = _SEEDS[1]
 
 
-def _signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """(rows, COORDS) coordinate hashes; every set must hold one element at least."""
+def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, COORDS) coordinate hashes and (rows, HASHES) shortened min-hashes; no set may be empty."""
     sizes = np.array([len(s) for s in sets])
     at = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
-    least = np.empty((COORDS * WIDTH, len(sets)), np.uint64)
+    least = np.empty((HASHES, len(sets)), np.uint64)
     work = np.empty_like(flat)
-    for k in range(COORDS * WIDTH):
+    for k in range(HASHES):
         np.bitwise_xor(flat, _XOR[k], out=work)
         work *= _MULT[k]
         work ^= work >> np.uint32(15)
@@ -66,7 +68,7 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
         for k in range(WIDTH):
             total = scan.mix(total * np.uint64(0x9E3779B97F4A7C15) + least[c * WIDTH + k])
         out[:, c] = total
-    return out
+    return out, np.ascontiguousarray(least.T.astype(np.uint16))
 
 
 def _sketch_batches(shingle: int):
@@ -80,24 +82,25 @@ def _sketch_batches(shingle: int):
                 full = np.flatnonzero(n)
                 key_a, key_b = np.zeros(len(sets), np.uint64), np.zeros(len(sets), np.uint64)
                 coords: list = [None] * len(sets)
+                sigs: list = [None] * len(sets)
                 if len(full):
                     for k in full:
                         key_a[k] = sets[k].sum(dtype=np.uint64)
                         key_b[k] = scan.mix(sets[k] ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
-                    sig = _signatures([sets[k] for k in full]).view(np.int64)
+                    posted, short = _signatures([sets[k] for k in full])
                     for row, k in enumerate(full):
-                        coords[k] = sig[row]
+                        coords[k], sigs[k] = posted[row].view(np.int64), short[row].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(part.lo, part.hi - part.lo), pa.array(n), pa.array(key_a.view(np.int64)), pa.array(key_b.view(np.int64)), pa.array(coords, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "key_a", "key_b", "coords"],
+                    [ids.slice(part.lo, part.hi - part.lo), pa.array(n), pa.array(key_a.view(np.int64)), pa.array(key_b.view(np.int64)), pa.array(coords, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
+                    ["doc_id", "n_shingles", "key_a", "key_b", "coords", "sig"],
                 )
 
     return run
 
 
 def sketches(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """doc_id, n_shingles, two set keys and the signature's coordinates of each row."""
-    return pick(docs, doc_id="bigint", text="string").mapInArrow(_sketch_batches(shingle), "doc_id long, n_shingles long, key_a long, key_b long, coords array<long>")
+    """doc_id, n_shingles, two set keys, coordinates and min-hashes of each row."""
+    return pick(docs, doc_id="bigint", text="string").mapInArrow(_sketch_batches(shingle), "doc_id long, n_shingles long, key_a long, key_b long, coords array<long>, sig binary")
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, percent: int, shingle: int = 5, per_group: int = 1000) -> DataFrame:
@@ -110,7 +113,8 @@ def confirm(docs: DataFrame, pairs: DataFrame, percent: int, shingle: int = 5, p
     members = pairs.join(spread, "hub").select("hub", F.pmod(F.xxhash64("member"), F.col("salts") + 1).cast("int").alias("salt"), F.col("member").alias("doc_id"), F.lit(1).alias("role"))
     hubs = spread.select("hub", F.explode(F.sequence(F.lit(0), "salts")).alias("salt"), F.col("hub").alias("doc_id"), F.lit(0).alias("role"))
     texts = pick(docs, doc_id="bigint", text="string")
-    dealt = members.unionByName(hubs).join(texts, "doc_id").select("hub", "salt", "role", "doc_id", "text")
+    # sorted and merged at any size: the texts are the large side, and the plan stays the same
+    dealt = members.unionByName(hubs).join(texts.hint("merge"), "doc_id").select("hub", "salt", "role", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub_set, at = None, None
@@ -126,9 +130,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, percent: int, shingle: int = 5, p
                         least, most = sorted((len(own), len(hub_set)))
                         if not least or 100 * least < percent * most:
                             continue
-                        both = np.searchsorted(hub_set, own)
-                        both[both == len(hub_set)] = 0
-                        shared = int((hub_set[both] == own).sum())
+                        shared = shared_size(own, hub_set)
                         if 100 * shared >= percent * (len(own) + len(hub_set) - shared):
                             a.append(hub[row])
                             b.append(ids[row])
@@ -156,69 +158,119 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     return labels
 
 
-def _merge_lists(matches: int):
-    """Rows sorted by (key, cell): the pairs of each list that may join two components."""
-
-    def compare(rows: list[np.ndarray], split: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        ids, label, n, sig, side = rows
-        if len(ids) < 2 or (label == label[0]).all():
-            return
-        step = max(1, (1 << 22) // (len(ids) * COORDS))
-        for lo in range(0, len(ids) - 1, step):
-            hi = min(lo + step, len(ids))
-            same = (sig[lo:hi, None, :] == sig[None, lo + 1 :, :]).sum(2)
-            ok = (same >= matches) & (label[lo:hi, None] != label[None, lo + 1 :])
-            ok &= np.arange(lo, hi)[:, None] < np.arange(lo + 1, len(ids))[None, :]
-            small, large = np.minimum(n[lo:hi, None], n[None, lo + 1 :]), np.maximum(n[lo:hi, None], n[None, lo + 1 :])
-            ok &= 100 * small >= 85 * large
-            if split:
-                ok &= side[lo:hi, None] != side[None, lo + 1 :]
-            i, j = np.nonzero(ok)
-            if len(i):
-                a, b = ids[lo + i], ids[lo + 1 + j]
-                yield np.minimum(a, b), np.maximum(a, b)
+def _alike(coord: int, split: bool, percent: int, rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of one list that may join two components, by size, min-hashes and first common coordinate."""
+    label, n, side, sig, posted = (rows[k] for k in ("label", "n", "side", "sig", "coords"))
+    if len(label) < 2 or (label == label[0]).all():
+        return
+    step = max(1, (1 << 22) // len(label))
+    for lo in range(0, len(label) - 1, step):
+        hi = min(lo + step, len(label))
+        ok = label[lo:hi, None] != label[None, lo + 1 :]
+        ok &= np.arange(lo, hi)[:, None] < np.arange(lo + 1, len(label))[None, :]
+        ok &= 100 * np.minimum(n[lo:hi, None], n[None, lo + 1 :]) >= percent * np.maximum(n[lo:hi, None], n[None, lo + 1 :])
+        if split:
+            ok &= side[lo:hi, None] != side[None, lo + 1 :]
+        i, j = np.nonzero(ok)
+        i, j = lo + i, lo + 1 + j
+        for at in range(0, len(i), 1 << 15):
+            x, y = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
+            alike = (sig[x] == sig[y]).sum(1) >= MATCHES
+            x, y = x[alike], y[alike]
+            own = (posted[x] == posted[y]).argmax(1) == coord
+            if own.any():
+                yield x[own], y[own]
+
+
+def _by_list(work, with_text: bool, shingle: int):
+    """Calls ``work(key, coord, split, rows)`` with the rows of each (key, cell), which come sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
+        held: list[dict[str, np.ndarray]] = []
         at = None
 
-        def close():
-            rows = [np.concatenate(x) for x in zip(*held, strict=True)]
-            for a, b in compare(rows, at[1] != at[2]):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["hub", "member"])
+        def close() -> Iterator[pa.RecordBatch]:
+            rows = {k: np.concatenate([h[k] for h in held]) for k in held[0]}
+            yield from work(at[0], at[3], at[1] != at[2], rows)
 
         for batch in batches:
-            key, i, j, side, ids, label, n = (batch.column(k).to_numpy() for k in range(7))
-            sig = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint16).reshape(-1, COORDS)
+            key, i, j, coord, rep, label, n, side = (batch.column(k).to_numpy() for k in range(8))
+            cols = {"rep": rep, "label": label, "n": n, "side": side, "sig": np.frombuffer(b"".join(batch.column(8).to_pylist()), np.uint16).reshape(-1, HASHES), "coords": batch.column(9).flatten().to_numpy().reshape(-1, COORDS)}
+            if with_text:
+                sets = np.empty(batch.num_rows, object)
+                for part in scan.slices(batch.column(10)):
+                    w, _, _ = scan.words(part, lower=True)
+                    for k, own in enumerate(scan.shingle_sets(w, shingle), part.lo):
+                        sets[k] = own
+                cols["set"] = sets
             edge = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             for lo, hi in zip(np.r_[0, edge], np.r_[edge, len(key)], strict=True):
                 if hi <= lo:
                     continue
-                now = (key[lo], i[lo], j[lo])
-                if at is not None and now != at:
+                now = (key[lo], i[lo], j[lo], coord[lo])
+                if at is not None and now[:3] != at[:3]:
                     yield from close()
                     held.clear()
                 at = now
-                held.append([ids[lo:hi], label[lo:hi], n[lo:hi], sig[lo:hi], side[lo:hi]])
+                held.append({k: v[lo:hi] for k, v in cols.items()})
         if held:
             yield from close()
 
     return run
 
 
-def _pack(sketch: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = batch.column(2).flatten().to_numpy().view(np.uint64).reshape(-1, COORDS)
-            short = np.ascontiguousarray((flat >> np.uint64(20)).astype(np.uint16))
-            sig = pa.array([row.tobytes() for row in short], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sig], ["rep", "n", "sig"])
+def _flag(percent: int):
+    """The rows of a list that have a partner."""
+
+    def work(key: int, coord: int, split: bool, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        some = [np.unique(np.concatenate(pair)) for pair in _alike(coord, split, percent, rows)]
+        if some:
+            at = np.unique(np.concatenate(some))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), key)), pa.array(np.full(len(at), coord), pa.int32()), pa.array(rows["rep"][at]), pa.array(rows["label"][at])], ["key", "coord", "rep", "label"])
+
+    return _by_list(work, False, 0)
+
+
+def shared_size(a: np.ndarray, b: np.ndarray) -> int:
+    """Elements that two sorted sets have in common."""
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum()) if len(b) else 0
+
+
+def _join_lists(percent: int, shingle: int):
+    """Confirms pairs on full sets until a list's components are joined: no more links than rows."""
+
+    def work(key: int, coord: int, split: bool, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        _, root = np.unique(rows["label"], return_inverse=True)
+        above = list(range(int(root.max()) + 1))
+        ids, sets = rows["rep"], rows["set"]
+
+        def top(x: int) -> int:
+            while above[x] != x:
+                above[x] = above[above[x]]
+                x = above[x]
+            return x
+
+        a, b = [], []
+        for x, y in _alike(coord, split, percent, rows):
+            for i, j in zip(x.tolist(), y.tolist(), strict=True):
+                p, q = top(int(root[i])), top(int(root[j]))
+                if p == q:
+                    continue
+                shared = shared_size(sets[i], sets[j])
+                if 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
+                    above[max(p, q)] = min(p, q)
+                    a.append(min(ids[i], ids[j]))
+                    b.append(max(ids[i], ids[j]))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["hub", "member"])
 
-    return sketch.select("doc_id", "n_shingles", "coords").mapInArrow(run, "rep long, n long, sig binary")
+    return _by_list(work, True, shingle)
 
 
 def near_components(docs: DataFrame, percent: int = 85, shingle: int = 5, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, n_links for every row of ``docs``.
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
     ``percent`` is the least similarity in hundredths; the signature's threshold
     suits 85 and more.
@@ -227,7 +279,7 @@ def near_components(docs: DataFrame, percent: int = 85, shingle: int = 5, block:
     full = sketch.where("n_shingles > 0")
     classes = full.groupBy("key_a", "key_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
     reps = stored(full.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "reps")
-    posts = reps.select(F.col("doc_id").alias("rep"), F.explode(F.slice("coords", 1, PREFIX)).alias("key"))
+    posts = reps.select(F.col("doc_id").alias("rep"), F.posexplode("coords").alias("coord", "key"))
 
     lists = posts.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot")
     met = posts.join(lists, "key").where("rep <> pivot").groupBy("rep", "pivot").agg(F.count("*").alias("hits")).where("hits > 2")
@@ -235,22 +287,31 @@ def near_components(docs: DataFrame, percent: int = 85, shingle: int = 5, block:
     links = stored(confirm(docs, stored(first, "first"), percent, shingle), "links")
     labels = components(links)
 
-    labelled = posts.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "key", F.coalesce("label", "rep").alias("label"))
+    labelled = posts.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "coord", "key", F.coalesce("label", "rep").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n")).where("least <> most")
-    cells = mixed.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    rows = labelled.join(cells, "key").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = rows.join(_pack(reps), "rep")
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "rep", "label", "n", "sig")
-    more = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_merge_lists(MATCHES), "hub long, member long").distinct()
-    more = stored(more, "second")
-    if not more.isEmpty():
-        links = stored(links.unionByName(confirm(docs, more, percent, shingle)), "links")
+    facts = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig", "coords")
+    columns = ["key", "i", "j", "coord", "rep", "label", "n", "side", "sig", "coords"]
+
+    def celled(rows: DataFrame, counts: DataFrame) -> DataFrame:
+        """Rows dealt by list and, in lists over ``block``, by pairs of blocks."""
+        cells = counts.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+        rows = rows.join(cells, "key").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).join(facts, "rep")
+        return rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("side", "_other")).withColumn("j", F.greatest("side", "_other"))
+
+    sorted_by_list = lambda rows: rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    flagged = sorted_by_list(celled(labelled, mixed).select(*columns)).mapInArrow(_flag(percent), "key long, coord int, rep long, label long").distinct()
+    flagged = stored(flagged, "flagged")
+    if not flagged.isEmpty():
+        texts = pick(docs, doc_id="bigint", text="string").withColumnRenamed("doc_id", "rep").hint("merge")
+        # a flagged document's text is sent once for each of its lists that still hold two components
+        again = celled(flagged, flagged.groupBy("key").agg(F.count("*").alias("n"))).join(texts, "rep")
+        more = sorted_by_list(again.select(*columns, "text")).mapInArrow(_join_lists(percent, shingle), "hub long, member long")
+        links = stored(links.unionByName(more.distinct()), "links")
         labels = components(links)
 
-    degree = links.select(F.col("hub").alias("rep")).unionByName(links.select(F.col("member").alias("rep"))).groupBy("rep").agg(F.count("*").alias("n_links"))
-    named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left").select("key_a", "key_b", "n_shingles", F.coalesce("label", "rep").alias("label"), "n_links")
+    named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key_a", "key_b", "n_shingles", F.coalesce("label", "rep").alias("label"))
     out = sketch.select("doc_id", "n_shingles", "key_a", "key_b").join(named, ["key_a", "key_b", "n_shingles"], "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    out = out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
