@@ -53,20 +53,70 @@ _ODD = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u
 _PLAIN = re.compile("[ \t\n\r\x0b\x0c]+")
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class Chunks:
+    """Ids of blank-separated chunks, as bytes.
+
+    A chunk is looked up less its closing stops and in lower case (the tokenizer
+    folds case and takes a run of stops after a letter for a word of its own).
+    Chunks of letters alone are one word each: they are encoded as one text and
+    told apart by the tokens that end a word.
+    """
 
-    return Tokenizer.from_file(path)
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.own = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.own.get_vocab_size() + 1, bool)
+        self.ends[[i for t, i in self.own.get_vocab().items() if t.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+
+    def _encode(self, chunks: list[str]) -> None:
+        plain = [c for c in chunks if c.isalpha()]
+        if plain:
+            ids = np.array(self.own.encode(" ".join(plain), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(plain) and cuts[-1] == len(ids):
+                body, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+                self.known.update(zip(plain, (body[at[k] : at[k + 1]] for k in range(len(plain))), strict=True))
+            else:
+                plain = []
+        rest = chunks if not plain else [c for c in chunks if not c.isalpha()]
+        for c, e in zip(rest, self.own.encode_batch(rest, add_special_tokens=False), strict=True):
+            self.known[c] = np.array(e.ids, "<u4").tobytes()
+
+    def learn(self, chunks: set[str]) -> None:
+        """Makes every chunk known."""
+        known = self.known
+        if len(known) > CACHE:
+            known.clear()
+        new = [c for c in chunks if c not in known]
+        core, stops = {}, {}
+        for c in new:
+            body = c.rstrip(".,!?;:")
+            if not body or not body[-1].isalpha():
+                body = c
+            if max(body) < "\u0180" and "\u0130" not in body:
+                body = body.lower()
+            core[c], stops[c] = body, c[len(body) :] if len(body) < len(c) else ""
+        need = {x for y in (core.values(), stops.values()) for x in y if x and x not in known}
+        if need:
+            self._encode(sorted(need))
+        known[""] = b""
+        known.update([(c, known[core[c]] + known[stops[c]]) for c in new])
+
+
+@lru_cache(maxsize=2)
+def chunks_of(path: str) -> Chunks:
+    return Chunks(path)
 
 
 def _token_batches(path: str | None, capacity: int, end: int):
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizer(path or public_tokenizers.path(MODEL))
-        known: dict[str, bytes] = {}
+        own = chunks_of(path or public_tokenizers.path(MODEL))
+        known = own.known
         for batch in batches:
             ids = batch.column(0)
             for part in scan.slices(batch.column(1)):
@@ -75,11 +125,7 @@ def _token_batches(path: str | None, capacity: int, end: int):
                 for k in range(part.hi - part.lo):
                     text = raw[edge[k] : edge[k + 1]].decode()
                     cut.append(text.split() if not _ODD.search(text) else [x for x in _PLAIN.split(text) if x])
-                if len(known) > CACHE:
-                    known.clear()
-                new = list({w for x in cut for w in x}.difference(known))
-                for w, e in zip(new, own.encode_batch(new, add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
+                own.learn({w for x in cut for w in x})
                 row, piece, start, length, crc = [], [], [], [], []
                 for k, x in enumerate(cut, part.lo):
                     body = b"".join(map(known.__getitem__, x)) + tail
