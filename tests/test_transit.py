@@ -1,6 +1,7 @@
 """Small fixtures: parsing, geometry, sources, sinks, state and streams."""
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -134,12 +135,18 @@ def evidence(spark):
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def run_stream(spark, df, plan, name, mode="append"):
+def run_stream(spark, df, plan, name, mode="append", rows=1):
+    """Runs a stream until it has given ``rows`` rows; timers keep some queries running without new data."""
     path = df.sparkSession.conf.get("spark.local.dir") + f"/{name}"
     df.coalesce(1).write.mode("overwrite").parquet(path)
     stream = plan(spark.readStream.schema(df.schema).parquet(path))
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    assert q.awaitTermination(120)
+    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).start()
+    for _ in range(240):
+        assert q.exception() is None
+        if q.lastProgress and spark.sql(f"select * from {name}").count() >= rows:
+            break
+        time.sleep(0.5)
+    q.stop()
     return spark.sql(f"select * from {name}")
 
 
@@ -149,16 +156,23 @@ def test_direction_replay(spark):
     assert got["v2", 10] == (None, "low-confidence") and len(got) == 7
 
 
+def test_direction_stream_equals_replay(spark):
+    df = evidence(spark)
+    want = {tuple(r) for r in realtime.replay_direction(df).collect()}
+    got = {tuple(r) for r in run_stream(spark, df, realtime.infer_direction, "directions", rows=7).collect()}
+    assert got == want and len(got) == 7
+
+
 def test_events_once_stream(spark):
     df = spark.createDataFrame([("n1", 1), ("n1", 2), ("n2", 3)], "notification_uuid string, k int")
-    assert run_stream(spark, df, realtime.events_once, "once").count() == 2
+    assert run_stream(spark, df, realtime.events_once, "once", rows=2).count() == 2
 
 
 def test_latest_and_sessions_stream(spark):
     df = evidence(spark).select("vehicle_id", "event_id", "ts")
-    got = run_stream(spark, df, lambda s: realtime.latest_stream(s, ["vehicle_id"]), "latest", "complete")
+    got = run_stream(spark, df, lambda s: realtime.latest_stream(s, ["vehicle_id"]), "latest", "complete", 2)
     assert {(r.vehicle_id, r.event_id) for r in got.collect()} == {("v1", 5), ("v2", 10)}
-    assert run_stream(spark, df, realtime.vehicle_runs, "runs").count() >= 0
+    assert run_stream(spark, df, realtime.vehicle_runs, "runs", rows=0).count() >= 0
 
 
 def test_order_does_not_matter(spark):
