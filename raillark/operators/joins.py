@@ -34,20 +34,17 @@ def calls(calls: DataFrame, trips: DataFrame, active: DataFrame, stops: DataFram
 def resolve_stops(stops: DataFrame, public: DataFrame, depth: int = 8) -> DataFrame:
     """stop_id, public_id: the nearest ancestor (the stop first) in ``public``; null if none or in a cycle.
 
-    A fixed number of join rounds over stops still unresolved; ``depth`` bounds
-    chains, so a cycle ends with null.
+    One join a level up to ``depth``; a stop already resolved carries no further
+    parent, and a cycle ends with null.
     """
-    parent = stops.groupBy("stop_id").agg(F.max("parent_station").alias("parent"))
-    wanted = public.select(F.col("stop_id").alias("at"), F.lit(True).alias("is_public")).distinct()
-    step = parent.select("stop_id", F.col("stop_id").alias("at"))
-    found = None
-    for k in range(depth):
-        here = step.join(wanted, "at", "left")
-        done = here.where("is_public").select("stop_id", F.col("at").alias("public_id"))
-        found = done if found is None else found.unionByName(done)
-        up = parent.select(F.col("stop_id").alias("at"), "parent")
-        step = here.where("is_public is null").join(up, "at").where("parent <> ''").select("stop_id", F.col("parent").alias("at"))
-    return parent.select("stop_id").join(found, "stop_id", "left")
+    wanted = public.select(F.col("stop_id").alias("_public")).distinct()
+    parent = stops.groupBy("stop_id").agg(F.nullif(F.max("parent_station"), F.lit("")).alias("parent"))
+    info = parent.join(wanted, F.col("stop_id") == F.col("_public"), "left").select("stop_id", "parent", "_public")
+    above = info.select(F.col("stop_id").alias("_at"), F.col("parent").alias("_up"), F.col("_public").alias("_hit"))
+    rows = info.select("stop_id", F.col("_public").alias("public_id"), F.when(F.col("_public").isNull(), F.col("parent")).alias("at"))
+    for _ in range(depth - 1):
+        rows = rows.join(above, F.col("at") == F.col("_at"), "left").select("stop_id", F.coalesce("public_id", "_hit").alias("public_id"), F.when(F.col("_hit").isNull(), F.col("_up")).alias("at"))
+    return rows.select("stop_id", "public_id")
 
 
 def station_targets(stops: DataFrame, selected: DataFrame) -> DataFrame:
