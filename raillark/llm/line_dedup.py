@@ -7,9 +7,9 @@ similarity of ``PERCENT`` hundredths or more with it.
 Tokens are ordered by rarity.  Two similar lines share a token in the first
 ``n - ceil(t * n) + 1`` of each (prefix filter), so lines are posted under these
 tokens only.  Within a token's list a pair must pass the length filter, the
-positional filter and a parity filter: each line carries a 64-bit word in which
-every token toggles one bit, and two such words differ in no more bits than the
-sets differ in tokens.  All four filters only drop pairs that cannot match.
+positional filter and a parity filter: each line carries 128 bits of which every
+token toggles one, and two such words differ in no more bits than the sets differ
+in tokens.  All four filters only drop pairs that cannot match.
 What is left is verified on the lines' own words.
 
 One earlier match is enough to remove a line, so each line is first verified
@@ -46,7 +46,7 @@ BUCKETS = 1 << BUCKET_BITS
 _LOW = 26
 _TOKEN = np.uint64((1 << (BUCKET_BITS + _LOW)) - 1)
 _PLACE = 20
-KEEP, SHORT_LIST = 8, 64
+KEEP, SHORT_LIST = 4, 64
 
 
 class Lines(NamedTuple):
@@ -94,10 +94,13 @@ def token_lines(part: scan.Slice, ranks: np.ndarray, percent: int, postings: boo
     at = np.concatenate([[0], np.cumsum(size)])
     none = np.zeros(0, np.int64)
     if not len(used):
-        return Lines(none, none, none, none, none, none, none, none)
+        return Lines(none, none, none, none, np.zeros((0, 2), np.int64), none, none, none)
     mixed = scan.mix(token + np.uint64(1))
     key = np.add.reduceat(mixed, at[:-1])
-    parity = np.bitwise_xor.reduceat(np.uint64(1) << (mixed >> np.uint64(58)), at[:-1])
+    bit = np.uint64(1) << (mixed >> np.uint64(58))
+    half = (mixed >> np.uint64(57)) & np.uint64(1) == 0
+    zero = np.uint64(0)
+    parity = np.stack([np.bitwise_xor.reduceat(np.where(half == side, bit, zero), at[:-1]) for side in (True, False)], 1)
     if postings:
         place = np.arange(len(token)) - np.repeat(at[:-1], size)
         prefix = size - -(-percent * size // 100) + 1
@@ -139,16 +142,20 @@ def _tables(base: DataFrame, ranks: np.ndarray, percent: int) -> tuple[DataFrame
                 x = token_lines(part, sent.value, percent, False)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[part.lo + x.row], pa.int64()), pa.array(x.number, pa.int64()), pa.array(x.key, pa.int64()), pa.array(x.size, pa.int64())], ["doc_id", "line_no", "key", "n"])
 
-    def posts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for part in scan.slices(batch.column(1)):
                 x = token_lines(part, sent.value, percent, True)
-                k = x.post_line
                 slot = (x.post_token << _PLACE) | np.minimum(x.post_place, (1 << _PLACE) - 1)
-                yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(ids[part.lo + x.row[k]], pa.int64()), pa.array((x.number[k] << 32) | x.size[k], pa.int64()), pa.array(x.parity[k], pa.int64())], ["slot", "doc_id", "place", "parity"])
+                bounds = np.searchsorted(x.post_line, np.arange(len(x.row) + 1))
+                slots = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(slot, pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(x.key, pa.int64()), pa.array(ids[part.lo + x.row], pa.int64()), pa.array((x.number << 32) | x.size, pa.int64()), pa.array(x.parity[:, 0], pa.int64()), pa.array(x.parity[:, 1], pa.int64()), slots], ["key", "doc_id", "place", "parity", "parity2", "slots"])
 
-    return base.mapInArrow(lines, "doc_id long, line_no long, key long, n long"), base.mapInArrow(posts, "slot long, doc_id long, place long, parity long")
+    # copies of a word set are known already: only the first line of each is posted
+    firsts = base.mapInArrow(prefixes, "key long, doc_id long, place long, parity long, parity2 long, slots array<long>").groupBy("key").agg(F.min(F.struct("doc_id", "place", "parity", "parity2", "slots")).alias("x"))
+    posts = firsts.select(F.explode("x.slots").alias("slot"), "x.doc_id", "x.place", "x.parity", "x.parity2")
+    return base.mapInArrow(lines, "doc_id long, line_no long, key long, n long"), posts
 
 
 def _fits(n_a, n_b, i, j, x, y, percent: int) -> np.ndarray:
@@ -157,7 +164,7 @@ def _fits(n_a, n_b, i, j, x, y, percent: int) -> np.ndarray:
     ok = 100 * least >= percent * most
     need = -(-percent * (n_a + n_b) // (100 + percent))
     ok &= 1 + np.minimum(n_a - i - 1, n_b - j - 1) + np.minimum(i, j) >= need
-    ok &= np.bitwise_count(x ^ y) <= n_a + n_b - 2 * need
+    ok &= np.bitwise_count(x[..., 0] ^ y[..., 0]).astype(np.int64) + np.bitwise_count(x[..., 1] ^ y[..., 1]) <= n_a + n_b - 2 * need
     return ok
 
 
@@ -188,7 +195,7 @@ def _merge(percent: int, flagged: bool):
             if flagged and not flag[lo:hi].any():
                 continue
             # lines of equal size and parity are mostly copies: the earliest stands for them
-            _, first, of = np.unique(np.stack([parity[lo:hi], n[lo:hi]], 1), axis=0, return_index=True, return_inverse=True)
+            _, first, of = np.unique(scan.mix(parity[lo:hi, 0] + scan.mix(parity[lo:hi, 1] + n[lo:hi].astype(np.uint64))), return_index=True, return_inverse=True)
             of = of.ravel()
             heads = np.sort(first)
             if not flagged:
@@ -203,7 +210,7 @@ def _merge(percent: int, flagged: bool):
             for at in range(0, len(goal), step):
                 g = lo + goal[at : at + step]
                 h = lo + heads
-                ok = _fits(n[g][:, None], n[h][None], place[g][:, None], place[h][None], parity[g][:, None], parity[h][None], percent)
+                ok = _fits(n[g][:, None], n[h][None], place[g][:, None], place[h][None], parity[g][:, None, :], parity[h][None, :, :], percent)
                 ok &= h[None] < g[:, None]
                 if not flagged:
                     rank = np.cumsum(ok, 1)
@@ -225,7 +232,8 @@ def _merge(percent: int, flagged: bool):
         names = ["doc_id", "line_no", "first_doc", "first_line", "more"]
 
         def work(cols: list[np.ndarray]) -> pa.RecordBatch | None:
-            slot, doc, place, parity, flag = cols
+            slot, doc, place, one, two, flag = cols
+            parity = np.stack([one, two], 1)
             tok = slot >> _PLACE
             line, n = place >> 32, place & 0xFFFFFFFF
             order = np.lexsort((line, doc, tok))
@@ -253,7 +261,7 @@ def _merge(percent: int, flagged: bool):
 
         held: list[list[np.ndarray]] = []
         for batch in batches:
-            cols = [batch.column(k).to_numpy() for k in range(5)]
+            cols = [batch.column(k).to_numpy() for k in range(6)]
             tok = cols[0] >> _PLACE
             cut = int(np.searchsorted(tok, tok[-1])) if len(tok) else 0
             if cut:
@@ -278,25 +286,26 @@ def _merge(percent: int, flagged: bool):
 
 
 def _verify(percent: int):
+    """Pairs of lines whose word sets are similar; a row's number leads its words' keys."""
+    bits = np.uint64(54)
+
+    def keys(column: pa.Array) -> np.ndarray:
+        found = []
+        for part in scan.slices(column):
+            w, _, _ = scan.words(part, lower=True, sep=scan.PUNCT)
+            found.append(((part.lo + w.doc).astype(np.uint64) << bits) | (w.hash >> np.uint64(10)))
+        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 rows = batch.slice(lo, 1000)
-                sets = []
-                for k in (2, 3):
-                    keys = []
-                    for part in scan.slices(rows.column(k)):
-                        w, _, _ = scan.words(part, lower=True, sep=scan.PUNCT)
-                        keys.append(np.stack([(part.lo + w.doc).astype(np.uint64), w.hash], 1))
-                    sets.append(np.unique(np.concatenate(keys), axis=0) if keys else np.zeros((0, 2), np.uint64))
-                n = rows.num_rows
-                a, b = (np.bincount(s[:, 0].astype(np.int64), minlength=n) for s in sets)
-                joint = np.concatenate(sets)
-                joint = joint[np.lexsort((joint[:, 1], joint[:, 0]))]
-                same = (joint[1:] == joint[:-1]).all(1)
-                shared = np.bincount(joint[1:][same][:, 0].astype(np.int64), minlength=n)
-                ok = 100 * shared >= percent * (a + b - shared)
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1)], ["doc_id", "line_no"]).filter(pa.array(ok & (shared > 0)))
+                x, y = keys(rows.column(2)), keys(rows.column(3))
+                joint = np.sort(np.concatenate([x, y]))
+                both = joint[1:][joint[1:] == joint[:-1]]
+                a, b, shared = (np.bincount((k >> bits).astype(np.int64), minlength=rows.num_rows) for k in (x, y, both))
+                ok = (shared > 0) & (100 * shared >= percent * (a + b - shared))
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1)], ["doc_id", "line_no"]).filter(pa.array(ok))
 
     return run
 
@@ -310,14 +319,14 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
     lines, posts = _tables(base, token_ranks(base), percent)
     lines = stored(lines, "lines")
     place = F.struct("doc_id", "line_no")
-    firsts = lines.groupBy("key", "n").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").select("key", "n", "first")
-    copies = stored(lines.join(firsts, ["key", "n"]).where(place != F.col("first")).select("doc_id", "line_no"), "copies")
+    firsts = lines.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").select("key", "first")
+    copies = stored(lines.join(firsts, "key").where(place != F.col("first")).select("doc_id", "line_no"), "copies")
 
     def merged(rows: DataFrame, flagged: bool) -> DataFrame:
         """Candidate rows of the postings ``rows``."""
         return rows.repartition(F.shiftright("slot", _PLACE)).sortWithinPartitions("slot").mapInArrow(_merge(percent, flagged), "doc_id long, line_no long, first_doc long, first_line long, more boolean")
 
-    found = merged(posts.withColumn("flag", F.lit(0)), False).join(copies, ["doc_id", "line_no"], "left_anti")
+    found = merged(posts.withColumn("flag", F.lit(0)), False)
     found = stored(found.groupBy("doc_id", "line_no", "first_doc", "first_line").agg(F.max("more").alias("more")), "candidates")
     texts = _line_texts(base, found)
 
@@ -333,7 +342,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
     open_lines = stored(found.where("more").select("doc_id", "line_no").distinct().join(near, ["doc_id", "line_no"], "left_anti"), "open")
     if not open_lines.isEmpty():
         marked = open_lines.select("doc_id", F.col("line_no").alias("_line"), F.lit(1).alias("flag"))
-        again = posts.withColumn("_line", F.shiftright("place", 32)).join(marked, ["doc_id", "_line"], "left").select("slot", "doc_id", "place", "parity", F.coalesce("flag", F.lit(0)).alias("flag"))
+        again = posts.withColumn("_line", F.shiftright("place", 32)).join(marked, ["doc_id", "_line"], "left").select("slot", "doc_id", "place", "parity", "parity2", F.coalesce("flag", F.lit(0)).alias("flag"))
         more = stored(merged(again, True).distinct(), "more")
         texts = _line_texts(base, more)
         near = stored(near.unionByName(matched(more)), "near")
