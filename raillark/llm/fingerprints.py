@@ -60,15 +60,15 @@ def merged(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_union(a, b))
 
 
-def fingerprint(text: Column, sketch: Column) -> Column:
-    """Text form: a hash of the whole text, then the sketch's hashes in hexadecimal."""
-    return F.concat_ws(":", F.lower(F.hex(F.xxhash64(text))), F.array_join(F.transform(sketch, lambda h: F.lower(F.hex(h))), ""))
+def fingerprint(key: Column, sketch: Column) -> Column:
+    """Text form: the hash of the whole text, then the sketch's hashes in hexadecimal."""
+    return F.concat_ws(":", F.lower(F.hex(key)), F.array_join(F.transform(sketch, lambda h: F.lower(F.hex(h))), ""))
 
 
-def with_sketch(df: DataFrame, text: str, sketch: str, name: str, fraction: float = FRACTION) -> DataFrame:
-    """Adds the sketch and the fingerprint of column ``text``, each step once."""
+def with_sketch(df: DataFrame, text: str, sketch: str, key: str, fraction: float = FRACTION) -> DataFrame:
+    """Adds the sketch of column ``text`` and the hash of the whole text, each step once."""
     out = df.withColumn("_words", words(F.col(text))).withColumn(sketch, retained(shingle_hashes(F.col("_words")), fraction)).drop("_words")
-    return out.withColumn(name, fingerprint(F.col(text), F.col(sketch)))
+    return out.withColumn(key, F.xxhash64(text))
 
 
 def next_ids(ids: DataFrame) -> DataFrame:
@@ -91,22 +91,27 @@ def edited_pairs(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
     order = next_ids(base.select("doc_id"))
     quarter = base.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.floor(F.length("text") / 4)).alias("k"))
     order = order.join(quarter, "doc_id").select(F.col("doc_id").alias("prev_id"), "next_id", F.col("k").cast("int").alias("k"))
-    own = with_sketch(base, "text", "sketch", "fingerprint", fraction)
-    heads = own.join(order, own["doc_id"] == order["next_id"]).select("prev_id", F.struct(F.col("text").substr(F.lit(1), F.col("k")).alias("head"), "fingerprint", "sketch").alias("next"))
+    # texts are dealt by id once: both joins below read this one exchange, so sketches are made after it
+    own = base.where("doc_id is not null").repartition("doc_id")
+    ahead = own.withColumnRenamed("doc_id", "next_id").hint("merge").join(order, "next_id")
+    ahead = with_sketch(ahead, "text", "sketch", "key", fraction)
+    heads = ahead.select("prev_id", F.struct(F.col("text").substr(F.lit(1), F.col("k")).alias("head"), "key", "sketch").alias("next"))
     heads = heads.groupBy("prev_id").agg(F.min("next").alias("next"))
-    both = own.join(heads, own["doc_id"] == heads["prev_id"], "left").withColumn("n_chars", F.length("text").cast("bigint"))
+    both = own.hint("merge").join(heads, own["doc_id"] == heads["prev_id"], "left").drop("prev_id")
+    lone = base.where("doc_id is null").withColumn("next", F.lit(None).cast(both.schema["next"].dataType))
+    both = with_sketch(both.unionByName(lone), "text", "sketch", "key", fraction).withColumn("n_chars", F.length("text").cast("bigint"))
     keep = (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")
     both = both.withColumn("edited", F.concat(F.col("text").substr(F.lit(1), keep), F.coalesce("next.head", F.lit(""))))
-    both = with_sketch(both, "edited", "edited_sketch", "edited_fingerprint", fraction)
-    same = lambda other: F.col("fingerprint") == other
+    both = with_sketch(both, "edited", "edited_sketch", "edited_key", fraction)
+    same = lambda key, sketch: (F.col("key") == F.col(key)) & (F.col("sketch") == F.col(sketch))
     return both.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
-        "fingerprint",
-        "edited_fingerprint",
-        F.when(same(F.col("edited_fingerprint")), 1.0).otherwise(likeness(F.col("sketch"), F.col("edited_sketch"))).alias("near_edited"),
-        F.when(same(F.col("next.fingerprint")), 1.0).otherwise(F.coalesce(likeness(F.col("sketch"), F.col("next.sketch")), F.lit(0.0))).alias("near_next"),
+        fingerprint(F.col("key"), F.col("sketch")).alias("fingerprint"),
+        fingerprint(F.col("edited_key"), F.col("edited_sketch")).alias("edited_fingerprint"),
+        F.when(same("edited_key", "edited_sketch"), 1.0).otherwise(likeness(F.col("sketch"), F.col("edited_sketch"))).alias("near_edited"),
+        F.when(same("next.key", "next.sketch"), 1.0).otherwise(F.coalesce(likeness(F.col("sketch"), F.col("next.sketch")), F.lit(0.0))).alias("near_next"),
         F.size("sketch").alias("n_retained"),
         containment(F.col("sketch"), F.col("edited_sketch")).alias("contained_in_edited"),
     )

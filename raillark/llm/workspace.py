@@ -44,9 +44,11 @@ def pick(docs: DataFrame, **wanted: str) -> DataFrame:
 
     Extra columns never reach an operator, so clashing names cannot matter.
     """
-    have = set(docs.columns)
+    have = dict(docs.dtypes)
     out = []
     for name, kind in wanted.items():
-        col = docs[f"`{name}`"].cast(kind) if name in have else F.lit(None).cast(kind)
-        out.append(col.alias(name))
+        if have.get(name) == kind:  # as it is: an alias would keep two equal exchanges from being one
+            out.append(docs[f"`{name}`"])
+        else:
+            out.append((docs[f"`{name}`"].cast(kind) if name in have else F.lit(None).cast(kind)).alias(name))
     return docs.select(*out)
