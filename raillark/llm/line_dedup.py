@@ -6,7 +6,8 @@ similarity of ``PERCENT`` hundredths or more with it.
 
 Tokens are ordered by rarity.  Two similar lines share a token in the first
 ``n - ceil(t * n) + 1`` of each (prefix filter), so lines are posted under these
-tokens only.  Within a token's list a pair must pass the length filter, the
+tokens only.  A set too small to match any but an equal one (fewer than four words at 80)
+is not posted: equal sets are found by their key.  Within a token's list a pair must pass the length filter, the
 positional filter and a parity filter: each line carries 128 bits of which every
 token toggles one, and two such words differ in no more bits than the sets differ
 in tokens.  All four filters only drop pairs that cannot match.
@@ -21,8 +22,7 @@ the square of a group of copies, and no match is lost.
 The order of rarity comes from counts of hashed tokens (``BUCKETS`` numbers, a
 fixed size); any order gives the same result.
 
-Defined results: lines of fewer than ``MIN_TOKENS`` distinct words are left alone;
-null and empty texts have no lines to remove; of equal lines the first stays;
+Defined results: lines without a word (``MIN_TOKENS``) are left alone; null and empty texts have no lines to remove; of equal lines the first stays;
 rows that share a ``doc_id`` share their fate line by line; a null ``doc_id``
 takes no part.  Only removed lines change a text, with the line break that follows them.
 """
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from raillark.llm import scan
 from raillark.llm.workspace import pick, stored
 
-PERCENT, MIN_TOKENS = 80, 5
+PERCENT, MIN_TOKENS = 80, 1
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 _LOW = 26
@@ -50,7 +50,7 @@ KEEP, SHORT_LIST = 4, 64
 
 
 class Lines(NamedTuple):
-    """The lines with enough tokens: rows of the slice, numbers, sizes, keys, parities and prefix postings."""
+    """The lines with a token, or those to post: rows of the slice, numbers, sizes, keys, parities and prefix postings."""
 
     row: np.ndarray
     number: np.ndarray
@@ -78,24 +78,25 @@ def token_lines(part: scan.Slice, ranks: np.ndarray, percent: int, postings: boo
     bucket = w.hash >> np.uint64(64 - BUCKET_BITS)
     token = (ranks[bucket].astype(np.uint64) << np.uint64(_LOW)) | (w.hash & np.uint64((1 << _LOW) - 1))
     if len(row) < 1 << _PLACE:
-        keyed = np.unique((w.doc.astype(np.uint64) << np.uint64(64 - _PLACE)) | token)
-        line, token = (keyed >> np.uint64(64 - _PLACE)).astype(np.int64), keyed & _TOKEN
+        order = np.argsort((w.doc.astype(np.uint64) << np.uint64(64 - _PLACE)) | token)
     else:
         order = np.lexsort((token, w.doc))
-        line, token = w.doc[order], token[order]
-        fresh = np.ones(len(line), bool)
-        fresh[1:] = (line[1:] != line[:-1]) | (token[1:] != token[:-1])
-        line, token = line[fresh], token[fresh]
+    line, token, full = w.doc[order], token[order], w.hash[order]
+    fresh = np.ones(len(line), bool)
+    fresh[1:] = (line[1:] != line[:-1]) | (token[1:] != token[:-1])
+    line, token, full = line[fresh], token[fresh], full[fresh]
     size = np.bincount(line, minlength=len(row))
-    keep = size[line] >= MIN_TOKENS
-    line, token = line[keep], token[keep]
-    used = np.flatnonzero(size >= MIN_TOKENS)
+    # a smaller set than this matches only its equals, which have its key
+    enough = (100 * size >= percent * (size + 1)) & (size >= MIN_TOKENS) if postings else size >= MIN_TOKENS
+    keep = enough[line]
+    line, token, full = line[keep], token[keep], full[keep]
+    used = np.flatnonzero(enough)
     size = size[used]
     at = np.concatenate([[0], np.cumsum(size)])
     none = np.zeros(0, np.int64)
     if not len(used):
         return Lines(none, none, none, none, np.zeros((0, 2), np.int64), none, none, none)
-    mixed = scan.mix(token + np.uint64(1))
+    mixed = scan.mix(full + np.uint64(1))  # all bits: a short line has nothing else to tell it from another
     key = np.add.reduceat(mixed, at[:-1])
     bit = np.uint64(1) << (mixed >> np.uint64(58))
     half = (mixed >> np.uint64(57)) & np.uint64(1) == 0
