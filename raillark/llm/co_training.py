@@ -175,7 +175,7 @@ def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: int = POOL, max_chars: int = MAX_CHARS) -> Model | None:
     base = pick(docs, doc_id="bigint", text="string", lang="string", source="string")
-    known = sample(base, labels, "quality", per_class, max_chars)
+    known, weight = sample(base, labels, "quality", per_class, max_chars)
     # the pool is a bounded number of rows in the order of a hash; ids first, so that no text is sorted
     ids = base.select("doc_id").where("doc_id is not null").join(pick(labels, doc_id="bigint"), "doc_id", "left_anti").distinct()
     few = F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool))
@@ -200,13 +200,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: in
     a, b = co_train(text.take(learn), meta.take(learn), y[learn])
     goal = y[tune].astype(float)
     za, zb = text.take(tune).dot(a), meta.take(tune).dot(b)
-    fa, fb = platt(za, goal), platt(zb, goal)
+    # rows count as the labelled rows they stand for, so log-odds mean the same at every size
+    stand = weight[y[tune]] * (len(tune) / weight[y[tune]].sum())
+    fa, fb = platt(za, goal, stand), platt(zb, goal, stand)
     both = np.stack([np.clip(fa[0] * za + fa[1], -12, 12), np.clip(fb[0] * zb + fb[1], -12, 12), np.ones(len(tune))], 1)
     mixture = np.array([0.5, 0.5, 0.0])
     for _ in range(100):  # damped Newton steps towards equal weights where the rows say little
         p = 1 / (1 + np.exp(-both @ mixture))
-        g = both.T @ (p - goal) + (mixture - [0.5, 0.5, 0.0])
-        h = (both * (p * (1 - p))[:, None]).T @ both + np.eye(3)
+        g = both.T @ (stand * (p - goal)) + (mixture - [0.5, 0.5, 0.0])
+        h = (both * (stand * p * (1 - p))[:, None]).T @ both + np.eye(3)
         mixture = mixture - np.linalg.solve(h, g)
     return Model(a, b, fa, fb, mixture)
 

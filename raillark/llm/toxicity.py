@@ -5,7 +5,8 @@ Filters over one, two and three words are max-pooled over the whole text and
 feed a logistic unit.  Training uses a bounded sample of labelled rows (at most
 ``PER_CLASS`` of each label, texts of at most ``MAX_CHARS``; documented
 parameters); scores are calibrated on a part of the rows that training leaves
-out, and a threshold is chosen for each language there.  Language, source and
+out, and a threshold is chosen for each language there.  These rows are weighted to
+the label rate of all labelled rows, so a score means the same at every size.  Language, source and
 doc_id never enter a score; the language only picks the threshold of ``flagged``.
 
 Defined results: a null or empty text has no words and gets the score of pooled
@@ -145,15 +146,17 @@ def logits(model: Model, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     return pooled(x, first, model.filters, model.bias) @ model.out + model.out_bias
 
 
-def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Scale and shift of a logistic calibration, by Newton's method."""
+def platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Scale and shift of a logistic calibration of weighted rows, by Newton's method."""
     a, b = 1.0, 0.0
+    weight = weight * (len(weight) / weight.sum())
     hits, total = y.sum(), len(y)
     goal = np.where(y == 1, (hits + 1) / (hits + 2), 1 / (total - hits + 2))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-        w = p * (1 - p) + 1e-9
-        g = np.array([((p - goal) * z).sum() + 1e-3 * (a - 1), (p - goal).sum()])
+        w = weight * p * (1 - p) + 1e-9
+        off = weight * (p - goal)
+        g = np.array([(off * z).sum() + 1e-3 * (a - 1), off.sum()])
         h = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum()]])
         step = np.linalg.solve(h + 1e-9 * np.eye(2), g)
         a, b = a - step[0], b - step[1]
@@ -162,11 +165,11 @@ def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The threshold of the best F1; of equals the one in the middle of the widest gap."""
+def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The threshold of the best F1 of weighted rows; of equals the one in the middle of the widest gap."""
     order = np.argsort(-p)
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(p) + 1) + y.sum())
+    hits = np.cumsum((weight * y)[order])
+    f1 = 2 * hits / (np.cumsum(weight[order]) + (weight * y).sum())
     k = int(f1.argmax())
     below = p[order[k + 1]] if k + 1 < len(p) else 0.0
     return float((p[order[k]] + below) / 2)
@@ -183,7 +186,7 @@ def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model | None:
     """A calibrated model; part 0 of the sample calibrates, parts 1 and 3 train."""
-    rows = sample(pick(docs, doc_id="bigint", text="string", lang="string"), labels, "toxic", per_class, max_chars)
+    rows, weight = sample(pick(docs, doc_id="bigint", text="string", lang="string"), labels, "toxic", per_class, max_chars)
     got = rows.select("doc_id", "text", "lang", "part", "y").mapInArrow(_sample_batches, "doc_id long, lang string, part int, y int, ids binary").toArrow().sort_by("doc_id")
     ids = [np.frombuffer(x, np.int32).reshape(-1, 2) for x in got["ids"].to_pylist()]
     y, part = got["y"].to_numpy().astype(np.float32), got["part"].to_numpy()
@@ -199,13 +202,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_char
     first = np.concatenate([[0], np.cumsum([len(ids[k]) for k in tune])])
     z = logits(model, flat, first)
     # the sample holds more of the rare label than the labelled rows do; weights undo that
-    scale, shift = platt(z, y[tune])
+    own_weight = weight[y[tune].astype(np.int64)]
+    scale, shift = platt(z, y[tune], own_weight)
     p = 1 / (1 + np.exp(-(scale * z + shift)))
     thresholds = {}
     for name in sorted(set(lang[tune])):
         own = lang[tune] == name
         if min(y[tune][own].sum(), (1 - y[tune][own]).sum()) >= LEAST_ROWS:
-            thresholds[name] = float(np.clip(best_threshold(p[own], y[tune][own]), 0.1, 0.5))
+            thresholds[name] = float(np.clip(best_threshold(p[own], y[tune][own], own_weight[own]), 0.1, 0.5))
     return model._replace(scale=scale, shift=shift, thresholds=thresholds)
 
 
