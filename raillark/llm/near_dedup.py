@@ -139,23 +139,29 @@ def confirm(docs: DataFrame, pairs: DataFrame, percent: int, shingle: int = 5, p
     return dealt.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role").mapInArrow(run, "hub long, member long")
 
 
-def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node reachable over undirected ``edges`` (hub, member).
 
-    Each round takes the least label of the neighbours and then the label's own
-    label, so paths shrink by half; every round is cut from its lineage.
+    Large-star and small-star steps by turns: each links the neighbours of a node to
+    the least of them, which keeps components and adds no edge.  Paths shrink by more
+    than half, so rounds grow with the logarithm of the longest; they end only when
+    every node but the least of its component has one edge, to that least.  Each
+    round is cut from its lineage.
     """
-    both = stored(edges.select("hub", "member").union(edges.select("member", "hub")).toDF("u", "v").distinct(), "edges")
-    labels = stored(both.groupBy("u").agg(F.least("u", F.min("v")).alias("label")).withColumnRenamed("u", "node"), "labels")
-    for _ in range(rounds):
-        seen = both.join(labels.withColumnRenamed("node", "v"), "v").groupBy("u").agg(F.min("label").alias("near"))
-        step = labels.join(seen, labels["node"] == seen["u"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        up = labels.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        new = stored(step.join(up, "label", "left").select("node", "old", F.least("label", F.coalesce("above", "label")).alias("label")), "labels")
-        labels = new.select("node", "label")
-        if new.where("label <> old").isEmpty():
-            break
-    return labels
+    nodes = edges.select(F.col("hub").alias("node")).union(edges.select("member")).distinct()
+    links = stored(edges.where("hub <> member").select(F.greatest("hub", "member").alias("v"), F.least("hub", "member").alias("u")).distinct(), "edges")
+
+    def stars(links: DataFrame) -> bool:
+        ends = links.select(F.col("v").alias("node"), F.lit(1).alias("low"), F.lit(0).alias("top")).union(links.select("u", F.lit(0), F.lit(1)))
+        return ends.groupBy("node").agg(F.sum("low").alias("low"), F.max("top").alias("top")).where("low > 1 or low = 1 and top = 1").isEmpty()
+
+    while not stars(links):
+        least = links.select("u", F.col("u").alias("m")).union(links.select("v", "u")).groupBy("u").agg(F.min("m").alias("m"))
+        large = stored(links.join(least, "u").select("v", F.col("m").alias("u")).distinct(), "edges")
+        lowest = large.groupBy("v").agg(F.min("u").alias("m"))
+        others = large.join(lowest, "v").where("u <> m").select("u", "m")
+        links = stored(lowest.union(others).toDF("v", "u").distinct(), "edges")
+    return stored(nodes.join(links, nodes["node"] == links["v"], "left").select("node", F.coalesce("u", "node").alias("label")), "labels")
 
 
 def _alike(coord: int, split: bool, percent: int, rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
