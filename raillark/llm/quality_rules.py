@@ -2,16 +2,15 @@
 
 Base counts of each text come first.  A text that passes them is held against a
 reference of its language: the histogram of character classes and the histogram
-of the language's commonest words, each by Jensen-Shannon distance.  A text of a
-language without reference is held against the nearest one.  Below a minimum
-length a histogram says too little and gives no verdict.
+of the language's commonest words, each by Jensen-Shannon distance.  A text that
+names no language is held against the nearest reference; one of a named language
+without reference gets no verdict, nor does a histogram below a minimum length.
 
 References are gathered from the whole table: per language the median share of each
 character class (which no minority of junk moves) and the counts of words, of
-which the ``TOP_WORDS`` commonest are kept.  Word counts are exact for words that make up ``LEAST_SHARE`` of each
-slice of a language's text; rarer ones cannot be among the commonest.  At most
-``LANGUAGES`` languages (those with most words) have a reference, so what reaches
-the driver is bounded.
+which the ``TOP_WORDS`` commonest are kept.  All words are counted, by a partial
+aggregation.  Every language of ``REFERENCE_WORDS`` words has a reference; those
+(a few hundred bytes each) are what reaches the driver.
 
 Defined results: a null text has no words and fails the base rule; null languages
 have no reference of their own; repeated rows each get their row.
@@ -29,9 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from raillark.llm import scan
-from raillark.llm.workspace import pick
+from raillark.llm.workspace import pick, stored
 
-TOP_WORDS, LANGUAGES, LEAST_SHARE = 24, 256, 0.001
+TOP_WORDS = 24
 #: A language needs this many words for a reference of its own.
 REFERENCE_WORDS = 2000
 #: Guards: fewer characters or words give no verdict of that histogram.
@@ -134,6 +133,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w, _, _ = scan.words(part, lower=True, sep=scan.PUNCT)
             base = np.diff(w.first) >= MIN_BASE_WORDS
             out: list[tuple] = []
+            kinds = [pa.string(), pa.string(), pa.int64(), pa.float64()]
             for k, name in enumerate(names):
                 rows = (lang == k) & base & (total >= MIN_CHARS)
                 if rows.any():
@@ -145,23 +145,19 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(own):
                     key, n = np.unique(own.view(np.int64), return_counts=True)
                     out.append((name, "words", 0, float(len(own))))
-                    often = n >= max(1, LEAST_SHARE * len(own))
-                    out += [(name, "word", int(h), float(c)) for h, c in zip(key[often], n[often], strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.repeat(name, len(key)), pa.repeat("word", len(key)), pa.array(key), pa.array(n, pa.float64())], ["lang", "kind", "key", "amount"])
             columns = list(zip(*out, strict=True)) or [(), (), (), ()]
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["lang", "kind", "key", "amount"])
 
 
 def references(docs: DataFrame) -> References:
-    """The languages' references; a bounded number of rows reaches the driver."""
+    """The languages' references; some rows of each language reach the driver."""
     parts = pick(docs, lang="string", text="string").mapInArrow(_gather, "lang string, kind string, key long, amount double").groupBy("lang", "kind", "key").agg(F.sum("amount").alias("amount"))
-    # the aggregate's few rows per language are kept, as they are used three times
-    parts = parts.persist()
-    top = parts.where(f"kind = 'words' and amount >= {REFERENCE_WORDS}").orderBy(F.desc("amount"), "lang").limit(LANGUAGES).select("lang", F.col("amount").alias("total"))
+    parts = stored(parts, "counts")  # used three times
+    top = parts.where(f"kind = 'words' and amount >= {REFERENCE_WORDS}").select("lang", F.col("amount").alias("total"))
     rank = Window.partitionBy("lang").orderBy(F.desc("amount"), "key")
     common = parts.where("kind = 'word'").withColumn("r", F.row_number().over(rank)).where(F.col("r") <= TOP_WORDS).drop("r")
     rows = common.unionByName(parts.where("kind in ('class', 'docs')")).join(top, "lang").collect()
-    parts.unpersist()
     by: dict[str, list] = {}
     for r in rows:
         by.setdefault(r["lang"], []).append(r)
@@ -194,29 +190,33 @@ def distances(part: scan.Slice, langs: list[str | None], refs: References) -> tu
     rows = len(n_chars)
     if not refs.languages:
         return np.full(rows, np.nan), np.full(rows, np.nan), n_chars, n_words
-    vocabulary = np.unique(refs.words[refs.words != 0])
-    at = np.searchsorted(vocabulary, w.hash.view(np.int64))
-    at[at == len(vocabulary)] = 0
-    hit = vocabulary[at] == w.hash.view(np.int64) if len(vocabulary) else np.zeros(len(at), bool)
-    table = np.bincount(w.doc[hit] * len(vocabulary) + at[hit], minlength=rows * len(vocabulary)).reshape(rows, -1) if len(vocabulary) else np.zeros((rows, 0))
     own = {x: k for k, x in enumerate(refs.languages)}
     lang = np.array([own.get(x, -1) for x in langs])
+    unnamed = np.array([x is None for x in langs], bool)
     by_char, by_word = np.full(rows, np.inf), np.full(rows, np.inf)
-    for k in range(len(refs.languages)):
-        rows_k = np.flatnonzero((lang == k) | (lang < 0))
+    for k in range(len(refs.languages)) if unnamed.any() else np.unique(lang[lang >= 0]):
+        rows_k = np.flatnonzero((lang == k) | unnamed)
         if not len(rows_k):
             continue
         p = counts[rows_k] / np.maximum(1, n_chars[rows_k])[:, None]
         by_char[rows_k] = np.minimum(by_char[rows_k], distance(p, refs.chars[k][None]))
-        held = refs.words[k] != 0
-        part_words = table[rows_k][:, np.searchsorted(vocabulary, refs.words[k][held])]
+        held = np.flatnonzero(refs.words[k])
+        held = held[np.argsort(refs.words[k][held])]
+        place = np.full(rows, -1)
+        place[rows_k] = np.arange(len(rows_k))
+        near = np.flatnonzero(place[w.doc] >= 0)
+        hashes, vocabulary = w.hash[near].view(np.int64), refs.words[k][held]
+        at = np.minimum(np.searchsorted(vocabulary, hashes), max(0, len(held) - 1))
+        hit = vocabulary[at] == hashes if len(held) else np.zeros(len(at), bool)
+        part_words = np.bincount(place[w.doc[near[hit]]] * len(held) + at[hit], minlength=len(rows_k) * len(held)).reshape(len(rows_k), -1) if len(held) else np.zeros((len(rows_k), 0))
         size = np.maximum(1, n_words[rows_k])[:, None]
         p = np.zeros((len(rows_k), TOP_WORDS + 1))
         p[:, :-1][:, held] = part_words / size
         p[:, -1] = np.maximum(0, 1 - p[:, :-1].sum(1))
         by_word[rows_k] = np.minimum(by_word[rows_k], distance(p, refs.shares[k][None]))
-    by_char[n_chars < MIN_CHARS] = np.nan
-    by_word[n_words < MIN_WORDS] = np.nan
+    none = (lang < 0) & ~unnamed
+    by_char[none | (n_chars < MIN_CHARS)] = np.nan
+    by_word[none | (n_words < MIN_WORDS)] = np.nan
     return by_char, by_word, n_chars, n_words
 
 
