@@ -19,6 +19,9 @@ with more than ``KEEP`` candidates a line still unresolved after that is looked
 once more against all of them.  Work therefore follows the number of lines, not
 the square of a group of copies, and no match is lost.
 
+A list of more than ``BLOCK`` lines is dealt to block-by-block cells, so no task
+holds more than two blocks of a list, however common its token.
+
 The order of rarity comes from counts of hashed tokens (``BUCKETS`` numbers, a
 fixed size); any order gives the same result.
 
@@ -47,6 +50,8 @@ _LOW = 26
 _TOKEN = np.uint64((1 << (BUCKET_BITS + _LOW)) - 1)
 _PLACE = 20
 KEEP, SHORT_LIST = 4, 64
+BLOCK = 1 << 14
+_CELL = 20
 
 
 class Lines(NamedTuple):
@@ -112,8 +117,8 @@ def token_lines(part: scan.Slice, ranks: np.ndarray, percent: int, postings: boo
     return Lines(row[used], number[used], size, key.view(np.int64), parity.view(np.int64), *post)
 
 
-def token_ranks(docs: DataFrame) -> np.ndarray:
-    """Rank of each token bucket, the rarest first; ``BUCKETS`` numbers in all."""
+def token_ranks(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each token bucket, the rarest first, and the count of each rank; ``BUCKETS`` numbers each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
@@ -129,11 +134,11 @@ def token_ranks(docs: DataFrame) -> np.ndarray:
     counts[parts["bucket"].to_numpy()] = parts["n"].to_numpy()
     ranks = np.empty(BUCKETS, np.int32)
     ranks[np.argsort(counts, kind="stable")] = np.arange(BUCKETS, dtype=np.int32)
-    return ranks
+    return ranks, np.sort(counts)
 
 
 def _tables(base: DataFrame, ranks: np.ndarray, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, line_no, key, n) of each line, and the postings."""
+    """(doc_id, line_no, key, n) of each line, and the postings of the first line of each word set."""
     sent = base.sparkSession.sparkContext.broadcast(ranks)
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,10 +160,25 @@ def _tables(base: DataFrame, ranks: np.ndarray, percent: int) -> tuple[DataFrame
 
     # copies of a word set are known already: only the first line of each is posted
     firsts = base.mapInArrow(prefixes, "key long, doc_id long, place long, parity long, parity2 long, slots array<long>").groupBy("key").agg(F.min(F.struct("doc_id", "place", "parity", "parity2", "slots")).alias("x"))
+    firsts = stored(firsts.select("x"), "firsts")  # read several times
     posts = firsts.select(F.explode("x.slots").alias("slot"), "x.doc_id", "x.place", "x.parity", "x.parity2")
     return base.mapInArrow(lines, "doc_id long, line_no long, key long, n long"), posts
 
 
+def _dealt(posts: DataFrame, lists: DataFrame, common: int) -> DataFrame:
+    """``posts`` with the cell and side of each row: a row of a list of ``lists`` goes to a cell for each block.
+
+    Only tokens of a rank from ``common`` on can have such a list.  Cell 0 is a whole list.
+    """
+    may = F.shiftrightunsigned("slot", _PLACE + _LOW) >= common
+    few = posts.where(~may).withColumn("cell", F.lit(0).cast("bigint")).withColumn("side", F.lit(0))
+    many = posts.where(may).withColumn("token", F.shiftright("slot", _PLACE)).join(lists, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    many = many.withColumn("side", F.pmod(F.xxhash64("doc_id", "place"), F.col("blocks")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = F.shiftleft(F.least("side", "_other").cast("bigint"), _CELL) + F.greatest("side", "_other") + 1
+    many = many.withColumn("cell", F.when(F.col("blocks") > 1, cell).otherwise(F.lit(0).cast("bigint")))
+    return few.unionByName(many.select(few.columns))
+
+
 def _fits(n_a, n_b, i, j, x, y, percent: int) -> np.ndarray:
     """Length, positional and parity filters."""
     least, most = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
@@ -170,13 +190,13 @@ def _fits(n_a, n_b, i, j, x, y, percent: int) -> np.ndarray:
 
 
 def _merge(percent: int, flagged: bool):
-    """Rows sorted by slot: each line with earlier candidates of a list.
+    """Rows sorted by token and cell: each line with earlier candidates of a list.
 
     Without ``flagged`` a line gets its ``KEEP`` earliest and a note if there are
     more; with it only lines that carry the flag, and all candidates.
     """
 
-    def pairs(tok, doc, line, n, place, parity, flag, start, length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def pairs(doc, line, n, place, parity, flag, split, side, start, length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Indexes (later, earlier, more) over complete lists."""
         later, earlier, more = [], [], []
         short = np.flatnonzero((length >= 2) & (length <= SHORT_LIST))
@@ -189,15 +209,18 @@ def _merge(percent: int, flagged: bool):
                 break
             a, b = rows, rows + d
             ok = _fits(n[a], n[b], place[a], place[b], parity[a], parity[b], percent)
+            ok &= ~split[a] | (side[a] != side[b])
             later.append(b[ok])
             earlier.append(a[ok])
             more.append(np.zeros(int(ok.sum()), bool))
         for lo, hi in zip(start[length > SHORT_LIST], (start + length)[length > SHORT_LIST], strict=True):
             if flagged and not flag[lo:hi].any():
                 continue
-            # lines of equal size and parity are mostly copies: the earliest stands for them
-            _, first, of = np.unique(scan.mix(parity[lo:hi, 0] + scan.mix(parity[lo:hi, 1] + n[lo:hi].astype(np.uint64))), return_index=True, return_inverse=True)
+            # lines of equal size, place and parity are mostly alike: the earliest stands for them
+            facts = scan.mix(((n[lo:hi] << _PLACE) + place[lo:hi]).astype(np.uint64) + scan.mix(side[lo:hi].astype(np.uint64)))
+            _, first, of, members = np.unique(scan.mix(parity[lo:hi, 0] + scan.mix(parity[lo:hi, 1] + facts)), return_index=True, return_inverse=True, return_counts=True)
             of = of.ravel()
+            crowd = members[np.argsort(first)] > 1
             heads = np.sort(first)
             if not flagged:
                 others = np.flatnonzero(first[of] != np.arange(hi - lo))
@@ -213,9 +236,11 @@ def _merge(percent: int, flagged: bool):
                 h = lo + heads
                 ok = _fits(n[g][:, None], n[h][None], place[g][:, None], place[h][None], parity[g][:, None, :], parity[h][None, :, :], percent)
                 ok &= h[None] < g[:, None]
+                if split[lo]:
+                    ok &= side[g][:, None] != side[h][None]
                 if not flagged:
                     rank = np.cumsum(ok, 1)
-                    over = rank[:, -1] > KEEP
+                    over = (rank[:, -1] > KEEP) | (ok & crowd).any(1)  # or a line that another stands for
                     ok &= rank <= KEEP
                 a, b = np.nonzero(ok)
                 later.append(g[a])
@@ -233,16 +258,17 @@ def _merge(percent: int, flagged: bool):
         names = ["doc_id", "line_no", "first_doc", "first_line", "more"]
 
         def work(cols: list[np.ndarray]) -> pa.RecordBatch | None:
-            slot, doc, place, one, two, flag = cols
+            slot, doc, place, one, two, flag, cell, side = cols
             parity = np.stack([one, two], 1)
             tok = slot >> _PLACE
             line, n = place >> 32, place & 0xFFFFFFFF
-            order = np.lexsort((line, doc, tok))
-            tok, doc, line, n, parity, flag = (c[order] for c in (tok, doc, line, n, parity, flag))
+            order = np.lexsort((line, doc, cell, tok))
+            tok, doc, line, n, parity, flag, cell, side = (c[order] for c in (tok, doc, line, n, parity, flag, cell, side))
+            split = (cell != 0) & ((cell - 1) >> _CELL != (cell - 1) & ((1 << _CELL) - 1))
             at = (slot & ((1 << _PLACE) - 1))[order]
-            start = np.flatnonzero(np.r_[True, tok[1:] != tok[:-1]])
+            start = np.flatnonzero(np.r_[True, (tok[1:] != tok[:-1]) | (cell[1:] != cell[:-1])])
             length = np.diff(np.r_[start, len(tok)])
-            x, y, m = pairs(tok, doc, line, n, at, parity.view(np.uint64), flag, start, length)
+            x, y, m = pairs(doc, line, n, at, parity.view(np.uint64), flag, split, side, start, length)
             if not len(x):
                 return None
             rows = np.stack([doc[x], line[x], doc[y], line[y]], 1)
@@ -262,9 +288,10 @@ def _merge(percent: int, flagged: bool):
 
         held: list[list[np.ndarray]] = []
         for batch in batches:
-            cols = [batch.column(k).to_numpy() for k in range(6)]
-            tok = cols[0] >> _PLACE
-            cut = int(np.searchsorted(tok, tok[-1])) if len(tok) else 0
+            cols = [batch.column(k).to_numpy() for k in range(8)]
+            tok, cell = cols[0] >> _PLACE, cols[6]
+            edge = np.flatnonzero((tok[1:] != tok[:-1]) | (cell[1:] != cell[:-1]))
+            cut = int(edge[-1]) + 1 if len(edge) else 0
             if cut:
                 held.append([c[:cut] for c in cols])
                 made = work([np.concatenate(c) for c in zip(*held, strict=True)])
@@ -272,7 +299,7 @@ def _merge(percent: int, flagged: bool):
                 if made is not None:
                     yield made
             elif len(tok):
-                if held and (held[-1][0][-1] >> _PLACE) != tok[0]:
+                if held and ((held[-1][0][-1] >> _PLACE) != tok[0] or held[-1][6][-1] != cell[0]):
                     made = work([np.concatenate(c) for c in zip(*held, strict=True)])
                     held = []
                     if made is not None:
@@ -311,13 +338,18 @@ def _verify(percent: int):
     return run
 
 
-def removed_lines(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def removed_lines(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(doc_id, line_no, how) of every line that goes, and (doc_id, line_no, key, n) of all lines looked at.
 
     ``how`` is 'copy' for a line whose word set occurred before, else 'near'.
     """
     base = pick(docs, doc_id="bigint", text="string").where("doc_id is not null")
-    lines, posts = _tables(base, token_ranks(base), percent)
+    ranks, counts = token_ranks(base)
+    lines, posts = _tables(base, ranks, percent)
+    # no list is longer than the count of its token's bucket, so only the commonest need be counted
+    common = int(np.searchsorted(counts, block, "right"))
+    lists = posts.where(F.shiftrightunsigned("slot", _PLACE + _LOW) >= common).groupBy(F.shiftright("slot", _PLACE).alias("token")).agg(F.count("*").alias("n")).where(F.col("n") > block)
+    lists = stored(lists.select("token", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "lists")
     lines = stored(lines, "lines")
     place = F.struct("doc_id", "line_no")
     firsts = lines.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").select("key", "first")
@@ -325,7 +357,9 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
 
     def merged(rows: DataFrame, flagged: bool) -> DataFrame:
         """Candidate rows of the postings ``rows``."""
-        return rows.repartition(F.shiftright("slot", _PLACE)).sortWithinPartitions("slot").mapInArrow(_merge(percent, flagged), "doc_id long, line_no long, first_doc long, first_line long, more boolean")
+        token = F.shiftright("slot", _PLACE)
+        rows = _dealt(rows, lists, common).select("slot", "doc_id", "place", "parity", "parity2", "flag", "cell", "side")
+        return rows.repartition(token, "cell").sortWithinPartitions(token, "cell").mapInArrow(_merge(percent, flagged), "doc_id long, line_no long, first_doc long, first_line long, more boolean")
 
     found = merged(posts.withColumn("flag", F.lit(0)), False)
     found = stored(found.groupBy("doc_id", "line_no", "first_doc", "first_line").agg(F.max("more").alias("more")), "candidates")
