@@ -4,28 +4,33 @@ A line is the set of its distinct lower-cased words.  In document order
 (``doc_id``, then line number) a line goes if an earlier line has a Jaccard
 similarity of ``PERCENT`` hundredths or more with it.
 
-Tokens are ordered by rarity.  Two similar lines share a token in the first
+One scan gives each line's set key (128 bits and the size) and the counts of hashed
+tokens.  Lines with an earlier equal key are copies.  Of the others, tokens are
+ordered by rarity in a second scan.  Two similar lines share a token in the first
 ``n - ceil(t * n) + 1`` of each (prefix filter), so lines are posted under these
-tokens only.  A set too small to match any but an equal one (fewer than four words at 80)
-is not posted: equal sets are found by their key.  Within a token's list a pair must pass the length filter, the
-positional filter and a parity filter: each line carries 128 bits of which every
-token toggles one, and two such words differ in no more bits than the sets differ
-in tokens.  All four filters only drop pairs that cannot match.
-What is left is verified on the lines' own words.
+tokens only.  A set too small to match any but an equal one (fewer than four words
+at 80) is not posted, nor is a token that occurs once in the table.  Within a
+token's list a pair must pass the length filter (lists come sorted by size, so the
+comparison of a line ends at the first that is too long), the positional filter and
+a parity filter: each line carries 128 bits of which every token toggles one, and
+two such words differ in no more bits than the sets differ in tokens.  All filters
+only drop pairs that cannot match.  What is left is verified on the lines' own words.
 
 One earlier match is enough to remove a line, so each line is first verified
-against its earliest candidate, then, if that fails, against the others; in lists
-with more than ``KEEP`` candidates a line still unresolved after that is looked up
-once more against all of them.  Work therefore follows the number of lines, not
-the square of a group of copies, and no match is lost.
+against its earliest candidate, then, if that fails, against the others.  Lines with
+more than ``KEEP`` candidates that are still unresolved are looked up once more
+against all of them, in the lists of their own tokens only.  What is emitted follows
+the number of lines, not the square of a group of copies, and no match is lost.
 
 A list of more than ``BLOCK`` lines is dealt to block-by-block cells, so no task
-holds more than two blocks of a list, however common its token.
+holds more than two blocks of a list, however common its token.  In a long list the
+earliest lines are tried first, and a line with enough candidates is not compared
+any further, so a group of near copies costs a few comparisons a line.
 
 The order of rarity comes from counts of hashed tokens (``BUCKETS`` numbers, a
 fixed size); any order gives the same result.
 
-Defined results: lines without a word (``MIN_TOKENS``) are left alone; null and empty texts have no lines to remove; of equal lines the first stays;
+Defined results: lines without a word are left alone; null and empty texts have no lines to remove; of equal lines the first stays;
 rows that share a ``doc_id`` share their fate line by line; a null ``doc_id``
 takes no part.  Only removed lines change a text, with the line break that follows them.
 """
@@ -43,28 +48,32 @@ from pyspark.sql import functions as F
 from raillark.llm import scan
 from raillark.llm.workspace import pick, stored
 
-PERCENT, MIN_TOKENS = 80, 1
+PERCENT = 80
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
 _LOW = 26
-_TOKEN = np.uint64((1 << (BUCKET_BITS + _LOW)) - 1)
-_PLACE = 20
+#: A posting's key: 44 bits of token and 20 of the line's size; longer lines share the last size and pass every filter.
+_SIZE = 20
+LONGEST = (1 << _SIZE) - 1
+#: The key of a token that occurs once and need not be posted (no set has size 0).
+NONE = 0
 KEEP, SHORT_LIST = 4, 64
 BLOCK = 1 << 14
-_CELL = 20
+#: Postings that are compared in one go; whole lists always are.
+AT_ONCE = 1 << 16
+#: Parts that the counts of token buckets are added up in.
+_CHUNK = 1 << 12
+_SIDE, _SPLIT, _FLAG = 32, 60, 61
 
 
-class Lines(NamedTuple):
-    """The lines with a token, or those to post: rows of the slice, numbers, sizes, keys, parities and prefix postings."""
+class Sets(NamedTuple):
+    """Lines with a word: row and number of each, distinct words in line order, and their bounds."""
 
     row: np.ndarray
     number: np.ndarray
     size: np.ndarray
-    key: np.ndarray
-    parity: np.ndarray
-    post_line: np.ndarray
-    post_token: np.ndarray
-    post_place: np.ndarray
+    words: np.ndarray
+    at: np.ndarray
 
 
 def line_bounds(part: scan.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,234 +86,305 @@ def line_bounds(part: scan.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.append(starts, len(part.data)), row, number
 
 
-def token_lines(part: scan.Slice, ranks: np.ndarray, percent: int, postings: bool) -> Lines:
+def distinct_words(w: scan.Words) -> np.ndarray:
+    """Whether a word is the one that stands for its equals of the same row (or line)."""
+    own = scan.mix(w.hash + w.doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(own)
+    same = own[order]
+    keep = np.zeros(len(own), bool)
+    keep[order[np.r_[True, same[1:] != same[:-1]]]] = True
+    return keep
+
+
+def line_sets(part: scan.Slice) -> tuple[Sets, np.ndarray]:
+    """The lines' sets, and the hashes of all words, repeats included."""
     bounds, row, number = line_bounds(part)
     w, _, _ = scan.words(part, lower=True, sep=scan.PUNCT, cut=bounds)
-    bucket = w.hash >> np.uint64(64 - BUCKET_BITS)
-    token = (ranks[bucket].astype(np.uint64) << np.uint64(_LOW)) | (w.hash & np.uint64((1 << _LOW) - 1))
-    if len(row) < 1 << _PLACE:
-        order = np.argsort((w.doc.astype(np.uint64) << np.uint64(64 - _PLACE)) | token)
-    else:
-        order = np.lexsort((token, w.doc))
-    line, token, full = w.doc[order], token[order], w.hash[order]
-    fresh = np.ones(len(line), bool)
-    fresh[1:] = (line[1:] != line[:-1]) | (token[1:] != token[:-1])
-    line, token, full = line[fresh], token[fresh], full[fresh]
-    size = np.bincount(line, minlength=len(row))
-    # a smaller set than this matches only its equals, which have its key
-    enough = (100 * size >= percent * (size + 1)) & (size >= MIN_TOKENS) if postings else size >= MIN_TOKENS
-    keep = enough[line]
-    line, token, full = line[keep], token[keep], full[keep]
-    used = np.flatnonzero(enough)
+    if not len(w.hash):
+        none = np.zeros(0, np.int64)
+        return Sets(none, none, none, w.hash, np.zeros(1, np.int64)), w.hash
+    keep = distinct_words(w)
+    size = np.bincount(w.doc[keep], minlength=len(row))
+    used = np.flatnonzero(size)
     size = size[used]
-    at = np.concatenate([[0], np.cumsum(size)])
-    none = np.zeros(0, np.int64)
-    if not len(used):
-        return Lines(none, none, none, none, np.zeros((0, 2), np.int64), none, none, none)
-    mixed = scan.mix(full + np.uint64(1))  # all bits: a short line has nothing else to tell it from another
-    key = np.add.reduceat(mixed, at[:-1])
+    return Sets(row[used], number[used], size, w.hash[keep], np.concatenate([[0], np.cumsum(size)])), w.hash
+
+
+def set_keys(x: Sets) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit keys of each set."""
+    first, second = scan.mix(x.words + np.uint64(1)), scan.mix(x.words ^ np.uint64(0xA5A5A5A55A5A5A5A))
+    return np.add.reduceat(first, x.at[:-1]).view(np.int64), np.add.reduceat(second, x.at[:-1]).view(np.int64)
+
+
+def parities(words: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """128 bits of each set; every word toggles one."""
+    mixed = scan.mix(words + np.uint64(1))
     bit = np.uint64(1) << (mixed >> np.uint64(58))
     half = (mixed >> np.uint64(57)) & np.uint64(1) == 0
     zero = np.uint64(0)
-    parity = np.stack([np.bitwise_xor.reduceat(np.where(half == side, bit, zero), at[:-1]) for side in (True, False)], 1)
-    if postings:
-        place = np.arange(len(token)) - np.repeat(at[:-1], size)
-        prefix = size - -(-percent * size // 100) + 1
-        own = place < np.repeat(prefix, size)
-        post = np.repeat(np.arange(len(used)), size)[own], token[own].astype(np.int64), place[own]
+    return [np.bitwise_xor.reduceat(np.where(half == side, bit, zero), at[:-1]).view(np.int64) for side in (True, False)]
+
+
+def postings(x: Sets, order_of: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Sets to post (indexes), their parities, bounds of their postings, and each posting's key, in order of place."""
+    enough = 100 * x.size >= percent * (x.size + 1)  # a smaller set matches only its equals
+    used = np.flatnonzero(enough)
+    size = x.size[used]
+    words = x.words[np.repeat(enough, x.size)]
+    at = np.concatenate([[0], np.cumsum(size)])
+    if not len(used):
+        none = np.zeros(0, np.int64)
+        return used, [none, none], at, none
+    rank = order_of[words >> np.uint64(64 - BUCKET_BITS)]
+    line = np.repeat(np.arange(len(used)), size)
+    token = (rank.astype(np.uint64) << np.uint64(_LOW)) | (words & np.uint64((1 << _LOW) - 1))
+    if len(used) < 1 << (64 - BUCKET_BITS - _LOW):
+        own = np.sort((line.astype(np.uint64) << np.uint64(BUCKET_BITS + _LOW)) | token) & np.uint64((1 << (BUCKET_BITS + _LOW)) - 1)
     else:
-        post = none, none, none
-    return Lines(row[used], number[used], size, key.view(np.int64), parity.view(np.int64), *post)
+        own = token[np.lexsort((token, line))]
+    place = np.arange(len(own)) - np.repeat(at[:-1], size)
+    prefix = size - -(-percent * size // 100) + 1
+    post = place < np.repeat(prefix, size)
+    own, line = own[post], line[post]
+    key = ((own << np.uint64(_SIZE)) | np.minimum(size, LONGEST).astype(np.uint64)[line]).view(np.int64)
+    key[counts[own >> np.uint64(_LOW)] < 2] = NONE
+    return used, parities(words, at), np.searchsorted(line, np.arange(len(used) + 1)), key
 
 
-def token_ranks(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Rank of each token bucket, the rarest first, and the count of each rank; ``BUCKETS`` numbers each."""
+def surveyed(base: DataFrame) -> DataFrame:
+    """Rows of lines (doc_id, line_no, key, key2, n) and of counts (chunk, counts), from one scan."""
+    names = ["doc_id", "line_no", "key", "key2", "n", "chunk", "counts"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for part in scan.slices(batch.column(0)):
-                w, _, _ = scan.words(part, lower=True, sep=scan.PUNCT)
-                total += np.bincount((w.hash >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=BUCKETS)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "n"])
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for part in scan.slices(batch.column(1)):
+                x, every = line_sets(part)
+                total += np.bincount((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=BUCKETS)
+                if not len(x.row):
+                    continue
+                key, key2 = set_keys(x)
+                cols = [ids[part.lo + x.row], x.number, key, key2, x.size]
+                blank = [pa.nulls(len(key), kinds[5]), pa.nulls(len(key), kinds[6])]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), *blank], names)
+        parts = total.reshape(-1, _CHUNK)
+        some = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(some), k) for k in kinds[:5]), pa.array(some, pa.int32()), pa.array([parts[k].tobytes() for k in some], pa.binary())], names)
+
+    return base.mapInArrow(run, "doc_id long, line_no long, key long, key2 long, n long, chunk int, counts binary")
+
+
+def token_ranks(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each token bucket, the rarest first, and the count of each rank; ``BUCKETS`` numbers each."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                totals[chunk] = totals.get(chunk, 0) + np.frombuffer(raw, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array([x.tobytes() for x in totals.values()], pa.binary())], ["chunk", "counts"])
 
-    parts = pick(docs, text="string").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    # within each input partition first, so that a chunk's task adds up few rows
+    parts = survey.where("chunk is not null").select("chunk", "counts").mapInArrow(add, "chunk int, counts binary")
+    parts = parts.repartition("chunk").mapInArrow(add, "chunk int, counts binary").toArrow()
     counts = np.zeros(BUCKETS, np.int64)
-    counts[parts["bucket"].to_numpy()] = parts["n"].to_numpy()
+    for chunk, raw in zip(parts["chunk"].to_pylist(), parts["counts"].to_pylist(), strict=True):
+        counts[chunk * _CHUNK : (chunk + 1) * _CHUNK] = np.frombuffer(raw, np.int64)
     ranks = np.empty(BUCKETS, np.int32)
     ranks[np.argsort(counts, kind="stable")] = np.arange(BUCKETS, dtype=np.int32)
     return ranks, np.sort(counts)
 
 
-def _tables(base: DataFrame, ranks: np.ndarray, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, line_no, key, n) of each line, and the postings of the first line of each word set."""
-    sent = base.sparkSession.sparkContext.broadcast(ranks)
+def posted(base: DataFrame, copies: DataFrame, ranks: np.ndarray, counts: np.ndarray, percent: int) -> DataFrame:
+    """Postings (key, doc_id, line_no, parity, parity2, mark) of the first line of each set; the mark is the place."""
+    sent = base.sparkSession.sparkContext.broadcast((ranks, np.minimum(counts, 2).astype(np.int8)))  # of fixed size
 
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for part in scan.slices(batch.column(1)):
-                x = token_lines(part, sent.value, percent, False)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[part.lo + x.row], pa.int64()), pa.array(x.number, pa.int64()), pa.array(x.key, pa.int64()), pa.array(x.size, pa.int64())], ["doc_id", "line_no", "key", "n"])
+                x, _ = line_sets(part)
+                used, parity, bounds, key = postings(x, *sent.value, percent)
+                keys = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(key, pa.int64()))
+                cols = [ids[part.lo + x.row[used]], x.number[used], *parity]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), keys], ["doc_id", "line_no", "parity", "parity2", "keys"])
+
+    rows = base.mapInArrow(run, "doc_id long, line_no long, parity long, parity2 long, keys array<long>")
+    # copies of a set are known already; their ids are the small side, two numbers a row
+    rows = rows.join(copies.hint("shuffle_hash"), ["doc_id", "line_no"], "left_anti")
+    rows = stored(rows, "firsts", "lz4")  # read several times
+    posts = rows.select("doc_id", "line_no", "parity", "parity2", F.posexplode("keys").alias("place", "key")).where(F.col("key") != NONE)
+    return posts.select("key", "doc_id", "line_no", "parity", "parity2", F.col("place").cast("bigint").alias("mark"))
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for part in scan.slices(batch.column(1)):
-                x = token_lines(part, sent.value, percent, True)
-                slot = (x.post_token << _PLACE) | np.minimum(x.post_place, (1 << _PLACE) - 1)
-                bounds = np.searchsorted(x.post_line, np.arange(len(x.row) + 1))
-                slots = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(slot, pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(x.key, pa.int64()), pa.array(ids[part.lo + x.row], pa.int64()), pa.array((x.number << 32) | x.size, pa.int64()), pa.array(x.parity[:, 0], pa.int64()), pa.array(x.parity[:, 1], pa.int64()), slots], ["key", "doc_id", "place", "parity", "parity2", "slots"])
 
-    # copies of a word set are known already: only the first line of each is posted
-    firsts = base.mapInArrow(prefixes, "key long, doc_id long, place long, parity long, parity2 long, slots array<long>").groupBy("key").agg(F.min(F.struct("doc_id", "place", "parity", "parity2", "slots")).alias("x"))
-    firsts = stored(firsts.select("x"), "firsts")  # read several times
-    posts = firsts.select(F.explode("x.slots").alias("slot"), "x.doc_id", "x.place", "x.parity", "x.parity2")
-    return base.mapInArrow(lines, "doc_id long, line_no long, key long, n long"), posts
+def _token(key: Column | str) -> Column:
+    return F.shiftright(key, _SIZE)
 
 
 def _dealt(posts: DataFrame, lists: DataFrame, common: int) -> DataFrame:
-    """``posts`` with the cell and side of each row: a row of a list of ``lists`` goes to a cell for each block.
+    """``posts`` with a row of a list of ``lists`` sent to a cell for each block; its mark tells the side.
 
-    Only tokens of a rank from ``common`` on can have such a list.  Cell 0 is a whole list.
+    Only tokens of a rank from ``common`` on can have such a list.  A cell's key takes
+    the place of the token in the posting's key.
     """
-    may = F.shiftrightunsigned("slot", _PLACE + _LOW) >= common
-    few = posts.where(~may).withColumn("cell", F.lit(0).cast("bigint")).withColumn("side", F.lit(0))
-    many = posts.where(may).withColumn("token", F.shiftright("slot", _PLACE)).join(lists, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    many = many.withColumn("side", F.pmod(F.xxhash64("doc_id", "place"), F.col("blocks")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cell = F.shiftleft(F.least("side", "_other").cast("bigint"), _CELL) + F.greatest("side", "_other") + 1
-    many = many.withColumn("cell", F.when(F.col("blocks") > 1, cell).otherwise(F.lit(0).cast("bigint")))
-    return few.unionByName(many.select(few.columns))
-
-
-def _fits(n_a, n_b, i, j, x, y, percent: int) -> np.ndarray:
-    """Length, positional and parity filters."""
-    least, most = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
-    ok = 100 * least >= percent * most
+    may = F.shiftrightunsigned("key", _SIZE + _LOW) >= common
+    many = posts.where(may).withColumn("token", _token("key")).join(lists, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    many = many.withColumn("side", F.pmod(F.xxhash64("doc_id", "line_no"), F.col("blocks"))).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cell = F.xxhash64("token", F.least("side", "_other"), F.greatest("side", "_other"))
+    size = F.col("key").bitwiseAND(F.lit(LONGEST))
+    key = F.when(F.col("blocks") > 1, F.shiftleft(F.shiftright(cell, _SIZE), _SIZE).bitwiseOR(size)).otherwise(F.col("key"))
+    split = F.when(F.col("side") != F.col("_other"), F.shiftleft(F.lit(1).cast("bigint"), _SPLIT)).otherwise(F.lit(0).cast("bigint"))
+    mark = F.when(F.col("blocks") > 1, F.col("mark").bitwiseOR(F.shiftleft("side", _SIDE)).bitwiseOR(split)).otherwise(F.col("mark"))
+    return posts.where(~may).unionByName(many.withColumns({"key": key, "mark": mark}).select(posts.columns))
+
+
+class Posts(NamedTuple):
+    """Columns of postings, sorted by list and size."""
+
+    doc: np.ndarray
+    line: np.ndarray
+    n: np.ndarray
+    place: np.ndarray
+    one: np.ndarray
+    two: np.ndarray
+    side: np.ndarray
+    split: np.ndarray
+    flag: np.ndarray
+
+
+def _fits(p: Posts, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Length, positional and parity filters, and whether a pair belongs to this cell."""
+    n_a, n_b, i, j = p.n[a], p.n[b], p.place[a], p.place[b]
     need = -(-percent * (n_a + n_b) // (100 + percent))
-    ok &= 1 + np.minimum(n_a - i - 1, n_b - j - 1) + np.minimum(i, j) >= need
-    ok &= np.bitwise_count(x[..., 0] ^ y[..., 0]).astype(np.int64) + np.bitwise_count(x[..., 1] ^ y[..., 1]) <= n_a + n_b - 2 * need
-    return ok
+    ok = 1 + np.minimum(n_a - i - 1, n_b - j - 1) + np.minimum(i, j) >= need
+    ok &= np.bitwise_count(p.one[a] ^ p.one[b]).astype(np.int64) + np.bitwise_count(p.two[a] ^ p.two[b]) <= n_a + n_b - 2 * need
+    ok &= 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+    ok |= np.maximum(n_a, n_b) >= LONGEST
+    return ok & ~(p.split[a] & p.split[b] & (p.side[a] == p.side[b]))
+
+
+def _earlier(p: Posts, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (p.doc[a] < p.doc[b]) | ((p.doc[a] == p.doc[b]) & (p.line[a] < p.line[b]))
 
 
 def _merge(percent: int, flagged: bool):
-    """Rows sorted by token and cell: each line with earlier candidates of a list.
+    """Rows sorted by key: each line with earlier candidates of a list.
 
-    Without ``flagged`` a line gets its ``KEEP`` earliest and a note if there are
+    Without ``flagged`` a line gets its ``KEEP`` earliest and a note if there may be
     more; with it only lines that carry the flag, and all candidates.
     """
 
-    def pairs(doc, line, n, place, parity, flag, split, side, start, length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Indexes (later, earlier, more) over complete lists."""
-        later, earlier, more = [], [], []
-        short = np.flatnonzero((length >= 2) & (length <= SHORT_LIST))
-        rows = np.repeat(start[short], length[short]) + np.arange(length[short].sum()) - np.repeat(np.cumsum(length[short]) - length[short], length[short])
-        left = np.repeat(start[short] + length[short], length[short])
+    def short_lists(p: Posts, start: np.ndarray, length: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of the lists: each row with those after it until one is too long."""
+        rows = np.repeat(start, length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        ends = np.repeat(start + length, length)
         for d in range(1, SHORT_LIST):
-            go = rows + d < left
-            rows, left = rows[go], left[go]
+            go = rows + d < ends
+            rows, ends = rows[go], ends[go]
+            near = (100 * p.n[rows] >= percent * p.n[rows + d]) | (p.n[rows + d] >= LONGEST)
+            rows, ends = rows[near], ends[near]
             if not len(rows):
-                break
-            a, b = rows, rows + d
-            ok = _fits(n[a], n[b], place[a], place[b], parity[a], parity[b], percent)
-            ok &= ~split[a] | (side[a] != side[b])
-            later.append(b[ok])
-            earlier.append(a[ok])
-            more.append(np.zeros(int(ok.sum()), bool))
-        for lo, hi in zip(start[length > SHORT_LIST], (start + length)[length > SHORT_LIST], strict=True):
-            if flagged and not flag[lo:hi].any():
-                continue
-            # lines of equal size, place and parity are mostly alike: the earliest stands for them
-            facts = scan.mix(((n[lo:hi] << _PLACE) + place[lo:hi]).astype(np.uint64) + scan.mix(side[lo:hi].astype(np.uint64)))
-            _, first, of, members = np.unique(scan.mix(parity[lo:hi, 0] + scan.mix(parity[lo:hi, 1] + facts)), return_index=True, return_inverse=True, return_counts=True)
-            of = of.ravel()
-            crowd = members[np.argsort(first)] > 1
-            heads = np.sort(first)
-            if not flagged:
-                others = np.flatnonzero(first[of] != np.arange(hi - lo))
-                later.append(lo + others)
-                earlier.append(lo + first[of[others]])
-                more.append(np.ones(len(others), bool))
-                goal = heads
-            else:
-                goal, heads = np.flatnonzero(flag[lo:hi]), np.arange(hi - lo)
-            step = max(1, (1 << 21) // len(heads))
-            for at in range(0, len(goal), step):
-                g = lo + goal[at : at + step]
-                h = lo + heads
-                ok = _fits(n[g][:, None], n[h][None], place[g][:, None], place[h][None], parity[g][:, None, :], parity[h][None, :, :], percent)
-                ok &= h[None] < g[:, None]
-                if split[lo]:
-                    ok &= side[g][:, None] != side[h][None]
+                return
+            some = rows if not flagged else rows[p.flag[rows] | p.flag[rows + d]]
+            ok = some[_fits(p, some, some + d, percent)]
+            if len(ok):
+                yield ok, ok + d
+
+    def long_list(p: Posts, lo: int, hi: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Triples (later, earlier, more) of one list; the earliest lines are tried first."""
+        by_age = lo + np.lexsort((p.line[lo:hi], p.doc[lo:hi]))
+        goal = by_age if not flagged else by_age[p.flag[by_age]]
+        age = np.empty(hi - lo, np.int64)
+        age[by_age - lo] = np.arange(hi - lo)
+        had = np.zeros(hi - lo, np.int64)
+        width = 64
+        at = 0
+        while at < len(by_age) and len(goal):
+            heads = by_age[at : at + width]
+            for k in range(0, len(goal), max(1, (1 << 20) // len(heads))):
+                g = goal[k : k + max(1, (1 << 20) // len(heads))]
+                a, b = np.broadcast_arrays(g[:, None], heads[None])
+                ok = (age[b - lo] < age[a - lo]) & _fits(p, a, b, percent)
                 if not flagged:
                     rank = np.cumsum(ok, 1)
-                    over = (rank[:, -1] > KEEP) | (ok & crowd).any(1)  # or a line that another stands for
+                    had[g - lo] += rank[:, -1]
                     ok &= rank <= KEEP
-                a, b = np.nonzero(ok)
-                later.append(g[a])
-                earlier.append(h[b])
-                more.append(over[a] if not flagged else np.zeros(len(a), bool))
+                x, y = np.nonzero(ok)
+                yield g[x], heads[y], had[g[x] - lo] >= KEEP if not flagged else np.zeros(len(x), bool)
+            at += len(heads)
+            goal = goal[age[goal - lo] >= at]
+            if not flagged:
+                goal = goal[had[goal - lo] < KEEP]
+            width = min(1024, 2 * width)
+
+    def pairs(p: Posts, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        later, earlier, more = [], [], []
+        few = (length >= 2) & (length <= SHORT_LIST)
+        for a, b in short_lists(p, start[few], length[few]):
+            first = _earlier(p, a, b)
+            later.append(np.where(first, b, a))
+            earlier.append(np.where(first, a, b))
+            more.append(np.zeros(len(a), bool))
+        for lo, hi in zip(start[length > SHORT_LIST], (start + length)[length > SHORT_LIST], strict=True):
+            if flagged and not p.flag[lo:hi].any():
+                continue
+            for x, y, m in long_list(p, lo, hi):
+                later.append(x)
+                earlier.append(y)
+                more.append(m)
         if not later:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
         x, y, m = np.concatenate(later), np.concatenate(earlier), np.concatenate(more)
-        keep = (doc[x] != doc[y]) | (line[x] != line[y])  # a repeated row is no earlier line
+        keep = (p.doc[x] != p.doc[y]) | (p.line[x] != p.line[y])  # a repeated row is no earlier line
         if flagged:
-            keep &= flag[x] != 0
+            keep &= p.flag[x]
         return x[keep], y[keep], m[keep]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "line_no", "first_doc", "first_line", "more"]
-
-        def work(cols: list[np.ndarray]) -> pa.RecordBatch | None:
-            slot, doc, place, one, two, flag, cell, side = cols
-            parity = np.stack([one, two], 1)
-            tok = slot >> _PLACE
-            line, n = place >> 32, place & 0xFFFFFFFF
-            order = np.lexsort((line, doc, cell, tok))
-            tok, doc, line, n, parity, flag, cell, side = (c[order] for c in (tok, doc, line, n, parity, flag, cell, side))
-            split = (cell != 0) & ((cell - 1) >> _CELL != (cell - 1) & ((1 << _CELL) - 1))
-            at = (slot & ((1 << _PLACE) - 1))[order]
-            start = np.flatnonzero(np.r_[True, (tok[1:] != tok[:-1]) | (cell[1:] != cell[:-1])])
-            length = np.diff(np.r_[start, len(tok)])
-            x, y, m = pairs(doc, line, n, at, parity.view(np.uint64), flag, split, side, start, length)
-            if not len(x):
-                return None
-            rows = np.stack([doc[x], line[x], doc[y], line[y]], 1)
-            order = np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))
-            rows, m = rows[order], m[order]
-            fresh = np.r_[True, (rows[1:] != rows[:-1]).any(1)]
+    def work(cols: list[np.ndarray]) -> pa.RecordBatch | None:
+        key, doc, line, one, two, mark = cols
+        if not len(key):
+            return None
+        token = key >> _SIZE
+        start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        side = (mark >> _SIDE) & ((1 << (_SPLIT - _SIDE)) - 1)
+        p = Posts(doc, line, key & LONGEST, mark & ((1 << _SIDE) - 1), one.view(np.uint64), two.view(np.uint64), side, (mark >> _SPLIT) & 1 == 1, (mark >> _FLAG) & 1 == 1)
+        x, y, m = pairs(p, start, np.diff(np.r_[start, len(key)]))
+        if not len(x):
+            return None
+        rows = np.stack([doc[x], line[x], doc[y], line[y]], 1)
+        order = np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))
+        rows, m = rows[order], m[order]
+        fresh = np.r_[True, (rows[1:] != rows[:-1]).any(1)]
+        own = np.flatnonzero(np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)])
+        any_more = np.repeat(np.logical_or.reduceat(m, own), np.diff(np.r_[own, len(m)]))
+        rows, m = rows[fresh], any_more[fresh]
+        if not flagged:  # the earliest few of a line, whatever list they come from
             own = np.flatnonzero(np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)])
-            any_more = np.repeat(np.logical_or.reduceat(m, own), np.diff(np.r_[own, len(m)]))
-            rows, m = rows[fresh], any_more[fresh]
-            if not flagged:  # the earliest few of a line, whatever list they come from
-                own = np.flatnonzero(np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(1)])
-                count = np.diff(np.r_[own, len(m)])
-                rank = np.arange(len(m)) - np.repeat(own, count)
-                m = m | np.repeat(count > KEEP, count)
-                rows, m = rows[rank < KEEP], m[rank < KEEP]
-            return pa.RecordBatch.from_arrays([*(pa.array(rows[:, k]) for k in range(4)), pa.array(m)], names)
+            count = np.diff(np.r_[own, len(m)])
+            rank = np.arange(len(m)) - np.repeat(own, count)
+            m = m | np.repeat(count > KEEP, count)
+            rows, m = rows[rank < KEEP], m[rank < KEEP]
+        return pa.RecordBatch.from_arrays([*(pa.array(rows[:, k]) for k in range(4)), pa.array(m)], ["doc_id", "line_no", "first_doc", "first_line", "more"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
+        rows = 0
         for batch in batches:
-            cols = [batch.column(k).to_numpy() for k in range(8)]
-            tok, cell = cols[0] >> _PLACE, cols[6]
-            edge = np.flatnonzero((tok[1:] != tok[:-1]) | (cell[1:] != cell[:-1]))
-            cut = int(edge[-1]) + 1 if len(edge) else 0
-            if cut:
-                held.append([c[:cut] for c in cols])
-                made = work([np.concatenate(c) for c in zip(*held, strict=True)])
-                held = [[c[cut:] for c in cols]]
-                if made is not None:
-                    yield made
-            elif len(tok):
-                if held and ((held[-1][0][-1] >> _PLACE) != tok[0] or held[-1][6][-1] != cell[0]):
-                    made = work([np.concatenate(c) for c in zip(*held, strict=True)])
-                    held = []
-                    if made is not None:
-                        yield made
-                held.append(cols)
+            if not batch.num_rows:
+                continue
+            held.append([batch.column(k).to_numpy() for k in range(6)])
+            rows += batch.num_rows
+            token = held[-1][0] >> _SIZE
+            if rows < AT_ONCE or (token[0] == token[-1] and len(held) > 1 and held[-2][0][-1] >> _SIZE == token[0]):
+                continue  # too few, or one list goes on
+            cut = int(np.searchsorted(token, token[-1]))  # the last list may go on
+            made = work([np.concatenate([*(h[k] for h in held[:-1]), held[-1][k][:cut]]) for k in range(6)])
+            held = [[c[cut:] for c in held[-1]]]
+            rows = len(held[0][0])
+            if made is not None:
+                yield made
         if held:
             made = work([np.concatenate(c) for c in zip(*held, strict=True)])
             if made is not None:
@@ -314,55 +394,66 @@ def _merge(percent: int, flagged: bool):
 
 
 def _verify(percent: int):
-    """Pairs of lines whose word sets are similar; a row's number leads its words' keys."""
-    bits = np.uint64(54)
+    """Pairs of lines whose word sets are similar."""
 
-    def keys(column: pa.Array) -> np.ndarray:
-        found = []
+    def keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys of (row, word), and the row of each."""
+        own, row = [], []
         for part in scan.slices(column):
             w, _, _ = scan.words(part, lower=True, sep=scan.PUNCT)
-            found.append(((part.lo + w.doc).astype(np.uint64) << bits) | (w.hash >> np.uint64(10)))
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+            doc = part.lo + w.doc
+            own.append(scan.mix(w.hash + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+            row.append(doc)
+        if not own:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        key, at = np.unique(np.concatenate(own), return_index=True)
+        return key, np.concatenate(row)[at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                rows = batch.slice(lo, 1000)
-                x, y = keys(rows.column(2)), keys(rows.column(3))
-                joint = np.sort(np.concatenate([x, y]))
-                both = joint[1:][joint[1:] == joint[:-1]]
-                a, b, shared = (np.bincount((k >> bits).astype(np.int64), minlength=rows.num_rows) for k in (x, y, both))
-                ok = (shared > 0) & (100 * shared >= percent * (a + b - shared))
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1)], ["doc_id", "line_no"]).filter(pa.array(ok))
+            (x, row_x), (y, row_y) = keys(batch.column(2)), keys(batch.column(3))
+            both = np.searchsorted(y, x)
+            both[both == len(y)] = 0
+            hit = y[both] == x if len(y) else np.zeros(len(x), bool)
+            a, b, shared = (np.bincount(r, minlength=batch.num_rows) for r in (row_x, row_y, row_x[hit]))
+            ok = (shared > 0) & (100 * shared >= percent * (a + b - shared))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["doc_id", "line_no"]).filter(pa.array(ok))
 
     return run
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, line_no, how) of every line that goes, and (doc_id, line_no, key, n) of all lines looked at.
+    """(doc_id, line_no, how) of every line that goes, and (doc_id, line_no, key, key2, n) of all lines with a word.
 
     ``how`` is 'copy' for a line whose word set occurred before, else 'near'.
     """
     base = pick(docs, doc_id="bigint", text="string").where("doc_id is not null")
-    ranks, counts = token_ranks(base)
-    lines, posts = _tables(base, ranks, percent)
+    survey = stored(surveyed(base), "survey")
+    ranks, counts = token_ranks(survey)
+    lines = survey.where("chunk is null").drop("chunk", "counts")
+    # a line's place as one number: its minimum needs no sort
+    place = F.col("doc_id").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("line_no")
+    same = ["key", "key2", "n"]
+    firsts = lines.groupBy(*same).agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    copies = stored(lines.join(firsts.hint("shuffle_hash"), same).where(place != F.col("first")).select("doc_id", "line_no"), "copies")
+
+    posts = posted(base, copies, ranks, counts, percent)
     # no list is longer than the count of its token's bucket, so only the commonest need be counted
     common = int(np.searchsorted(counts, block, "right"))
-    lists = posts.where(F.shiftrightunsigned("slot", _PLACE + _LOW) >= common).groupBy(F.shiftright("slot", _PLACE).alias("token")).agg(F.count("*").alias("n")).where(F.col("n") > block)
-    lists = stored(lists.select("token", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "lists")
-    lines = stored(lines, "lines")
-    place = F.struct("doc_id", "line_no")
-    firsts = lines.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").select("key", "first")
-    copies = stored(lines.join(firsts, "key").where(place != F.col("first")).select("doc_id", "line_no"), "copies")
+    lists = None
+    if common < BUCKETS:
+        lists = posts.where(F.shiftrightunsigned("key", _SIZE + _LOW) >= common).groupBy(_token("key").alias("token")).agg(F.count("*").alias("n")).where(F.col("n") > block)
+        lists = stored(lists.select("token", F.ceil(F.col("n") / block).cast("bigint").alias("blocks")), "lists")
 
     def merged(rows: DataFrame, flagged: bool) -> DataFrame:
         """Candidate rows of the postings ``rows``."""
-        token = F.shiftright("slot", _PLACE)
-        rows = _dealt(rows, lists, common).select("slot", "doc_id", "place", "parity", "parity2", "flag", "cell", "side")
-        return rows.repartition(token, "cell").sortWithinPartitions(token, "cell").mapInArrow(_merge(percent, flagged), "doc_id long, line_no long, first_doc long, first_line long, more boolean")
+        dealt = (rows if lists is None else _dealt(rows, lists, common)).select("key", "doc_id", "line_no", "parity", "parity2", "mark")
+        return dealt.repartition(_token("key")).sortWithinPartitions("key").mapInArrow(_merge(percent, flagged), "doc_id long, line_no long, first_doc long, first_line long, more boolean")
 
-    found = merged(posts.withColumn("flag", F.lit(0)), False)
+    found = merged(posts, False)
     found = stored(found.groupBy("doc_id", "line_no", "first_doc", "first_line").agg(F.max("more").alias("more")), "candidates")
+    best = found.groupBy("doc_id", "line_no").agg(F.min(F.struct("first_doc", "first_line")).alias("best"), F.max("more").alias("more"))
+    best = best.select("doc_id", "line_no", "best.*", "more")
     texts = _line_texts(base, found)
 
     def matched(some: DataFrame) -> DataFrame:
@@ -370,14 +461,15 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -
         both = some.select("doc_id", "line_no", "first_doc", "first_line").join(texts, ["doc_id", "line_no"]).join(ahead, ["first_doc", "first_line"])
         return both.select("doc_id", "line_no", "line", "first_text").mapInArrow(_verify(percent), "doc_id long, line_no long").distinct()
 
-    best = found.groupBy("doc_id", "line_no").agg(F.min(F.struct("first_doc", "first_line")).alias("best")).select("doc_id", "line_no", "best.*")
     near = stored(matched(best), "near")
-    rest = found.join(near, ["doc_id", "line_no"], "left_anti").join(best, ["doc_id", "line_no", "first_doc", "first_line"], "left_anti")
+    rest = found.join(near, ["doc_id", "line_no"], "left_anti").join(best.drop("more"), ["doc_id", "line_no", "first_doc", "first_line"], "left_anti")
     near = stored(near.unionByName(matched(rest)), "near")
-    open_lines = stored(found.where("more").select("doc_id", "line_no").distinct().join(near, ["doc_id", "line_no"], "left_anti"), "open")
+    open_lines = stored(best.where("more").select("doc_id", "line_no").join(near, ["doc_id", "line_no"], "left_anti"), "open")
     if not open_lines.isEmpty():
-        marked = open_lines.select("doc_id", F.col("line_no").alias("_line"), F.lit(1).alias("flag"))
-        again = posts.withColumn("_line", F.shiftright("place", 32)).join(marked, ["doc_id", "_line"], "left").select("slot", "doc_id", "place", "parity", "parity2", F.coalesce("flag", F.lit(0)).alias("flag"))
+        tokens = posts.join(open_lines, ["doc_id", "line_no"], "left_semi").select(_token("key").alias("_t")).distinct()
+        tokens = stored(tokens, "tokens")  # of a known size
+        again = posts.join(tokens, _token("key") == F.col("_t"), "left_semi").join(open_lines.withColumn("flag", F.lit(True)), ["doc_id", "line_no"], "left")
+        again = again.withColumn("mark", F.when(F.col("flag"), F.col("mark").bitwiseOR(F.lit(1 << _FLAG))).otherwise(F.col("mark"))).drop("flag")
         more = stored(merged(again, True).distinct(), "more")
         texts = _line_texts(base, more)
         near = stored(near.unionByName(matched(more)), "near")
@@ -386,11 +478,12 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -
 
 
 def _line_texts(base: DataFrame, pairs: DataFrame) -> DataFrame:
-    """doc_id, line_no, line of all lines that the pairs name."""
+    """doc_id, line_no, line of all lines that the pairs name; rows that share a doc_id each give theirs."""
     need = pairs.select("doc_id", "line_no").union(pairs.select("first_doc", "first_line")).distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted"))
-    cut = base.hint("merge").join(need, "doc_id").withColumn("cut", F.split("text", "\n"))
+    need = stored(need, "need")  # of a known size
+    cut = base.join(need, "doc_id").withColumn("cut", F.split("text", "\n"))
     rows = cut.select("doc_id", F.explode(F.transform("wanted", lambda k: F.struct(k.alias("line_no"), F.get("cut", k.cast("int")).alias("line")))).alias("x"))
-    return stored(rows.select("doc_id", "x.line_no", "x.line").dropDuplicates(["doc_id", "line_no"]), "texts")
+    return stored(rows.select("doc_id", "x.line_no", "x.line").where("line is not null").distinct(), "texts")
 
 
 def without(text: Column, gone: Column) -> Column:

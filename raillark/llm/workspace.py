@@ -30,12 +30,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

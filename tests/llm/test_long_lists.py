@@ -16,7 +16,7 @@ def test_lists_in_blocks(spark, block, monkeypatch):
 
     def dealt(*args):
         out = plain(*args)
-        held = out.groupBy(line_dedup.F.shiftright("slot", line_dedup._PLACE).alias("t"), "cell").count().agg({"count": "max"}).collect()[0][0]
+        held = out.groupBy(line_dedup._token("key").alias("t")).count().agg({"count": "max"}).collect()[0][0]
         longest.add(int(held > 3 * block))  # blocks are dealt by hash, so a little more than two
         return out
 
@@ -35,12 +35,31 @@ def test_lists_in_blocks(spark, block, monkeypatch):
     assert longest.value == 0
 
 
-def test_stand_in_of_equal_parity():
-    """Two sets of one parity and size need not be equal: a line that fits their head is looked up against both."""
-    rng = np.random.default_rng(3)
-    n = 80
-    one = rng.integers(1, 1 << 62, n)
-    one[:3] = 0, 0, 3
-    cols = {"slot": np.full(n, 5 << 20), "doc_id": np.arange(n), "place": np.full(n, 10), "parity": one, "parity2": np.zeros(n, np.int64), "flag": np.zeros(n, np.int32), "cell": np.zeros(n, np.int64), "side": np.zeros(n, np.int32)}
-    rows = [r for out in line_dedup._merge(80, False)(iter([pa.RecordBatch.from_pydict(cols)])) for r in out.to_pylist()]
-    assert {(r["doc_id"], r["first_doc"], r["more"]) for r in rows if r["doc_id"] < 3} == {(1, 0, True), (2, 0, True)}
+def test_many_candidates_in_one_list():
+    """A line with more candidates than it keeps says so; all of them come when it is looked up again."""
+    n = 200
+    cols = {"key": np.full(n, (5 << line_dedup._SIZE) | 10), "doc_id": np.arange(n)[::-1].copy(), "line_no": np.zeros(n, np.int64), "parity": np.zeros(n, np.int64), "parity2": np.zeros(n, np.int64), "mark": np.zeros(n, np.int64)}
+    cols["mark"][0] |= 1 << line_dedup._FLAG  # the row of doc_id 199
+    found = lambda flagged: [r for out in line_dedup._merge(80, flagged)(iter([pa.RecordBatch.from_pydict(cols)])) for r in out.to_pylist()]
+    few = found(False)
+    for d in (1, 3, 150):
+        own = [r for r in few if r["doc_id"] == d]
+        assert sorted(r["first_doc"] for r in own) == list(range(min(d, line_dedup.KEEP)))
+        assert all(r["more"] for r in own) or d <= line_dedup.KEEP
+    assert sorted((r["doc_id"], r["first_doc"]) for r in found(True)) == [(199, d) for d in range(199)]
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1000])
+def test_lists_over_batches(monkeypatch, at_once):
+    """Lists that run over batches are compared whole."""
+    monkeypatch.setattr(line_dedup, "AT_ONCE", at_once)
+    rng = np.random.default_rng(2)
+    token = np.sort(rng.integers(-4, 4, 60))
+    cols = {"key": (token << line_dedup._SIZE) | 10, "doc_id": rng.permutation(60), "line_no": np.zeros(60, np.int64), "parity": np.zeros(60, np.int64), "parity2": np.zeros(60, np.int64), "mark": np.zeros(60, np.int64)}
+    whole = pa.RecordBatch.from_pydict(cols)
+    rows = {(r["doc_id"], r["first_doc"]) for out in line_dedup._merge(80, False)(whole.slice(k, 5) for k in range(0, 60, 5)) for r in out.to_pylist()}
+    want = set()
+    for t in np.unique(token):
+        own = np.sort(cols["doc_id"][token == t])
+        want |= {(b, a) for k, b in enumerate(own) for a in own[: min(k, line_dedup.KEEP)]}
+    assert rows == want
