@@ -12,8 +12,8 @@ tokens only.  A set too small to match any but an equal one (fewer than four wor
 at 80) is not posted, nor is a token that occurs once in the table.  Within a
 token's list a pair must pass the length filter (lists come sorted by size, so the
 comparison of a line ends at the first that is too long), the positional filter and
-a parity filter: each line carries 128 bits of which every token toggles one, and
-two such words differ in no more bits than the sets differ in tokens.  All filters
+a sketch filter: each line carries 32 counts (modulo 16) of its words by hash, whose
+distances add up to no more than the words that two sets differ in.  All filters
 only drop pairs that cannot match.  What is left is verified on the lines' own words.
 
 One earlier match is enough to remove a line, so each line is first verified
@@ -116,17 +116,28 @@ def set_keys(x: Sets) -> tuple[np.ndarray, np.ndarray]:
     return np.add.reduceat(first, x.at[:-1]).view(np.int64), np.add.reduceat(second, x.at[:-1]).view(np.int64)
 
 
-def parities(words: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-    """128 bits of each set; every word toggles one."""
-    mixed = scan.mix(words + np.uint64(1))
-    bit = np.uint64(1) << (mixed >> np.uint64(58))
-    half = (mixed >> np.uint64(57)) & np.uint64(1) == 0
-    zero = np.uint64(0)
-    return [np.bitwise_xor.reduceat(np.where(half == side, bit, zero), at[:-1]).view(np.int64) for side in (True, False)]
+def sketches(words: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit words of each set: 32 counts modulo 16 of its words by hash, four bits each."""
+    part = (scan.mix(words + np.uint64(1)) >> np.uint64(59)).astype(np.int64)
+    line = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    counts = np.bincount(line * 32 + part, minlength=32 * (len(at) - 1)).reshape(-1, 2, 16).astype(np.uint64) & np.uint64(15)
+    packed = (counts << np.arange(0, 64, 4, dtype=np.uint64)).sum(2, dtype=np.uint64)
+    return [np.ascontiguousarray(packed[:, k]).view(np.int64) for k in (0, 1)]
+
+
+_TOP, _ONES, _PAIRS, _BYTES = (np.uint64(int(x * 8, 16)) for x in ("88", "11", "0f", "01"))
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sum over the 16 counts of two words of their distances modulo 16; never more than the sets differ in words."""
+    d = ((x | _TOP) - (y & ~_TOP)) ^ ((x ^ ~y) & _TOP)  # each count's difference modulo 16
+    sign = (d & _TOP) >> np.uint64(3)
+    d = (d ^ (sign * np.uint64(15))) + sign
+    return (((d & _PAIRS) + ((d >> np.uint64(4)) & _PAIRS)) * _BYTES) >> np.uint64(56)
 
 
 def postings(x: Sets, order_of: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """Sets to post (indexes), their parities, bounds of their postings, and each posting's key, in order of place."""
+    """Sets to post (indexes), their sketches, bounds of their postings, and each posting's key, in order of place."""
     enough = 100 * x.size >= percent * (x.size + 1)  # a smaller set matches only its equals
     used = np.flatnonzero(enough)
     size = x.size[used]
@@ -148,7 +159,7 @@ def postings(x: Sets, order_of: np.ndarray, counts: np.ndarray, percent: int) ->
     own, line = own[post], line[post]
     key = ((own << np.uint64(_SIZE)) | np.minimum(size, LONGEST).astype(np.uint64)[line]).view(np.int64)
     key[counts[own >> np.uint64(_LOW)] < 2] = NONE
-    return used, parities(words, at), np.searchsorted(line, np.arange(len(used) + 1)), key
+    return used, sketches(words, at), np.searchsorted(line, np.arange(len(used) + 1)), key
 
 
 def surveyed(base: DataFrame) -> DataFrame:
@@ -198,7 +209,7 @@ def token_ranks(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def posted(base: DataFrame, copies: DataFrame, ranks: np.ndarray, counts: np.ndarray, percent: int) -> DataFrame:
-    """Postings (key, doc_id, line_no, parity, parity2, mark) of the first line of each set; the mark is the place."""
+    """Postings (key, doc_id, line_no, sketch, sketch2, mark) of the first line of each set; the mark is the place."""
     sent = base.sparkSession.sparkContext.broadcast((ranks, np.minimum(counts, 2).astype(np.int8)))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,17 +217,17 @@ def posted(base: DataFrame, copies: DataFrame, ranks: np.ndarray, counts: np.nda
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for part in scan.slices(batch.column(1)):
                 x, _ = line_sets(part)
-                used, parity, bounds, key = postings(x, *sent.value, percent)
+                used, sketch, bounds, key = postings(x, *sent.value, percent)
                 keys = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(key, pa.int64()))
-                cols = [ids[part.lo + x.row[used]], x.number[used], *parity]
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), keys], ["doc_id", "line_no", "parity", "parity2", "keys"])
+                cols = [ids[part.lo + x.row[used]], x.number[used], *sketch]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), keys], ["doc_id", "line_no", "sketch", "sketch2", "keys"])
 
-    rows = base.mapInArrow(run, "doc_id long, line_no long, parity long, parity2 long, keys array<long>")
+    rows = base.mapInArrow(run, "doc_id long, line_no long, sketch long, sketch2 long, keys array<long>")
     # copies of a set are known already; their ids are the small side, two numbers a row
     rows = rows.join(copies.hint("shuffle_hash"), ["doc_id", "line_no"], "left_anti")
-    rows = stored(rows, "firsts", "lz4")  # read several times
-    posts = rows.select("doc_id", "line_no", "parity", "parity2", F.posexplode("keys").alias("place", "key")).where(F.col("key") != NONE)
-    return posts.select("key", "doc_id", "line_no", "parity", "parity2", F.col("place").cast("bigint").alias("mark"))
+    rows = stored(rows, "firsts", "snappy")  # read several times
+    posts = rows.select("doc_id", "line_no", "sketch", "sketch2", F.posexplode("keys").alias("place", "key")).where(F.col("key") != NONE)
+    return posts.select("key", "doc_id", "line_no", "sketch", "sketch2", F.col("place").cast("bigint").alias("mark"))
 
 
 def _token(key: Column | str) -> Column:
@@ -247,6 +258,7 @@ class Posts(NamedTuple):
     line: np.ndarray
     n: np.ndarray
     place: np.ndarray
+    rest: np.ndarray  # words after the place
     one: np.ndarray
     two: np.ndarray
     side: np.ndarray
@@ -255,14 +267,20 @@ class Posts(NamedTuple):
 
 
 def _fits(p: Posts, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Length, positional and parity filters, and whether a pair belongs to this cell."""
-    n_a, n_b, i, j = p.n[a], p.n[b], p.place[a], p.place[b]
-    need = -(-percent * (n_a + n_b) // (100 + percent))
-    ok = 1 + np.minimum(n_a - i - 1, n_b - j - 1) + np.minimum(i, j) >= need
-    ok &= np.bitwise_count(p.one[a] ^ p.one[b]).astype(np.int64) + np.bitwise_count(p.two[a] ^ p.two[b]) <= n_a + n_b - 2 * need
-    ok &= 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
-    ok |= np.maximum(n_a, n_b) >= LONGEST
-    return ok & ~(p.split[a] & p.split[b] & (p.side[a] == p.side[b]))
+    """Indexes of the pairs that pass the length, positional and sketch filters and belong to this cell."""
+    n_a, n_b = p.n[a], p.n[b]
+    both, most = n_a + n_b, np.maximum(n_a, n_b)
+    ok = (100 + percent) * (1 + np.minimum(p.rest[a], p.rest[b]) + np.minimum(p.place[a], p.place[b])) >= percent * both
+    ok &= 100 * (both - most) >= percent * most
+    ok |= most >= LONGEST
+    at = np.flatnonzero(ok)
+    a, b, both, long = a[at], b[at], both[at], most[at] >= LONGEST
+    left = both - 2 * -(-percent * both // (100 + percent))  # words that the sets may differ in
+    for sketch in (p.one, p.two):
+        gap = apart(sketch[a], sketch[b]).astype(np.int32)
+        ok = np.flatnonzero((gap <= left) | long)
+        at, a, b, left, long = at[ok], a[ok], b[ok], (left - gap)[ok], long[ok]
+    return at[~(p.split[a] & p.split[b] & (p.side[a] == p.side[b]))]
 
 
 def _earlier(p: Posts, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -305,14 +323,17 @@ def _merge(percent: int, flagged: bool):
             heads = by_age[at : at + width]
             for k in range(0, len(goal), max(1, (1 << 20) // len(heads))):
                 g = goal[k : k + max(1, (1 << 20) // len(heads))]
-                a, b = np.broadcast_arrays(g[:, None], heads[None])
-                ok = (age[b - lo] < age[a - lo]) & _fits(p, a, b, percent)
-                if not flagged:
-                    rank = np.cumsum(ok, 1)
-                    had[g - lo] += rank[:, -1]
-                    ok &= rank <= KEEP
-                x, y = np.nonzero(ok)
-                yield g[x], heads[y], had[g[x] - lo] >= KEEP if not flagged else np.zeros(len(x), bool)
+                x, y = np.nonzero(age[heads - lo][None] < age[g - lo][:, None])
+                at_once = _fits(p, g[x], heads[y], percent)
+                x, y = x[at_once], y[at_once]
+                full = np.zeros(len(x), bool)
+                if not flagged:  # x is in order, and y within it
+                    first = np.searchsorted(x, x)
+                    rank = np.arange(len(x)) - first
+                    had[g - lo] += np.bincount(x, minlength=len(g))
+                    full = had[g[x] - lo] >= KEEP
+                    x, y, full = x[rank < KEEP], y[rank < KEEP], full[rank < KEEP]
+                yield g[x], heads[y], full
             at += len(heads)
             goal = goal[age[goal - lo] >= at]
             if not flagged:
@@ -349,7 +370,8 @@ def _merge(percent: int, flagged: bool):
         token = key >> _SIZE
         start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
         side = (mark >> _SIDE) & ((1 << (_SPLIT - _SIDE)) - 1)
-        p = Posts(doc, line, key & LONGEST, mark & ((1 << _SIDE) - 1), one.view(np.uint64), two.view(np.uint64), side, (mark >> _SPLIT) & 1 == 1, (mark >> _FLAG) & 1 == 1)
+        n, place = (key & LONGEST).astype(np.int32), np.minimum(mark & ((1 << _SIDE) - 1), LONGEST).astype(np.int32)
+        p = Posts(doc, line, n, place, n - place - 1, one.view(np.uint64), two.view(np.uint64), side, (mark >> _SPLIT) & 1 == 1, (mark >> _FLAG) & 1 == 1)
         x, y, m = pairs(p, start, np.diff(np.r_[start, len(key)]))
         if not len(x):
             return None
@@ -447,7 +469,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -
 
     def merged(rows: DataFrame, flagged: bool) -> DataFrame:
         """Candidate rows of the postings ``rows``."""
-        dealt = (rows if lists is None else _dealt(rows, lists, common)).select("key", "doc_id", "line_no", "parity", "parity2", "mark")
+        dealt = (rows if lists is None else _dealt(rows, lists, common)).select("key", "doc_id", "line_no", "sketch", "sketch2", "mark")
         return dealt.repartition(_token("key")).sortWithinPartitions("key").mapInArrow(_merge(percent, flagged), "doc_id long, line_no long, first_doc long, first_line long, more boolean")
 
     found = merged(posts, False)
