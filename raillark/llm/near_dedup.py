@@ -1,16 +1,23 @@
 """MinHash near-dedup by an inverted join on signature coordinates (operator 7).
 
-Every document is posted under ``COORDS`` coordinate-value pairs, each a hash of
-``WIDTH`` min-hashes.  A pair of documents is a candidate if it meets in a list
-and agrees on at least ``MATCHES`` of all ``HASHES`` min-hashes.  Lists are worked
-in two rounds:
-
-1. each document takes one partner, the list pivot that it meets most often
+A signature has ``COORDS`` min-hashes; its elements are the pairs of a coordinate and
+its value.  Two documents of the wanted similarity agree on ``matches(percent)``
+coordinates at least, but for a chance below ``MISS``.
+
+Prefix merging: the lists of all coordinate-value pairs are counted, and each
+document's elements are put in order of their list's length.  Documents that agree on
+T of K coordinates share one of the first K - T + 1 of either, so a document is posted
+under these only.  Elements that no other document has come first and need no
+posting, so a document with more than K - T of them is in no list at all; a passage
+that thousands share comes last.  Lists are then worked in two rounds:
+
+1. each document takes one partner, the list pivot that it collides with most often
    (collisions are counted by a plain aggregation); these links are confirmed on
    full shingle sets and closed to components;
-2. lists whose members already lie in one component are skipped; in the others
-   the members of different components are merged by counting equal min-hashes,
-   and pairs over the threshold are confirmed on full sets as well.  A pair is
+2. skip merging: lists whose members already lie in one component are skipped.  In
+   the others collisions are counted for members of different components only, a few
+   coordinates at a time, and a pair that cannot reach T any more is skipped; pairs
+   over the threshold are confirmed on full sets as well.  A pair is
    taken up in the list of its first common coordinate only.
 
 Round 2 looks at every pair of a mixed list, so no link is lost to round 1; lists
@@ -19,20 +26,17 @@ documents with a candidate partner and then confirms, with their texts at hand,
 only pairs of components not yet joined: what it emits follows the number of
 rows, never the pairs of a group.
 
-Documents that merely share a passage rarely meet under a hash of three
-min-hashes.  At similarity 0.85 a pair meets nowhere with a chance below 1e-8 and
-agrees on fewer than ``MATCHES`` min-hashes with one below 1e-5.
-
 Defined results: a document without words has no shingle and is linked with
 nothing; a null text counts as empty; exact copies of a set form a class whose
 smallest ``doc_id`` stands for it; rows that repeat a ``doc_id`` stay rows of
-their own but count as one node; a null ``doc_id`` joins its class and is never a
+their own but count as one node, linked if any of their texts is; a null ``doc_id`` joins its class and is never a
 representative.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -42,33 +46,43 @@ from pyspark.sql import functions as F
 from raillark.llm import scan
 from raillark.llm.workspace import pick, stored
 
-COORDS, WIDTH, HASHES, MATCHES = 20, 3, 96, 65
+COORDS = 32
+#: The chance that documents of the wanted similarity agree on too few coordinates.
+MISS = 1e-6
 BLOCK = 2048
-_SEEDS = np.random.default_rng(7).integers(1, 1 << 32, (2, HASHES), dtype=np.uint64).astype(np.uint32)
+#: Coordinates compared before pairs that fall short are dropped.
+_STRIDE = 8
+_SEEDS = np.random.default_rng(7).integers(1, 1 << 32, (2, COORDS), dtype=np.uint64).astype(np.uint32)
 _MULT = _SEEDS[0] | np.uint32(1)
 _XOR = _SEEDS[1]
 
 
+def matches(percent: int) -> int:
+    """The number of coordinates on which documents of this similarity agree, but for a chance below ``MISS``."""
+    p, below = percent / 100, 0.0
+    for t in range(COORDS + 1):
+        below += comb(COORDS, t) * p**t * (1 - p) ** (COORDS - t)
+        if below > MISS:
+            return max(1, t)
+    return COORDS
+
+
 def _signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, COORDS) coordinate hashes and (rows, HASHES) shortened min-hashes; no set may be empty."""
+    """(rows, COORDS) keys of coordinate-value pairs and the min-hashes themselves; no set may be empty."""
     sizes = np.array([len(s) for s in sets])
     at = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     flat = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
-    least = np.empty((HASHES, len(sets)), np.uint64)
-    work = np.empty_like(flat)
-    for k in range(HASHES):
+    least = np.empty((COORDS, len(sets)), np.uint32)
+    work, half = np.empty_like(flat), np.empty_like(flat)
+    for k in range(COORDS):
         np.bitwise_xor(flat, _XOR[k], out=work)
         work *= _MULT[k]
-        work ^= work >> np.uint32(15)
+        np.right_shift(work, 15, out=half)
+        work ^= half
         work *= np.uint32(0x2C1B3C6D)
         least[k] = np.minimum.reduceat(work, at)
-    out = np.empty((len(sets), COORDS), np.uint64)
-    for c in range(COORDS):
-        total = np.full(len(sets), c + 1, np.uint64)
-        for k in range(WIDTH):
-            total = scan.mix(total * np.uint64(0x9E3779B97F4A7C15) + least[c * WIDTH + k])
-        out[:, c] = total
-    return out, np.ascontiguousarray(least.T.astype(np.uint16))
+    keys = scan.mix((np.arange(COORDS, dtype=np.uint64)[:, None] << np.uint64(32)) | least)
+    return np.ascontiguousarray(keys.T), np.ascontiguousarray(least.T)
 
 
 def _sketch_batches(shingle: int):
@@ -99,7 +113,7 @@ def _sketch_batches(shingle: int):
 
 
 def sketches(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """doc_id, n_shingles, two set keys, coordinates and min-hashes of each row."""
+    """doc_id, n_shingles, two set keys, coordinate keys and min-hashes of each row."""
     return pick(docs, doc_id="bigint", text="string").mapInArrow(_sketch_batches(shingle), "doc_id long, n_shingles long, key_a long, key_b long, coords array<long>, sig binary")
 
 
@@ -117,23 +131,20 @@ def confirm(docs: DataFrame, pairs: DataFrame, percent: int, shingle: int = 5, p
     dealt = members.unionByName(hubs).join(texts.hint("merge"), "doc_id").select("hub", "salt", "role", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub_set, at = None, None
+        hub_sets, at = [], None
         for batch in batches:
             hub, salt, role, ids = (batch.column(k).to_numpy() for k in range(4))
             a, b = [], []
             for part in scan.slices(batch.column(4)):
                 w, _, _ = scan.words(part, lower=True)
                 for row, own in enumerate(scan.shingle_sets(w, shingle), part.lo):
+                    if at != (hub[row], salt[row]):
+                        hub_sets, at = [], (hub[row], salt[row])
                     if role[row] == 0:
-                        hub_set, at = own, (hub[row], salt[row])
-                    elif at == (hub[row], salt[row]):
-                        least, most = sorted((len(own), len(hub_set)))
-                        if not least or 100 * least < percent * most:
-                            continue
-                        shared = shared_size(own, hub_set)
-                        if 100 * shared >= percent * (len(own) + len(hub_set) - shared):
-                            a.append(hub[row])
-                            b.append(ids[row])
+                        hub_sets.append(own)
+                    elif any(alike(own, x, percent) for x in hub_sets):
+                        a.append(hub[row])
+                        b.append(ids[row])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["hub", "member"])
 
     return dealt.repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role").mapInArrow(run, "hub long, member long")
@@ -165,10 +176,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _alike(coord: int, split: bool, percent: int, rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of one list that may join two components, by size, min-hashes and first common coordinate."""
-    label, n, side, sig, posted = (rows[k] for k in ("label", "n", "side", "sig", "coords"))
+    """Index pairs of one list that may join two components, by size, collisions and first common coordinate."""
+    label, n, side, sig, mask = (rows[k] for k in ("label", "n", "side", "sig", "mask"))
     if len(label) < 2 or (label == label[0]).all():
         return
+    least = matches(percent)
+    bits = np.uint32(1) << np.arange(COORDS, dtype=np.uint32)
     step = max(1, (1 << 22) // len(label))
     for lo in range(0, len(label) - 1, step):
         hi = min(lo + step, len(label))
@@ -179,11 +192,15 @@ def _alike(coord: int, split: bool, percent: int, rows: dict[str, np.ndarray]) -
             ok &= side[lo:hi, None] != side[None, lo + 1 :]
         i, j = np.nonzero(ok)
         i, j = lo + i, lo + 1 + j
-        for at in range(0, len(i), 1 << 15):
-            x, y = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
-            alike = (sig[x] == sig[y]).sum(1) >= MATCHES
-            x, y = x[alike], y[alike]
-            own = (posted[x] == posted[y]).argmax(1) == coord
+        for at in range(0, len(i), 1 << 16):
+            x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            had = np.zeros(len(x), np.int64)
+            for k in range(0, COORDS, _STRIDE):
+                had += (sig[x, k : k + _STRIDE] == sig[y, k : k + _STRIDE]).sum(1)
+                open_pairs = had + COORDS - min(COORDS, k + _STRIDE) >= least
+                x, y, had = x[open_pairs], y[open_pairs], had[open_pairs]
+            posted = (mask[x] & mask[y])[:, None] & bits
+            own = ((sig[x] == sig[y]) & (posted != 0)).argmax(1) == coord
             if own.any():
                 yield x[own], y[own]
 
@@ -201,7 +218,7 @@ def _by_list(work, with_text: bool, shingle: int):
 
         for batch in batches:
             key, i, j, coord, rep, label, n, side = (batch.column(k).to_numpy() for k in range(8))
-            cols = {"rep": rep, "label": label, "n": n, "side": side, "sig": np.frombuffer(b"".join(batch.column(8).to_pylist()), np.uint16).reshape(-1, HASHES), "coords": batch.column(9).flatten().to_numpy().reshape(-1, COORDS)}
+            cols = {"rep": rep, "label": label, "n": n, "side": side, "sig": np.frombuffer(b"".join(batch.column(8).to_pylist()), np.uint32).reshape(-1, COORDS), "mask": batch.column(9).to_numpy().astype(np.uint32)}
             if with_text:
                 sets = np.empty(batch.num_rows, object)
                 for part in scan.slices(batch.column(10)):
@@ -232,11 +249,20 @@ def _flag(percent: int):
         some = [np.unique(np.concatenate(pair)) for pair in _alike(coord, split, percent, rows)]
         if some:
             at = np.unique(np.concatenate(some))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), key)), pa.array(np.full(len(at), coord), pa.int32()), pa.array(rows["rep"][at]), pa.array(rows["label"][at])], ["key", "coord", "rep", "label"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), key)), pa.array(np.full(len(at), coord), pa.int32()), pa.array(rows["rep"][at]), pa.array(rows["label"][at]), pa.array(rows["mask"][at].astype(np.int64))], ["key", "coord", "rep", "label", "mask"])
 
     return _by_list(work, False, 0)
 
 
+def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have the wanted similarity; an empty one is like nothing."""
+    least, most = sorted((len(a), len(b)))
+    if not least or 100 * least < percent * most:
+        return False
+    shared = shared_size(a, b)
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
 def shared_size(a: np.ndarray, b: np.ndarray) -> int:
     """Elements that two sorted sets have in common."""
     at = np.searchsorted(b, a)
@@ -264,8 +290,7 @@ def _join_lists(percent: int, shingle: int):
                 p, q = top(int(root[i])), top(int(root[j]))
                 if p == q:
                     continue
-                shared = shared_size(sets[i], sets[j])
-                if 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
+                if alike(sets[i], sets[j], percent):
                     above[max(p, q)] = min(p, q)
                     a.append(min(ids[i], ids[j]))
                     b.append(max(ids[i], ids[j]))
@@ -275,28 +300,41 @@ def _join_lists(percent: int, shingle: int):
     return _by_list(work, True, shingle)
 
 
+def prefixes(reps: DataFrame, percent: int) -> DataFrame:
+    """rep, mask, coord, key of the lists that a document is posted in: its rarest coordinate-value pairs."""
+    least = matches(percent)
+    posts = reps.select(F.col("doc_id").alias("rep"), F.posexplode("coords").alias("coord", "key"))
+    shared = posts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    by_rarity = posts.join(shared, "key").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("n", "key", "coord"))).alias("x"))  # COORDS entries at most
+    first = by_rarity.where(F.size("x") >= least).select("rep", F.slice("x", F.lit(1), F.size("x") - (least - 1)).alias("x"))
+    mask = F.aggregate("x", F.lit(0).cast("bigint"), lambda bits, e: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), e["coord"])))
+    return first.withColumn("mask", mask).select("rep", "mask", F.explode("x").alias("e")).select("rep", "mask", "e.coord", "e.key")
+
+
 def near_components(docs: DataFrame, percent: int = 85, shingle: int = 5, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
-    ``percent`` is the least similarity in hundredths; the signature's threshold
-    suits 85 and more.
+    ``percent`` is the least similarity in hundredths.
     """
     sketch = stored(sketches(docs, shingle), "sketch")
     full = sketch.where("n_shingles > 0")
-    classes = full.groupBy("key_a", "key_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    reps = stored(full.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "reps")
-    posts = reps.select(F.col("doc_id").alias("rep"), F.posexplode("coords").alias("coord", "key"))
+    same = ["key_a", "key_b", "n_shingles"]
+    classes = full.groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    # of rows that share a doc_id the class of the least keys gives the signature
+    chosen = classes.where("rep is not null").groupBy("rep").agg(F.min(F.struct(*same)).alias("x")).select(F.col("rep").alias("doc_id"), "x.*")
+    reps = stored(full.join(chosen, ["doc_id", *same], "left_semi").dropDuplicates(["doc_id"]), "reps")
+    posts = stored(prefixes(reps, percent), "postings")
 
     lists = posts.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("key", "pivot")
-    met = posts.join(lists, "key").where("rep <> pivot").groupBy("rep", "pivot").agg(F.count("*").alias("hits")).where("hits > 2")
+    met = posts.join(lists, "key").where("rep <> pivot").groupBy("rep", "pivot").agg(F.count("*").alias("hits"))
     first = met.groupBy("rep").agg(F.max(F.struct("hits", (-F.col("pivot")).alias("back"))).alias("best")).select((-F.col("best.back")).alias("hub"), F.col("rep").alias("member"))
     links = stored(confirm(docs, stored(first, "first"), percent, shingle), "links")
     labels = components(links)
 
-    labelled = posts.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "coord", "key", F.coalesce("label", "rep").alias("label"))
+    labelled = posts.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "mask", "coord", "key", F.coalesce("label", "rep").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n")).where("least <> most")
-    facts = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig", "coords")
-    columns = ["key", "i", "j", "coord", "rep", "label", "n", "side", "sig", "coords"]
+    facts = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig")
+    columns = ["key", "i", "j", "coord", "rep", "label", "n", "side", "sig", "mask"]
 
     def celled(rows: DataFrame, counts: DataFrame) -> DataFrame:
         """Rows dealt by list and, in lists over ``block``, by pairs of blocks."""
@@ -305,7 +343,7 @@ def near_components(docs: DataFrame, percent: int = 85, shingle: int = 5, block:
         return rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("side", "_other")).withColumn("j", F.greatest("side", "_other"))
 
     sorted_by_list = lambda rows: rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    flagged = sorted_by_list(celled(labelled, mixed).select(*columns)).mapInArrow(_flag(percent), "key long, coord int, rep long, label long").distinct()
+    flagged = sorted_by_list(celled(labelled, mixed).select(*columns)).mapInArrow(_flag(percent), "key long, coord int, rep long, label long, mask long").distinct()
     flagged = stored(flagged, "flagged")
     if not flagged.isEmpty():
         texts = pick(docs, doc_id="bigint", text="string").withColumnRenamed("doc_id", "rep").hint("merge")
