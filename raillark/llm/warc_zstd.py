@@ -1,8 +1,10 @@
 """Dictionary-compressed WARC archives (operator 10).
 
-Each partition becomes one ``.warc.zst`` file: a Zstandard dictionary trained on
-the archive's first records lies in a leading skippable frame, and every record
-is a frame of its own, so any record can be read alone.  Records with equal
+Each partition becomes one ``.warc.zst`` file: a Zstandard dictionary made from
+the archive's first records lies (compressed where that is shorter) in a leading
+skippable frame, and every record is a frame of its own, so any record can be read
+alone.  The dictionary is trained; where there are too few records to learn from, their
+own bytes are the dictionary, so every archive has one.  Records with equal
 payloads of some size are written once; the others revisit it.
 
 The revisit plan (digest to page) is made by an aggregation before anything is
@@ -12,7 +14,9 @@ that runs again replaces the same file with the same records.
 
 Defined results: a null html is an empty payload; small payloads are always
 responses; of equal ones the largest page_id responds; line breaks in a URL are
-percent-encoded; pages with a null page_id take no part in revisiting.
+percent-encoded; pages with a null page_id take no part in revisiting; an empty table
+makes an empty folder, which reads back as no rows; an archive that ends within a
+frame is an error, never a shorter result.
 """
 
 from __future__ import annotations
@@ -63,14 +67,12 @@ def parsed(raw: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[:size]
 
 
-def trained(samples: list[bytes], size: int = DICTIONARY_BYTES) -> zstandard.ZstdCompressionDict | None:
-    """A dictionary for records like these; None where there is too little to learn from."""
-    if len(samples) < 16:
-        return None
+def dictionary_of(samples: list[bytes], size: int = DICTIONARY_BYTES) -> zstandard.ZstdCompressionDict:
+    """A dictionary trained on records, or their own bytes where there is too little to learn from."""
     try:
         return zstandard.train_dictionary(min(size, max(256, sum(map(len, samples)) // 8)), samples)
     except zstandard.ZstdError:
-        return None
+        return zstandard.ZstdCompressionDict(b"".join(samples)[:size], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
 def write_file(store: fs.FileSystem, path: str, records: Iterator[bytes]) -> int:
@@ -81,14 +83,15 @@ def write_file(store: fs.FileSystem, path: str, records: Iterator[bytes]) -> int
         held += len(raw)
         if held >= SAMPLE_BYTES:
             break
-    dictionary = trained(samples)
-    packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary) if dictionary else zstandard.ZstdCompressor(level=LEVEL)
+    if not samples:
+        raise ValueError("an archive needs a record")
+    dictionary = dictionary_of(samples)
+    packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary)
     count = 0
     temporary = f"{path}.{uuid.uuid4().hex}.part"
     with store.open_output_stream(temporary) as out:
-        if dictionary:
-            body = dictionary.as_bytes()
-            out.write(struct.pack("<II", MAGIC, len(body)) + body)
+        body = min(dictionary.as_bytes(), zstandard.ZstdCompressor(level=LEVEL).compress(dictionary.as_bytes()), key=len)
+        out.write(struct.pack("<II", MAGIC, len(body)) + body)
         for some in (samples, records):
             for raw in some:
                 out.write(packer.compress(raw))
@@ -100,23 +103,29 @@ def write_file(store: fs.FileSystem, path: str, records: Iterator[bytes]) -> int
 def read_file(source: io.RawIOBase) -> Iterator[bytes]:
     """The records of one archive, one frame after another, in bounded memory."""
     head = source.read(8)
-    dictionary = None
-    if len(head) == 8 and struct.unpack("<I", head[:4])[0] == MAGIC:
-        dictionary = zstandard.ZstdCompressionDict(source.read(struct.unpack("<I", head[4:])[0]))
-        head = b""
-    opener = zstandard.ZstdDecompressor(dict_data=dictionary) if dictionary else zstandard.ZstdDecompressor()
-    waiting, frame, parts = head, opener.decompressobj(), []
+    if len(head) < 8 or struct.unpack("<I", head[:4])[0] != MAGIC:
+        raise ValueError("an archive begins with the frame of its dictionary")
+    size = struct.unpack("<I", head[4:])[0]
+    body = source.read(size)
+    if len(body) < size:
+        raise ValueError("an archive ends within its dictionary")
+    if body[:4] == zstandard.FRAME_HEADER:
+        body = zstandard.ZstdDecompressor().decompress(body)
+    opener = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(body))
+    waiting, frame, parts, begun = b"", opener.decompressobj(), [], False
     while True:
         if not waiting:
             waiting = source.read(1 << 18)
             if not waiting:
+                if begun:
+                    raise ValueError("an archive ends within a record")
                 return
         parts.append(frame.decompress(waiting))
-        waiting = b""
+        waiting, begun = b"", True
         if frame.eof:
             waiting = frame.unused_data
             yield b"".join(parts)
-            frame, parts = opener.decompressobj(), []
+            frame, parts, begun = opener.decompressobj(), [], False
 
 
 def planned(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -133,6 +142,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_REVISIT) ->
     """Writes the archives to ``folder`` (a URI every executor reaches); returns path and n_records."""
     plan = planned(pages, least).withColumn("part", F.spark_partition_id())
     where = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    shared, at = fs.FileSystem.from_uri(where)
+    shared.create_dir(at, recursive=True)  # there even if no task has a row
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(where)
@@ -149,7 +160,6 @@ def write_archives(pages: DataFrame, folder: str, least: int = LEAST_REVISIT) ->
                     yield record(page, url, payload, digest, size, "response" if refers is None else "revisit", refers)
                 batch = next(batches, None)
 
-        store.create_dir(root, recursive=True)
         count = write_file(store, path, records())
         yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([count], pa.int64())], ["path", "n_records"])
 
