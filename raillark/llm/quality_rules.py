@@ -18,7 +18,9 @@ have no reference of their own; repeated rows each get their row.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -31,6 +33,8 @@ from raillark.llm import scan
 from raillark.llm.workspace import pick, stored
 
 TOP_WORDS = 24
+#: Parts in which the words of one language are ranked.
+SALTS = 64
 #: A language needs this many words for a reference of its own.
 REFERENCE_WORDS = 2000
 #: Guards: fewer characters or words give no verdict of that histogram.
@@ -41,13 +45,27 @@ CHAR_LIMIT, CHAR_SLACK, WORD_LIMIT, WORD_SLACK = 0.13, 1.4, 0.20, 1.9
 STEPS = 500
 MIN_BASE_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
-#: Letters beyond ASCII count as lower case, so that a passage in another language is no divergence.
 CLASSES = ("lower", "upper", "digit", "space", "stop", "mark", "symbol")
-_CLASS = np.zeros(256, np.int8)
-for _b in range(0x80):
-    _c = chr(_b)
-    _CLASS[_b] = 0 if _c.islower() else 1 if _c.isupper() else 2 if _c.isdigit() else 3 if scan.SPACE[_b] else 4 if _c in ".,;:?'\"()-" else 5 if _c in "!/_" else 6
-_CLASS[0x80:0xC0] = len(CLASSES)  # continuation bytes are no characters of their own
+#: Classes of code points up to here come from a table; higher ones are letters of Han extensions.
+_TABLED = 0x20000
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """Class of each code point by its general category; ASCII punctuation is split into stops, marks and symbols.
+
+    Letters without case, and marks on letters, count as lower case, so that a passage
+    in another script is no divergence.
+    """
+    of = {"Lu": 1, "Lt": 1, "Nd": 2, "Nl": 2, "No": 2, "Zs": 3, "Zl": 3, "Zp": 3}
+    by_group = {"L": 0, "M": 0, "P": 4, "S": 6, "C": 6}
+    table = np.array([of.get(c, by_group.get(c[0], 6)) for c in map(unicodedata.category, map(chr, range(_TABLED)))], np.int8)
+    for b in range(0x80):
+        c = chr(b)
+        table[b] = 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3 if scan.SPACE[b] else 4 if c in ".,;:?'\"()-" else 5 if c in "!/_" else 6
+    return table
+
+
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
@@ -62,9 +80,21 @@ class References(NamedTuple):
 def class_counts(part: scan.Slice) -> np.ndarray:
     """(rows, classes) numbers of characters."""
     rows = len(part.bounds) - 1
-    doc = np.repeat(np.arange(rows), np.diff(part.bounds))
-    n = len(CLASSES)
-    return np.bincount(doc * (n + 1) + _CLASS[part.data], minlength=rows * (n + 1)).reshape(rows, n + 1)[:, :n]
+    data = part.data
+    table = _classes()
+    n = len(CLASSES) + 1
+    ascii_table = np.full(256, n - 1, np.int8)  # the last class: bytes above ASCII, seen below
+    ascii_table[:0x80] = table[:0x80]
+    doc = np.repeat(np.arange(rows, dtype=np.int64) * n, np.diff(part.bounds))
+    counts = np.bincount(doc + scan.through(ascii_table, data), minlength=rows * n).reshape(rows, n)[:, : n - 1]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        padded = np.append(data, np.zeros(3, np.uint8)).astype(np.int32)
+        b0, b1, b2, b3 = (padded[lead + k] for k in range(4))
+        point = np.where(b0 < 0xE0, (b0 & 31) << 6 | (b1 & 63), np.where(b0 < 0xF0, (b0 & 15) << 12 | (b1 & 63) << 6 | (b2 & 63), (b0 & 7) << 18 | (b1 & 63) << 12 | (b2 & 63) << 6 | (b3 & 63)))
+        kind = np.where(point < _TABLED, table[np.minimum(point, _TABLED - 1)], 0)
+        counts = counts + np.bincount(doc[lead] // n * (n - 1) + kind, minlength=rows * (n - 1)).reshape(rows, n - 1)
+    return counts
 
 
 def base_counts(part: scan.Slice) -> dict[str, np.ndarray]:
@@ -155,8 +185,11 @@ def references(docs: DataFrame) -> References:
     parts = pick(docs, lang="string", text="string").mapInArrow(_gather, "lang string, kind string, key long, amount double").groupBy("lang", "kind", "key").agg(F.sum("amount").alias("amount"))
     parts = stored(parts, "counts")  # used three times
     top = parts.where(f"kind = 'words' and amount >= {REFERENCE_WORDS}").select("lang", F.col("amount").alias("total"))
-    rank = Window.partitionBy("lang").orderBy(F.desc("amount"), "key")
-    common = parts.where("kind = 'word'").withColumn("r", F.row_number().over(rank)).where(F.col("r") <= TOP_WORDS).drop("r")
+    common = parts.where("kind = 'word'").withColumn("salt", F.pmod("key", F.lit(SALTS)))
+    for keys in (["lang", "salt"], ["lang"]):  # a language's words are ranked in parts first
+        rank = Window.partitionBy(*keys).orderBy(F.desc("amount"), "key")
+        common = common.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= TOP_WORDS).drop("r")
+    common = common.drop("salt")
     rows = common.unionByName(parts.where("kind in ('class', 'docs')")).join(top, "lang").collect()
     by: dict[str, list] = {}
     for r in rows:
@@ -256,7 +289,7 @@ def kept_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(names.index("text"))
-            lang = batch.column(names.index("lang"))
+            lang = batch.column(names.index("lang")) if "lang" in names else pa.nulls(batch.num_rows, pa.string())
             keep = np.zeros(batch.num_rows, bool)
             for part in scan.slices(text):
                 base = base_counts(part)
