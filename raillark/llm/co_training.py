@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from raillark.llm import scan
 from raillark.llm.labelled import part_of, sample, scores
 from raillark.llm.quality_rules import CLASSES, class_counts
-from raillark.llm.toxicity import platt
+from raillark.llm.toxicity import newton, platt
 from raillark.llm.workspace import pick
 
 BUCKETS, META = 1 << 13, 1 << 8
@@ -204,12 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: in
     stand = weight[y[tune]] * (len(tune) / weight[y[tune]].sum())
     fa, fb = platt(za, goal, stand), platt(zb, goal, stand)
     both = np.stack([np.clip(fa[0] * za + fa[1], -12, 12), np.clip(fb[0] * zb + fb[1], -12, 12), np.ones(len(tune))], 1)
-    mixture = np.array([0.5, 0.5, 0.0])
-    for _ in range(100):  # damped Newton steps towards equal weights where the rows say little
-        p = 1 / (1 + np.exp(-both @ mixture))
-        g = both.T @ (stand * (p - goal)) + (mixture - [0.5, 0.5, 0.0])
-        h = (both * (stand * p * (1 - p))[:, None]).T @ both + np.eye(3)
-        mixture = mixture - np.linalg.solve(h, g)
+    mixture = newton(both, goal, stand, np.array([0.5, 0.5, 0.0]), 1.0)  # equal weights where the rows say little
     return Model(a, b, fa, fb, mixture)
 
 

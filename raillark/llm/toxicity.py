@@ -10,7 +10,8 @@ the label rate of all labelled rows, so a score means the same at every size.  L
 doc_id never enter a score; the language only picks the threshold of ``flagged``.
 
 Defined results: a null or empty text has no words and gets the score of pooled
-zeros; a language with too few labelled rows uses the common threshold; without
+zeros; a language's threshold is drawn to the common one, the more the fewer labelled
+rows it has; without
 any usable label every score is 0.
 """
 
@@ -33,8 +34,8 @@ PREFIX_BYTES = 5
 PER_CLASS, MAX_CHARS = 4000, 20_000
 EPOCHS, BATCH, RATE = 8, 64, 0.05
 THRESHOLD = 0.3
-#: Labelled calibration rows of each label that a language's own threshold needs.
-LEAST_ROWS = 25
+#: A language's threshold counts as much as the common one at so many calibration rows of its rarer label.
+PRIOR_ROWS = 25
 
 
 class Model(NamedTuple):
@@ -146,23 +147,41 @@ def logits(model: Model, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     return pooled(x, first, model.filters, model.bias) @ model.out + model.out_bias
 
 
+def newton(x: np.ndarray, goal: np.ndarray, weight: np.ndarray, start: np.ndarray, ridge: float) -> np.ndarray:
+    """Weights of a logistic fit held near ``start``; a step is halved until the loss falls, so it always converges."""
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float((weight * (np.logaddexp(0, z) - goal * z)).sum() + ridge / 2 * ((v - start) ** 2).sum())
+
+    v, best = start.astype(float), loss(start)
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
+        g = x.T @ (weight * (p - goal)) + ridge * (v - start)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(v))
+        step = np.linalg.solve(h, g)
+        size = 1.0
+        while size > 1e-6 and loss(v - size * step) > best - 1e-4 * size * float(g @ step):
+            size /= 2
+        if size <= 1e-6:
+            break
+        v = v - size * step
+        now = loss(v)
+        if best - now < 1e-10 * (1 + abs(best)):
+            break
+        best = now
+    return v
+
+
 def platt(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Scale and shift of a logistic calibration of weighted rows, by Newton's method."""
-    a, b = 1.0, 0.0
+    """Scale and shift of a logistic calibration of weighted rows."""
     weight = weight * (len(weight) / weight.sum())
     hits, total = y.sum(), len(y)
     goal = np.where(y == 1, (hits + 1) / (hits + 2), 1 / (total - hits + 2))
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-        w = weight * p * (1 - p) + 1e-9
-        off = weight * (p - goal)
-        g = np.array([(off * z).sum() + 1e-3 * (a - 1), off.sum()])
-        h = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum()]])
-        step = np.linalg.solve(h + 1e-9 * np.eye(2), g)
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-8:
-            break
-    return float(a), float(b)
+    spread = max(float(z.std()), 1e-6)  # in units of the scores' own spread, so that the ridge suits any scale
+    middle = float(z.mean())
+    a, b = newton(np.stack([(z - middle) / spread, np.ones(total)], 1), goal, weight, np.array([1.0, 0.0]), 1e-2)
+    return float(a / spread), float(b - a * middle / spread)
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
@@ -208,8 +227,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_char
     thresholds = {}
     for name in sorted(set(lang[tune])):
         own = lang[tune] == name
-        if min(y[tune][own].sum(), (1 - y[tune][own]).sum()) >= LEAST_ROWS:
-            thresholds[name] = float(np.clip(best_threshold(p[own], y[tune][own], own_weight[own]), 0.1, 0.5))
+        known = min(y[tune][own].sum(), (1 - y[tune][own]).sum())  # rows of the rarer label
+        if known:
+            best = best_threshold(p[own], y[tune][own], own_weight[own])
+            thresholds[name] = float((known * best + PRIOR_ROWS * THRESHOLD) / (known + PRIOR_ROWS))
     return model._replace(scale=scale, shift=shift, thresholds=thresholds)
 
 

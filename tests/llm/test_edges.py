@@ -1,6 +1,9 @@
 """Every operator gives each edge row a defined result and takes an empty table."""
 
+import io
+
 import pytest
+from pyarrow import fs
 
 from raillark.llm import co_training, fingerprints, line_dedup, near_dedup, packing, quality_rules, token_counts, toxicity, viterbi, warc_zstd
 
@@ -99,7 +102,27 @@ def test_archives(spark, tmp_path):
     got = sorted((r.page_id or 0, r.record_type, r.refers_to, r.payload_bytes) for r in warc_zstd.read_archives(spark, folder).collect())
     assert got == [(0, "response", None, 1500), (1, "revisit", 2, 1500), (2, "response", None, 1500), (2, "response", None, 1500), (3, "response", None, 0), (4, "response", None, 999), (5, "response", None, 999)]
     empty = f"file://{tmp_path}/e"
-    warc_zstd.write_archives(pages.where("false"), empty).count()
+    assert warc_zstd.write_archives(pages.where("false"), empty).count() == 0
+    assert warc_zstd.read_archives(spark, empty).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 3, 200])
+def test_one_archive(tmp_path, n):
+    """Every archive begins with a dictionary; one that was cut is an error."""
+    store, path = fs.LocalFileSystem(), f"{tmp_path}/a.warc.zst"
+    records = [warc_zstd.record(k, f"http://host/{k}", f"<p>page {k} of the same site</p>".encode() * 9, "0" * 40, 5, "response", None) for k in range(n)]
+    assert warc_zstd.write_file(store, path, iter(records)) == n
+    raw = open(path, "rb").read()
+    assert int.from_bytes(raw[:4], "little") == warc_zstd.MAGIC
+    assert list(warc_zstd.read_file(io.BytesIO(raw))) == records
+    for cut in (len(raw) - 7, len(raw) - 1, 12, 5):
+        with pytest.raises(ValueError, match="archive"):
+            list(warc_zstd.read_file(io.BytesIO(raw[:cut])))
+
+
+def test_archive_of_no_records(tmp_path):
+    with pytest.raises(ValueError, match="record"):
+        warc_zstd.write_file(fs.LocalFileSystem(), f"{tmp_path}/none", iter([]))
 
 
 @pytest.mark.parametrize("name", ["quality", "near"])
