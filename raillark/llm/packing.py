@@ -6,7 +6,7 @@ The plan is made on the histogram of piece lengths, which has at most
 1. large lengths are split into groups of equal cardinality and rounded up to
    their group's longest, which leaves a few sizes;
 2. configurations of those sizes are chosen one after another, each the fullest
-   that the sizes still left allow, and used as often as they last;
+   that the sizes still left allow (a greedy choice), and used as often as they last;
 3. the documents themselves take the places of their group's rounded size, and
    any room that rounding left is seen again as room;
 4. small lengths, longest first, go where they leave the least room (best fit),
@@ -44,8 +44,8 @@ from raillark.llm.workspace import pick, stored
 CAPACITY, END = 4096, 1
 MODEL = "word_bpe_49k.json"
 CACHE = 1 << 20
-#: Parts that the pieces of one length are ranked in.
-SALTS = 64
+#: Parts that the pieces of one length are ranked in: so many, and one more for each ``RANKED`` pieces.
+SALTS, RANKED = 64, 1 << 18
 #: Sizes over which configurations are optimised, and the least large length.
 GROUPS, LARGE = 24, 512
 #: White space that str.split() takes and the tokenizer may not.
@@ -309,12 +309,14 @@ class Plan:
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with sequence_id and offset; ``pieces`` must be a stored table, as it is read twice."""
     spark = pieces.sparkSession
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
-    counts = salted.groupBy("length", "_salt").count().collect()  # at most capacity * SALTS rows
-    by: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(SALTS, np.int64))
+    total = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most capacity rows
+    salts = spark.createDataFrame([(n, SALTS + c // RANKED) for n, c in total.items()], "length long, _salts long")
+    salted = pieces.join(F.broadcast(salts), "length").withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_salts")).cast("int")).select(*pieces.columns, "_salt")
+    counts = salted.groupBy("length", "_salt").count().collect()  # at most SALTS a length and one for each RANKED pieces
+    by: dict[int, np.ndarray] = {n: np.zeros(SALTS + c // RANKED, np.int64) for n, c in total.items()}
     for r in counts:
         by[r["length"]][r["_salt"]] = r["count"]
-    plan = Plan({int(n): int(c.sum()) for n, c in by.items()}, capacity).tables()
+    plan = Plan({int(n): int(c) for n, c in total.items()}, capacity).tables()
     before = {n: np.cumsum(c) - c for n, c in by.items()}
     sent = spark.sparkContext.broadcast((before, plan))  # bounded by the number of lengths, not of documents
 
