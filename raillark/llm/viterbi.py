@@ -4,6 +4,8 @@ Texts are cut at word marks, where no piece can lie across, and each distinct
 segment is solved once.  Segments of one length form a matrix of code points
 whose rows advance together: the hashes of the substrings that end at a position
 probe the sorted piece keys, and one vectorised maximum stores the backpointers.
+Long unbroken segments (over ``LONG``) are solved alone, from the list of all pieces
+that occur in them, in time that grows with their length.
 
 The result is the segmentation of the greatest total score over the model's
 pieces (of equals the one whose last piece is longest), which is what the library gives
@@ -33,6 +35,9 @@ from raillark.llm.workspace import pick
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 #: Below any piece's score, so that a character in no piece is a last resort.
 UNKNOWN = -10.0
+_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: Longer segments are solved alone.
+LONG = 256
 #: Segments solved in one matrix hold at most this many characters.
 MATRIX = 1 << 18
 
@@ -60,8 +65,52 @@ class Lattice:
             total = (total * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
         return np.uint64(total)
 
+    def solve_long(self, segment: str) -> np.ndarray:
+        """Ids of one long segment: all pieces that occur anywhere are found length by length, then one walk over these."""
+        size = len(segment)
+        points = np.frombuffer(segment.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+        up, down = np.full(size + 1, _BASE, np.uint64), np.full(size + 1, _BACK, np.uint64)
+        up[0] = down[0] = 1
+        up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(points * down[:size])])
+        ends, starts, places = [], [], []
+        for n in reversed(self.lengths):
+            if n > size:
+                continue
+            key = (sums[n:] - sums[:-n]) * up[n - 1 : size]
+            at = np.searchsorted(self.keys, key)
+            at[at == len(self.keys)] = 0
+            s = np.flatnonzero(self.keys[at] == key)
+            ends.append(s + n)
+            starts.append(s)
+            places.append(at[s])
+        end, start, place = (np.concatenate(x) for x in (ends, starts, places))
+        order = np.argsort(end, kind="stable")  # longer pieces first at each end
+        first = np.searchsorted(end[order], np.arange(size + 2)).tolist()
+        start, place = start[order].tolist(), place[order]
+        score, place = self.scores[place].tolist(), place.tolist()
+        best, back = [0.0] * (size + 1), [-1] * (size + 1)
+        for e in range(1, size + 1):
+            top, by, alone = -np.inf, -1, True
+            for k in range(first[e], first[e + 1]):
+                alone = alone and start[k] != e - 1
+                value = best[start[k]] + score[k]
+                if value > top:
+                    top, by = value, k
+            if alone and best[e - 1] + self.least > top:  # a character in no piece
+                top, by = best[e - 1] + self.least, -1
+            best[e], back[e] = top, by
+        out, e = [], size
+        while e:
+            k = back[e]
+            out += [int(self.ids[place[k]])] if k >= 0 else [self.model.byte_ids[b] for b in reversed(segment[e - 1].encode())]
+            e = start[k] if k >= 0 else e - 1
+        return np.array(out[::-1], np.int32)
+
     def solve(self, segments: list[str]) -> list[np.ndarray]:
         """Ids of segments of one length."""
+        if len(segments[0]) > LONG:
+            return [self.solve_long(x) for x in segments]
         size, rows = len(segments[0]), len(segments)
         points = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32).reshape(rows, size).astype(np.uint64) + np.uint64(1)
         sums = np.zeros((rows, size + 1), np.uint64)
