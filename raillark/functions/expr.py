@@ -20,13 +20,45 @@ def col(c: Column | str) -> Column:
 
 
 def _accents() -> tuple[str, str]:
-    """Latin letters with a mark and their base letters, by Unicode decomposition."""
-    pairs = [(chr(p), unicodedata.normalize("NFKD", chr(p))) for p in range(0xC0, 0x180)]
+    """Letters with a mark and their ASCII base letters, by Unicode decomposition."""
+    pairs = [(chr(p), unicodedata.normalize("NFKD", chr(p))) for p in range(0xC0, 0x10000)]
     pairs = [(c, d[0]) for c, d in pairs if len(d) > 1 and d[0].isascii() and all(unicodedata.combining(x) for x in d[1:])]
     return "".join(c for c, _ in pairs), "".join(d for _, d in pairs)
 
 
+def _folds() -> tuple[str, str, list[tuple[str, str]]]:
+    """Characters that fold to one other, those and marks that vanish (at the end of the first), and those that fold to several.
+
+    Folding is compatibility decomposition and case folding less all marks.  Hangul
+    syllables stay composed.
+    """
+    one, gone, many = [], [], []
+    for p in (p for p in range(0x41, 0x10000) if not 0xD800 <= p < 0xE000 and not 0xAC00 <= p < 0xD7A4):
+        c = chr(p)
+        d = "".join(x for x in unicodedata.normalize("NFKD", c).casefold() if not unicodedata.combining(x))
+        if d == c:
+            continue
+        if len(d) == 1:
+            one.append((c, d))
+        elif not d:
+            gone.append(c)
+        elif c.isalpha() and d.isalpha() and p < 0x2000 or 0xFB00 <= p < 0xFB07:
+            many.append((c, d))
+    return "".join(c for c, _ in one) + "".join(gone), "".join(d for _, d in one), many
+
+
 _MARKED, _PLAIN = _accents()
+_FROM, _TO, _SEVERAL = _folds()
+
+
+def folded(c: Column | str) -> Column:
+    """Text for comparison: no case, no marks, compatible forms alike, single blanks."""
+    out = col(c)
+    several = F.rlike(out, F.lit("[" + "".join(x for x, _ in _SEVERAL) + "]"))
+    spelled = out
+    for a, b in _SEVERAL:
+        spelled = F.replace(spelled, F.lit(a), F.lit(b))
+    return F.trim(F.regexp_replace(F.translate(F.when(several, spelled).otherwise(out), _FROM, _TO), "\\s+", " "))
 
 
 def search_name(c: Column | str) -> Column:
@@ -102,9 +134,8 @@ def destination(headsign: Column | str, terminal: Column | str, *rest: Column |
 def direction_key(route: Column | str, direction: Column | str, terminal: Column | str, name: Column | str) -> Column:
     """Key of one direction of a line, by its terminal stop or else by its folded destination."""
     base = F.concat(col(route), F.lit("|direction:"), F.trim(F.coalesce(col(direction), F.lit(""))))
-    folded = F.trim(F.regexp_replace(unaccented(F.lower(col(name))), "\\s+", " "))
     stop = filled(terminal)
-    return F.when(stop.isNotNull(), F.concat(base, F.lit("|destination-stop:"), stop)).otherwise(F.concat(base, F.lit("|destination:"), folded))
+    return F.when(stop.isNotNull(), F.concat(base, F.lit("|destination-stop:"), stop)).otherwise(F.concat(base, F.lit("|destination:"), folded(name)))
 
 
 def mode_of_route_type(c: Column | str) -> Column:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from raillark.functions.expr import DEGREE_M, bearing, col, destination, equirect_m, grid_cell, haversine_m, line_label, search_name
+from raillark.operators.lineage import cut
+from raillark.operators.windows import terminal_stops
 
 
 def canonical_stops(stops: DataFrame) -> DataFrame:
@@ -31,19 +33,33 @@ def calls(calls: DataFrame, trips: DataFrame, active: DataFrame, stops: DataFram
     )
 
 
-def resolve_stops(stops: DataFrame, public: DataFrame, depth: int = 8) -> DataFrame:
+def calls_at(feed: dict[str, DataFrame], active: DataFrame, stop_id: str) -> DataFrame:
+    """``calls`` of one canonical stop: its platforms come first, so only their calls and trips are read on."""
+    platforms = canonical_stops(feed["stops"]).where(F.col("canonical_stop_id") == stop_id).select("stop_id")
+    here = feed["stop_times"].join(platforms, "stop_id", "left_semi")
+    used = here.select("trip_id").distinct()
+    last = terminal_stops(feed["stop_times"].join(used, "trip_id", "left_semi"), "A")
+    return calls(here, feed["trips"], active, feed["stops"], feed["routes"], last).where(F.col("canonical_stop_id") == stop_id)
+
+
+def resolve_stops(stops: DataFrame, public: DataFrame) -> DataFrame:
     """stop_id, public_id: the nearest ancestor (the stop first) in ``public``; null if none or in a cycle.
 
-    One join a level up to ``depth``; a stop already resolved carries no further
-    parent, and a cycle ends with null.
+    Each round doubles the levels that a stop has climbed, by a join with the last
+    round's rows, until no stop is left to climb or it has passed as many levels as
+    there are stops, which only a cycle allows.
     """
     wanted = public.select(F.col("stop_id").alias("_public")).distinct()
     parent = stops.groupBy("stop_id").agg(F.nullif(F.max("parent_station"), F.lit("")).alias("parent"))
-    info = parent.join(wanted, F.col("stop_id") == F.col("_public"), "left").select("stop_id", "parent", "_public")
-    above = info.select(F.col("stop_id").alias("_at"), F.col("parent").alias("_up"), F.col("_public").alias("_hit"))
-    rows = info.select("stop_id", F.col("_public").alias("public_id"), F.when(F.col("_public").isNull(), F.col("parent")).alias("at"))
-    for _ in range(depth - 1):
+    rows = parent.join(wanted, F.col("stop_id") == F.col("_public"), "left").select("stop_id", F.col("_public").alias("public_id"), F.when(F.col("_public").isNull(), F.col("parent")).alias("at"))
+    rows, levels, n = cut(rows), 1, None
+    while not rows.where("at is not null").isEmpty():
+        n = n or rows.count()
+        if levels > n:
+            break
+        above = rows.select(F.col("stop_id").alias("_at"), F.col("public_id").alias("_hit"), F.col("at").alias("_up"))
         rows = rows.join(above, F.col("at") == F.col("_at"), "left").select("stop_id", F.coalesce("public_id", "_hit").alias("public_id"), F.when(F.col("_hit").isNull(), F.col("_up")).alias("at"))
+        rows, levels = cut(rows), 2 * levels
     return rows.select("stop_id", "public_id")
 
 
@@ -130,19 +146,33 @@ def scope(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def agency_scope(tables: dict[str, DataFrame], agency_id: str) -> dict[str, DataFrame]:
-    """A feed cut to one agency: routes, trips, calls, stops with ancestors, services and shapes."""
+    """A feed cut to one agency: routes, trips, calls, stops with all ancestors, services, shapes, frequencies, fares and ways.
+
+    An agency without routes is an error.
+    """
     routes = tables["routes"].where(F.col("agency_id") == agency_id)
+    if routes.isEmpty():
+        raise ValueError(f"no route of agency {agency_id}")
     trips = scope(tables["trips"], routes, "route_id")
     times = scope(tables["stop_times"], trips, "trip_id")
     used = scope(tables["stops"], times, "stop_id")
-    closure = used
-    for _ in range(4):
-        above = closure.where("parent_station <> ''").select(F.col("parent_station").alias("stop_id")).distinct()
-        closure = closure.unionByName(tables["stops"].join(above, "stop_id", "left_semi")).dropDuplicates(["stop_id"])
+    parents = tables["stops"].where("parent_station <> ''").select("stop_id", F.col("parent_station").alias("_up"))
+    ids, fresh = cut(used.select("stop_id").distinct()), None
+    while fresh is None or not fresh.isEmpty():  # ancestors until none is new; a visited stop is not visited again
+        fresh = cut(parents.join(ids if fresh is None else fresh, "stop_id", "left_semi").select(F.col("_up").alias("stop_id")).distinct().join(ids, "stop_id", "left_anti"))
+        ids = ids.unionByName(fresh)
+    closure = scope(tables["stops"], ids, "stop_id")
     out = {"routes": routes, "trips": trips, "stop_times": times, "stops": closure}
     for name, key in (("calendar", "service_id"), ("calendar_dates", "service_id"), ("shapes", "shape_id")):
         if name in tables:
             out[name] = scope(tables[name], trips, key)
+    for name, key, of in (("frequencies", "trip_id", trips), ("fare_rules", "route_id", routes)):
+        if name in tables:
+            out[name] = scope(tables[name], of, key)
+    if "pathways" in tables:
+        ends = closure.select("stop_id")
+        both = tables["pathways"].join(ends.withColumnRenamed("stop_id", "from_stop_id"), "from_stop_id", "left_semi")
+        out["pathways"] = both.join(ends.withColumnRenamed("stop_id", "to_stop_id"), "to_stop_id", "left_semi")
     if "transfers" in tables:
         ends = closure.select("stop_id")
         both = tables["transfers"].join(ends.withColumnRenamed("stop_id", "from_stop_id"), "from_stop_id", "left_semi")
@@ -205,7 +235,9 @@ def rt_context_join(rt: DataFrame, trips: DataFrame, providers: list[str]) -> Da
     """
     order = F.array_position(F.array(*map(F.lit, providers)), F.col("provider_id"))
     known = trips.where(F.col("provider_id").isin(providers)).select("provider_id", F.col("native_trip_id").alias("_native"), F.col("trip_id").alias("static_trip_id"), F.col("route_id").alias("static_route_id"))
-    row = rt.withColumn("_row", F.monotonically_increasing_id())
+    # a row's own values and its number among its equals: the same after a lost task runs again
+    values = [F.col(c) for c in rt.columns]
+    row = rt.withColumn("_row", F.struct(*values, F.row_number().over(Window.partitionBy(*values).orderBy(F.lit(0))).alias("_k")))
     short = F.regexp_replace("trip_id", "^[^_]*_", "")
     tries = row.withColumn("_try", F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("trip_id").alias("id")), F.struct(F.lit(1).alias("k"), short.alias("id")))))
     hits = tries.join(known, F.col("_try.id") == F.col("_native"))
@@ -284,10 +316,11 @@ def map_match(samples: DataFrame, segments: DataFrame, size: float = 0.01, reach
     route_id, seq, lat1, lon1, lat2, lon2, progress1, length_m.  Segments within
     ``reach`` cells come first, all segments of the route where there are none.
     """
-    cells = _cells(segments, F.struct(F.least("lon1", "lon2").alias("min_lon"), F.greatest("lon1", "lon2").alias("max_lon"), F.least("lat1", "lat2").alias("min_lat"), F.greatest("lat1", "lat2").alias("max_lat")), size)
-    around = F.sequence(F.lit(-reach), F.lit(reach))
-    keyed = samples.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around)).withColumn("_cx", grid_cell("longitude", size) + F.col("_dx")).withColumn("_cy", grid_cell("latitude", size) + F.col("_dy")).drop("_dx", "_dy")
-    near = keyed.join(cells, ["route_id", "_cx", "_cy"]).drop("_cx", "_cy").dropDuplicates(["sample_id", "shape_id", "seq"])
+    # the segments, which do not grow with the samples, take all cells within reach; a sample stays one row
+    span = lambda a, b: F.explode(F.sequence(grid_cell(F.least(a, b), size) - reach, grid_cell(F.greatest(a, b), size) + reach))
+    cells = segments.withColumn("_cx", span("lon1", "lon2")).withColumn("_cy", span("lat1", "lat2"))
+    keyed = samples.withColumn("_cx", grid_cell("longitude", size)).withColumn("_cy", grid_cell("latitude", size))
+    near = keyed.join(cells, ["route_id", "_cx", "_cy"]).drop("_cx", "_cy")
     shapes = segments.select("route_id", "shape_id").distinct()
     lost = samples.join(shapes, "route_id").join(near.select("sample_id", "shape_id").distinct(), ["sample_id", "shape_id"], "left_anti")
     rest = lost.join(segments.drop("route_id"), "shape_id")

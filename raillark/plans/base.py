@@ -12,7 +12,9 @@ from raillark.plans import views
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-FIRST, LAST, TODAY = "20240101", "20240130", "20240115"
+FIRST, LAST = "20240101", "20240130"
+#: The days that the departure jobs are built for.
+WINDOW = ("20240114", "20240116")
 
 
 class Source:
@@ -37,6 +39,7 @@ PARTS: dict[str, tuple[list[str], str]] = {
     "weekly": (["t_calendar", "days"], "SELECT service_id, service_date FROM t_calendar, days WHERE service_date BETWEEN start_date AND end_date AND CASE wd WHEN 1 THEN monday WHEN 2 THEN tuesday WHEN 3 THEN wednesday WHEN 4 THEN thursday WHEN 5 THEN friday WHEN 6 THEN saturday ELSE sunday END = 1"),
     "active": (["weekly", "t_calendar_dates", "days"], "SELECT w.service_id, w.service_date FROM weekly w WHERE NOT EXISTS (SELECT 1 FROM t_calendar_dates c WHERE c.service_id=w.service_id AND c.service_date=w.service_date AND c.exception_type=2) UNION SELECT service_id, service_date FROM t_calendar_dates JOIN days USING (service_date) WHERE exception_type=1"),
     "active_first": (["weekly", "t_calendar_dates", "days"], "SELECT w.service_id, w.service_date FROM weekly w WHERE NOT EXISTS (SELECT 1 FROM t_calendar_dates c WHERE c.service_id=w.service_id AND c.service_date=w.service_date) UNION SELECT service_id, service_date FROM t_calendar_dates JOIN days USING (service_date) WHERE exception_type=1"),
+    "three": ([], "SELECT strftime(d,'%Y%m%d') AS service_date FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-14', TIMESTAMP '2024-01-16', INTERVAL 1 DAY)) AS d)"),
     "canon": (["t_stops"], "SELECT s.*, coalesce(p.stop_id, s.stop_id) AS canonical_stop_id FROM t_stops s LEFT JOIN (SELECT DISTINCT stop_id FROM t_stops) p ON s.parent_station=p.stop_id"),
     "term_a": (["t_stop_times"], "SELECT trip_id, stop_id AS terminal_stop_id FROM (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY stop_sequence DESC, source_order DESC) AS r FROM t_stop_times) WHERE r=1"),
     "term_c": (["t_stop_times"], "SELECT trip_id, stop_id AS terminal_stop_id FROM (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY source_order DESC) AS r FROM t_stop_times) WHERE r=1"),

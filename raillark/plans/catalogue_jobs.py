@@ -9,7 +9,7 @@ from raillark.operators import joins
 from raillark.plans import catalogue_joins as cj
 from raillark.plans import catalogue_rows as cr
 from raillark.plans import checks, jobs
-from raillark.plans.base import TODAY, Source, query
+from raillark.plans.base import WINDOW, Source, query
 from raillark.sources import sinks
 
 
@@ -35,10 +35,10 @@ def snk_city_package(v: Source):
     return back.groupBy("city_id").agg(F.count("*").alias("n_stops"), F.sum(F.length("s.name")).alias("name_chars"))
 
 
-@query("calls radius", "SELECT r.city_id, c.canonical_stop_id, c.service_date, c.departure_time, c.trip_id, c.stop_sequence, c.source_order, c.label, c.destination FROM calls c JOIN (SELECT DISTINCT city_id, stop_id FROM radius) r ON r.stop_id=c.canonical_stop_id WHERE c.service_date='20240115'")
+@query("calls radius three", "SELECT r.city_id, c.canonical_stop_id, c.service_date, c.departure_time, c.trip_id, c.stop_sequence, c.source_order, c.label, c.destination FROM calls c JOIN (SELECT DISTINCT city_id, stop_id FROM radius) r ON r.stop_id=c.canonical_stop_id JOIN three USING (service_date)")
 def job_city_departures(v: Source):
-    rows = jobs.city_departures(v.feed(), city_stops(v), v.days())
-    return rows.where(F.col("service_date") == TODAY).select("city_id", "canonical_stop_id", "service_date", "departure_time", "trip_id", "stop_sequence", "source_order", "label", "destination")
+    rows = jobs.city_departures(v.feed(), city_stops(v), v.days(*WINDOW))
+    return rows.select("city_id", "canonical_stop_id", "service_date", "departure_time", "trip_id", "stop_sequence", "source_order", "label", "destination")
 
 
 @query("t_stop_times t_trips active resolved t_stops t_routes term_b", "SELECT DISTINCT r.public_id, x.departure_time AS t, t.route_id AS r, coalesce(nullif(t.headsign,''), nullif(n.stop_name,''), nullif(o.short_name,''), nullif(o.long_name,''), t.route_id) AS h, t.direction_id AS d, x.trip_id AS p, x.stop_sequence AS q, CASE WHEN x.stop_id<>r.public_id THEN x.stop_id END AS s, CASE WHEN x.stop_id<>r.public_id THEN nullif(c.platform_code,'') END AS platform FROM t_stop_times x JOIN t_trips t USING (trip_id) JOIN (SELECT DISTINCT service_id FROM active) v USING (service_id) JOIN resolved r ON r.stop_id=x.stop_id JOIN t_stops c ON c.stop_id=x.stop_id JOIN t_routes o ON o.route_id=t.route_id LEFT JOIN term_b b ON b.trip_id=x.trip_id LEFT JOIN t_stops n ON n.stop_id=b.terminal_stop_id WHERE r.public_id IS NOT NULL")
@@ -46,9 +46,9 @@ def job_compact_departures(v: Source):
     return jobs.compact_departures(v.feed(), cj.public_stops(v), v.days())
 
 
-@query("radius t_stops t_stop_times t_trips active_first t_routes term_c", "SELECT g.output_stop_id, v.service_date, x.departure_time, x.trip_id, x.stop_sequence, x.source_order, coalesce(nullif(r.short_name,''), nullif(r.long_name,''), r.route_id) AS label, coalesce(nullif(t.headsign,''), n.stop_name, '?') AS destination, CASE r.route_type WHEN '0' THEN 'tram' WHEN '1' THEN 'subway' WHEN '2' THEN 'train' WHEN '3' THEN 'bus' WHEN '700' THEN 'bus' END AS mode FROM (SELECT c.stop_id AS source_stop_id, s.stop_id AS output_stop_id FROM t_stops s JOIN t_stops c ON c.parent_station=s.parent_station WHERE s.parent_station<>'' AND s.platform_code='' AND s.stop_id IN (SELECT stop_id FROM radius) UNION ALL SELECT stop_id, stop_id FROM t_stops WHERE NOT (parent_station<>'' AND platform_code='') AND stop_id IN (SELECT stop_id FROM radius)) g JOIN t_stop_times x ON x.stop_id=g.source_stop_id JOIN t_trips t ON t.trip_id=x.trip_id JOIN active_first v ON v.service_id=t.service_id JOIN t_routes r ON r.route_id=t.route_id LEFT JOIN term_c e ON e.trip_id=x.trip_id LEFT JOIN t_stops n ON n.stop_id=e.terminal_stop_id WHERE v.service_date='20240115'")
+@query("radius t_stops t_stop_times t_trips active_first t_routes term_c three", "SELECT g.output_stop_id, v.service_date, x.departure_time, x.trip_id, x.stop_sequence, x.source_order, coalesce(nullif(r.short_name,''), nullif(r.long_name,''), r.route_id) AS label, coalesce(nullif(t.headsign,''), n.stop_name, '?') AS destination, CASE r.route_type WHEN '0' THEN 'tram' WHEN '1' THEN 'subway' WHEN '2' THEN 'train' WHEN '3' THEN 'bus' WHEN '700' THEN 'bus' END AS mode FROM (SELECT c.stop_id AS source_stop_id, s.stop_id AS output_stop_id FROM t_stops s JOIN t_stops c ON c.parent_station=s.parent_station WHERE s.parent_station<>'' AND s.platform_code='' AND s.stop_id IN (SELECT stop_id FROM radius) UNION ALL SELECT stop_id, stop_id FROM t_stops WHERE NOT (parent_station<>'' AND platform_code='') AND stop_id IN (SELECT stop_id FROM radius)) g JOIN t_stop_times x ON x.stop_id=g.source_stop_id JOIN t_trips t ON t.trip_id=x.trip_id JOIN active_first v ON v.service_id=t.service_id JOIN t_routes r ON r.route_id=t.route_id LEFT JOIN term_c e ON e.trip_id=x.trip_id LEFT JOIN t_stops n ON n.stop_id=e.terminal_stop_id JOIN three ON three.service_date=v.service_date")
 def job_station_departures(v: Source):
-    rows = jobs.station_departures(v.feed(), v("cities"), v.days()).where(F.col("service_date") == TODAY)
+    rows = jobs.station_departures(v.feed(), v("cities"), v.days(*WINDOW))
     return rows.select("output_stop_id", "service_date", "departure_time", "trip_id", "stop_sequence", "source_order", "label", "destination", "mode")
 
 

@@ -14,12 +14,12 @@ def public_stops(v: Source):
     return v("stops").where("location_type = '1'").select("stop_id")
 
 
-@query("calls", "SELECT canonical_stop_id, service_date, departure_seconds, trip_id, stop_sequence, source_order, label, destination, direction_id, platform_code, terminal_stop_id FROM calls WHERE service_date='20240115'")
+@query("calls", "SELECT canonical_stop_id, service_date, departure_seconds, trip_id, stop_sequence, source_order, label, destination, direction_id, platform_code, terminal_stop_id FROM calls")
 def join_calls(v: Source):
     f = v.feed()
     active = sets.active_services(f["calendar"], f["calendar_dates"], v.days())
     rows = joins.calls(f["stop_times"], f["trips"], active, f["stops"], f["routes"], windows.terminal_stops(f["stop_times"], "A"))
-    return rows.where("service_date = '20240115'").select("canonical_stop_id", "service_date", "departure_seconds", "trip_id", "stop_sequence", "source_order", "label", "destination", "direction_id", "platform_code", "terminal_stop_id")
+    return rows.select("canonical_stop_id", "service_date", "departure_seconds", "trip_id", "stop_sequence", "source_order", "label", "destination", "direction_id", "platform_code", "terminal_stop_id")
 
 
 @query("canon", "SELECT stop_id, canonical_stop_id FROM canon")
@@ -76,15 +76,15 @@ def join_agency_closure(v: Source):
     return out
 
 
-_SUFFIX = "rt AS (SELECT DISTINCT CASE WHEN trip_id % 3 = 0 THEN 'x_'||trip_id||'_'||m ELSE trip_id||'_'||m END AS trip_id FROM (SELECT o_orderkey AS trip_id, o_custkey % 5 AS m FROM orders WHERE o_orderkey < 1500))"
+_SUFFIX = "rt AS (SELECT DISTINCT CASE WHEN trip_id % 3 = 0 THEN 'x_'||trip_id||'_'||m ELSE trip_id||'_'||m END AS trip_id FROM (SELECT o_orderkey AS trip_id, o_custkey % 5 AS m FROM orders))"
 
 
-@query(sql="WITH " + _SUFFIX + ", ask AS (SELECT DISTINCT CAST(o_orderkey AS STRING)||'_'||CAST(o_custkey % 5 AS STRING) AS rt_trip_id FROM orders WHERE o_orderkey < 1500 AND o_orderkey % 2 = 0) SELECT rt_trip_id, trip_id FROM (SELECT a.rt_trip_id, min(t.trip_id) AS trip_id FROM ask a JOIN rt t ON a.rt_trip_id=t.trip_id GROUP BY 1 UNION ALL SELECT a.rt_trip_id, min(t.trip_id) FROM ask a JOIN rt t ON suffix(t.trip_id, a.rt_trip_id) WHERE a.rt_trip_id NOT IN (SELECT trip_id FROM rt) GROUP BY 1 HAVING count(*)=1)")
+@query(sql="WITH " + _SUFFIX + ", ask AS (SELECT DISTINCT CAST(o_orderkey AS STRING)||'_'||CAST(o_custkey % 5 AS STRING) AS rt_trip_id FROM orders) SELECT rt_trip_id, trip_id FROM (SELECT a.rt_trip_id, min(t.trip_id) AS trip_id FROM ask a JOIN rt t ON a.rt_trip_id=t.trip_id GROUP BY 1 UNION ALL SELECT a.rt_trip_id, min(t.trip_id) FROM ask a JOIN rt t ON suffix(t.trip_id, a.rt_trip_id) WHERE a.rt_trip_id NOT IN (SELECT trip_id FROM rt) GROUP BY 1 HAVING count(*)=1)")
 def join_suffix_unique(v: Source):
-    rows = v.spark.read.parquet(f"{v.sf_dir}/orders.parquet").where("o_orderkey < 1500")
+    rows = v.spark.read.parquet(f"{v.sf_dir}/orders.parquet")
     base = F.concat_ws("_", F.col("o_orderkey").cast("string"), (F.col("o_custkey") % 5).cast("string"))
     trips = rows.select(F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("x_"), base)).otherwise(base).alias("trip_id")).distinct()
-    asked = rows.where("o_orderkey % 2 = 0").select(base.alias("rt_trip_id")).distinct()
+    asked = rows.select(base.alias("rt_trip_id")).distinct()
     return joins.resolve_trip_suffix(asked, trips)
 
 

@@ -204,12 +204,17 @@ def all_calls(v: Source):
     return joins.calls(f["stop_times"], f["trips"], active, f["stops"], f["routes"], windows.terminal_stops(f["stop_times"], "A"))
 
 
+def calls_at(v: Source, stop_id: str, *window: str):
+    f = v.feed()
+    return joins.calls_at(f, sets.active_services(f["calendar"], f["calendar_dates"], v.days(*window)), stop_id)
+
+
 _BOARD = "service_date, departure_seconds, trip_id, stop_sequence, source_order"
 
 
 @query("calls", f"SELECT service_date, departure_time, trip_id, stop_id, label, destination, direction_id, platform_code FROM calls WHERE canonical_stop_id='s3' AND service_date BETWEEN '20240114' AND '20240116' ORDER BY {_BOARD} LIMIT 100")
 def top_departure_board(v: Source):
-    rows = all_calls(v).where(F.col("service_date").between("20240114", "20240116"))
+    rows = calls_at(v, "s3", "20240114", "20240116")
     return windows.departure_board(rows, "s3", 100).select("service_date", "departure_time", "trip_id", "stop_id", "label", "destination", "direction_id", "platform_code")
 
 
@@ -221,7 +226,7 @@ def top_departure_boards(v: Source):
 
 @query("calls", "SELECT DISTINCT route_id, label, direction_id, destination, terminal_stop_id FROM calls WHERE canonical_stop_id='s3'")
 def top_lines_at_stop(v: Source):
-    return windows.lines_at_stop(all_calls(v), "s3")
+    return windows.lines_at_stop(calls_at(v, "s3"), "s3")
 
 
 @query()

@@ -40,9 +40,13 @@ def station_departures(feed: Feed, cities: DataFrame, days: DataFrame) -> DataFr
     selected = feed["stops"].join(joins.within_radius(feed["stops"], cities).select("stop_id").distinct(), "stop_id", "left_semi")
     targets = joins.station_targets(feed["stops"], selected)
     last = windows.terminal_stops(feed["stop_times"], "C").join(feed["stops"].select(F.col("stop_id").alias("terminal_stop_id"), F.col("stop_name").alias("terminal_name")), "terminal_stop_id", "left")
-    rows = feed["stop_times"].withColumnRenamed("stop_id", "source_stop_id").join(targets, "source_stop_id").join(feed["trips"], "trip_id").join(active, "service_id").join(feed["routes"], "route_id").join(last.drop("terminal_stop_id"), "trip_id", "left")
+    # calls of the window once, with all they say; a station's outputs join last, on short rows
+    named = feed["trips"].join(active, "service_id").join(feed["routes"].select("route_id", "short_name", "long_name", "route_type"), "route_id").join(last.drop("terminal_stop_id"), "trip_id", "left")
+    named = named.select("trip_id", "service_date", line_label("short_name", "long_name", "route_id").alias("label"), destination("headsign", "terminal_name", default="?").alias("destination"), mode_of_route_type("route_type").alias("mode"))
+    times = feed["stop_times"].select("trip_id", F.col("stop_id").alias("source_stop_id"), "departure_time", "stop_sequence", "source_order").join(targets.select("source_stop_id").distinct(), "source_stop_id", "left_semi")
+    rows = times.join(named, "trip_id").join(targets, "source_stop_id")
     short = F.element_at(F.split("output_stop_id", ":"), -1)
-    return rows.select("output_stop_id", short.alias("stop_key"), "service_date", "departure_time", "trip_id", "stop_sequence", "source_order", line_label("short_name", "long_name", "route_id").alias("label"), destination("headsign", "terminal_name", default="?").alias("destination"), mode_of_route_type("route_type").alias("mode"))
+    return rows.select("output_stop_id", short.alias("stop_key"), "service_date", "departure_time", "trip_id", "stop_sequence", "source_order", "label", "destination", "mode")
 
 
 def day_departures(feed: Feed, city_stops: DataFrame, today: str) -> DataFrame:

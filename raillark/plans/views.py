@@ -10,7 +10,7 @@ VIEWS: dict[str, str] = {
     "t_stops": """
 SELECT 'p'||CAST(p_partkey AS STRING) AS stop_id,
        'Stop '||CAST(p_partkey % 60 AS STRING) AS stop_name,
-       CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 11 = 0 THEN 'gone' ELSE 's'||CAST(p_partkey % 10 AS STRING) END AS parent_station,
+       CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 11 = 0 THEN 'gone' ELSE 's'||CAST(CAST(floor(p_partkey / 20) AS BIGINT) + 1 AS STRING) END AS parent_station,
        CASE WHEN p_partkey % 3 = 0 THEN '' ELSE CAST(p_size AS STRING) END AS platform_code,
        CASE WHEN p_partkey % 23 = 0 THEN '2' ELSE '0' END AS location_type,
        CAST(48.0 AS DOUBLE) + (p_partkey % 97) * CAST(0.01 AS DOUBLE) AS stop_lat,
@@ -31,10 +31,10 @@ SELECT 'r'||CAST(c_custkey AS STRING) AS route_id,
     "t_trips": """
 SELECT 't'||CAST(o_orderkey AS STRING) AS trip_id,
        'r'||CAST(o_custkey AS STRING) AS route_id,
-       'w'||CAST(o_orderkey % 28 AS STRING) AS service_id,
+       'w'||CAST(o_custkey AS STRING) AS service_id,
        CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS headsign,
        CASE o_orderstatus WHEN 'O' THEN '0' WHEN 'F' THEN '1' ELSE '' END AS direction_id,
-       'sh'||CAST(o_custkey % 50 AS STRING) AS shape_id
+       'sh'||CAST(CAST(floor(o_custkey / 30) AS BIGINT) AS STRING) AS shape_id
   FROM orders
 """,
     "t_stop_times": """
@@ -47,25 +47,23 @@ SELECT 't'||CAST(l_orderkey AS STRING) AS trip_id,
   FROM lineitem
 """,
     "t_calendar": """
-SELECT 'w'||CAST(p_partkey AS STRING) AS service_id,
-       CASE WHEN p_partkey % 2 = 0 THEN '20240101' ELSE '20240110' END AS start_date,
-       CASE WHEN p_partkey % 3 = 0 THEN '20240120' ELSE '20240131' END AS end_date,
-       CASE WHEN (p_partkey + 0) % 3 <> 0 THEN 1 ELSE 0 END AS monday,
-       CASE WHEN (p_partkey + 1) % 3 <> 0 THEN 1 ELSE 0 END AS tuesday,
-       CASE WHEN (p_partkey + 2) % 3 <> 0 THEN 1 ELSE 0 END AS wednesday,
-       CASE WHEN (p_partkey + 3) % 4 <> 0 THEN 1 ELSE 0 END AS thursday,
-       CASE WHEN (p_partkey + 4) % 5 <> 0 THEN 1 ELSE 0 END AS friday,
-       CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS saturday,
-       CASE WHEN p_partkey % 7 = 0 THEN 1 ELSE 0 END AS sunday
-  FROM part
-  WHERE p_partkey < 25
+SELECT 'w'||CAST(c_custkey AS STRING) AS service_id,
+       CASE WHEN c_custkey % 2 = 0 THEN '20240101' ELSE '20240110' END AS start_date,
+       CASE WHEN c_custkey % 3 = 0 THEN '20240120' ELSE '20240131' END AS end_date,
+       CASE WHEN (c_custkey + 0) % 3 <> 0 THEN 1 ELSE 0 END AS monday,
+       CASE WHEN (c_custkey + 1) % 3 <> 0 THEN 1 ELSE 0 END AS tuesday,
+       CASE WHEN (c_custkey + 2) % 3 <> 0 THEN 1 ELSE 0 END AS wednesday,
+       CASE WHEN (c_custkey + 3) % 4 <> 0 THEN 1 ELSE 0 END AS thursday,
+       CASE WHEN (c_custkey + 4) % 5 <> 0 THEN 1 ELSE 0 END AS friday,
+       CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END AS saturday,
+       CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS sunday
+  FROM customer
 """,
     "t_calendar_dates": """
-SELECT 'w'||CAST(o_orderkey % 28 AS STRING) AS service_id,
-       '202401'||lpad(CAST(1 + o_custkey % 30 AS STRING), 2, '0') AS service_date,
+SELECT 'w'||CAST(o_custkey AS STRING) AS service_id,
+       '202401'||lpad(CAST(1 + o_orderkey % 30 AS STRING), 2, '0') AS service_date,
        min(1 + o_orderkey % 2) AS exception_type
   FROM orders
-  WHERE o_orderkey < 1500 AND o_orderkey % 17 = 0
   GROUP BY 1, 2
 """,
     "t_cities": """
@@ -106,7 +104,6 @@ SELECT CASE WHEN l_orderkey % 13 = 0 THEN 'zz' ELSE 't' END||CAST(l_orderkey AS
        1704067200 + l_orderkey % 600 AS feed_ts
   FROM lineitem
   JOIN orders ON o_orderkey = l_orderkey
-  WHERE l_partkey % 4 = 0
 """,
     "t_store_events": """
 SELECT 'n'||CAST(event_id - event_id % 5 % 2 AS STRING) AS notification_uuid,
@@ -118,12 +115,11 @@ SELECT 'n'||CAST(event_id - event_id % 5 % 2 AS STRING) AS notification_uuid,
   FROM events
 """,
     "t_shapes": """
-SELECT 'sh'||CAST(p_partkey % 50 AS STRING) AS shape_id,
-       CAST(50.44 AS DOUBLE) + (p_partkey % 50) * CAST(0.0005 AS DOUBLE) AS shape_pt_lat,
-       CASE WHEN p_partkey % 2 = 0 THEN CAST(30.518 AS DOUBLE) + floor(p_partkey / 50) * CAST(0.008 AS DOUBLE) ELSE CAST(30.542 AS DOUBLE) - floor(p_partkey / 50) * CAST(0.008 AS DOUBLE) END AS shape_pt_lon,
-       CAST(floor(p_partkey / 50) AS BIGINT) AS shape_pt_sequence
+SELECT 'sh'||CAST(CAST(floor(p_partkey / 40) AS BIGINT) AS STRING) AS shape_id,
+       CAST(50.4485 AS DOUBLE) + (floor(p_partkey / 40) % 7) * CAST(0.0005 AS DOUBLE) AS shape_pt_lat,
+       CASE WHEN floor(p_partkey / 40) % 2 = 0 THEN CAST(30.518 AS DOUBLE) + (p_partkey % 40) * CAST(0.0006 AS DOUBLE) ELSE CAST(30.542 AS DOUBLE) - (p_partkey % 40) * CAST(0.0006 AS DOUBLE) END AS shape_pt_lon,
+       CAST(p_partkey % 40 AS BIGINT) AS shape_pt_sequence
   FROM part
-  WHERE p_partkey < 200
 """,
     "t_transfers": """
 SELECT 'p'||CAST(l_partkey % 40 AS STRING) AS from_stop_id,
@@ -135,7 +131,6 @@ SELECT 'p'||CAST(l_partkey % 40 AS STRING) AS from_stop_id,
        CASE WHEN l_partkey % 40 < 30 THEN 0 ELSE l_linenumber % 3 END AS transfer_type,
        CASE WHEN l_partkey % 40 < 30 THEN 0 ELSE l_linenumber * 60 END AS min_transfer_time
   FROM lineitem
-  WHERE l_orderkey % 7 = 0
 """,
     "t_entities": """
 SELECT 'trips' AS entity_type,
@@ -161,11 +156,10 @@ SELECT 'k'||CAST(c_custkey - c_custkey % 10 % 2 AS STRING) AS stop_id,
   FROM customer
 """,
     "t_alert_selectors": """
-SELECT 'al'||CAST(o_orderkey % 200 AS STRING) AS alert_id,
+SELECT 'al'||CAST(CAST(floor(o_orderkey / 32) AS BIGINT) AS STRING) AS alert_id,
        CASE o_orderkey % 3 WHEN 0 THEN 'route_short_name' WHEN 1 THEN 'stop_code' ELSE 'direction_id' END AS selector_type,
        CASE o_orderkey % 3 WHEN 0 THEN 'L'||CAST(o_custkey % 55 AS STRING) WHEN 1 THEN CAST(o_custkey % 120 AS STRING) ELSE CAST(o_custkey % 2 AS STRING) END AS selector_value
   FROM orders
-  WHERE o_orderkey < 1500
 """,
 }
 
