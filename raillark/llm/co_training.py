@@ -1,27 +1,33 @@
 """Quality scores by co-training two views (operator 4).
 
 One view is the text's content (hashed words and character classes), the other
-the page's metadata (source, language, length and line layout).  Each view's
-logistic classifier starts from the labelled rows.  Over some rounds each adds
-its most confident unlabelled rows, with its own label, to the *other* view's
-training rows.  The two are calibrated on labelled rows that neither has seen,
-and their calibrated log-odds are combined to score every document.
-
-Training takes a bounded, documented sample: ``PER_CLASS`` labelled rows of each
-label and ``POOL`` unlabelled rows, texts of at most ``MAX_CHARS``.
+the page's metadata (language, source, both, and the recorded length); the second never
+reads the text.  Each view's logistic classifier starts from the labelled rows.  In
+each round both score every document in Spark; the documents that one view is
+confident of (``CONFIDENT``) become, with its label, training rows of the *other*
+view.  Since all documents take part, these rows are not gathered: for each
+pseudo-label the sums of their features are aggregated, and their mean joins the other
+view's training rows with a fixed share of the weight.  The two are calibrated on
+labelled rows that neither has seen, and their calibrated log-odds are combined to
+score every document.
+
+Only the labelled rows are a bounded, documented sample: ``PER_CLASS`` of each label,
+texts of at most ``MAX_CHARS``.
 
 Defined results: a null or empty text has an empty content view and is scored
-from the rest; null source or language is a value of its own; without both
-labels every score is 0.5.
+from the rest; null source, language or length is a value of its own; without both
+labels every score is 0.5; of labels of one doc_id the greatest counts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,10 +37,17 @@ from raillark.llm.quality_rules import CLASSES, class_counts
 from raillark.llm.toxicity import newton, platt
 from raillark.llm.workspace import pick
 
-BUCKETS, META = 1 << 13, 1 << 8
-PER_CLASS, POOL, MAX_CHARS = 3000, 6000, 20_000
-ROUNDS, GROW = 4, 200
+BUCKETS = 1 << 13
+#: Hashed values of each kind of metadata; lengths have 32 bins.
+KIND = 1 << 9
+META = 3 * KIND + 32 + 1
+PER_CLASS, MAX_CHARS = 3000, 20_000
+ROUNDS = 3
 CONFIDENT = 0.9
+#: Weight of all pseudo-labelled rows beside the labelled ones'.
+PSEUDO = 0.5
+#: Numbers of a partial sum that go to one task.
+_CHUNK = 1 << 11
 THRESHOLD = 0.5
 
 
@@ -81,23 +94,23 @@ def content(part: scan.Slice) -> Sparse:
     )
 
 
-def metadata(part: scan.Slice, langs: list, sources: list) -> Sparse:
-    """Hashed source and language, and binned length, line count and mean line."""
-    rows = part.hi - part.lo
-    size = np.diff(part.bounds)
-    breaks = np.concatenate([[0], np.cumsum(part.data == 0x0A)])
-    lines = np.diff(breaks[part.bounds]) + 1
-    bins = [np.minimum(15, np.log2(1 + x)).astype(int) for x in (size, lines, size / lines)]
-    hashed = [[(hash_text(f"{kind}:{x}") % 200) + 48 for x in xs] for kind, xs in (("lang", langs), ("source", sources))]
-    col = np.stack([bins[0], 16 + bins[1], 32 + bins[2], *map(np.array, hashed), np.full(rows, META - 1)], 1)
-    return Sparse(np.repeat(np.arange(rows), col.shape[1]), col.ravel(), np.ones(col.size), rows, META)
+def metadata(rows: pa.RecordBatch) -> Sparse:
+    """Hashed language, source and both, and the binned length, from the columns after the text."""
+    n = rows.num_rows
 
+    def hashed(column: pa.Array) -> np.ndarray:
+        """A number below ``KIND`` of each value, worked out once for each distinct one."""
+        values = pc.dictionary_encode(pc.fill_null(column, "\0"))
+        of = np.array([zlib.crc32(v.encode()) % KIND for v in values.dictionary.to_pylist()], np.int64)
+        return of[values.indices.to_numpy(zero_copy_only=False)] if n else np.zeros(0, np.int64)
 
-def hash_text(text: str) -> int:
-    total = 7
-    for b in text.encode():
-        total = (total * 131 + b + 1) & 0x7FFFFFFF
-    return total
+    lang, source = pc.fill_null(rows.column(2), "\0"), pc.fill_null(rows.column(3), "\0")
+    size = rows.column(4)
+    known = size.is_valid().to_numpy(zero_copy_only=False)
+    length = np.where(known, 1 + np.minimum(30, np.log2(1 + np.maximum(0, pc.fill_null(size, 0).to_numpy(zero_copy_only=False)))).astype(np.int64), 0)
+    both = pc.binary_join_element_wise(lang, source, "\1")
+    col = np.stack([hashed(lang), KIND + hashed(source), 2 * KIND + hashed(both), 3 * KIND + length, np.full(n, META - 1)], 1)
+    return Sparse(np.repeat(np.arange(n), col.shape[1]), col.ravel(), np.ones(col.size), n, META)
 
 
 def logistic(x: Sparse, y: np.ndarray, weight: np.ndarray, steps: int = 120, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
@@ -128,60 +141,102 @@ def combined(model: Model, text: Sparse, meta: Sparse) -> tuple[np.ndarray, np.n
     return one(z), one(a), one(b)
 
 
-def co_train(text: Sparse, meta: Sparse, y: np.ndarray, rounds: int = ROUNDS, grow: int = GROW) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of both views; ``y`` is 0 or 1 for labelled rows and -1 for others."""
-    views = (text, meta)
-    labels = [y.copy(), y.copy()]
-    share = max(0.05, (y == 1).sum() / max(1, (y >= 0).sum()))
-    weights = [np.zeros(0), np.zeros(0)]
-    for step in range(rounds + 1):
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def confident_sums(text: Sparse, meta: Sparse, weights: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For labels 0 and 1, sums of the content of rows that the metadata is sure of, of the metadata of rows that the content is sure of, and their numbers."""
+    total = []
+    for view, other, w in ((text, meta, weights[1]), (meta, text, weights[0])):
+        p = _sigmoid(other.dot(w))
+        for sure in (p <= 1 - CONFIDENT, p >= CONFIDENT):
+            own = sure.astype(float)
+            total += [view.back(own), [own.sum()]]
+    return np.concatenate(total)
+
+
+def pseudo_rows(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For the text and the metadata view: mean features of each pseudo-label's rows, and their numbers; over all documents."""
+    sent = docs.sparkSession.sparkContext.broadcast(weights)  # of fixed size
+    width = (BUCKETS + len(CLASSES) + 1, META)
+    size = 2 * (sum(width) + 2)
+    schema = "chunk int, amounts binary"
+
+    def rows_of(total: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["chunk", "amounts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for part in scan.slices(batch.column(1)):
+                rows = batch.slice(part.lo, part.hi - part.lo)
+                total += confident_sums(content(part), metadata(rows), sent.value)
+        yield rows_of({k: total[lo : lo + _CHUNK] for k, lo in enumerate(range(0, size, _CHUNK))})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total[chunk] = total.get(chunk, 0) + np.frombuffer(raw, float)
+        yield rows_of(total)
+
+    got = docs.mapInArrow(run, schema).repartition("chunk").mapInArrow(add, schema).toArrow()  # a fixed number of numbers
+    parts = dict(zip(got["chunk"].to_pylist(), got["amounts"].to_pylist(), strict=True))
+    flat = np.concatenate([np.frombuffer(parts[k], float) for k in sorted(parts)]) if parts else np.zeros(size)
+    out, at = [], 0
+    for w in width:
+        table = flat[at : at + 2 * (w + 1)].reshape(2, w + 1)
+        at += table.size
+        out.append((table[:, :-1] / np.maximum(1, table[:, -1:]), table[:, -1]))
+    return out
+
+
+def with_means(x: Sparse, means: np.ndarray, used: np.ndarray) -> Sparse:
+    """``x`` and one more row for each label in ``used``."""
+    r, c = np.nonzero(means[used])
+    return Sparse(np.concatenate([x.row, x.n + r]), np.concatenate([x.col, c]), np.concatenate([x.val, means[used][r, c]]), x.n + len(used), x.width)
+
+
+def co_train(text: Sparse, meta: Sparse, y: np.ndarray, exchange: Callable[[tuple[np.ndarray, np.ndarray]], list[tuple[np.ndarray, np.ndarray]]], rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of both views from labelled rows and, round by round, what ``exchange`` tells of the unlabelled ones."""
+    own = y.astype(float)
+    balance = np.where(own == 1, 0.5 / max(1, own.sum()), 0.5 / max(1, (1 - own).sum()))
+    weights = (logistic(text, own, balance), logistic(meta, own, balance))
+    for _ in range(rounds):
         found = []
-        for k in (0, 1):
-            rows = np.flatnonzero(labels[k] >= 0)
-            own = labels[k][rows].astype(float)
-            balance = np.where(own == 1, 0.5 / max(1, own.sum()), 0.5 / max(1, (1 - own).sum()))
-            balance[y[rows] < 0] *= 0.5  # pseudo-labels count half
-            weights[k] = logistic(views[k].take(rows), own, balance)
-            found.append(1 / (1 + np.exp(-np.clip(views[k].dot(weights[k]), -30, 30))))
-        if step == rounds:
-            break
-        for k, other in ((0, 1), (1, 0)):
-            free = np.flatnonzero(labels[other] < 0)
-            p = found[k][free]
-            for value, order, quota in ((1, np.argsort(-p, kind="stable"), grow * share), (0, np.argsort(p, kind="stable"), grow * (1 - share))):
-                best = order[: max(1, int(quota))]
-                sure = p[best] >= CONFIDENT if value else p[best] <= 1 - CONFIDENT
-                labels[other][free[best[sure]]] = value
-    return weights[0], weights[1]
+        for view, (means, counts) in zip((text, meta), exchange(weights), strict=True):
+            used = np.flatnonzero(counts)
+            rows = with_means(view, means, used)
+            found.append(logistic(rows, np.concatenate([own, used.astype(float)]), np.concatenate([balance, np.full(len(used), PSEUDO / 2)])))
+        weights = (found[0], found[1])
+    return weights
+
+
+COLUMNS = {"lang": "string", "source": "string", "n_chars": "bigint"}
 
 
 def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in scan.slices(batch.column(1)):
             own = batch.slice(part.lo, part.hi - part.lo)
-            text = content(part)
-            meta = metadata(part, own.column(2).to_pylist(), own.column(3).to_pylist())
+            text, meta = content(part), metadata(own)
             order = np.argsort(text.row, kind="stable")
             cut = np.searchsorted(text.row[order], np.arange(text.n + 1))
             cols, vals = text.col[order].astype(np.int32), text.val[order].astype(np.float32)
             rows = range(text.n)
-            per = len(meta.col) // max(1, meta.n)
-            m = meta.col.astype(np.int32).reshape(-1, per)
+            m = meta.col.astype(np.int32).reshape(text.n, -1)
+            binary = lambda parts: pa.array([x.tobytes() for x in parts], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [own.column(0), own.column(4), own.column(5), pa.array([cols[cut[k] : cut[k + 1]].tobytes() for k in rows], pa.binary()), pa.array([vals[cut[k] : cut[k + 1]].tobytes() for k in rows], pa.binary()), pa.array([m[k].tobytes() for k in rows], pa.binary())],
+                [own.column(0), own.column(5), own.column(6), binary(cols[cut[k] : cut[k + 1]] for k in rows), binary(vals[cut[k] : cut[k + 1]] for k in rows), binary(m[k] for k in rows)],
                 ["doc_id", "part", "y", "cols", "vals", "meta"],
             )
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: int = POOL, max_chars: int = MAX_CHARS) -> Model | None:
-    base = pick(docs, doc_id="bigint", text="string", lang="string", source="string")
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model | None:
+    base = pick(docs, doc_id="bigint", text="string", **COLUMNS)
     known, weight = sample(base, labels, "quality", per_class, max_chars)
-    # the pool is a bounded number of rows in the order of a hash; ids first, so that no text is sorted
-    ids = base.select("doc_id").where("doc_id is not null").join(pick(labels, doc_id="bigint"), "doc_id", "left_anti").distinct()
-    few = F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool))
-    free = base.where(F.length(F.coalesce("text", F.lit(""))) <= max_chars).join(few, "doc_id").withColumn("part", F.lit(1)).withColumn("y", F.lit(-1))
-    columns = ["doc_id", "text", "lang", "source", "part", "y"]
-    got = known.select(*columns).unionByName(free.select(*columns)).mapInArrow(_views, "doc_id long, part int, y int, cols binary, vals binary, meta binary").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    got = known.select("doc_id", "text", *COLUMNS, "part", "y").mapInArrow(_views, "doc_id long, part int, y int, cols binary, vals binary, meta binary").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
     y, part = got["y"].to_numpy(), got["part"].to_numpy()
     if not (y == 1).any() or not (y == 0).any():
         return None
@@ -191,13 +246,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, pool: in
     text = Sparse(row, np.concatenate(cols).astype(np.int64), np.concatenate(vals).astype(float), len(y), BUCKETS + len(CLASSES) + 1)
     m = np.stack([np.frombuffer(x, np.int32) for x in got["meta"].to_pylist()])
     meta = Sparse(np.repeat(np.arange(len(y)), m.shape[1]), m.ravel().astype(np.int64), np.ones(m.size), len(y), META)
-    tune = np.flatnonzero((part == 0) & (y >= 0))
+    tune, learn = np.flatnonzero(part == 0), np.flatnonzero(part != 0)
     if len(set(y[tune].tolist())) < 2:
-        tune = np.flatnonzero(y >= 0)
-    learn = np.flatnonzero((part != 0) | (y < 0)) if (part != 0).any() else np.arange(len(y))
-    if len(set(y[learn][y[learn] >= 0].tolist())) < 2:
+        tune = np.arange(len(y))
+    if len(set(y[learn].tolist())) < 2:
         learn = np.arange(len(y))
-    a, b = co_train(text.take(learn), meta.take(learn), y[learn])
+    a, b = co_train(text.take(learn), meta.take(learn), y[learn], lambda weights: pseudo_rows(base, weights))
     goal = y[tune].astype(float)
     za, zb = text.take(tune).dot(a), meta.take(tune).dot(b)
     # rows count as the labelled rows they stand for, so log-odds mean the same at every size
@@ -216,10 +270,10 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
         if own is None:
             half = np.full(part.hi - part.lo, 0.5)
             return {"score": half, "text_score": half, "meta_score": half}
-        both, text, meta = combined(own, content(part), metadata(part, rows.column(2).to_pylist(), rows.column(3).to_pylist()))
+        both, text, meta = combined(own, content(part), metadata(rows))
         return {"score": both, "text_score": text, "meta_score": meta}
 
-    return scores(docs, {"lang": "string", "source": "string"}, "score double, text_score double, meta_score double", score, 1 << 21)
+    return scores(docs, COLUMNS, "score double, text_score double, meta_score double", score, 1 << 21)
 
 
 def op4_co_training_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
