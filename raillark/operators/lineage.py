@@ -1,16 +1,30 @@
-"""Cutting a plan's lineage in the folder that the session names."""
+"""Cutting a plan's lineage, and scratch paths, in the folder that the session names."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to ``spark.checkpoint.dir``; a temporary folder only where none is set (tests)."""
-    context = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The checkpoint folder; only a local session without one gets a temporary folder."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder and read from there."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

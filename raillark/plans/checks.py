@@ -49,9 +49,12 @@ def check_packages(packages: DataFrame, cities: DataFrame, manifest: DataFrame,
     return facts.select("city_id", F.explode(problems).alias("problem"))
 
 
-def check_store(tables: dict[str, DataFrame], needed: tuple[str, ...]) -> list[str]:
-    """Names of relations that are missing or empty; each is looked at for one row."""
-    return [t for t in needed if t not in tables or tables[t].isEmpty()]
+def check_store(tables: dict[str, DataFrame], needed: tuple[str, ...]) -> DataFrame:
+    """table_name, problem of needed relations that are missing or empty; each is looked at for one row."""
+    spark = next(iter(tables.values())).sparkSession
+    gone = spark.createDataFrame([(t, "missing") for t in needed if t not in tables], "table_name string, problem string")
+    seen = [tables[t].limit(1).agg(F.count("*").alias("n")).where("n = 0").select(F.lit(t).alias("table_name"), F.lit("empty").alias("problem")) for t in needed if t in tables]
+    return reduce(DataFrame.unionByName, seen, gone)
 
 
 def check_sources(registry: DataFrame, candidate: DataFrame, switches: list[str]) -> DataFrame:

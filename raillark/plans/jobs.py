@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from raillark.functions.expr import destination, haversine_m, iso_utc, line_label, line_names, mode_of_route_type, prefix_id, relationship_name, search_name, slug
+from raillark.functions.expr import destination, haversine_m, iso_utc, line_label, line_names, mode_of_route_type, optional_text, prefix_id, relationship_name, search_name, slug
 from raillark.operators import aggregates, filters, joins, sets, windows
 
 Feed = dict[str, DataFrame]
@@ -229,18 +231,40 @@ def hourly_network(feed: Feed, days: DataFrame, trips: DataFrame) -> DataFrame:
     return rows.select("trip_id", "stop_ids", hours.alias("hour")).distinct().groupBy("hour").agg(F.count_distinct("trip_id").alias("n_trips"), F.size(F.array_distinct(F.flatten(F.collect_set("stop_ids")))).alias("n_stops"))
 
 
-def system_tables(records: dict[str, DataFrame]) -> Feed:
-    """Stations, edges, stop times, periods, calendar and interchanges of small systems from open-data records.
+# Our field, the record's field, and how it is read. An optional text
+# may be a word for nothing, a filled one is null if empty; needed ones must not be empty.
+SYSTEM_FIELDS = {
+    "stations": [("id", "code1", "needed"), ("name", "name", "needed"), ("name_english", "name_eng", "optional"), ("line", "line", "optional"), ("line_english", "line_eng", "optional"), ("transfer_station", "transf_st", "optional"), ("latitude", "latitude", "number"), ("longitude", "longitude", "number")],
+    "edges": [("id", "globalid", "text"), ("from_id", "from_code1", "needed"), ("to_id", "to_code1", "needed"), ("line", "num_route", "text"), ("line_english", "num_r_eng", "filled"), ("direction", "napryamok", "text"), ("position", "order_", "number")],
+    "stop_times": [("station_id", "code1", "needed"), ("name", "name", "filled"), ("line", "line", "filled"), ("direction", "napryamok", "filled"), ("first", "first_trn1", "filled"), ("last", "last_trn1", "filled")],
+    "train_times": [("station_id", "code1", "needed"), ("train_id", "train", "needed"), ("name", "name", "filled"), ("route", "num_route", "text"), ("route_english", "num_r_eng", "filled"), ("direction", "napryamok", "text"), ("service", "type", "text"), ("arrival", "arrival", "filled"), ("departure", "departure", "filled")],
+    "periods": [("line", "line", "text"), ("time_period", "timeperiod", "text"), ("weekday_forward", "st_weekday", "text"), ("weekday_reverse", "rv_weekday", "text"), ("holiday_forward", "st_holiday", "text"), ("holiday_reverse", "rv_holiday", "text")],
+    "calendar": [("station_id", "code1", "text"), ("line", "line", "filled"), ("opening", "open_max", "filled"), ("closing", "close_min", "filled")],
+    "interchanges": [("from_id", "from_code1", "text"), ("to_id", "to_code1", "text"), ("from_name", "from_name", "filled"), ("to_name", "to_name", "filled"), ("comment", "comment", "filled")],
+}
 
-    Each input has ``system`` and a ``record`` struct of texts; words for nothing read as null.
-    """
-    from raillark.functions.expr import optional_text
 
-    out = {}
+def system_tables(records: dict[str, DataFrame]) -> tuple[Feed, DataFrame]:
+    """Stations, edges, stop and train times, periods, calendar and interchanges of small systems, and the problems.
+
+    Each input has ``system`` and ``record``, a map of texts.  Problems (table_name,
+    system, problem): rows that lack a needed field, and station ids used twice.
+    """
+    out, problems = {}, []
     for name, df in records.items():
-        fields = df.schema["record"].dataType.fieldNames()
-        out[name] = df.select("system", *(optional_text(F.col(f"record.{f}")).alias(f) for f in fields))
-    return out
+        text = lambda field: F.trim(F.coalesce(F.col("record")[field], F.lit("")))
+        read = {"needed": text, "text": text, "filled": lambda f: F.nullif(text(f), F.lit("")), "optional": lambda f: optional_text(F.col("record")[f]), "number": lambda f: F.col("record")[f].try_cast("double")}
+        rows = df.select("system", *(read[kind](field).alias(own) for own, field, kind in SYSTEM_FIELDS[name]))
+        needed = [own for own, _, kind in SYSTEM_FIELDS[name] if kind == "needed"]
+        lacks = F.lit(False)
+        for c in needed:
+            lacks |= F.col(c) == ""
+        problems.append(rows.where(lacks).select(F.lit(name).alias("table_name"), "system", F.lit("incomplete").alias("problem")))
+        out[name] = rows.where(~lacks)
+        if name == "stations":
+            twice = out[name].groupBy("system", "id").agg(F.count("*").alias("n")).where("n > 1")
+            problems.append(twice.select(F.lit(name).alias("table_name"), "system", F.lit("repeated").alias("problem")))
+    return out, reduce(DataFrame.unionByName, problems)
 
 
 def nearest_center(packages: DataFrame, cities: DataFrame) -> DataFrame:

@@ -19,8 +19,14 @@ COLUMNS = {
     "transfers": ["from_stop_id", "to_stop_id", "from_trip_id", "to_trip_id", "from_route_id", "to_route_id", "transfer_type", "min_transfer_time"],
     "pathways": ["pathway_id", "from_stop_id", "to_stop_id", "pathway_mode", "is_bidirectional"],
     "agency": ["agency_id", "agency_name", "agency_timezone"],
+    "frequencies": ["trip_id", "start_time", "end_time", "headway_secs", "exact_times"],
+    "fare_attributes": ["fare_id", "price", "currency_type", "payment_method", "transfers"],
+    "fare_rules": ["fare_id", "route_id", "origin_id", "destination_id", "contains_id"],
+    "feed_info": ["feed_publisher_name", "feed_publisher_url", "feed_lang", "feed_version"],
 }
 REQUIRED = ("stops", "routes", "trips", "stop_times")
+#: Tables of numbers and ids only: no quoted line break, so a large file can be split.
+SPLIT = ("stop_times", "shapes")
 
 
 def gtfs_table(spark: SparkSession, feed_dir: str, name: str, required: bool | None = None, feed_id: str = "") -> DataFrame:
@@ -31,9 +37,9 @@ def gtfs_table(spark: SparkSession, feed_dir: str, name: str, required: bool | N
     must = name in REQUIRED if required is None else required
     names = COLUMNS[name]
     try:
-        raw = spark.read.csv(f"{feed_dir}/{name}.txt", header=True, inferSchema=False, encoding="UTF-8", quote='"', escape='"', multiLine=False)
-    except AnalysisException:
-        if must:
+        raw = spark.read.csv(f"{feed_dir}/{name}.txt", header=True, inferSchema=False, encoding="UTF-8", quote='"', escape='"', multiLine=name not in SPLIT)
+    except AnalysisException as e:
+        if must or e.getCondition() != "PATH_NOT_FOUND":
             raise
         empty = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "feed_id"]] + [T.StructField("source_order", T.LongType())])
         return spark.createDataFrame([], empty)
@@ -133,8 +139,13 @@ def read_package(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 def artifact_digest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """SHA-256 and size of each file, and of the folder: over the sorted names, lengths and digests."""
+    """SHA-256 and size of each file by its path in the folder, and of the folder: over the sorted paths, lengths and digests.
+
+    The digest of digests stands for one over all bytes, which no second task could share.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    each = files.select(F.element_at(F.split("path", "/"), -1).alias("source_id"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
-    line = F.concat_ws(":", "source_id", F.col("size").cast("string"), "sha256")
+    root = path.split("://")[-1].removeprefix("file:").rstrip("/") + "/"
+    inner = F.element_at(F.split(F.col("path"), F.concat(F.lit("\\Q"), F.lit(root), F.lit("\\E")), 2), -1)
+    each = files.select(inner.alias("source_id"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    line = F.concat_ws(":", F.octet_length("source_id").cast("string"), "source_id", F.col("size").cast("string"), "sha256")
     return each, each.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n").cast("binary"), 256).alias("sha256"), F.sum("size").alias("size"))

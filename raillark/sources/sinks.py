@@ -8,22 +8,28 @@ from pyspark.sql import functions as F
 from raillark.functions.expr import search_name
 
 
-def package_rows(df: DataFrame, kind: str) -> DataFrame:
-    """city_id and the one line of JSON that its file holds."""
+def package_rows(df: DataFrame, kind: str, per_file: int = 100_000) -> DataFrame:
+    """city_id, part and the one line of JSON that its file holds.
+
+    A city of more than ``per_file`` rows is dealt to several parts by its stop ids, so
+    that no row of the result holds more than about so many.
+    """
+    parts = df.groupBy("city_id").agg(F.ceil(F.count("*") / per_file).alias("_parts"))
+    dealt = df.join(parts, "city_id").withColumn("part", F.pmod(F.xxhash64("stop_id"), F.col("_parts")).cast("int"))
     if kind == "stops":
         item = F.struct(search_name("stop_name").alias("k"), F.col("stop_id").alias("id"), F.col("stop_name").alias("name"), F.col("stop_lat").alias("latitude"), F.col("stop_lon").alias("longitude"))
-        rows = df.groupBy("city_id").agg(F.array_sort(F.collect_list(item)).alias("x"))
+        rows = dealt.groupBy("city_id", "part").agg(F.array_sort(F.collect_list(item)).alias("x"))
         shown = F.transform("x", lambda s: F.struct(s["id"].alias("id"), s["name"].alias("name"), s["k"].alias("search_name"), s["latitude"].alias("latitude"), s["longitude"].alias("longitude")))
-        return rows.select("city_id", F.to_json(shown).alias("value"))
+        return rows.select("city_id", "part", F.to_json(shown).alias("value"))
     item = F.struct(F.col("departure_time").alias("t"), F.col("trip_id").alias("p"), F.col("stop_sequence").alias("q"), F.col("route_id").alias("r"), F.col("destination").alias("h"))
-    stops = df.groupBy("city_id", "stop_id").agg(F.array_sort(F.collect_list(item)).alias("d"))
-    rows = stops.groupBy("city_id").agg(F.array_sort(F.collect_list(F.struct("stop_id", "d"))).alias("x"))
-    return rows.select("city_id", F.to_json(F.map_from_entries("x")).alias("value"))
+    stops = dealt.groupBy("city_id", "part", "stop_id").agg(F.array_sort(F.collect_list(item)).alias("d"))
+    rows = stops.groupBy("city_id", "part").agg(F.array_sort(F.collect_list(F.struct("stop_id", "d"))).alias("x"))
+    return rows.select("city_id", "part", F.to_json(F.map_from_entries("x")).alias("value"))
 
 
 def write_city_package(df: DataFrame, folder: str, kind: str) -> None:
     """One folder a city with its compact file, and the rows as Parquet beside it."""
-    package_rows(df, kind).write.mode("overwrite").partitionBy("city_id").text(f"{folder}/json")
+    package_rows(df, kind).drop("part").write.mode("overwrite").partitionBy("city_id").text(f"{folder}/json")
     df.write.mode("overwrite").partitionBy("city_id").parquet(f"{folder}/parquet")
 
 
