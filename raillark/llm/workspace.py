@@ -2,7 +2,7 @@
 
 Tables are cut from their lineage by writing them there, so that a lost
 executor costs a re-read and no recomputation.  Only where the session names no
-folder (tests, a notebook) is a temporary one made.
+folder (tests, a notebook) is a temporary one made, and only in a local session.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     have = spark.sparkContext.getCheckpointDir()
     if not have:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         have = spark.sparkContext.getCheckpointDir()
     return have.rstrip("/")

@@ -125,9 +125,25 @@ def test_archive_of_no_records(tmp_path):
         warc_zstd.write_file(fs.LocalFileSystem(), f"{tmp_path}/none", iter([]))
 
 
-@pytest.mark.parametrize("name", ["quality", "near"])
-def test_pipeline_stage_keeps_columns(spark, edge_docs, name):
+@pytest.mark.parametrize("name", ["quality", "toxic", "lines", "near"])
+def test_pipeline_stage_keeps_columns(spark, edge_docs, no_docs, name):
     import corpus_pipeline
 
-    out = getattr(corpus_pipeline, name)(spark, edge_docs, "/root/testdata/sf0.001")
-    assert out.columns == edge_docs.columns
+    stage = getattr(corpus_pipeline, name)
+    for docs in (edge_docs, no_docs):
+        assert stage(spark, docs, "/root/testdata/sf0.001").columns == edge_docs.columns
+
+
+def test_whole_pipeline(spark, edge_docs, no_docs, labels, tmp_path):
+    """Clashing columns and an empty table go through all stages; what comes out is packed pieces of kept documents."""
+    import corpus_pipeline
+
+    good = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for name, docs in (("edges", edge_docs), ("none", no_docs), ("plain", good)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    corpus_pipeline.run(spark, f"{tmp_path}/edges").collect()
+    rows = corpus_pipeline.run(spark, f"{tmp_path}/plain").collect()
+    judged = {r.doc_id for r in quality_rules.judged(good).where("kept").collect()}
+    assert rows and {r.doc_id for r in rows} <= judged
