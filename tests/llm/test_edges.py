@@ -141,7 +141,8 @@ def test_whole_pipeline(spark, edge_docs, no_docs, labels, tmp_path):
     good = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for name, docs in (("edges", edge_docs), ("none", no_docs), ("plain", good)):
         docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
-        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        known = spark.read.parquet("/root/testdata/sf0.001/labels.parquet") if name == "plain" else labels
+        known.write.parquet(f"{tmp_path}/{name}/labels.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
     corpus_pipeline.run(spark, f"{tmp_path}/edges").collect()
     rows = corpus_pipeline.run(spark, f"{tmp_path}/plain").collect()
