@@ -76,13 +76,13 @@ def join_agency_closure(v: Source):
     return out
 
 
-_SUFFIX = "rt AS (SELECT DISTINCT CASE WHEN trip_id % 3 = 0 THEN 'x_'||trip_id||'_'||m ELSE trip_id||'_'||m END AS trip_id FROM (SELECT o_orderkey AS trip_id, o_custkey % 5 AS m FROM orders))"
+_SUFFIX = "rt AS (SELECT DISTINCT CASE WHEN trip_id % 3 = 0 THEN 'x_'||m||'_'||trip_id ELSE m||'_'||trip_id END AS trip_id FROM (SELECT o_orderkey AS trip_id, o_custkey % 5 AS m FROM orders))"
 
 
-@query(sql="WITH " + _SUFFIX + ", ask AS (SELECT DISTINCT CAST(o_orderkey AS STRING)||'_'||CAST(o_custkey % 5 AS STRING) AS rt_trip_id FROM orders) SELECT rt_trip_id, trip_id FROM (SELECT a.rt_trip_id, min(t.trip_id) AS trip_id FROM ask a JOIN rt t ON a.rt_trip_id=t.trip_id GROUP BY 1 UNION ALL SELECT a.rt_trip_id, min(t.trip_id) FROM ask a JOIN rt t ON suffix(t.trip_id, a.rt_trip_id) WHERE a.rt_trip_id NOT IN (SELECT trip_id FROM rt) GROUP BY 1 HAVING count(*)=1)")
+@query(sql="WITH " + _SUFFIX + ", ask AS (SELECT DISTINCT CAST(o_custkey % 5 AS STRING)||'_'||CAST(o_orderkey AS STRING) AS rt_trip_id FROM orders) SELECT rt_trip_id, trip_id FROM (SELECT a.rt_trip_id, min(t.trip_id) AS trip_id FROM ask a JOIN rt t ON a.rt_trip_id=t.trip_id GROUP BY 1 UNION ALL SELECT a.rt_trip_id, min(t.trip_id) FROM ask a JOIN rt t ON suffix(t.trip_id, a.rt_trip_id) WHERE a.rt_trip_id NOT IN (SELECT trip_id FROM rt) GROUP BY 1 HAVING count(*)=1)")
 def join_suffix_unique(v: Source):
     rows = v.spark.read.parquet(f"{v.sf_dir}/orders.parquet")
-    base = F.concat_ws("_", F.col("o_orderkey").cast("string"), (F.col("o_custkey") % 5).cast("string"))
+    base = F.concat_ws("_", (F.col("o_custkey") % 5).cast("string"), F.col("o_orderkey").cast("string"))
     trips = rows.select(F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("x_"), base)).otherwise(base).alias("trip_id")).distinct()
     asked = rows.select(base.alias("rt_trip_id")).distinct()
     return joins.resolve_trip_suffix(asked, trips)
