@@ -52,9 +52,9 @@ def job_station_departures(v: Source):
     return rows.select("output_stop_id", "service_date", "departure_time", "trip_id", "stop_sequence", "source_order", "label", "destination", "mode")
 
 
-@query("radius t_stop_times t_trips t_calendar_dates", "SELECT x.stop_id, x.departure_time, x.trip_id, t.route_id, t.headsign, x.stop_sequence, row_number() OVER (PARTITION BY x.stop_id ORDER BY x.departure_time, x.trip_id, x.stop_sequence, x.source_order) AS rank FROM t_stop_times x JOIN t_trips t USING (trip_id) WHERE x.stop_id IN (SELECT stop_id FROM radius) AND t.service_id IN (SELECT service_id FROM t_calendar_dates WHERE service_date='20240116' AND exception_type=1)")
+@query("radius t_stop_times t_trips t_calendar_dates", "SELECT x.stop_id, x.departure_time, x.trip_id, t.route_id, t.headsign, x.stop_sequence, row_number() OVER (PARTITION BY x.stop_id ORDER BY x.departure_time, x.trip_id, x.stop_sequence, x.source_order) AS rank FROM t_stop_times x JOIN t_trips t USING (trip_id) WHERE x.stop_id IN (SELECT stop_id FROM radius) AND t.service_id IN (SELECT service_id FROM t_calendar_dates WHERE service_date='20240115' AND exception_type=1)")
 def job_day_departures(v: Source):
-    return jobs.day_departures(v.feed(), city_stops(v), "20240116")
+    return jobs.day_departures(v.feed(), city_stops(v), "20240115")
 
 
 _NAMES = "concat_ws('/', nullif(short_name,''), CASE WHEN long_name<>short_name THEN nullif(long_name,'') END)"
