@@ -5,12 +5,19 @@ The plan is made on the histogram of piece lengths, which has at most
 
 1. large lengths are split into groups of equal cardinality and rounded up to
    their group's longest, which leaves a few sizes;
-2. configurations of those sizes are chosen one after another, each the fullest
-   that the sizes still left allow (a greedy choice), and used as often as they last;
-3. the documents themselves take the places of their group's rounded size, and
-   any room that rounding left is seen again as room;
-4. small lengths, longest first, go where they leave the least room (best fit),
-   class by class; what fits nowhere opens further sequences.
+2. the linear programme over configurations of those sizes (fewest sequences that
+   hold every rounded length) is solved by column generation: a knapsack at the
+   current prices gives the next configuration, until none improves;
+3. configurations are used a whole number of times, rounded down; the documents
+   themselves take the places of their group's rounded size, and any room that
+   rounding left is seen again as room;
+4. small lengths and the few large ones that rounding down left over, longest first,
+   go where they leave the least room (best fit), class by class; what fits nowhere
+   opens further sequences.
+
+Few sizes leave room that small documents fill, many sizes leave little where there
+are none, so a plan is made for each number of groups in ``GROUPS`` and the one with
+the fewest sequences is used.
 
 Pieces are then matched to the plan by their rank among pieces of their length.
 Ranks are dealt over salted parts of each length, so a third of all documents of
@@ -46,8 +53,10 @@ MODEL = "word_bpe_49k.json"
 CACHE = 1 << 20
 #: Parts that the pieces of one length are ranked in: so many, and one more for each ``RANKED`` pieces.
 SALTS, RANKED = 64, 1 << 18
-#: Sizes over which configurations are optimised, and the least large length.
-GROUPS, LARGE = 24, 512
+#: Numbers of sizes over which configurations are optimised, each tried; lengths from a quarter of the capacity on are large.
+GROUPS = (12, 24, 48, 96)
+#: Gain in price below which a configuration no longer counts as better, and steps of the programme a size.
+GAIN, STEPS = 1e-6, 60
 #: White space that str.split() takes and the tokenizer may not.
 _ODD = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 _PLAIN = re.compile("[ \t\n\r\x0b\x0c]+")
@@ -153,24 +162,82 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, end: int = END, model:
     return pick(docs, doc_id="bigint", text="string").mapInArrow(_token_batches(model, capacity, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
+def dearest(sizes: list[int], prices: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
+    """How often each size occurs in the multiset of most worth that fits, and that worth."""
+    worth, picks = np.zeros(capacity + 1), []
+    for _ in range(capacity // min(sizes)):  # one more item a step
+        better, pick = worth.copy(), np.full(capacity + 1, -1)
+        for i in np.flatnonzero(prices > 0):
+            size = sizes[i]
+            offer = worth[:-size] + prices[i]
+            at = np.flatnonzero(offer > better[size:] + 1e-12)
+            better[size + at], pick[size + at] = offer[at], i
+        if (pick < 0).all():
+            break
+        worth = better
+        picks.append(pick)
+    room = int(worth.argmax())
+    best, times = float(worth[room]), np.zeros(len(sizes))
+    for pick in reversed(picks):
+        if pick[room] >= 0:
+            times[pick[room]] += 1
+            room -= sizes[pick[room]]
+    return times, best
+
+
+def configurations(stock: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Configurations of the sizes in ``stock`` and how often each is used in the linear programme, rounded down.
+
+    Every basis met on the way holds the whole stock, so the bound on the steps costs at most some room.
+    """
+    sizes = sorted(stock, reverse=True)
+    if not sizes:
+        return []
+    need = np.array([stock[s] for s in sizes], float)
+    basis = np.diag([float(capacity // s) for s in sizes])
+    for _ in range(STEPS * len(sizes)):
+        inverse = np.linalg.inv(basis)
+        used = np.maximum(inverse @ need, 0)
+        column, worth = dearest(sizes, inverse.sum(axis=0), capacity)
+        if worth <= 1 + GAIN:
+            break
+        along = inverse @ column
+        rising = along > 1e-9
+        basis[:, np.where(rising, used / np.where(rising, along, 1), np.inf).argmin()] = column
+    used = np.maximum(np.linalg.inv(basis) @ need, 0)
+    return [({s: int(k) for s, k in zip(sizes, basis[:, j]) if k}, int(used[j] + GAIN)) for j in range(len(sizes))]
+
+
+def best_plan(counts: dict[int, int], capacity: int) -> Plan:
+    """The plan with the fewest sequences over ``GROUPS``; ties go to fewer groups."""
+    least = -(-sum(n * c for n, c in counts.items()) // capacity)
+    best = None
+    for groups in GROUPS:
+        plan = Plan(counts, capacity, groups)
+        if best is None or plan.sequences < best.sequences:
+            best = plan
+        if best.sequences == least:
+            break
+    return best
+
+
 class Plan:
     """Sequences as runs of bins that hold the same lengths.
 
     ``bins``: [number of bins, used room, lengths in order] each.
     """
 
-    def __init__(self, counts: dict[int, int], capacity: int, groups: int = GROUPS, large: int = LARGE):
+    def __init__(self, counts: dict[int, int], capacity: int, groups: int, large: int | None = None):
         self.capacity = capacity
         self.bins: list[list] = []
         left = {n: c for n, c in counts.items() if c}
-        self._configure({n: left.pop(n) for n in sorted(left) if n >= large}, groups)
+        left |= self._configure({n: left.pop(n) for n in sorted(left) if n >= (large or max(1, capacity // 4))}, groups)
         self._best_fit(left)
+        self.sequences = sum(b[0] for b in self.bins)
 
-    def _configure(self, big: dict[int, int], groups: int) -> None:
-        """Groups of equal cardinality, rounded up; configurations of these few sizes."""
+    def _configure(self, big: dict[int, int], groups: int) -> dict[int, int]:
+        """Groups of equal cardinality, rounded up; configurations of these few sizes. Returns the lengths left over."""
         total = sum(big.values())
-        if not total:
-            return
         members: dict[int, list[list[int]]] = defaultdict(list)
         seen, share, run = 0, -(-total // groups), []
         for n in sorted(big, reverse=True):
@@ -182,36 +249,13 @@ class Plan:
         if run:
             members[run[0][0]] = run
         stock = {size: sum(c for _, c in run) for size, run in members.items()}
-        while stock:
-            config = self._fullest(stock)
-            times = min(stock[s] // k for s, k in config.items())
-            for s, k in config.items():
-                stock[s] -= k * times
-                if not stock[s]:
-                    del stock[s]
-            self._substitute(config, times, members)
-
-    def _fullest(self, stock: dict[int, int]) -> dict[int, int]:
-        """A multiset of the sizes in stock whose sum comes nearest the capacity, with the largest size in it."""
-        top = max(stock)
-        reach: dict[int, tuple[int, int] | None] = {top: None}
-        for size in sorted(stock, reverse=True):
-            most = min(stock[size] - (size == top), self.capacity // size)
-            for total in list(reach):
-                for k in range(1, most + 1):
-                    now = total + k * size
-                    if now > self.capacity:
-                        break
-                    if now not in reach:
-                        reach[now] = (size, total)
-        best = max(reach)
-        config: dict[int, int] = defaultdict(int)
-        config[top] += 1
-        while reach[best] is not None:
-            size, before = reach[best]
-            config[size] += (best - before) // size
-            best = before
-        return dict(config)
+        for config, times in configurations(stock, self.capacity):
+            times = min([times, *(stock[s] // k for s, k in config.items())])
+            if times:
+                for s, k in config.items():
+                    stock[s] -= k * times
+                self._substitute(config, times, members)
+        return {n: c for run in members.values() for n, c in run if c}
 
     def _substitute(self, config: dict[int, int], times: int, members: dict) -> None:
         """Real lengths, longest first, in the places of the rounded sizes."""
@@ -302,7 +346,6 @@ class Plan:
                 offset += per * n
                 k += per
             sequence += times
-        self.sequences = sequence
         return {n: np.array(rows, np.int64).T for n, rows in out.items()}
 
 
@@ -316,7 +359,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     by: dict[int, np.ndarray] = {n: np.zeros(SALTS + c // RANKED, np.int64) for n, c in total.items()}
     for r in counts:
         by[r["length"]][r["_salt"]] = r["count"]
-    plan = Plan({int(n): int(c) for n, c in total.items()}, capacity).tables()
+    plan = best_plan({int(n): int(c) for n, c in total.items()}, capacity).tables()
     before = {n: np.cumsum(c) - c for n, c in by.items()}
     sent = spark.sparkContext.broadcast((before, plan))  # bounded by the number of lengths, not of documents
 
