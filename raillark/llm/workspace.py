@@ -54,3 +54,11 @@ def pick(docs: DataFrame, **wanted: str) -> DataFrame:
         else:
             out.append((docs[f"`{name}`"].cast(kind) if name in have else F.lit(None).cast(kind)).alias(name))
     return docs.select(*out)
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until no column of ``docs`` has it."""
+    have = {c.lower() for c in docs.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
