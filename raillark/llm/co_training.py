@@ -236,7 +236,7 @@ def _views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model | None:
     base = pick(docs, doc_id="bigint", text="string", **COLUMNS)
     known, weight = sample(base, labels, "quality", per_class, max_chars)
-    got = known.select("doc_id", "text", *COLUMNS, "part", "y").mapInArrow(_views, "doc_id long, part int, y int, cols binary, vals binary, meta binary").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    got = known.select("doc_id", "text", *COLUMNS, "part", "y").mapInArrow(_views, "doc_id long, part int, y int, cols binary, vals binary, meta binary").toArrow().sort_by([("doc_id", "ascending"), ("cols", "ascending"), ("vals", "ascending"), ("meta", "ascending")])
     y, part = got["y"].to_numpy(), got["part"].to_numpy()
     if not (y == 1).any() or not (y == 0).any():
         return None

@@ -140,8 +140,13 @@ def without(text: Column, spans: Column) -> Column:
     own = F.filter(F.split(text, _GAP, -1), lambda w: w != "")
     gaps = F.split(text, _WORD, -1)  # one more than words
     gone = F.flatten(F.transform(spans, lambda s: F.sequence(s["lo"], s["hi"] - 1)))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(own) - 1), gone)
-    return F.concat(F.get(gaps, F.lit(0)), F.array_join(F.transform(kept, lambda i: F.concat(F.get(own, i), F.get(gaps, i + 1))), ""))
+
+    def joined(x: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(x["own"]) - 1), gone)
+        return F.concat(F.get(x["gaps"], F.lit(0)), F.array_join(F.transform(kept, lambda i: F.concat(F.get(x["own"], i), F.get(x["gaps"], i + 1))), ""))
+
+    # words and gaps are bound once: an expression named in an inner function is worked out for each of its elements
+    return F.get(F.transform(F.array(F.struct(own.alias("own"), gaps.alias("gaps"))), joined), F.lit(0))
 
 
 def cleaned(docs: DataFrame, benchmark: DataFrame, remove: str = "spans", size: int = NGRAM, limit: int = BROADCAST_BYTES) -> DataFrame:

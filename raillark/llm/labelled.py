@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from raillark.llm import scan
-from raillark.llm.workspace import pick
+from raillark.llm.workspace import pick, stored
 
 
 def part_of(doc_id: Column) -> Column:
@@ -21,16 +21,20 @@ def part_of(doc_id: Column) -> Column:
 def sample(docs: DataFrame, labels: DataFrame, target: str, per_class: int, max_chars: int) -> tuple[DataFrame, np.ndarray]:
     """doc_id, part, y and the documents' columns of at most ``per_class`` rows of each label; the weight of either label.
 
-    Rows are taken in the order of a hash of their id, never from part 2.  The
-    sample is bounded, so it is small enough to send to every task.  A row of label
-    y stands for ``weight[y]`` labelled rows: 1 where all of them are taken.
+    Only labels whose document is there, with up to ``max_chars`` characters, can be
+    drawn, so no other label takes a place in the sample.  Rows are taken in the order of a hash of
+    their id, never from part 2.  The sample is bounded, so it is small enough to send
+    to every task.  A row of label y stands for ``weight[y]`` labelled documents (of any length): 1 where
+    all of them are taken.
     """
+    there = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.length(F.coalesce("text", F.lit("")))).alias("chars"))
     known = pick(labels, doc_id="bigint", **{target: "int"}).where(f"doc_id is not null and {target} in (0, 1)").groupBy("doc_id").agg(F.max(target).alias("y"))
     known = known.withColumn("part", part_of(F.col("doc_id"))).where("part <> 2").withColumn("order", F.xxhash64("doc_id"))
-    chosen = [known.where(F.col("y") == y).orderBy("order", "doc_id").limit(per_class) for y in (0, 1)]
+    known = stored(known.join(there, "doc_id"), "labelled")
+    chosen = [known.where((F.col("y") == y) & (F.col("chars") <= max_chars)).orderBy("order", "doc_id").limit(per_class) for y in (0, 1)]
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     weight = np.array([max(1.0, counts.get(y, 0) / max(1, per_class)) for y in (0, 1)])
-    few = F.broadcast(chosen[0].unionByName(chosen[1]).drop("order"))  # 2 * per_class rows at most
+    few = F.broadcast(chosen[0].unionByName(chosen[1]).drop("order", "chars"))  # 2 * per_class rows at most
     return docs.where(F.length(F.coalesce("text", F.lit(""))) <= max_chars).join(few, "doc_id"), weight
 
 

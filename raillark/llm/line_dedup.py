@@ -31,8 +31,9 @@ The order of rarity comes from counts of hashed tokens (``BUCKETS`` numbers, a
 fixed size); any order gives the same result.
 
 Defined results: lines without a word are left alone; null and empty texts have no lines to remove; of equal lines the first stays;
-rows that share a ``doc_id`` share their fate line by line; a null ``doc_id``
-takes no part.  Only removed lines change a text, with the line break that follows them.
+rows of different texts that share a ``doc_id`` count as one document, its lines
+numbered on from text to text, so each row loses only lines that matched; a null
+``doc_id`` takes no part.  Only removed lines change a text, with the line break that follows them.
 """
 
 from __future__ import annotations
@@ -44,9 +45,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from raillark.llm import scan
-from raillark.llm.workspace import pick, stored
+from raillark.llm.workspace import free_name, pick, stored
 
 PERCENT = 80
 BUCKET_BITS = 18
@@ -170,14 +172,14 @@ def surveyed(base: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, before = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
             for part in scan.slices(batch.column(1)):
                 x, every = line_sets(part)
                 total += np.bincount((every >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=BUCKETS)
                 if not len(x.row):
                     continue
                 key, key2 = set_keys(x)
-                cols = [ids[part.lo + x.row], x.number, key, key2, x.size]
+                cols = [ids[part.lo + x.row], before[part.lo + x.row] + x.number, key, key2, x.size]
                 blank = [pa.nulls(len(key), kinds[5]), pa.nulls(len(key), kinds[6])]
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), *blank], names)
         parts = total.reshape(-1, _CHUNK)
@@ -214,12 +216,13 @@ def posted(base: DataFrame, copies: DataFrame, ranks: np.ndarray, counts: np.nda
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, before = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
             for part in scan.slices(batch.column(1)):
                 x, _ = line_sets(part)
                 used, sketch, bounds, key = postings(x, *sent.value, percent)
                 keys = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(key, pa.int64()))
-                cols = [ids[part.lo + x.row[used]], x.number[used], *sketch]
+                row = part.lo + x.row[used]
+                cols = [ids[row], before[row] + x.number[used], *sketch]
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols), keys], ["doc_id", "line_no", "sketch", "sketch2", "keys"])
 
     rows = base.mapInArrow(run, "doc_id long, line_no long, sketch long, sketch2 long, keys array<long>")
@@ -444,12 +447,33 @@ def _verify(percent: int):
     return run
 
 
-def removed_lines(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def shared_ids(docs: DataFrame) -> DataFrame | None:
+    """doc_id, hash, n, before: texts of the doc_ids that several rows have, their lines and the lines of those before; None where there are none."""
+    base = pick(docs, doc_id="bigint", text="string").where("doc_id is not null")
+    ids = stored(base.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id"), "shared")  # reads ids alone
+    if ids.isEmpty():
+        return None
+    texts = base.join(ids, "doc_id").select("doc_id", F.xxhash64("text").alias("hash"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("bigint").alias("n")).distinct()
+    ahead = Window.partitionBy("doc_id").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
+    return stored(texts.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0))), "shared")
+
+
+def numbered(docs: DataFrame, shared: DataFrame | None) -> DataFrame:
+    """doc_id, text, and the number at which the row's lines begin."""
+    base = pick(docs, doc_id="bigint", text="string").where("doc_id is not null")
+    if shared is None:
+        return base.withColumn("before", F.lit(0).cast("bigint"))
+    same = (base["doc_id"] == shared["doc_id"]) & (F.xxhash64(base["text"]) == shared["hash"])
+    return base.join(shared, same, "left").select(base["doc_id"], base["text"], F.coalesce("before", F.lit(0)).cast("bigint").alias("before"))
+
+
+def removed_lines(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK, *, shared: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(doc_id, line_no, how) of every line that goes, and (doc_id, line_no, key, key2, n) of all lines with a word.
 
     ``how`` is 'copy' for a line whose word set occurred before, else 'near'.
+    ``shared`` comes from :func:`shared_ids`, without which it is called here.
     """
-    base = pick(docs, doc_id="bigint", text="string").where("doc_id is not null")
+    base = numbered(docs, shared if shared is not None else shared_ids(docs))
     survey = stored(surveyed(base), "survey")
     ranks, counts = token_ranks(survey)
     lines = survey.where("chunk is null").drop("chunk", "counts")
@@ -500,18 +524,23 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -
 
 
 def _line_texts(base: DataFrame, pairs: DataFrame) -> DataFrame:
-    """doc_id, line_no, line of all lines that the pairs name; rows that share a doc_id each give theirs."""
+    """doc_id, line_no, line of all lines that the pairs name."""
     need = pairs.select("doc_id", "line_no").union(pairs.select("first_doc", "first_line")).distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted"))
     need = stored(need, "need")  # of a known size
     cut = base.join(need, "doc_id").withColumn("cut", F.split("text", "\n"))
-    rows = cut.select("doc_id", F.explode(F.transform("wanted", lambda k: F.struct(k.alias("line_no"), F.get("cut", k.cast("int")).alias("line")))).alias("x"))
+    rows = cut.select("doc_id", F.explode(F.transform("wanted", lambda k: F.struct(k.alias("line_no"), F.get("cut", (k - F.col("before")).cast("int")).alias("line")))).alias("x"))
     return stored(rows.select("doc_id", "x.line_no", "x.line").where("line is not null").distinct(), "texts")
 
 
 def without(text: Column, gone: Column) -> Column:
     """``text`` less the lines of the numbers in ``gone``."""
-    kept = F.filter(F.transform(F.split(text, "\n"), lambda x, k: F.when(~F.array_contains(gone, k.cast("bigint")), x)), lambda x: x.isNotNull())
-    return F.array_join(kept, "\n")
+
+    def joined(lines: Column) -> Column:
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)  # by hashing, in order
+        return F.array_join(F.transform(kept, lambda k: F.get(lines, k)), "\n")
+
+    # the lines are bound once: an expression named in an inner function is worked out for each of its elements
+    return F.get(F.transform(F.array(F.split(text, "\n")), joined), F.lit(0))
 
 
 def cleaned(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -519,14 +548,22 @@ def cleaned(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows that lose all their words go; rows without any word before stay.
     """
-    gone, _ = removed_lines(docs, percent)
-    by_doc = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line_no").alias("_gone"))
-    both = docs.join(by_doc, F.col("doc_id").cast("bigint") == F.col("_id"), "left")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(without(F.col("text"), F.col("_gone")))
-    both = both.withColumn("text", text).where(F.col("_gone").isNull() | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
+    shared = shared_ids(docs)
+    gone, _ = removed_lines(docs, percent, shared=shared)
+    id_, hash_, cut = (free_name(docs, x) for x in ("_id", "_hash", "_gone"))
+    if shared is None:
+        gone = gone.withColumn("hash", F.lit(None).cast("bigint")).withColumn("before", F.lit(0))
+    else:  # a number belongs to the text in whose range it lies
+        gone = gone.join(shared, "doc_id", "left").where("hash is null or line_no >= before and line_no < before + n")
+    number = (F.col("line_no") - F.coalesce("before", F.lit(0))).cast("int")
+    by_text = gone.groupBy(F.col("doc_id").alias(id_), F.col("hash").alias(hash_)).agg(F.collect_set(number).alias(cut))
+    text = docs["text"].cast("string")
+    both = docs.join(by_text, (docs["doc_id"].cast("bigint") == F.col(id_)) & (F.col(hash_).isNull() | (F.xxhash64(text) == F.col(hash_))), "left")
+    both = both.withColumn("text", F.when(F.col(cut).isNull(), F.col("text")).otherwise(without(F.col("text"), F.col(cut))))
+    both = both.where(F.col(cut).isNull() | F.col("text").rlike("[^\\x20\\x09-\\x0D]"))
     if "n_chars" in docs.columns:
-        both = both.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return both.select(*docs.columns)
+        both = both.withColumn("n_chars", F.when(F.col(cut).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return both.select(*(f"`{c}`" for c in docs.columns))
 
 
 def op3_line_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:

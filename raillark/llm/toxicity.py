@@ -206,7 +206,7 @@ def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> Model | None:
     """A calibrated model; part 0 of the sample calibrates, parts 1 and 3 train."""
     rows, weight = sample(pick(docs, doc_id="bigint", text="string", lang="string"), labels, "toxic", per_class, max_chars)
-    got = rows.select("doc_id", "text", "lang", "part", "y").mapInArrow(_sample_batches, "doc_id long, lang string, part int, y int, ids binary").toArrow().sort_by("doc_id")
+    got = rows.select("doc_id", "text", "lang", "part", "y").mapInArrow(_sample_batches, "doc_id long, lang string, part int, y int, ids binary").toArrow().sort_by([("doc_id", "ascending"), ("ids", "ascending")])
     ids = [np.frombuffer(x, np.int32).reshape(-1, 2) for x in got["ids"].to_pylist()]
     y, part = got["y"].to_numpy().astype(np.float32), got["part"].to_numpy()
     lang = np.array([x or "" for x in got["lang"].to_pylist()], object)
@@ -263,7 +263,7 @@ def clean_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 yield batch
                 continue
             keep = np.zeros(batch.num_rows, bool)
-            langs = batch.column(names.index("lang")).to_pylist()
+            langs = batch.column(names.index("lang")).to_pylist() if "lang" in names else [None] * batch.num_rows
             for part in scan.slices(batch.column(names.index("text")), 1 << 19):
                 ids, first = word_ids(part)
                 p = 1 / (1 + np.exp(-np.clip(own.scale * logits(own, ids, first).astype(float) + own.shift, -30, 30)))

@@ -21,7 +21,7 @@ def edge_docs(spark):
     ]
     schema = "doc_id long, text string, lang string, source string"
     df = spark.createDataFrame(rows, schema)
-    return df.selectExpr("*", "length(text) as n_chars", "1 as label", "'x' as key", "2 as ids", "3 as rep", "4 as node", "5 as score")
+    return df.selectExpr("*", "length(text) as n_chars", "1 as label", "'x' as key", "2 as ids", "3 as rep", "4 as node", "5 as score", "6 as _id", "7 as _gone", "8 as _hash", "9 as _row", "10 as before", "11 as hash")
 
 
 @pytest.fixture(scope="session")

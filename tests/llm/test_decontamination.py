@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 
@@ -68,6 +69,15 @@ def test_removal(spark, limit):
         dec.cleaned(table, bench, remove="lines")
 
 
+def test_long_text_is_cut_in_time(spark):
+    text = " ".join(f"w{k}" for k in range(200_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(f"w{k + d}" for d in range(12))) for k in range(0, 200_000, 2000)], "item_id long, text string")
+    began = time.time()
+    left = dec.cleaned(docs, bench).collect()[0].text.split()
+    assert len(left) == 200_000 - 1200 and time.time() - began < 60
+
+
 def test_edges(spark, edge_docs, no_docs):
     bench = spark.createDataFrame([(1, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11"), (2, ""), (3, None)], "item_id long, text string")
     rows = {r.doc_id: r for r in dec.judged(edge_docs, bench).collect()}
