@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raillark.llm import line_dedup, near_dedup, packing, quality_rules, toxicity
-from raillark.llm.workspace import fresh_path
+from raillark.llm.workspace import free_name, fresh_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +33,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one of the smallest doc_id."""
-    kept = near_dedup.near_components(docs).where("kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
+    name = free_name(docs, "_id")
+    kept = near_dedup.near_components(docs).where("kept").select(F.col("doc_id").alias(name))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept[name]), "left_semi")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
