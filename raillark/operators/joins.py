@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from raillark.functions.expr import DEGREE_M, bearing, col, destination, equirect_m, grid_cell, haversine_m, line_label, search_name
 from raillark.operators.lineage import cut
+from raillark.operators.polygons import points_in
 from raillark.operators.windows import terminal_stops
 
 
@@ -114,12 +115,9 @@ def boundary_of(points: DataFrame, boundaries: DataFrame, size: float = 0.25, la
 
     ``points`` carries a unique ``point_id``.
     """
-    box = F.struct("min_lon", "max_lon", "min_lat", "max_lat")
-    spread = _cells(boundaries, box, size)
-    placed = points.withColumn("_cx", grid_cell(lon, size)).withColumn("_cy", grid_cell(lat, size))
-    hits = placed.join(spread, ["_cx", "_cy"]).where(F.col(lon).between(F.col("min_lon"), F.col("max_lon")) & F.col(lat).between(F.col("min_lat"), F.col("max_lat")))
-    hits = hits.where(in_polygons(F.col("polygons"), F.col(lat), F.col(lon)))
-    best = hits.groupBy("point_id").agg(F.min(F.struct(((F.col("max_lon") - F.col("min_lon")) * (F.col("max_lat") - F.col("min_lat"))).alias("area"), "code")).alias("best"))
+    area = boundaries.select("code", ((F.col("max_lon") - F.col("min_lon")) * (F.col("max_lat") - F.col("min_lat"))).alias("area"))
+    hits = points_in(points, boundaries, size, lat, lon).join(area, "code")
+    best = hits.groupBy("point_id").agg(F.min(F.struct("area", "code")).alias("best"))
     return points.join(best.select("point_id", "best.code"), "point_id")
 
 
@@ -132,12 +130,10 @@ def box_polygons(boundaries: DataFrame) -> DataFrame:
 
 def city_claims(cities: DataFrame, boundaries: DataFrame) -> DataFrame:
     """city_id, code: boundaries that hold a city's centre and bear its name or an alias."""
-    box = F.struct("min_lon", "max_lon", "min_lat", "max_lat")
-    spread = _cells(boundaries.withColumnRenamed("name", "boundary_name"), box, 0.25)
-    placed = cities.withColumn("_cx", grid_cell("longitude", 0.25)).withColumn("_cy", grid_cell("latitude", 0.25))
-    hits = placed.join(spread, ["_cx", "_cy"]).where(in_polygons(F.col("polygons"), F.col("latitude"), F.col("longitude")))
+    hits = points_in(cities.withColumn("point_id", F.col("city_id")), boundaries, 0.25, "latitude", "longitude")
+    known = hits.join(boundaries.select("code", F.col("name").alias("boundary_name")), "code").join(cities.select("city_id", "name", "aliases"), F.col("point_id") == F.col("city_id"))
     names = F.transform(F.concat(F.array("name"), "aliases"), search_name)
-    return hits.where(F.array_contains(names, search_name("boundary_name"))).select("city_id", "code").distinct()
+    return known.where(F.array_contains(names, search_name("boundary_name"))).select("city_id", "code").distinct()
 
 
 def scope(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -180,27 +176,24 @@ def agency_scope(tables: dict[str, DataFrame], agency_id: str) -> dict[str, Data
     return out
 
 
-def resolve_trip_suffix(rt: DataFrame, trips: DataFrame, separator: str = "_") -> DataFrame:
+def resolve_trip_suffix(rt: DataFrame, trips: DataFrame) -> DataFrame:
     """rt_trip_id, trip_id: an exact match, else the single static trip that ends with the realtime id.
 
-    Suffixes after each separator are equi-join keys; an id that starts within a
-    part is compared only with trips that share its last part.
+    Static ids give their suffixes of the asked lengths, which are few, and each suffix
+    is counted before it is joined: a text that ends any number of static ids is one
+    row, and no pair of ids is made.  Reads the asked lengths when it is called.
     """
-    ids = rt.select("rt_trip_id").distinct()
-    known = trips.select("trip_id").distinct()
-    exact = ids.join(known, F.col("rt_trip_id") == F.col("trip_id"))
+    ids = rt.select("rt_trip_id").where("rt_trip_id <> ''").distinct()
+    known = trips.select("trip_id").where("trip_id is not null").distinct()
+    exact = ids.join(known, F.col("rt_trip_id") == F.col("trip_id")).select("rt_trip_id", "trip_id")
     rest = ids.join(exact.select("rt_trip_id"), "rt_trip_id", "left_anti")
-    cut = known.withColumn("_p", F.split("trip_id", f"\\{separator}")).select("trip_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("_p")), lambda k: F.array_join(F.slice("_p", k, F.size("_p")), separator))).alias("suffix"))
-    whole = rest.join(cut, F.col("rt_trip_id") == F.col("suffix")).select("rt_trip_id", "trip_id")
-    tail = lambda c: F.element_at(F.split(c, f"\\{separator}"), -1)
-    # an id that starts within a part has its last part in common with the trip, or lies wholly within it
-    inner = rest.where(F.contains("rt_trip_id", F.lit(separator))).withColumn("_t", tail("rt_trip_id")).join(known.withColumn("_t", tail("trip_id")), "_t").where(F.endswith("trip_id", "rt_trip_id")).select("rt_trip_id", "trip_id")
-    grams = rest.where(~F.contains("rt_trip_id", F.lit(separator)))
-    tails = known.withColumn("_last", tail("trip_id")).select("trip_id", F.explode(F.transform(F.sequence(F.lit(1), F.length("_last")), lambda k: F.substr("_last", k))).alias("_end"))
-    within = grams.join(tails, F.col("rt_trip_id") == F.col("_end")).select("rt_trip_id", "trip_id")
-    every = whole.unionByName(inner).unionByName(within).distinct()
-    single = every.groupBy("rt_trip_id").agg(F.count("*").alias("n"), F.min("trip_id").alias("trip_id")).where("n = 1").drop("n")
-    return exact.select("rt_trip_id", "trip_id").unionByName(single)
+    lengths = sorted(r[0] for r in rest.select(F.length("rt_trip_id")).distinct().collect())  # no more than the longest id has characters
+    if not lengths:
+        return exact
+    fitting = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length("trip_id"))
+    ends = known.select("trip_id", F.explode(F.transform(fitting, lambda n: F.substr("trip_id", F.length("trip_id") - n + 1))).alias("rt_trip_id"))
+    single = ends.groupBy("rt_trip_id").agg(F.count("*").alias("n"), F.min("trip_id").alias("trip_id")).where("n = 1").drop("n")
+    return exact.unionByName(rest.join(single, "rt_trip_id"))
 
 
 def rt_static_reason(rt: DataFrame, trips: DataFrame, stops: DataFrame, strict: bool) -> DataFrame:
@@ -309,31 +302,70 @@ def catalogue_fill(catalogue: DataFrame, stops: DataFrame, cities: DataFrame, al
     return placed.join(close, "stop_id", "left_anti")
 
 
-def map_match(samples: DataFrame, segments: DataFrame, size: float = 0.01, reach: int = 2) -> DataFrame:
-    """The nearest segment of each candidate shape to each sample.
+def segment_grid(segments: DataFrame, size: float = 0.01, reach: int = 2, most_cells: int = 256, most_m: float | None = None) -> DataFrame:
+    """``segments`` with a row for each cell (level, _cx, _cy) from which one may be the nearest.
 
-    ``samples``: sample_id, route_id, latitude, longitude; ``segments``: shape_id,
-    route_id, seq, lat1, lon1, lat2, lon2, progress1, length_m.  Segments within
-    ``reach`` cells come first, all segments of the route where there are none.
+    Segments of at most ``most_cells`` cells lie on the grid of ``size`` degrees, level
+    0; ``near`` tells cells within ``reach``.  With ``most_m`` cells up to that distance are
+    added, and longer segments lie on a grid of doubled cells, as many times as brings
+    them to no more cells than the others; without it longer ones have no cell.
     """
-    # the segments, which do not grow with the samples, take all cells within reach; a sample stays one row
-    span = lambda a, b: F.explode(F.sequence(grid_cell(F.least(a, b), size) - reach, grid_cell(F.greatest(a, b), size) + reach))
-    cells = segments.withColumn("_cx", span("lon1", "lon2")).withColumn("_cy", span("lat1", "lat2"))
-    keyed = samples.withColumn("_cx", grid_cell("longitude", size)).withColumn("_cy", grid_cell("latitude", size))
-    near = keyed.join(cells, ["route_id", "_cx", "_cy"]).drop("_cx", "_cy")
-    shapes = segments.select("route_id", "shape_id").distinct()
-    lost = samples.join(shapes, "route_id").join(near.select("sample_id", "shape_id").distinct(), ["sample_id", "shape_id"], "left_anti")
-    rest = lost.join(segments.drop("route_id"), "shape_id")
-    both = near.unionByName(rest.select(near.columns))
-    scale = F.cos(F.radians((F.col("lat1") + F.col("lat2")) / 2))
-    dx, dy = (F.col("lon2") - F.col("lon1")) * scale, F.col("lat2") - F.col("lat1")
-    px, py = (F.col("longitude") - F.col("lon1")) * scale, F.col("latitude") - F.col("lat1")
+    lon, lat = (F.least("lon1", "lon2"), F.greatest("lon1", "lon2")), (F.least("lat1", "lat2"), F.greatest("lat1", "lat2"))
+    span = lambda lo, hi: grid_cell(hi, size) - grid_cell(lo, size) + 1
+    short = span(*lon) * span(*lat) <= most_cells
+    side = int(most_cells**0.5) - 2
+    level = F.when(short, 0).otherwise(F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(lon[1] - lon[0], lat[1] - lat[0]) / (size * side))))).cast("int")
+    rows = segments.withColumn("level", level)
+    if most_m is None:
+        rows = rows.where("level = 0")
+    cell = F.lit(size) * F.pow(F.lit(2.0), F.col("level"))
+    at = lambda c: F.floor(c / cell)
+    wide_y = F.lit(0) if most_m is None else F.ceil(most_m * 1.001 / (cell * DEGREE_M))
+    cosine = F.greatest(F.cos(F.radians(F.least(F.lit(90.0), F.greatest(F.abs(lat[0]), F.abs(lat[1])) + (most_m or 0) / DEGREE_M))), F.lit(0.01))
+    wide_x = F.lit(0) if most_m is None else F.ceil(most_m * 1.001 / (cell * DEGREE_M * cosine))
+    own = F.when(F.col("level") == 0, reach).otherwise(0)
+    spread = lambda lo, hi, wide: F.explode(F.sequence(at(lo) - F.greatest(own, wide), at(hi) + F.greatest(own, wide)))
+    cells = rows.withColumn("_cx", spread(*lon, wide_x)).withColumn("_cy", spread(*lat, wide_y))
+    near = (F.col("level") == 0) & F.col("_cx").between(at(lon[0]) - reach, at(lon[1]) + reach) & F.col("_cy").between(at(lat[0]) - reach, at(lat[1]) + reach)
+    return cells.withColumn("near", near)
+
+
+def project(lat: Column, lon: Column, s: Column | None = None) -> Column:
+    """distance_m, seq, progress_m, segment_bearing of a place on a segment (columns, or the fields of a struct)."""
+    f = (lambda n: F.col(n)) if s is None else (lambda n: s[n])
+    lat1, lon1, lat2, lon2 = f("lat1"), f("lon1"), f("lat2"), f("lon2")
+    scale = F.cos(F.radians((lat1 + lat2) / 2))
+    dx, dy, px, py = (lon2 - lon1) * scale, lat2 - lat1, (lon - lon1) * scale, lat - lat1
     square = dx * dx + dy * dy
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(square > 0, (px * dx + py * dy) / square).otherwise(0.0)))
-    both = both.withColumn("t", t).withColumn("distance_m", equirect_m("latitude", "longitude", F.col("lat1") + F.col("t") * dy, F.col("lon1") + F.col("t") * (F.col("lon2") - F.col("lon1"))))
-    both = both.withColumn("progress_m", F.col("progress1") + F.col("t") * F.col("length_m")).withColumn("segment_bearing", bearing("lat1", "lon1", "lat2", "lon2"))
-    best = both.groupBy("sample_id", "shape_id").agg(F.min(F.struct("distance_m", "seq", "progress_m", "segment_bearing")).alias("b"))
-    return best.select("sample_id", "shape_id", "b.distance_m", "b.progress_m", "b.segment_bearing")
+    away = equirect_m(lat, lon, lat1 + t * dy, lon1 + t * (lon2 - lon1))
+    return F.struct(away.alias("distance_m"), f("seq").alias("seq"), (f("progress1") + t * f("length_m")).alias("progress_m"), bearing(lat1, lon1, lat2, lon2).alias("segment_bearing"))
+
+
+def map_match(samples: DataFrame, segments: DataFrame, size: float = 0.01, reach: int = 2, most_m: float | None = None, most_cells: int = 256) -> DataFrame:
+    """The nearest segment of each candidate shape to each sample.
+
+    ``samples``: sample_id, route_id, latitude, longitude; ``segments``: shape_id,
+    route_id, seq, lat1, lon1, lat2, lon2, progress1, length_m.  Short segments (up to
+    ``most_cells`` cells) within ``reach`` cells come first, all segments of the shape
+    where there are none.  With ``most_m`` matches farther than that drop, and the grid
+    alone finds the others: no sample meets all segments of a shape.
+    """
+    grid = segment_grid(segments, size, reach, most_cells, most_m)
+    levels = [0] if most_m is None else sorted(r[0] for r in grid.select("level").distinct().collect())  # some twenty at most
+    levels = levels or [0]
+    keys = [F.struct(F.lit(k).alias("level"), grid_cell("longitude", size * 2**k).alias("_cx"), grid_cell("latitude", size * 2**k).alias("_cy")) for k in levels]
+    keyed = samples.select("sample_id", "route_id", "latitude", "longitude", F.explode(F.array(*keys)).alias("_k")).select("*", "_k.*").drop("_k")
+    where = project(F.col("latitude"), F.col("longitude"))
+    found = keyed.join(grid, ["route_id", "level", "_cx", "_cy"]).select("sample_id", "shape_id", (~F.col("near")).alias("far"), where.alias("p"))
+    if most_m is None:
+        # shapes without a segment near the sample's cell: the cells, which do not grow with the samples, tell
+        held = grid.select("route_id", "shape_id", "level", "_cx", "_cy").distinct()
+        lost = keyed.join(segments.select("route_id", "shape_id").distinct(), "route_id").join(held, ["route_id", "shape_id", "level", "_cx", "_cy"], "left_anti")
+        rest = lost.select("sample_id", "route_id", "shape_id", "latitude", "longitude").join(segments, ["route_id", "shape_id"])
+        found = found.unionByName(rest.select("sample_id", "shape_id", F.lit(True).alias("far"), where.alias("p")))
+    best = found.groupBy("sample_id", "shape_id").agg(F.min(F.struct("far", "p")).alias("b")).select("sample_id", "shape_id", "b.p.distance_m", "b.p.progress_m", "b.p.segment_bearing")
+    return best if most_m is None else best.where(F.col("distance_m") <= most_m)
 
 
 def schedule_position(calls: DataFrame, now: int) -> DataFrame:

@@ -66,10 +66,15 @@ def shape_segments(shapes: DataFrame, size: float = 0.01, most_cells: int = 256)
 
 
 def sample_pairs(samples: DataFrame, gap_s: int = 300) -> DataFrame:
-    """Each sample with the one before it of its vehicle, if that is earlier, on the same route and within the gap."""
+    """Each sample with the one before it of its vehicle, if that is earlier, on the same route and within the gap.
+
+    Of samples of one time the least ``event_id`` counts, the others drop.
+    """
+    same = Window.partitionBy("vehicle_id", "ts").orderBy("event_id")
+    once = samples.withColumn("_r", F.row_number().over(same)).where("_r = 1").drop("_r")
     order = Window.partitionBy("vehicle_id").orderBy("ts")
     prev = lambda c: F.lag(c).over(order).alias(f"prev_{c}")
-    rows = samples.select("*", *(prev(c) for c in ("event_id", "ts", "route_id", "latitude", "longitude")))
+    rows = once.select("*", *(prev(c) for c in ("event_id", "ts", "route_id", "latitude", "longitude")))
     rows = rows.withColumn("elapsed_s", F.timestamp_diff("SECOND", "prev_ts", "ts"))
     return rows.where((F.col("elapsed_s") > 0) & (F.col("elapsed_s") <= gap_s) & (F.col("prev_route_id") == F.col("route_id")))
 
@@ -99,16 +104,17 @@ def candidate_scores(matches: DataFrame, most_m: float = 1000.0, least_step_m: f
     return sums.where(total > 0).withColumn("score", F.greatest(F.lit(0.0), (F.col("support") - F.col("contrary")) / total))
 
 
-def family_decision(scores: DataFrame, near_m: float = 250.0, least_score: float = 0.58, least_margin: float = 0.20, least_gap_m: float = 20.0) -> DataFrame:
-    """Best destination family of each pair and whether it is confident.
+def family_decision(scores: DataFrame, near_m: float = 100.0, least_score: float = 0.58, least_margin: float = 0.20, least_gap_m: float = 20.0) -> DataFrame:
+    """Best destination family (terminal and destination) of each pair and whether it is confident.
 
     ``scores`` also carries terminal_stop_id, destination and direction_id.
     """
     family = F.coalesce(F.nullif("terminal_stop_id", F.lit("")), F.nullif("destination", F.lit("")), F.lit("unknown"))
     rows = scores.where(F.col("best_distance_m") <= near_m).withColumn("family", family)
-    own = Window.partitionBy("pair_id", "family")
+    rows = rows.withColumn("_t", F.nullif("terminal_stop_id", F.lit(""))).withColumn("_d", F.nullif("destination", F.lit("")))
+    own = Window.partitionBy("pair_id", "_t", "_d")
     best = rows.withColumn("closest_m", F.min("best_distance_m").over(own)).withColumn("_r", F.row_number().over(own.orderBy(F.desc("score"), F.desc("support"), "best_distance_m", "candidate"))).where("_r = 1")
-    rank = Window.partitionBy("pair_id").orderBy(F.desc("score"), "best_distance_m", "family")
+    rank = Window.partitionBy("pair_id").orderBy(F.desc("score"), "best_distance_m", "family", "_d")
     nxt = lambda c: F.lead(c).over(rank)
     best = best.withColumn("_r", F.row_number().over(rank)).withColumn("second_score", nxt("score")).withColumn("second_m", nxt("best_distance_m")).withColumn("second_direction", nxt("direction_id"))
     best = best.withColumn("least_m", F.min("closest_m").over(Window.partitionBy("pair_id"))).where("_r = 1")

@@ -76,15 +76,15 @@ def join_agency_closure(v: Source):
     return out
 
 
-_SUFFIX = "rt AS (SELECT DISTINCT CASE WHEN trip_id % 3 = 0 THEN 'x_'||m||'_'||trip_id ELSE m||'_'||trip_id END AS trip_id FROM (SELECT o_orderkey AS trip_id, o_custkey % 5 AS m FROM orders))"
+_SUFFIX = "rt AS (SELECT DISTINCT CASE WHEN trip_id % 3 = 0 THEN 'x_'||m||'_'||trip_id ELSE m||'_'||trip_id END||CASE WHEN trip_id % 5 < 3 THEN '_wk' ELSE '' END AS trip_id FROM (SELECT o_orderkey AS trip_id, o_custkey % 5 AS m FROM orders))"
 
 
-@query(sql="WITH " + _SUFFIX + ", ask AS (SELECT DISTINCT CAST(o_custkey % 5 AS STRING)||'_'||CAST(o_orderkey AS STRING) AS rt_trip_id FROM orders) SELECT rt_trip_id, trip_id FROM (SELECT a.rt_trip_id, min(t.trip_id) AS trip_id FROM ask a JOIN rt t ON a.rt_trip_id=t.trip_id GROUP BY 1 UNION ALL SELECT a.rt_trip_id, min(t.trip_id) FROM ask a JOIN rt t ON suffix(t.trip_id, a.rt_trip_id) WHERE a.rt_trip_id NOT IN (SELECT trip_id FROM rt) GROUP BY 1 HAVING count(*)=1)")
+@query(sql="WITH " + _SUFFIX + ", ask AS (SELECT DISTINCT CAST(o_custkey % 5 AS STRING)||'_'||CAST(o_orderkey AS STRING)||CASE WHEN o_orderkey % 5 < 3 THEN '_wk' ELSE '' END AS rt_trip_id FROM orders UNION SELECT '_wk' UNION SELECT 'wk') SELECT rt_trip_id, trip_id FROM (SELECT a.rt_trip_id, min(t.trip_id) AS trip_id FROM ask a JOIN rt t ON a.rt_trip_id=t.trip_id GROUP BY 1 UNION ALL SELECT a.rt_trip_id, min(t.trip_id) FROM ask a JOIN rt t ON suffix(t.trip_id, a.rt_trip_id) WHERE a.rt_trip_id NOT IN (SELECT trip_id FROM rt) GROUP BY 1 HAVING count(*)=1)")
 def join_suffix_unique(v: Source):
     rows = v.spark.read.parquet(f"{v.sf_dir}/orders.parquet")
-    base = F.concat_ws("_", (F.col("o_custkey") % 5).cast("string"), F.col("o_orderkey").cast("string"))
+    base = F.concat(F.concat_ws("_", (F.col("o_custkey") % 5).cast("string"), F.col("o_orderkey").cast("string")), F.when(F.col("o_orderkey") % 5 < 3, "_wk").otherwise(""))
     trips = rows.select(F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("x_"), base)).otherwise(base).alias("trip_id")).distinct()
-    asked = rows.select(base.alias("rt_trip_id")).distinct()
+    asked = rows.select(base.alias("rt_trip_id")).union(v.spark.sql("SELECT '_wk' UNION ALL SELECT 'wk'")).distinct()
     return joins.resolve_trip_suffix(asked, trips)
 
 
@@ -156,13 +156,15 @@ def route_segments(v: Source):
     return windows.shape_segments(v("shapes")).join(used, "shape_id")
 
 
-_MATCH = """, seg AS (SELECT s.*, progress2-progress1 AS length_m, r.route_id FROM segments s JOIN (SELECT DISTINCT route_id, shape_id FROM t_trips) r USING (shape_id)),
-near AS (SELECT x.event_id, s.*, x.latitude, x.longitude, (abs(floor(x.latitude/0.01) - greatest(least(floor(x.latitude/0.01), floor(greatest(lat1,lat2)/0.01)), floor(least(lat1,lat2)/0.01)))<=2 AND abs(floor(x.longitude/0.01) - greatest(least(floor(x.longitude/0.01), floor(greatest(lon1,lon2)/0.01)), floor(least(lon1,lon2)/0.01)))<=2) AS close FROM t_samples x JOIN seg s USING (route_id)),
-cand AS (SELECT * FROM near n WHERE close OR NOT EXISTS (SELECT 1 FROM near m WHERE m.close AND m.event_id=n.event_id AND m.shape_id=n.shape_id)),
+_LOCATE = """, seg AS (SELECT s.*, progress2-progress1 AS length_m, r.route_id FROM segments s JOIN (SELECT DISTINCT route_id, shape_id FROM t_trips) r USING (shape_id)),
+near AS (SELECT x.event_id, s.*, x.latitude, x.longitude, ((abs(floor(lat1/0.01)-floor(lat2/0.01))+1)*(abs(floor(lon1/0.01)-floor(lon2/0.01))+1)<=256 AND abs(floor(x.latitude/0.01) - greatest(least(floor(x.latitude/0.01), floor(greatest(lat1,lat2)/0.01)), floor(least(lat1,lat2)/0.01)))<=2 AND abs(floor(x.longitude/0.01) - greatest(least(floor(x.longitude/0.01), floor(greatest(lon1,lon2)/0.01)), floor(least(lon1,lon2)/0.01)))<=2) AS close FROM t_samples x JOIN seg s USING (route_id)),
+cand AS (SELECT * FROM (SELECT *, bool_or(close) OVER (PARTITION BY event_id, shape_id) AS any_close FROM near) WHERE close OR NOT any_close),
 proj AS (SELECT *, greatest(0.0, least(1.0, CASE WHEN q>0 THEN (px*dx+py*dy)/q ELSE 0.0 END)) AS t FROM (SELECT *, dx*dx+dy*dy AS q FROM (SELECT *, (lon2-lon1)*cos(radians((lat1+lat2)/2)) AS dx, lat2-lat1 AS dy, (longitude-lon1)*cos(radians((lat1+lat2)/2)) AS px, latitude-lat1 AS py FROM cand))),
 dist AS (SELECT *, lat1+t*dy AS la, lon1+t*(lon2-lon1) AS lo FROM proj),
-m AS (SELECT *, sqrt(pow((radians(lo)-radians(longitude))*cos((radians(latitude)+radians(la))/2),2)+pow(radians(la)-radians(latitude),2))*6371000.0 AS distance_m FROM dist)
-SELECT event_id AS sample_id, shape_id, round(distance_m,4) AS distance_m, round(progress1+t*length_m,4) AS progress_m FROM (SELECT *, row_number() OVER (PARTITION BY event_id, shape_id ORDER BY distance_m, seq) AS r FROM m) WHERE r=1"""
+m AS (SELECT *, sqrt(pow((radians(lo)-radians(longitude))*cos((radians(latitude)+radians(la))/2),2)+pow(radians(la)-radians(latitude),2))*6371000.0 AS distance_m FROM dist),
+m_all AS (SELECT event_id AS sample_id, shape_id, distance_m, progress1+t*length_m AS progress_m, (degrees(atan2((radians(lon2)-radians(lon1))*cos((radians(lat1)+radians(lat2))/2), radians(lat2)-radians(lat1)))+360)%360 AS segment_bearing FROM (SELECT *, row_number() OVER (PARTITION BY event_id, shape_id ORDER BY distance_m, seq) AS r FROM m) WHERE r=1)
+"""
+_MATCH = _LOCATE + "SELECT sample_id, shape_id, round(distance_m,4) AS distance_m, round(progress_m,4) AS progress_m FROM m_all"
 
 
 @query("segments t_trips t_samples", _MATCH)

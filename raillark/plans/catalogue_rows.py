@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from raillark.operators import aggregates, filters, joins, sets, windows
+from raillark.operators.lineage import cut
 from raillark.plans import catalogue_joins as cj
+from raillark.plans import jobs
 from raillark.plans.base import Source, query
-from raillark.streaming import realtime
+from raillark.streaming import realtime, vehicles
 
 
 def text(*names: str):
@@ -160,7 +162,7 @@ def win_shape_segments(v: Source):
     return windows.shape_segments(v("shapes")).select("shape_id", "seq", F.round("length_m", 6).alias("length_m"), "n_cells")
 
 
-_PAIRS = "SELECT * FROM (SELECT vehicle_id, route_id, event_id, ts, latitude, longitude, bearing, lag(event_id) OVER w AS prev_event_id, lag(latitude) OVER w AS prev_latitude, lag(longitude) OVER w AS prev_longitude, lag(route_id) OVER w AS pr, datesub('second', lag(ts) OVER w, ts) AS elapsed_s FROM t_samples WINDOW w AS (PARTITION BY vehicle_id ORDER BY ts)) WHERE elapsed_s>0 AND elapsed_s<=7200 AND pr=route_id"
+_PAIRS = "SELECT * FROM (SELECT vehicle_id, route_id, event_id, ts, latitude, longitude, bearing, lag(event_id) OVER w AS prev_event_id, lag(latitude) OVER w AS prev_latitude, lag(longitude) OVER w AS prev_longitude, lag(route_id) OVER w AS pr, datesub('second', lag(ts) OVER w, ts) AS elapsed_s FROM (SELECT * FROM t_samples QUALIFY row_number() OVER (PARTITION BY vehicle_id, ts ORDER BY event_id)=1) WINDOW w AS (PARTITION BY vehicle_id ORDER BY ts)) WHERE elapsed_s>0 AND elapsed_s<=7200 AND pr=route_id"
 
 
 @query("t_samples", f"SELECT event_id, prev_event_id, elapsed_s FROM ({_PAIRS})")
@@ -169,27 +171,47 @@ def win_previous_sample(v: Source):
 
 
 def pair_scores(v: Source):
-    """Candidate scores of sample pairs; a shape is a candidate here."""
+    """Candidate scores of sample pairs; a shape is a candidate here.  Each sample is matched once."""
     pairs = windows.sample_pairs(v("samples"), 7200)
     segments = cj.route_segments(v).select("shape_id", "route_id", "seq", "lat1", "lon1", "lat2", "lon2", "progress1", "length_m")
-    before = joins.map_match(pairs.select(F.col("event_id").alias("sample_id"), "route_id", F.col("prev_latitude").alias("latitude"), F.col("prev_longitude").alias("longitude")), segments)
-    after = joins.map_match(pairs.select(F.col("event_id").alias("sample_id"), "route_id", "latitude", "longitude"), segments)
-    named = lambda df, k: df.select("sample_id", "shape_id", F.col("distance_m").alias(f"distance_{k}"), F.col("progress_m").alias(f"progress_{k}"), F.col("segment_bearing").alias(f"bearing_{k}"))
-    both = named(before, "before").join(named(after, "after"), ["sample_id", "shape_id"]).join(pairs.select(F.col("event_id").alias("sample_id"), "elapsed_s", "bearing"), "sample_id")
-    return windows.candidate_scores(both.withColumnRenamed("sample_id", "pair_id").withColumnRenamed("shape_id", "candidate"))
+    samples = v("samples").select(F.col("event_id").alias("sample_id"), "route_id", "latitude", "longitude")
+    found = cut(joins.map_match(samples, segments, most_m=1000.0))  # read for both ends
+    named = lambda k, key: found.select(F.col("sample_id").alias(key), "shape_id", F.col("distance_m").alias(f"distance_{k}"), F.col("progress_m").alias(f"progress_{k}"), F.col("segment_bearing").alias(f"bearing_{k}"))
+    both = pairs.select("event_id", "prev_event_id", "elapsed_s", "bearing").join(named("after", "event_id"), "event_id").join(named("before", "prev_event_id"), ["prev_event_id", "shape_id"])
+    return windows.candidate_scores(both.withColumnRenamed("event_id", "pair_id").withColumnRenamed("shape_id", "candidate"))
 
 
-@query()
+def named_scores(v: Source):
+    """The scores with a made up terminal and direction of each shape."""
+    number = F.substr("candidate", F.lit(3)).cast("int")
+    return pair_scores(v).withColumn("terminal_stop_id", F.concat(F.lit("s"), (number % 7).cast("string"))).withColumn("destination", F.lit("")).withColumn("direction_id", (number % 2).cast("string"))
+
+
+_SCORES = f"""{cj._LOCATE},
+hit AS (SELECT * FROM m_all WHERE distance_m<=1000),
+pairs AS ({_PAIRS}),
+ends AS (SELECT p.event_id AS pair_id, a.shape_id AS candidate, p.elapsed_s, p.bearing, a.distance_m AS da, b.distance_m AS db, a.progress_m-b.progress_m AS step, a.segment_bearing AS sb FROM pairs p JOIN hit a ON a.sample_id=p.event_id JOIN hit b ON b.sample_id=p.prev_event_id AND b.shape_id=a.shape_id),
+weighed AS (SELECT *, exp(-(da+db)/2/500) AS w, coalesce(least(abs(bearing-sb)%360, 360-abs(bearing-sb)%360)>35, false) AS turned FROM ends WHERE abs(step)>=25 AND abs(step)/elapsed_s<=45),
+scores AS (SELECT pair_id, candidate, sum(CASE WHEN step>0 THEN w ELSE 0 END) AS support, sum(CASE WHEN step>0 THEN 0 ELSE w END + CASE WHEN turned THEN w ELSE 0 END) AS contrary, count(*) AS usable_shapes, min(da) AS best_distance_m FROM weighed GROUP BY 1,2),
+scored AS (SELECT *, greatest(0, (support-contrary)/(support+contrary)) AS score FROM scores WHERE support+contrary>0)
+"""
+
+
+@query("segments t_trips t_samples", _SCORES + "SELECT pair_id, candidate, round(support,6) AS support, round(contrary,6) AS contrary, round(score,6) AS score, round(best_distance_m,6) AS best_distance_m, usable_shapes FROM scored")
 def win_candidate_score(v: Source):
     rows = pair_scores(v)
     return rows.select("pair_id", "candidate", *(F.round(c, 6).alias(c) for c in ("support", "contrary", "score", "best_distance_m")), "usable_shapes")
 
 
-@query()
+_FAMILIES = """, f AS (SELECT *, 's'||CAST(CAST(substr(candidate,3) AS INT)%7 AS VARCHAR) AS family, CAST(CAST(substr(candidate,3) AS INT)%2 AS VARCHAR) AS direction_id FROM scored WHERE best_distance_m<=5000),
+own AS (SELECT *, min(best_distance_m) OVER (PARTITION BY pair_id, family) AS closest, row_number() OVER (PARTITION BY pair_id, family ORDER BY score DESC, support DESC, best_distance_m, candidate) AS r FROM f),
+ranked AS (SELECT *, row_number() OVER w AS k, lead(score) OVER w AS s2, lead(best_distance_m) OVER w AS d2, lead(direction_id) OVER w AS dir2, min(closest) OVER (PARTITION BY pair_id) AS least FROM own WHERE r=1 WINDOW w AS (PARTITION BY pair_id ORDER BY score DESC, best_distance_m, family))
+SELECT pair_id, family, candidate, direction_id, round(score,6) AS score, round(coalesce(score-s2,1),6) AS margin, score>=0.58 AND coalesce(score-s2,1)>=0.2 AND (coalesce(dir2,'')<>direction_id OR d2-best_distance_m>=20) AND NOT (best_distance_m-closest>=20 AND least<closest) AS confident FROM ranked WHERE k=1"""
+
+
+@query("segments t_trips t_samples", _SCORES + _FAMILIES)
 def win_family_decision(v: Source):
-    number = F.substr("candidate", F.lit(3)).cast("int")
-    rows = pair_scores(v).withColumn("terminal_stop_id", F.concat(F.lit("s"), (number % 7).cast("string"))).withColumn("destination", F.lit("")).withColumn("direction_id", (number % 2).cast("string"))
-    out = windows.family_decision(rows, near_m=5000.0)
+    out = windows.family_decision(named_scores(v), near_m=5000.0)
     return out.select("pair_id", "family", "candidate", "direction_id", F.round("score", 6).alias("score"), F.round("margin", 6).alias("margin"), "confident")
 
 
@@ -319,10 +341,10 @@ def str_dedupe_monitored(v: Source):
 
 @query()
 def str_direction_inference(v: Source):
-    number = F.substr("candidate", F.lit(3)).cast("int")
-    scores = pair_scores(v).withColumn("terminal_stop_id", F.concat(F.lit("s"), (number % 7).cast("string"))).withColumn("destination", F.lit("")).withColumn("direction_id", (number % 2).cast("string"))
-    decided = windows.family_decision(scores, near_m=5000.0).withColumnRenamed("pair_id", "event_id")
-    evidence = v("samples").select("vehicle_id", "route_id", "event_id", "ts").join(decided, "event_id", "left")
-    return realtime.replay_direction(evidence)
-
-
+    made = jobs.radar_topology(v.feed("stops", "routes", "trips", "stop_times", "shapes"), ["0", "1", "2", "3", "11", "700"])
+    candidates = made.select("route_id", "variant_id", "direction_id", "destination", "terminal_stop_id", "trip_ids", "stop_ids", F.col("sequences").alias("stop_sequences"), F.array("shape_id").alias("shape_ids"))
+    segments = cj.route_segments(v).select("shape_id", "route_id", "seq", "lat1", "lon1", "lat2", "lon2", "progress1", "length_m")
+    samples = v("samples").withColumn("stop_id", F.lit(None).cast("string")).withColumn("stop_sequence", F.lit(None).cast("int"))
+    rows = vehicles.evidence(samples, candidates, segments)
+    out = vehicles.replay_direction(rows, rules=vehicles.Rules(gap_s=7200, expire_s=86400))
+    return out.select("vehicle_id", "event_id", "direction_id", "destination", F.round("confidence", 6).alias("confidence"), "reason")

@@ -116,8 +116,8 @@ SELECT 'n'||CAST(event_id - event_id % 5 % 2 AS STRING) AS notification_uuid,
 """,
     "t_shapes": """
 SELECT 'sh'||CAST(CAST(floor(p_partkey / 40) AS BIGINT) AS STRING) AS shape_id,
-       CAST(50.4485 AS DOUBLE) + (floor(p_partkey / 40) % 7) * CAST(0.0005 AS DOUBLE) AS shape_pt_lat,
-       CASE WHEN floor(p_partkey / 40) % 2 = 0 THEN CAST(30.518 AS DOUBLE) + (p_partkey % 40) * CAST(0.0006 AS DOUBLE) ELSE CAST(30.542 AS DOUBLE) - (p_partkey % 40) * CAST(0.0006 AS DOUBLE) END AS shape_pt_lon,
+       CASE WHEN p_partkey = 59 THEN CAST(55.45 AS DOUBLE) ELSE CAST(50.4485 AS DOUBLE) + (floor(p_partkey / 40) % 7) * CAST(0.0005 AS DOUBLE) END AS shape_pt_lat,
+       CASE WHEN p_partkey = 59 THEN CAST(35.0 AS DOUBLE) WHEN floor(p_partkey / 40) % 2 = 0 THEN CAST(30.518 AS DOUBLE) + (p_partkey % 40) * CAST(0.0006 AS DOUBLE) ELSE CAST(30.542 AS DOUBLE) - (p_partkey % 40) * CAST(0.0006 AS DOUBLE) END AS shape_pt_lon,
        CAST(p_partkey % 40 AS BIGINT) AS shape_pt_sequence
   FROM part
 """,

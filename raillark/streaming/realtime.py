@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 #: Rules of the direction state: seconds, scores and counts.
 RETAIN_S, EXPIRE_S = 180, 600
 STRONG_SCORE, STRONG_MARGIN, SWITCH_SAMPLES = 0.78, 0.25, 2
 
-STATE = StructType([StructField(n, t()) for n, t in (("family", StringType), ("direction_id", StringType), ("score", DoubleType), ("confident_at", DoubleType), ("seen_at", DoubleType), ("pending", StringType), ("pending_count", IntegerType))])
-DECISION = StructType([StructField(n, t()) for n, t in (("vehicle_id", StringType), ("event_id", LongType), ("direction_id", StringType), ("family", StringType), ("reason", StringType))])
-
 
 def latest_view(df: DataFrame, keys: list[str], now: str, ttl_s: int, max_stale_s: int, ts: str = "ts") -> DataFrame:
     """Latest row of each key until it is ``max_stale_s`` old, marked stale past ``ttl_s``."""
@@ -70,8 +62,9 @@ def step(state: dict | None, at: float, family: str | None, direction: str | Non
 
     def retain(why: str) -> tuple[dict, None, None, str]:
         new = state | {"pending": None, "pending_count": 0}
-        held = new["confident_at"] is not None and at - new["confident_at"] <= RETAIN_S
-        return new, None, None, "retained" if held else why
+        if new["confident_at"] is not None and at - new["confident_at"] <= RETAIN_S:
+            return new, None, None, "retained"
+        return new | {"family": None, "direction_id": None, "score": 0.0, "confident_at": None}, None, None, why
 
     if unique:
         return confirm("identity")
@@ -87,56 +80,3 @@ def step(state: dict | None, at: float, family: str | None, direction: str | Non
             return confirm("switched")
         return state | {"pending": family, "pending_count": count}, None, None, "pending-switch"
     return retain("opposite-evidence")
-
-
-def _move(state: dict | None, row) -> tuple[dict, tuple]:
-    family = row.family if isinstance(row.family, str) else None
-    direction = row.direction_id if isinstance(row.direction_id, str) else None
-    score, margin = (0.0 if x is None or x != x else float(x) for x in (row.score, row.margin))
-    sure = bool(row.confident) if row.confident is not None and row.confident == row.confident else False
-    new, shown, name, why = step(state, row.ts.timestamp(), family, direction, score, margin, sure)
-    return new, (row.vehicle_id, int(row.event_id), shown, name, why)
-
-
-def replay_direction(evidence: DataFrame) -> DataFrame:
-    """Batch replay: each vehicle's rows in time order through the same moves.
-
-    A vehicle's history is sorted and streamed; only the state and one batch of rows
-    are held, however long the history of one vehicle is.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, state = None, None
-        for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                if row.vehicle_id != at:
-                    at, state = row.vehicle_id, None
-                state, made = _move(state, row)
-                out.append(made)
-            yield pd.DataFrame(out, columns=["vehicle_id", "event_id", "direction_id", "family", "reason"])
-
-    rows = evidence.select("vehicle_id", "event_id", "ts", "family", "direction_id", "score", "margin", "confident")
-    return rows.repartition("vehicle_id").sortWithinPartitions("vehicle_id", "ts", "event_id").mapInPandas(run, DECISION)
-
-
-def _keyed(key: tuple, rows: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-    """The vehicle's state on a stream; idle vehicles expire."""
-    names = STATE.fieldNames()
-    if held.hasTimedOut:
-        held.remove()
-        return
-    state = dict(zip(names, held.get, strict=True)) if held.exists else None
-    out = []
-    for row in pd.concat(list(rows)).sort_values(["ts", "event_id"]).itertuples(index=False):
-        state, made = _move(state, row)
-        out.append(made)
-    if state is not None:
-        held.update(tuple(state[n] for n in names))
-        held.setTimeoutDuration(EXPIRE_S * 1000)
-    yield pd.DataFrame(out, columns=DECISION.fieldNames())
-
-
-def infer_direction(evidence: DataFrame) -> DataFrame:
-    """Direction decisions of a stream of evidence rows, one keyed state a vehicle."""
-    return evidence.groupBy("vehicle_id").applyInPandasWithState(_keyed, DECISION, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)

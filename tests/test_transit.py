@@ -153,19 +153,6 @@ def run_stream(spark, df, plan, name, mode="append", rows=1):
     return spark.sql(f"select * from {name}")
 
 
-def test_direction_replay(spark):
-    got = {(r.vehicle_id, r.event_id): (r.direction_id, r.reason) for r in realtime.replay_direction(evidence(spark)).collect()}
-    assert got["v1", 0] == ("0", "confident") and got["v1", 3] == (None, "pending-switch") and got["v1", 4] == ("0", "switched")
-    assert got["v2", 10] == (None, "low-confidence") and len(got) == 7
-
-
-def test_direction_stream_equals_replay(spark):
-    df = evidence(spark)
-    want = {tuple(r) for r in realtime.replay_direction(df).collect()}
-    got = {tuple(r) for r in run_stream(spark, df, realtime.infer_direction, "directions", rows=7).collect()}
-    assert got == want and len(got) == 7
-
-
 def test_events_once_stream(spark):
     df = spark.createDataFrame([("n1", 1), ("n1", 2), ("n2", 3)], "notification_uuid string, k int")
     assert run_stream(spark, df, realtime.events_once, "once", rows=2).count() == 2
