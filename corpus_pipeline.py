@@ -16,23 +16,39 @@ from raillark.llm import line_dedup, near_dedup, packing, quality_rules, toxicit
 from raillark.llm.workspace import free_name, fresh_path
 
 
+#: Rows of an Arrow batch: texts are long, and a task holds several copies of a batch.
+BATCH_ROWS = 1000
+
+
+def light_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for this session, unless they are smaller already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
+    light_batches(spark)
     return quality_rules.kept_rows(docs)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents over their language's toxicity threshold go."""
+    light_batches(spark)
     return toxicity.clean_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that match an earlier line are cut; a document that loses all its words goes."""
+    light_batches(spark)
     return line_dedup.cleaned(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one of the smallest doc_id."""
+    light_batches(spark)
     name = free_name(docs, "_id")
     kept = near_dedup.near_components(docs).where("kept").select(F.col("doc_id").alias(name))
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept[name]), "left_semi")
@@ -40,6 +56,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces, packed into sequences of 4096 tokens."""
+    light_batches(spark)
     return packing.packed(docs)
 
 
