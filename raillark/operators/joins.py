@@ -64,12 +64,26 @@ def resolve_stops(stops: DataFrame, public: DataFrame) -> DataFrame:
     return rows.select("stop_id", "public_id")
 
 
-def station_targets(stops: DataFrame, selected: DataFrame) -> DataFrame:
-    """source_stop_id, output_stop_id: a stop with a parent and no platform code consumes all children of the parent, others themselves."""
+def station_groups(stops: DataFrame, selected: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(source_stop_id, group_id) and (group_id, output_stop_id): what each output consumes, in factored form.
+
+    A selected stop with a parent and no platform code is an output of its parent's
+    group, whose members are all children of the parent; another is a group of its own.
+    A stop is in two groups at most, so neither table outgrows ``stops``, however many
+    outputs a parent has.
+    """
     base = (F.col("parent_station") != "") & (F.col("platform_code") == "")
-    children = stops.where("parent_station <> ''").select(F.col("stop_id").alias("source_stop_id"), F.col("parent_station").alias("_parent"))
-    group = selected.where(base).join(children, F.col("parent_station") == F.col("_parent")).select("source_stop_id", F.col("stop_id").alias("output_stop_id"))
-    return group.unionByName(selected.where(~base).select(F.col("stop_id").alias("source_stop_id"), F.col("stop_id").alias("output_stop_id")))
+    of_parent, own = F.concat(F.lit("parent:"), "parent_station"), F.concat(F.lit("stop:"), "stop_id")
+    outputs = selected.select(F.when(base, of_parent).otherwise(own).alias("group_id"), F.col("stop_id").alias("output_stop_id"))
+    members = stops.where("parent_station <> ''").select(F.col("stop_id").alias("source_stop_id"), of_parent.alias("group_id"))
+    members = members.join(outputs.select("group_id").distinct(), "group_id", "left_semi").select("source_stop_id", "group_id")
+    return members.unionByName(selected.where(~base).select(F.col("stop_id").alias("source_stop_id"), own.alias("group_id"))), outputs
+
+
+def station_targets(stops: DataFrame, selected: DataFrame) -> DataFrame:
+    """source_stop_id, output_stop_id: the groups expanded, a row for each member and output."""
+    members, outputs = station_groups(stops, selected)
+    return members.join(outputs, "group_id").select("source_stop_id", "output_stop_id")
 
 
 def _cells(df: DataFrame, box: Column, size: float) -> DataFrame:

@@ -149,13 +149,12 @@ def fn_relationship_name(v: Source):
     return v("rt_updates").groupBy("trip_relationship", "stop_relationship", e.relationship_name("trip_relationship", "trip").alias("trip_name"), e.relationship_name("stop_relationship", "stop").alias("stop_name")).agg(F.count("*").alias("n"))
 
 
-@query("t_routes", "SELECT route_id, coalesce(nullif(trim(long_name),''),'-') AS last_text FROM t_routes")
+@query("t_routes", "SELECT route_id, coalesce(nullif(trim(long_name),''),nullif(trim(short_name),''),'-') AS last_text, CAST((trim(short_name)<>'')::INT+(trim(long_name)<>'')::INT AS INT) AS n_texts FROM t_routes")
 def fn_localised_text(v: Source):
     item = lambda lang, c: F.struct(F.lit(lang).alias("language"), c.alias("text"))
     arr = F.array(item("de", F.col("short_name")), item("de", F.col("long_name")), item("en", F.lit(" ")))
-    cleaned, last = e.localised_text(F.array(item("de", F.col("long_name"))))
-    assert arr is not None
-    return v("routes").select("route_id", F.coalesce(F.try_element_at(last, F.lit("de")), F.lit("-")).alias("last_text"))
+    cleaned, last = e.localised_text(arr)
+    return v("routes").select("route_id", F.coalesce(F.try_element_at(last, F.lit("de")), F.lit("-")).alias("last_text"), F.size(cleaned).alias("n_texts"))
 
 
 @query("t_stops", "SELECT stop_id, trim(lower(stop_name)) AS a, coalesce(nullif(trim(platform_code),''), nullif(trim(parent_station),''), stop_id) AS b, round(" + _HAV.format(a="stop_lat", b="stop_lon", c="48.1", d="8.1") + ", 6) AS metres, CAST(floor(stop_lat/0.25) AS BIGINT) AS y FROM t_stops")

@@ -6,20 +6,23 @@ from pyspark.sql import functions as F
 
 from raillark.functions import expr as e
 from raillark.operators import joins
+from raillark.operators.lineage import scratch
 from raillark.plans import catalogue_joins as cj
 from raillark.plans import catalogue_rows as cr
 from raillark.plans import checks, jobs
 from raillark.plans.base import WINDOW, Source, query
-from raillark.sources import sinks
+from raillark.sources import sinks, store
 
 
 def city_stops(v: Source):
     return joins.within_radius(v("stops"), v("cities")).select("city_id", "stop_id")
 
 
-@query("t_stops", "SELECT DISTINCT stop_id, sha256(stop_id) AS shard FROM t_stops")
+@query("t_stop_times", "SELECT stop_id, sha256(stop_id) AS shard, substr(sha256(stop_id),1,2) AS bucket, count(*) AS n_rows FROM t_stop_times GROUP BY 1")
 def snk_stop_shard(v: Source):
-    return sinks.stop_shards(v("stops"))
+    folder = scratch(v.spark, "shards")
+    manifest = sinks.write_stop_shards(v("stop_times").select("stop_id", "trip_id", "stop_sequence", "departure_time"), folder)
+    return manifest.groupBy("stop_id", "shard", "bucket").agg(F.sum("n_rows").alias("n_rows"))
 
 
 @query("radius t_cities", "SELECT city_id, name, stop_count, 'stops/'||city_id||'.json' AS url FROM (SELECT city_id, count(DISTINCT stop_id) AS stop_count FROM radius GROUP BY 1) JOIN t_cities USING (city_id)")
@@ -52,6 +55,19 @@ def job_station_departures(v: Source):
     return rows.select("output_stop_id", "service_date", "departure_time", "trip_id", "stop_sequence", "source_order", "label", "destination", "mode")
 
 
+_GROUPS = """, sel AS (SELECT * FROM t_stops WHERE stop_id IN (SELECT stop_id FROM radius)),
+outs AS (SELECT CASE WHEN parent_station<>'' AND platform_code='' THEN 'parent:'||parent_station ELSE 'stop:'||stop_id END AS group_id, stop_id FROM sel),
+mem AS (SELECT stop_id, 'parent:'||parent_station AS group_id FROM t_stops WHERE parent_station<>'' AND 'parent:'||parent_station IN (SELECT group_id FROM outs) UNION ALL SELECT stop_id, 'stop:'||stop_id FROM sel WHERE NOT (parent_station<>'' AND platform_code=''))
+SELECT group_id, service_date, count(*) AS n_calls, max(n_outputs) AS n_outputs FROM mem JOIN t_stop_times x USING (stop_id) JOIN t_trips t USING (trip_id) JOIN t_routes USING (route_id) JOIN active_first a ON a.service_id=t.service_id JOIN three USING (service_date) JOIN (SELECT group_id, count(*) AS n_outputs FROM outs GROUP BY 1) USING (group_id) GROUP BY 1, 2"""
+
+
+@query("radius t_stops t_stop_times t_trips t_routes active_first three", _GROUPS)
+def job_station_calls(v: Source):
+    rows, outputs = jobs.station_calls(v.feed(), v("cities"), v.days(*WINDOW))
+    shown = outputs.groupBy("group_id").agg(F.count("*").alias("n_outputs"))
+    return rows.groupBy("group_id", "service_date").agg(F.count("*").alias("n_calls")).join(shown, "group_id").select("group_id", "service_date", "n_calls", "n_outputs")
+
+
 @query("radius t_stop_times t_trips t_calendar_dates", "SELECT x.stop_id, x.departure_time, x.trip_id, t.route_id, t.headsign, x.stop_sequence, row_number() OVER (PARTITION BY x.stop_id ORDER BY x.departure_time, x.trip_id, x.stop_sequence, x.source_order) AS rank FROM t_stop_times x JOIN t_trips t USING (trip_id) WHERE x.stop_id IN (SELECT stop_id FROM radius) AND t.service_id IN (SELECT service_id FROM t_calendar_dates WHERE service_date='20240115' AND exception_type=1)")
 def job_day_departures(v: Source):
     return jobs.day_departures(v.feed(), city_stops(v), "20240115")
@@ -84,7 +100,21 @@ def job_boundary_packages(v: Source):
     return jobs.boundary_packages(v("stops"), joins.box_polygons(v("boundaries")), v("cities"))
 
 
-@query()
+_PUBLIC = """, near AS (SELECT DISTINCT city_id, stop_id FROM radius),
+inside AS (SELECT * FROM t_stops WHERE stop_id IN (SELECT stop_id FROM near)),
+used AS (SELECT DISTINCT stop_id FROM t_stop_times),
+seen AS (SELECT * FROM inside s WHERE (location_type='1' AND (stop_id IN (SELECT stop_id FROM used) OR stop_id IN (SELECT parent_station FROM inside WHERE stop_id IN (SELECT stop_id FROM used)))) OR (location_type='0' AND NOT EXISTS (SELECT 1 FROM inside p WHERE p.location_type='1' AND p.stop_id=s.parent_station))),
+live AS (SELECT stop_id FROM used UNION SELECT parent_station FROM t_stops WHERE stop_id IN (SELECT stop_id FROM used)),
+shown AS (SELECT * FROM seen s WHERE stop_id IN (SELECT stop_id FROM live) OR NOT EXISTS (SELECT 1 FROM seen o WHERE o.stop_id IN (SELECT stop_id FROM live) AND lower(o.stop_name)=lower(s.stop_name) AND round_even(o.stop_lat,2)=round_even(s.stop_lat,2) AND round_even(o.stop_lon,2)=round_even(s.stop_lon,2) AND {twin}<=150))
+SELECT city_id, 'x:'||stop_id AS stop_id, stop_name FROM near JOIN shown USING (stop_id)
+UNION ALL SELECT c.city_id, k.stop_id, k.name FROM (SELECT * FROM t_catalogue WHERE name<>'' AND stop_type IN (0,1) QUALIFY row_number() OVER (PARTITION BY stop_id ORDER BY source_order)=1) k, t_cities c WHERE {inside}<=c.radius_m AND NOT EXISTS (SELECT 1 FROM shown s WHERE abs(s.stop_lat-k.latitude)<0.01 AND {close}<=150)""".format(
+    twin=cj._HAV.format(a="o.stop_lat", b="o.stop_lon", c="s.stop_lat", d="s.stop_lon"),
+    inside=cj._HAV.format(a="c.latitude", b="c.longitude", c="k.latitude", d="k.longitude"),
+    close=cj._HAV.format(a="k.latitude", b="k.longitude", c="s.stop_lat", d="s.stop_lon"),
+)
+
+
+@query("radius t_stops t_stop_times t_catalogue t_cities", _PUBLIC)
 def job_public_packages(v: Source):
     return jobs.public_packages(v.feed(), v("cities"), v("catalogue"), "x:").select("city_id", "stop_id", "stop_name")
 
@@ -131,6 +161,24 @@ def job_import_entities(v: Source):
 
 
 _GONE = "(SELECT key_1 FROM t_entities WHERE entity_type='{k}' AND provider_id='pb' EXCEPT SELECT key_1 FROM t_entities WHERE entity_type='{k}' AND provider_id<>'pb')"
+_STORE = """, own AS (SELECT t.trip_id, t.route_id, e.provider_id FROM t_trips t JOIN t_entities e ON e.entity_type='trips' AND e.key_1=t.trip_id WHERE e.provider_id<>'pb'
+  UNION ALL SELECT trip_id, 'new', 'pb' FROM t_trips WHERE CAST(substr(trip_id,2) AS BIGINT)%3=0),
+one AS (SELECT trip_id, arg_min(route_id, provider_id) AS route_id, min(provider_id) AS provider_id FROM own GROUP BY 1)
+SELECT provider_id, route_id='new' AS fresh, count(*) AS n, CAST(sum(CAST(substr(trip_id,2) AS BIGINT)) AS BIGINT) AS ids FROM one GROUP BY 1, 2"""
+
+
+@query("t_trips t_entities", _STORE)
+def job_provider_store(v: Source):
+    """A provider replaced twice in a store: its old trips go, shared ones stay with their other owners."""
+    folder = scratch(v.spark, "store")
+    trips = v("trips").select("trip_id", "route_id")
+    owned = trips.join(v("entities").where("entity_type = 'trips'").select(F.col("key_1").alias("trip_id"), "provider_id"), "trip_id")
+    store.write_providers({"trips": owned}, folder, ["pa", "pb", "pc"])
+    fresh = trips.where(F.substr("trip_id", F.lit(2)).cast("bigint") % 3 == 0).select("trip_id", F.lit("new").alias("route_id"), F.lit("pb").alias("provider_id"))
+    for _ in range(2):
+        store.write_providers({"trips": fresh}, folder, ["pb"])
+    rows = store.read_entities(v.spark, folder, "trips").withColumn("fresh", F.col("route_id") == "new")
+    return rows.groupBy("provider_id", "fresh").agg(F.count("*").alias("n"), F.sum(F.substr("trip_id", F.lit(2)).cast("bigint")).alias("ids"))
 
 
 @query("t_entities t_trips t_routes", "SELECT 'trips' AS kind, trip_id AS id FROM t_trips WHERE trip_id NOT IN " + _GONE.format(k="trips") + " UNION ALL SELECT 'routes', route_id FROM t_routes WHERE route_id NOT IN " + _GONE.format(k="routes"))
@@ -174,6 +222,11 @@ def str_hourly_network(v: Source):
     return jobs.hourly_network(v.feed(), v.days("20240114", "20240117"), v("trips"))
 
 
+@query("t_stop_times t_trips active", "SELECT DISTINCT CAST(hour AS BIGINT) AS hour, stop_id FROM (SELECT t.trip_id, unnest(range(CAST(floor((s.b+lo)/3600) AS BIGINT), CAST(floor((s.b+hi)/3600) AS BIGINT)+1)) AS hour FROM (SELECT trip_id, min(departure_seconds) AS lo, max(departure_seconds) AS hi FROM t_stop_times GROUP BY 1) x JOIN t_trips t USING (trip_id) JOIN (SELECT service_id, epoch(strptime(service_date,'%Y%m%d'))::BIGINT AS b FROM active WHERE service_date BETWEEN '20240114' AND '20240115') s USING (service_id)) JOIN (SELECT DISTINCT trip_id, stop_id FROM t_stop_times) USING (trip_id)")
+def str_hourly_stops(v: Source):
+    return jobs.hourly_stops(v.feed(), v.days("20240114", "20240115"), v("trips"))
+
+
 @query("t_stops", "SELECT 'shapes' AS table_name, CAST(0 AS BIGINT) AS n")
 def chk_feed_tables(v: Source):
     return checks.check_feed(v.feed("stops", "routes", "trips", "stop_times"), ("stops", "routes", "trips", "stop_times", "shapes"))
@@ -192,7 +245,7 @@ def chk_orphans(v: Source):
     return checks.orphans(v("entities"), {"trips": (v("trips"), "trip_id"), "routes": (v("routes"), "route_id")})
 
 
-@query("radius t_stop_times", "SELECT city_id, 'stop_outside_package' AS problem FROM radius JOIN t_stop_times USING (stop_id) WHERE t_stop_times.source_order=1 GROUP BY city_id HAVING count(*) FILTER (WHERE CAST(substr(stop_id,2) AS INT) % 11 = 0)>0 UNION ALL SELECT DISTINCT city_id, 'count' FROM radius JOIN t_stop_times USING (stop_id) WHERE city_id='c2' UNION ALL SELECT DISTINCT city_id, 'unknown_city' FROM radius JOIN t_stop_times USING (stop_id) WHERE t_stop_times.source_order=1 AND city_id='c4'")
+@query("radius t_stop_times", "SELECT city_id, 'stop_outside_package' AS problem FROM radius JOIN t_stop_times USING (stop_id) WHERE t_stop_times.source_order=1 GROUP BY city_id HAVING count(*) FILTER (WHERE CAST(substr(stop_id,2) AS INT) % 11 = 0)>0 UNION ALL SELECT DISTINCT city_id, 'count' FROM radius JOIN t_stop_times USING (stop_id) WHERE city_id='c2' UNION ALL SELECT DISTINCT city_id, 'unknown_city' FROM radius JOIN t_stop_times USING (stop_id) WHERE t_stop_times.source_order=1 AND city_id='c4' UNION ALL SELECT 'c1', 'alias_shadows' UNION ALL SELECT 'old', 'alias_target'")
 def chk_departure_index(v: Source):
     near = city_stops(v)
     calls = v("stop_times").where("source_order = 1").select("stop_id", "trip_id")
@@ -200,7 +253,8 @@ def chk_departure_index(v: Source):
     counts = near.join(v("stop_times"), "stop_id").select("city_id").distinct().join(index.groupBy("city_id").agg(F.count("*").alias("n")), "city_id", "left")
     manifest = counts.where("city_id <> 'c4'").select("city_id", (F.coalesce("n", F.lit(0)) + F.when(F.col("city_id") == "c2", 1).otherwise(0)).alias("departure_count"))
     packages = near.where(F.substr("stop_id", F.lit(2)).cast("int") % 11 != 0)
-    return checks.check_departures(index, packages, manifest)
+    aliases = v.spark.sql("SELECT 'c1' AS alias_city_id, 'c2' AS canonical_city_id UNION ALL SELECT 'c1', 'c1' UNION ALL SELECT 'old', 'c9' UNION ALL SELECT 'older', 'c0'")
+    return checks.check_departures(index, packages, manifest, aliases)
 
 
 @query("radius t_cities", "SELECT c.city_id, p.problem FROM (SELECT city_id, count(*) AS n, min(distance_m) AS near FROM radius GROUP BY 1) c, (SELECT unnest(['count','no_stop_near_center']) AS problem) p WHERE (p.problem='count' AND c.city_id='c1') OR (p.problem='no_stop_near_center' AND c.near>2000)")
@@ -210,11 +264,11 @@ def chk_public_package(v: Source):
     return checks.check_packages(packages, v("cities"), manifest, 2000.0)
 
 
-@query("t_routes", "SELECT route_id AS source_id, 'missing' AS problem FROM t_routes WHERE agency_id='a1' AND route_type IN ('0','1') OR route_id='r7' AND agency_id='a1'")
+@query("t_routes", "SELECT route_id AS source_id, 'missing' AS problem FROM t_routes WHERE agency_id='a1' AND route_type IN ('0','1') OR route_id='r7' AND agency_id='a1' UNION ALL SELECT route_id, 'no_path' FROM t_routes WHERE route_type='2' AND short_name=''")
 def chk_sources_active(v: Source):
     routes = v("routes")
     kind = F.when(F.col("route_type").isin("0", "1"), "required").when(F.col("route_id") == "r7", "conditional").otherwise("optional")
-    registry = routes.select(F.col("route_id").alias("source_id"), kind.alias("class"))
+    registry = routes.select(F.col("route_id").alias("source_id"), kind.alias("class"), (F.col("route_type") == "2").alias("importable"), F.col("short_name").alias("path"))
     candidate = routes.where("agency_id <> 'a1'").select(F.col("route_id").alias("source_id"))
     return checks.check_sources(registry, candidate, ["r7"])
 
@@ -227,3 +281,10 @@ def chk_expected_counts(v: Source):
     return checks.check_counts(tables, expected)
 
 
+@query("t_catalogue t_stops", "SELECT stop_id AS id, 'repeated' AS problem FROM t_catalogue GROUP BY 1 HAVING count(*)>1 UNION ALL SELECT DISTINCT stop_id, 'unexpected' FROM t_catalogue WHERE CAST(substr(stop_id,2) AS INT)%9=0 UNION ALL SELECT 'absent', 'missing'")
+def chk_expected_ids(v: Source):
+    rows = v("catalogue")
+    expected = rows.where(F.substr("stop_id", F.lit(2)).cast("int") % 9 != 0).select("stop_id").union(v.spark.sql("SELECT 'absent'"))
+    return checks.check_ids(rows, expected, "stop_id")
+
+

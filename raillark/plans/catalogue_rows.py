@@ -9,6 +9,7 @@ from raillark.operators.lineage import cut
 from raillark.plans import catalogue_joins as cj
 from raillark.plans import jobs
 from raillark.plans.base import Source, query
+from raillark.plans.catalogue_joins import _HAV
 from raillark.streaming import realtime, vehicles
 
 
@@ -111,10 +112,10 @@ def agg_topology_fanout(v: Source):
     return aggregates.top_fanout(aggregates.topology_fanout(variants(v), windows.shape_segments(v("shapes"))))
 
 
-@query("t_trips", "SELECT dataset, arg_max(id, y*1000000+k) AS id, CAST(max(y) AS INT) AS year FROM (SELECT shape_id AS dataset, trip_id AS id, CAST(substr(service_id,2) AS INT) AS y, CAST(substr(trip_id,2) AS INT) AS k FROM t_trips WHERE length(service_id)=3) GROUP BY 1")
+@query("t_trips", "SELECT dataset, arg_max(id, y*1000000000+k) AS id, CAST(max(y) AS INT) AS year FROM (SELECT shape_id AS dataset, trip_id AS id, 2000+CAST(substr(trip_id,2) AS BIGINT)%26 AS y, CAST(substr(trip_id,2) AS BIGINT) AS k FROM t_trips WHERE CAST(substr(trip_id,2) AS BIGINT)%7<>0) GROUP BY 1")
 def agg_latest_version(v: Source):
     number = F.substr("trip_id", F.lit(2)).cast("int")
-    year = F.when(F.length("service_id") == 3, F.substr("service_id", F.lit(2))).otherwise("none")
+    year = F.when(number % 7 != 0, (2000 + number % 26).cast("string")).otherwise("none")
     rows = v("trips").select(F.col("shape_id").alias("dataset"), F.array(F.struct(year.alias("year"), F.lpad(number.cast("string"), 9, "0").alias("id"))).alias("versions"))
     return aggregates.latest_version(rows).select("dataset", F.concat(F.lit("t"), F.col("id").cast("int").cast("string")).alias("id"), "year")
 
@@ -251,7 +252,19 @@ def top_lines_at_stop(v: Source):
     return windows.lines_at_stop(calls_at(v, "s3"), "s3")
 
 
-@query()
+def _spread(rounds: int) -> str:
+    """Counterpart of the picks: each round takes the best of the stops that are left, by their distance to all picks so far."""
+    hav = _HAV.format
+    steps = [f"""s AS MATERIALIZED (SELECT r.city_id, r.stop_id, r.stop_lat, r.stop_lon, coalesce(l.n, 0) AS lines, {hav(a="c.latitude", b="c.longitude", c="r.stop_lat", d="r.stop_lon")} AS center FROM radius r JOIN t_cities c USING (city_id) LEFT JOIN (SELECT stop_id, count(DISTINCT route_id) AS n FROM t_stop_times JOIN t_trips USING (trip_id) GROUP BY 1) l USING (stop_id))"""]
+    steps.append("p1 AS MATERIALIZED (SELECT city_id, stop_id, stop_lat, stop_lon, 1 AS rank, CAST(NULL AS DOUBLE) AS apart FROM s QUALIFY row_number() OVER (PARTITION BY city_id ORDER BY lines DESC, center, stop_id)=1)")
+    steps.append("s1 AS MATERIALIZED (SELECT *, CAST(NULL AS DOUBLE) AS apart FROM s)")
+    for k in range(2, rounds + 1):
+        steps.append(f"s{k} AS MATERIALIZED (SELECT x.city_id, x.stop_id, x.stop_lat, x.stop_lon, x.lines, x.center, least(x.apart, {hav(a='x.stop_lat', b='x.stop_lon', c='p.stop_lat', d='p.stop_lon')}) AS apart FROM s{k - 1} x JOIN p{k - 1} p USING (city_id) WHERE x.stop_id<>p.stop_id)")
+        steps.append(f"p{k} AS MATERIALIZED (SELECT city_id, stop_id, stop_lat, stop_lon, {k} AS rank FROM s{k} QUALIFY row_number() OVER (PARTITION BY city_id ORDER BY apart+lines*1200-center*0.08 DESC, lines DESC, stop_id DESC)=1)")
+    return ", " + ", ".join(steps) + " " + " UNION ALL ".join(f"SELECT city_id, rank, stop_id FROM p{k}" for k in range(1, rounds + 1))
+
+
+@query("radius t_cities t_stop_times t_trips", _spread(12))
 def top_spread_stops(v: Source):
     lines = v("stop_times").join(v("trips").select("trip_id", "route_id"), "trip_id").groupBy("stop_id").agg(F.count_distinct("route_id").alias("line_count"))
     stops = joins.within_radius(v("stops"), v("cities")).select("city_id", "stop_id", "stop_lat", "stop_lon").join(lines, "stop_id", "left").fillna(0, ["line_count"])

@@ -30,13 +30,23 @@ def orphans(entities: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_departures(index: DataFrame, packages: DataFrame, manifest: DataFrame) -> DataFrame:
-    """city_id, problem: unknown cities, stops outside the package, counts that differ from the manifest or are 0."""
+def check_aliases(aliases: DataFrame, cities: DataFrame) -> DataFrame:
+    """city_id (the alias), problem: aliases (alias_city_id, canonical_city_id) that bear the id of another city, or whose target is none."""
+    known = cities.select("city_id").distinct()
+    shadows = aliases.where("alias_city_id <> canonical_city_id").join(known, F.col("alias_city_id") == F.col("city_id"), "left_semi")
+    lost = aliases.join(known, F.col("canonical_city_id") == F.col("city_id"), "left_anti")
+    return shadows.select(F.col("alias_city_id").alias("city_id"), F.lit("alias_shadows").alias("problem")).unionByName(lost.select(F.col("alias_city_id").alias("city_id"), F.lit("alias_target").alias("problem")))
+
+
+def check_departures(index: DataFrame, packages: DataFrame, manifest: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """city_id, problem: unknown or repeated cities, stops outside the package, counts that differ from the manifest or are 0, wrong aliases."""
     unknown = index.select("city_id").distinct().join(manifest.select("city_id"), "city_id", "left_anti").select("city_id", F.lit("unknown_city").alias("problem"))
     outside = index.select("city_id", "stop_id").distinct().join(packages.select("city_id", "stop_id"), ["city_id", "stop_id"], "left_anti").select("city_id", F.lit("stop_outside_package").alias("problem")).distinct()
     counts = index.groupBy("city_id").agg(F.count("*").alias("n"))
     wrong = manifest.join(counts, "city_id", "left").where((F.coalesce("n", F.lit(0)) != F.col("departure_count")) | (F.col("departure_count") == 0)).select("city_id", F.lit("count").alias("problem"))
-    return unknown.unionByName(outside).unionByName(wrong)
+    twice = manifest.groupBy("city_id").agg(F.count("*").alias("n")).where("n > 1").select("city_id", F.lit("repeated_city").alias("problem"))
+    found = unknown.unionByName(outside).unionByName(wrong).unionByName(twice)
+    return found if aliases is None else found.unionByName(check_aliases(aliases, manifest))
 
 
 def check_packages(packages: DataFrame, cities: DataFrame, manifest: DataFrame, near_m: float = 8000.0) -> DataFrame:
@@ -58,11 +68,23 @@ def check_store(tables: dict[str, DataFrame], needed: tuple[str, ...]) -> DataFr
 
 
 def check_sources(registry: DataFrame, candidate: DataFrame, switches: list[str]) -> DataFrame:
-    """source_id, problem: needed feeds not in the candidate, and repeated ids."""
+    """source_id, problem: needed feeds not in the candidate, repeated ids, and importable feeds (column ``importable``) without a ``path``."""
     on = (F.col("class") == "required") | ((F.col("class") == "conditional") & F.col("source_id").isin(switches or [""]))
     missing = registry.where(on).join(candidate.select("source_id"), "source_id", "left_anti").select("source_id", F.lit("missing").alias("problem"))
     twice = registry.groupBy("source_id").agg(F.count("*").alias("n")).where("n > 1").select("source_id", F.lit("repeated").alias("problem"))
-    return missing.unionByName(twice)
+    found = missing.unionByName(twice)
+    if "importable" not in registry.columns:
+        return found
+    bare = registry.where(F.col("importable") & (F.trim(F.coalesce("path", F.lit(""))) == ""))
+    return found.unionByName(bare.select("source_id", F.lit("no_path").alias("problem")))
+
+
+def check_ids(rows: DataFrame, expected: DataFrame, key: str) -> DataFrame:
+    """id, problem: ids of ``rows`` that ``expected`` lacks, the other way round, and ids that several rows have."""
+    have, want = rows.groupBy(key).agg(F.count("*").alias("_n")), expected.select(F.col(key).alias("_want")).distinct()
+    both = have.join(want, F.col(key) == F.col("_want"), "full")
+    problems = F.array_compact(F.array(F.when(F.col("_want").isNull(), "unexpected"), F.when(F.col("_n").isNull(), "missing"), F.when(F.col("_n") > 1, "repeated")))
+    return both.select(F.coalesce(key, "_want").alias("id"), F.explode(problems).alias("problem"))
 
 
 def check_counts(tables: dict[str, DataFrame], expected: DataFrame) -> DataFrame:

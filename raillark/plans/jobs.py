@@ -1,4 +1,8 @@
-"""Data products built from the operators; each is one lazy plan."""
+"""Data products built from the operators.
+
+Most are one lazy plan; those that resolve ancestors or scope an agency run the rounds
+of that search when they are called.
+"""
 
 from __future__ import annotations
 
@@ -36,19 +40,28 @@ def compact_departures(feed: Feed, public: DataFrame, days: DataFrame) -> DataFr
     ).distinct()
 
 
-def station_departures(feed: Feed, cities: DataFrame, days: DataFrame) -> DataFrame:
-    """Departures at station groups near the cities, with the mode of transport."""
+def station_calls(feed: Feed, cities: DataFrame, days: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Departures by station group, and the outputs (group_id, output_stop_id) that show each group.
+
+    Calls have a row a group, not a row an output: a station of any number of outputs
+    costs no more than its calls.
+    """
     active = sets.active_services(feed["calendar"], feed["calendar_dates"], days, "exception_first")
     selected = feed["stops"].join(joins.within_radius(feed["stops"], cities).select("stop_id").distinct(), "stop_id", "left_semi")
-    targets = joins.station_targets(feed["stops"], selected)
+    members, outputs = joins.station_groups(feed["stops"], selected)
     last = windows.terminal_stops(feed["stop_times"], "C").join(feed["stops"].select(F.col("stop_id").alias("terminal_stop_id"), F.col("stop_name").alias("terminal_name")), "terminal_stop_id", "left")
-    # calls of the window once, with all they say; a station's outputs join last, on short rows
     named = feed["trips"].join(active, "service_id").join(feed["routes"].select("route_id", "short_name", "long_name", "route_type"), "route_id").join(last.drop("terminal_stop_id"), "trip_id", "left")
     named = named.select("trip_id", "service_date", line_label("short_name", "long_name", "route_id").alias("label"), destination("headsign", "terminal_name", default="?").alias("destination"), mode_of_route_type("route_type").alias("mode"))
-    times = feed["stop_times"].select("trip_id", F.col("stop_id").alias("source_stop_id"), "departure_time", "stop_sequence", "source_order").join(targets.select("source_stop_id").distinct(), "source_stop_id", "left_semi")
-    rows = times.join(named, "trip_id").join(targets, "source_stop_id")
+    times = feed["stop_times"].select("trip_id", F.col("stop_id").alias("source_stop_id"), "departure_time", "stop_sequence", "source_order").join(members, "source_stop_id")
+    rows = times.join(named, "trip_id")
+    return rows.select("group_id", "service_date", "departure_time", "trip_id", "stop_sequence", "source_order", "label", "destination", "mode"), outputs
+
+
+def station_departures(feed: Feed, cities: DataFrame, days: DataFrame) -> DataFrame:
+    """Departures at station groups near the cities, with the mode of transport, a row an output."""
+    rows, outputs = station_calls(feed, cities, days)
     short = F.element_at(F.split("output_stop_id", ":"), -1)
-    return rows.select("output_stop_id", short.alias("stop_key"), "service_date", "departure_time", "trip_id", "stop_sequence", "source_order", "label", "destination", "mode")
+    return rows.join(outputs, "group_id").select("output_stop_id", short.alias("stop_key"), "service_date", "departure_time", "trip_id", "stop_sequence", "source_order", "label", "destination", "mode")
 
 
 def day_departures(feed: Feed, city_stops: DataFrame, today: str) -> DataFrame:
@@ -221,14 +234,26 @@ def provenance_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return both.select("source_id", problem.alias("problem")).where("problem is not null")
 
 
-def hourly_network(feed: Feed, days: DataFrame, trips: DataFrame) -> DataFrame:
-    """Trips by the clock hours they run through, with the number of distinct stops on the way."""
+def hourly_trips(feed: Feed, days: DataFrame, trips: DataFrame) -> DataFrame:
+    """trip_id, hour: the clock hours that each trip runs through."""
     active = sets.active_services(feed["calendar"], feed["calendar_dates"], days)
-    span = feed["stop_times"].groupBy("trip_id").agg(F.min("departure_seconds").alias("lo"), F.max("departure_seconds").alias("hi"), F.array_sort(F.collect_set("stop_id")).alias("stop_ids"))
-    rows = trips.join(span, "trip_id").join(active, "service_id")
+    span = feed["stop_times"].groupBy("trip_id").agg(F.min("departure_seconds").alias("lo"), F.max("departure_seconds").alias("hi"))
+    rows = trips.select("trip_id", "service_id").join(span, "trip_id").join(active, "service_id")
     start = F.unix_seconds(F.to_timestamp("service_date", "yyyyMMdd"))
-    hours = F.explode(F.sequence(F.floor((start + F.col("lo")) / 3600), F.floor((start + F.col("hi")) / 3600)))
-    return rows.select("trip_id", "stop_ids", hours.alias("hour")).distinct().groupBy("hour").agg(F.count_distinct("trip_id").alias("n_trips"), F.size(F.array_distinct(F.flatten(F.collect_set("stop_ids")))).alias("n_stops"))
+    return rows.select("trip_id", F.explode(F.sequence(F.floor((start + F.col("lo")) / 3600), F.floor((start + F.col("hi")) / 3600))).alias("hour")).distinct()
+
+
+def hourly_stops(feed: Feed, days: DataFrame, trips: DataFrame) -> DataFrame:
+    """hour, stop_id: the stops on the way of any trip of an hour, a row each."""
+    served = feed["stop_times"].select("trip_id", "stop_id").distinct()
+    return hourly_trips(feed, days, trips).join(served, "trip_id").select("hour", "stop_id").distinct()
+
+
+def hourly_network(feed: Feed, days: DataFrame, trips: DataFrame) -> DataFrame:
+    """Number of trips and of distinct stops on their way by clock hour; pairs are made distinct first, so no row holds an hour's lists."""
+    runs = hourly_trips(feed, days, trips).groupBy("hour").agg(F.count("*").alias("n_trips"))
+    places = hourly_stops(feed, days, trips).groupBy("hour").agg(F.count("*").alias("n_stops"))
+    return runs.join(places, "hour", "left").select("hour", "n_trips", F.coalesce("n_stops", F.lit(0)).alias("n_stops"))
 
 
 # Our field, the record's field, and how it is read. An optional text

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,14 +144,46 @@ def read_package(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return rows.select("city_id", "stop_id", F.explode("d").alias("x")).select("city_id", "stop_id", "x.*")
 
 
-def artifact_digest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+#: Files up to this many bytes are read as one row; longer ones are opened by path and hashed in pieces.
+ONE_ROW = 256 << 20
+_PIECE = 8 << 20
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of the files that the rows name, read piece by piece."""
+    for batch in batches:
+        out = []
+        for name in batch.column(0).to_pylist():
+            store, inner = (pafs.LocalFileSystem(), name[len("file:") :]) if name.startswith("file:/") else pafs.FileSystem.from_uri(quote(name, safe=":/"))
+            digest = hashlib.sha256()
+            with store.open_input_stream(inner) as file:
+                while piece := file.read(_PIECE):
+                    digest.update(piece)
+            out.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], ["path", "source_id", "size", "sha256"])
+
+
+def artifact_digest(spark: SparkSession, path: str, one_row: int = ONE_ROW) -> tuple[DataFrame, DataFrame]:
     """SHA-256 and size of each file by its path in the folder, and of the folder: over the sorted paths, lengths and digests.
 
     The digest of digests stands for one over all bytes, which no second task could share.
+    Files over ``one_row`` bytes are opened by the task that hashes them, so their size has no limit.
+    The reader skips empty files; they have no row.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     root = path.split("://")[-1].removeprefix("file:").rstrip("/") + "/"
     inner = F.element_at(F.split(F.col("path"), F.concat(F.lit("\\Q"), F.lit(root), F.lit("\\E")), 2), -1)
-    each = files.select(inner.alias("source_id"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    small = files.where(F.col("length") <= one_row).select(inner.alias("source_id"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    # without the column of contents only names and lengths are listed
+    long = files.where(F.col("length") > one_row).select("path", inner.alias("source_id"), F.col("length").alias("size"))
+    long = long.repartition("path").mapInArrow(_hashed, "path string, source_id string, size long, sha256 string").select("source_id", "sha256", "size")
+    each = small.unionByName(long)
     line = F.concat_ws(":", F.octet_length("source_id").cast("string"), "source_id", F.col("size").cast("string"), "sha256")
     return each, each.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n").cast("binary"), 256).alias("sha256"), F.sum("size").alias("size"))
+
+
+def provenance(each: DataFrame, identity: dict[str, str]) -> DataFrame:
+    """``each`` file with the digest of its record bound to an identity: SHA-256 of one JSON object, keys in order."""
+    fields = {"sha256": F.col("sha256"), "size": F.col("size"), "source_id": F.col("source_id")} | {k: F.lit(v) for k, v in identity.items()}
+    record = F.to_json(F.struct(*(fields[k].alias(k) for k in sorted(fields))))
+    return each.withColumn("record_sha256", F.sha2(record, 256))

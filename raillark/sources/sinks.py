@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from raillark.functions.expr import search_name
 
@@ -38,11 +39,34 @@ def stop_shards(df: DataFrame) -> DataFrame:
     return df.select("stop_id", F.sha2(F.col("stop_id").cast("binary"), 256).alias("shard")).distinct()
 
 
-def write_stop_shards(df: DataFrame, folder: str) -> DataFrame:
-    """Rows by shard, and the manifest."""
-    marked = df.withColumn("shard", F.sha2(F.col("stop_id").cast("binary"), 256))
-    marked.write.mode("overwrite").partitionBy("shard").parquet(f"{folder}/shards")
-    return stop_shards(df)
+def write_stop_shards(df: DataFrame, folder: str, per_part: int = 1_000_000) -> DataFrame:
+    """Rows in 256 buckets by the first two digits of their shard, and the manifest.
+
+    A bucket's folder holds one file for each of its parts; a stop of more than
+    ``per_part`` rows is dealt to several parts.  So files do not grow with stops or
+    tasks, and no task holds more than one part.  Manifest: stop_id, shard, bucket,
+    part, n_rows and offset, the rows before in the part's file, which is ordered by shard.
+    """
+    marked = df.withColumn("shard", F.sha2(F.col("stop_id").cast("binary"), 256)).withColumn("bucket", F.substr("shard", F.lit(1), F.lit(2)))
+    counts = marked.groupBy("shard").agg(F.ceil(F.count("*") / per_part).alias("_parts"))
+    dealt = marked.join(counts, "shard").withColumn("part", F.pmod(F.xxhash64(*df.columns), F.col("_parts")).cast("int")).drop("_parts")
+    placed = dealt.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "shard")
+    placed.write.mode("overwrite").partitionBy("bucket", "part").parquet(f"{folder}/shards")
+    back = df.sparkSession.read.schema(dealt.schema).parquet(f"{folder}/shards")
+    rows = back.groupBy("bucket", "part", "shard", "stop_id").agg(F.count("*").alias("n_rows"))
+    before = Window.partitionBy("bucket", "part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    manifest = rows.select("stop_id", "shard", "bucket", "part", "n_rows", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("offset"))
+    manifest.write.mode("overwrite").parquet(f"{folder}/manifest")
+    return df.sparkSession.read.parquet(f"{folder}/manifest")
+
+
+def read_stop_shard(spark: SparkSession, folder: str, stop_id: str) -> DataFrame:
+    """The rows of one stop: its manifest rows name the folders, whose files skip other shards by their bounds."""
+    named = spark.read.parquet(f"{folder}/manifest").where(F.col("stop_id") == stop_id).select("shard", "bucket", "part").collect()  # one row a part
+    if not named:
+        return spark.read.parquet(f"{folder}/shards").where(F.lit(False)).drop("shard", "bucket", "part")
+    rows = spark.read.parquet(*(f"{folder}/shards/bucket={r.bucket}/part={r.part}" for r in named))
+    return rows.where(F.col("shard") == named[0].shard).drop("shard")
 
 
 def city_manifest(packages: list[DataFrame], cities: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -25,6 +25,52 @@ def latest_stream(df: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(F.struct(*others), ts).alias("x")).select(*keys, "x.*")
 
 
+def snapshot_writer(folder: str, keys: list[str], max_stale_s: int, ts: str = "ts"):
+    """A ``foreachBatch`` function that keeps ``folder`` the latest view of a stream: see :func:`read_snapshot`.
+
+    Batch n reads version n - 1 and writes version n, so a batch that runs again after a
+    failure gives the same table; older versions go.  "Now" is the latest time seen so far;
+    rows older than ``max_stale_s`` leave the table, which so holds no more than the keys of that time.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        have = _versions(spark, folder)
+        earlier = [v for v in have if v < batch_id]
+        rows = batch.select(*batch.columns)
+        if earlier:
+            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(f"{folder}/version={max(earlier)}"))
+        others = [c for c in batch.columns if c not in keys]
+        best = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(ts, *others)).alias("x")).select(*keys, "x.*")
+        now = F.lit(rows.agg(F.max(ts)).collect()[0][0]).cast(batch.schema[ts].dataType)
+        best.where(F.timestamp_diff("SECOND", F.col(ts), now) <= max_stale_s).select(*batch.columns).write.mode("overwrite").parquet(f"{folder}/version={batch_id}")
+        for v in sorted(earlier)[:-1]:
+            _remove(spark, f"{folder}/version={v}")
+
+    return write
+
+
+def read_snapshot(spark: SparkSession, folder: str, ttl_s: int, ts: str = "ts") -> DataFrame:
+    """The table that a snapshot writer keeps, with ``stale`` past ``ttl_s`` of its latest time."""
+    rows = spark.read.parquet(f"{folder}/version={max(_versions(spark, folder))}")
+    now = F.lit(rows.agg(F.max(ts)).collect()[0][0]).cast(rows.schema[ts].dataType)
+    return rows.withColumn("stale", F.timestamp_diff("SECOND", F.col(ts), now) > ttl_s)
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    """Versions that were written whole."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.listStatus(path) if store.exists(path) else []
+    done = lambda f: store.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))
+    return [int(f.getPath().getName().split("=")[1]) for f in found if f.getPath().getName().startswith("version=") and done(f)]
+
+
+def _remove(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def in_order(df: DataFrame, arrival: str, ts: str = "ts", key: str = "vehicle_id") -> DataFrame:
     """Rows in arrival order that are later than all before them of their vehicle (batch form)."""
     before = F.max(ts).over(Window.partitionBy(key).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1))
