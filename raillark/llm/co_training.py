@@ -42,7 +42,7 @@ BUCKETS = 1 << 13
 KIND = 1 << 9
 META = 3 * KIND + 32 + 1
 PER_CLASS, MAX_CHARS = 3000, 20_000
-ROUNDS = 3
+ROUNDS, STEPS = 3, 2
 CONFIDENT = 0.9
 #: Weight of all pseudo-labelled rows beside the labelled ones'.
 PSEUDO = 0.5
@@ -113,13 +113,23 @@ def metadata(rows: pa.RecordBatch) -> Sparse:
     return Sparse(np.repeat(np.arange(n), col.shape[1]), col.ravel(), np.ones(col.size), n, META)
 
 
-def logistic(x: Sparse, y: np.ndarray, weight: np.ndarray, steps: int = 120, rate: float = 0.5, decay: float = 1e-4) -> np.ndarray:
-    """Adagrad on the whole sample."""
-    w, seen = np.zeros(x.width), np.full(x.width, 1e-8)
+def logistic(x: Sparse, y: np.ndarray, weight: np.ndarray, steps: int = 120, rate: float = 0.5, decay: float = 1e-4, start: np.ndarray | None = None, pull: Pull | None = None) -> np.ndarray:
+    """Adagrad on the whole sample.
+
+    With ``pull``, the loss of the rows behind it joins: each label has ``PSEUDO / 2`` of
+    the weight, and around ``start`` the loss is held by its gradient and a bound of its curvature,
+    below which it never lies, so each solution lowers the loss of all rows.
+    """
+    w, seen = np.zeros(x.width) if start is None else start.copy(), np.full(x.width, 1e-8)
     weight = weight / weight.sum()
+    slope = bound = np.zeros(x.width)
+    if pull is not None:
+        each = np.where(pull.count > 0, PSEUDO / 2 / np.maximum(1, pull.count), 0)
+        slope, bound = each @ pull.gradient, each @ pull.curvature
+    first = w.copy()
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x.dot(w), -30, 30)))
-        g = x.back((p - y) * weight) + decay * w
+        g = x.back((p - y) * weight) + slope + bound * (w - first) + decay * w
         seen += g * g
         w -= rate * g / np.sqrt(seen)
     return w
@@ -145,22 +155,31 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def confident_sums(text: Sparse, meta: Sparse, weights: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """For labels 0 and 1, sums of the content of rows that the metadata is sure of, of the metadata of rows that the content is sure of, and their numbers."""
-    total = []
-    for view, other, w in ((text, meta, weights[1]), (meta, text, weights[0])):
-        p = _sigmoid(other.dot(w))
-        for sure in (p <= 1 - CONFIDENT, p >= CONFIDENT):
-            own = sure.astype(float)
-            total += [view.back(own), [own.sum()]]
-    return np.concatenate(total)
+class Pull(NamedTuple):
+    """What pseudo-labelled rows say to a view's weights: sums over labels 0 and 1, and the rows' numbers."""
+
+    gradient: np.ndarray  # (2, width): x * (p - y)
+    curvature: np.ndarray  # (2, width): |x| * sum(|x|) / 4, which bounds the second derivatives
+    count: np.ndarray  # (2,)
+
+
+def pull_of(view: Sparse, weights: np.ndarray, other: Sparse, teacher: np.ndarray) -> Pull:
+    """Of the rows of ``other`` that ``teacher`` is sure of, with its label, the pull on ``view``'s ``weights``."""
+    judged, own = _sigmoid(other.dot(teacher)), _sigmoid(view.dot(weights))
+    reach = np.bincount(view.row, np.abs(view.val), minlength=view.n) / 4
+    size = view._replace(val=np.abs(view.val))
+    sure = [(judged <= 1 - CONFIDENT).astype(float), (judged >= CONFIDENT).astype(float)]
+    return Pull(np.stack([view.back((own - y) * k) for y, k in enumerate(sure)]), np.stack([size.back(reach * k) for k in sure]), np.array([k.sum() for k in sure]))
 
 
-def pseudo_rows(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For the text and the metadata view: mean features of each pseudo-label's rows, and their numbers; over all documents."""
-    sent = docs.sparkSession.sparkContext.broadcast(weights)  # of fixed size
+Weights = tuple[np.ndarray, np.ndarray]  # of the text and of the metadata
+
+
+def pulls(docs: DataFrame, weights: Weights, teachers: Weights) -> tuple[Pull, Pull]:
+    """The pull on the text's weights of what the metadata is sure of, and the other way round, over all documents."""
+    sent = docs.sparkSession.sparkContext.broadcast((weights, teachers))  # of fixed size
     width = (BUCKETS + len(CLASSES) + 1, META)
-    size = 2 * (sum(width) + 2)
+    size = sum(4 * w + 2 for w in width)
     schema = "chunk int, amounts binary"
 
     def rows_of(total: dict[int, np.ndarray]) -> pa.RecordBatch:
@@ -168,10 +187,12 @@ def pseudo_rows(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray]) -> list
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
+        (own_text, own_meta), (by_text, by_meta) = sent.value
         for batch in batches:
             for part in scan.slices(batch.column(1)):
-                rows = batch.slice(part.lo, part.hi - part.lo)
-                total += confident_sums(content(part), metadata(rows), sent.value)
+                text, meta = content(part), metadata(batch.slice(part.lo, part.hi - part.lo))
+                both = pull_of(text, own_text, meta, by_meta), pull_of(meta, own_meta, text, by_text)
+                total += np.concatenate([x.ravel() for pull in both for x in pull])
         yield rows_of({k: total[lo : lo + _CHUNK] for k, lo in enumerate(range(0, size, _CHUNK))})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,30 +207,22 @@ def pseudo_rows(docs: DataFrame, weights: tuple[np.ndarray, np.ndarray]) -> list
     flat = np.concatenate([np.frombuffer(parts[k], float) for k in sorted(parts)]) if parts else np.zeros(size)
     out, at = [], 0
     for w in width:
-        table = flat[at : at + 2 * (w + 1)].reshape(2, w + 1)
-        at += table.size
-        out.append((table[:, :-1] / np.maximum(1, table[:, -1:]), table[:, -1]))
-    return out
-
-
-def with_means(x: Sparse, means: np.ndarray, used: np.ndarray) -> Sparse:
-    """``x`` and one more row for each label in ``used``."""
-    r, c = np.nonzero(means[used])
-    return Sparse(np.concatenate([x.row, x.n + r]), np.concatenate([x.col, c]), np.concatenate([x.val, means[used][r, c]]), x.n + len(used), x.width)
+        gradient, curvature, count = np.split(flat[at : at + 4 * w + 2], [2 * w, 4 * w])
+        at += 4 * w + 2
+        out.append(Pull(gradient.reshape(2, w), curvature.reshape(2, w), count))
+    return out[0], out[1]
 
 
-def co_train(text: Sparse, meta: Sparse, y: np.ndarray, exchange: Callable[[tuple[np.ndarray, np.ndarray]], list[tuple[np.ndarray, np.ndarray]]], rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of both views from labelled rows and, round by round, what ``exchange`` tells of the unlabelled ones."""
+def co_train(text: Sparse, meta: Sparse, y: np.ndarray, exchange: Callable[[Weights, Weights], tuple[Pull, Pull]], rounds: int = ROUNDS, steps: int = STEPS) -> Weights:
+    """Weights of both views from labelled rows and, step by step, what ``exchange`` tells of the pseudo-labelled ones."""
     own = y.astype(float)
     balance = np.where(own == 1, 0.5 / max(1, own.sum()), 0.5 / max(1, (1 - own).sum()))
     weights = (logistic(text, own, balance), logistic(meta, own, balance))
     for _ in range(rounds):
-        found = []
-        for view, (means, counts) in zip((text, meta), exchange(weights), strict=True):
-            used = np.flatnonzero(counts)
-            rows = with_means(view, means, used)
-            found.append(logistic(rows, np.concatenate([own, used.astype(float)]), np.concatenate([balance, np.full(len(used), PSEUDO / 2)])))
-        weights = (found[0], found[1])
+        teachers = weights
+        for _ in range(steps):
+            pair = exchange(weights, teachers)
+            weights = tuple(logistic(view, own, balance, start=w, pull=p) for view, w, p in zip((text, meta), weights, pair, strict=True))
     return weights
 
 
@@ -251,7 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_char
         tune = np.arange(len(y))
     if len(set(y[learn].tolist())) < 2:
         learn = np.arange(len(y))
-    a, b = co_train(text.take(learn), meta.take(learn), y[learn], lambda weights: pseudo_rows(base, weights))
+    a, b = co_train(text.take(learn), meta.take(learn), y[learn], lambda weights, teachers: pulls(base, weights, teachers))
     goal = y[tune].astype(float)
     za, zb = text.take(tune).dot(a), meta.take(tune).dot(b)
     # rows count as the labelled rows they stand for, so log-odds mean the same at every size

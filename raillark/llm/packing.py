@@ -16,8 +16,8 @@ The plan is made on the histogram of piece lengths, which has at most
    opens further sequences.
 
 Few sizes leave room that small documents fill, many sizes leave little where there
-are none, so a plan is made for each number of groups in ``GROUPS`` and the one with
-the fewest sequences is used.
+are none, so a plan is made for each number of groups in ``GROUPS``, and one of best fit
+alone, longest first; the one with the fewest sequences is used.
 
 Pieces are then matched to the plan by their rank among pieces of their length.
 Ranks are dealt over salted parts of each length, so a third of all documents of
@@ -209,7 +209,7 @@ def configurations(stock: dict[int, int], capacity: int) -> list[tuple[dict[int,
 
 
 def best_plan(counts: dict[int, int], capacity: int) -> Plan:
-    """The plan with the fewest sequences over ``GROUPS``; ties go to fewer groups."""
+    """The plan with the fewest sequences over ``GROUPS`` and best fit of everything; ties go to fewer groups, and to groups."""
     least = -(-sum(n * c for n, c in counts.items()) // capacity)
     best = None
     for groups in GROUPS:
@@ -217,8 +217,9 @@ def best_plan(counts: dict[int, int], capacity: int) -> Plan:
         if best is None or plan.sequences < best.sequences:
             best = plan
         if best.sequences == least:
-            break
-    return best
+            return best
+    plain = Plan(counts, capacity, 1, capacity + 1)  # no length is large
+    return plain if plain.sequences < best.sequences else best
 
 
 class Plan:

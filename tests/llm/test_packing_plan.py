@@ -1,5 +1,6 @@
 """The packing plan: prices, configurations and the choice among numbers of groups."""
 
+from bisect import bisect_left, insort
 from collections import Counter
 from itertools import combinations_with_replacement
 
@@ -53,3 +54,19 @@ def test_plan_is_near_the_bound(scale):
 
 def test_plan_of_no_lengths():
     assert packing.best_plan({}, 4096).tables() == {}
+
+
+@pytest.mark.parametrize("lo, hi", [(1600, 1800), (1300, 1500), (1300, 2100), (900, 1500)])
+def test_never_more_sequences_than_best_fit(lo, hi):
+    lengths = np.random.default_rng(lo + hi).integers(lo, hi, 20_000)
+    counts = {int(n): int(c) for n, c in zip(*np.unique(lengths, return_counts=True), strict=True)}
+    rooms: list[int] = []
+    opened = 0
+    for n in sorted(lengths.tolist(), reverse=True):
+        at = bisect_left(rooms, n)
+        if at == len(rooms):
+            opened += 1
+            insort(rooms, 4096 - n)
+        else:
+            insort(rooms, rooms.pop(at) - n)
+    assert packing.best_plan(counts, 4096).sequences <= opened
