@@ -21,7 +21,7 @@ that thousands share comes last.  Lists are then worked in two rounds:
    taken up in the list of its first common coordinate only.
 
 Round 2 looks at every pair of a mixed list, so no link is lost to round 1; lists
-longer than ``BLOCK`` are dealt to block-by-block cells.  It first flags the
+longer than ``BLOCK``, or of larger sets than ``SET_BUDGET``, are dealt to block-by-block cells.  It first flags the
 documents with a candidate partner and then confirms, with their texts at hand,
 only pairs of components not yet joined: what it emits follows the number of
 rows, never the pairs of a group.
@@ -50,6 +50,8 @@ COORDS = 32
 #: The chance that documents of the wanted similarity agree on too few coordinates.
 MISS = 1e-6
 BLOCK = 2048
+#: Shingles of the sets that one side of a cell holds on average when texts are confirmed (8 bytes each).
+SET_BUDGET = 1 << 22
 #: Coordinates compared before pairs that fall short are dropped.
 _STRIDE = 8
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 32, (2, COORDS), dtype=np.uint64).astype(np.uint32)
@@ -311,7 +313,7 @@ def prefixes(reps: DataFrame, percent: int) -> DataFrame:
     return first.withColumn("mask", mask).select("rep", "mask", F.explode("x").alias("e")).select("rep", "mask", "e.coord", "e.key")
 
 
-def near_components(docs: DataFrame, percent: int = 85, shingle: int = 5, block: int = BLOCK) -> DataFrame:
+def near_components(docs: DataFrame, percent: int = 85, shingle: int = 5, block: int = BLOCK, budget: int = SET_BUDGET) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``.
 
     ``percent`` is the least similarity in hundredths.
@@ -336,19 +338,22 @@ def near_components(docs: DataFrame, percent: int = 85, shingle: int = 5, block:
     facts = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig")
     columns = ["key", "i", "j", "coord", "rep", "label", "n", "side", "sig", "mask"]
 
-    def celled(rows: DataFrame, counts: DataFrame) -> DataFrame:
-        """Rows dealt by list and, in lists over ``block``, by pairs of blocks."""
-        cells = counts.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    def celled(rows: DataFrame, cells: DataFrame) -> DataFrame:
+        """Rows dealt by list and, in lists of several blocks, by pairs of blocks."""
         rows = rows.join(cells, "key").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).join(facts, "rep")
         return rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("side", "_other")).withColumn("j", F.greatest("side", "_other"))
 
+    by_count = F.ceil(F.col("n") / block).cast("int")
     sorted_by_list = lambda rows: rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    flagged = sorted_by_list(celled(labelled, mixed).select(*columns)).mapInArrow(_flag(percent), "key long, coord int, rep long, label long, mask long").distinct()
+    flagged = sorted_by_list(celled(labelled, mixed.select("key", by_count.alias("blocks"))).select(*columns)).mapInArrow(_flag(percent), "key long, coord int, rep long, label long, mask long").distinct()
     flagged = stored(flagged, "flagged")
     if not flagged.isEmpty():
         texts = pick(docs, doc_id="bigint", text="string").withColumnRenamed("doc_id", "rep").hint("merge")
-        # a flagged document's text is sent once for each of its lists that still hold two components
-        again = celled(flagged, flagged.groupBy("key").agg(F.count("*").alias("n"))).join(texts, "rep")
+        # a flagged document's text is sent once for each of its lists that still hold two components, and each block of
+        # them; blocks follow the sets' sizes too, so long texts are no heavier a cell than short ones
+        weight = flagged.join(facts.select("rep", F.col("n").alias("_n")), "rep").groupBy("key").agg(F.count("*").alias("n"), F.sum("_n").alias("_n"))
+        cells = weight.select("key", F.greatest(by_count, F.ceil(F.col("_n") / budget).cast("int")).alias("blocks"))
+        again = celled(flagged, cells).join(texts, "rep")
         more = sorted_by_list(again.select(*columns, "text")).mapInArrow(_join_lists(percent, shingle), "hub long, member long")
         links = stored(links.unionByName(more.distinct()), "links")
         labels = components(links)

@@ -179,13 +179,14 @@ def test_near_components(spark, docs):
     assert [got[i].n_shingles for i in docs.doc_id] == [len(shingles(t)) for t in docs.text]
 
 
-def test_near_components_in_blocks(spark):
-    """A large group of near copies near the threshold, with lists split into blocks."""
+@pytest.mark.parametrize("cells", [{"block": 16}, {"budget": 4000}])
+def test_near_components_in_blocks(spark, cells):
+    """A large group of near copies near the threshold, with lists split into blocks by their rows or their sets' sizes."""
     rng = np.random.default_rng(3)
     base = [f"t{k}" for k in range(300)]
     texts = [" ".join(w if rng.random() > 0.009 else f"z{d}" for w in base) for d in range(120)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = by_id(near_dedup.near_components(df, block=16))
+    got = by_id(near_dedup.near_components(df, **cells))
     assert [got[k].component_id for k in range(120)] == components([shingles(t) for t in texts], 85)
 
 
