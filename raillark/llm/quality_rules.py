@@ -3,14 +3,16 @@
 Base counts of each text come first.  A text that passes them is held against a
 reference of its language: the histogram of character classes and the histogram
 of the language's commonest words, each by Jensen-Shannon distance.  A text that
-names no language is held against the nearest reference; one of a named language
-without reference gets no verdict, nor does a histogram below a minimum length.
+names no language is held against the nearest reference of the ``UNNAMED`` languages
+of most words; one of a named language without reference gets no verdict, nor does a
+histogram below a minimum length.
 
 References are gathered from the whole table: per language the median share of each
 character class (which no minority of junk moves) and the counts of words, of
 which the ``TOP_WORDS`` commonest are kept.  All words are counted, by a partial
-aggregation.  Every language of ``REFERENCE_WORDS`` words has a reference; those
-(a few hundred bytes each) are what reaches the driver.
+aggregation.  Every language of ``REFERENCE_WORDS`` words has a reference, made in Spark as
+one row of a few hundred bytes.  Up to ``MOST_LANGUAGES`` rows are sent to all tasks; where a
+column of site tags or the like gives more, they stay a table and are joined by language.
 
 Defined results: a null text has no words and fails the base rule; null languages
 have no reference of their own; repeated rows each get their row.
@@ -30,13 +32,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from raillark.llm import scan
-from raillark.llm.workspace import pick, stored
+from raillark.llm.workspace import free_name, pick, stored
 
 TOP_WORDS = 24
 #: Parts in which the words of one language are ranked.
 SALTS = 64
 #: A language needs this many words for a reference of its own.
 REFERENCE_WORDS = 2000
+#: Texts that name no language are held against the references of so many languages, those of most words.
+UNNAMED = 64
+#: So many references are sent to every task (some 600 bytes each); more are joined by language.
+MOST_LANGUAGES = 4096
 #: Guards: fewer characters or words give no verdict of that histogram.
 MIN_CHARS, MIN_WORDS = 200, 50
 #: The largest distances that pass; the word limit widens for short texts.
@@ -180,38 +186,69 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["lang", "kind", "key", "amount"])
 
 
-def references(docs: DataFrame) -> References:
-    """The languages' references; some rows of each language reach the driver."""
+def reference_rows(docs: DataFrame) -> DataFrame:
+    """lang, total, docs, middle, top: one row for each language of ``REFERENCE_WORDS`` words, stored."""
     parts = pick(docs, lang="string", text="string").mapInArrow(_gather, "lang string, kind string, key long, amount double").groupBy("lang", "kind", "key").agg(F.sum("amount").alias("amount"))
     parts = stored(parts, "counts")  # used three times
-    top = parts.where(f"kind = 'words' and amount >= {REFERENCE_WORDS}").select("lang", F.col("amount").alias("total"))
+    known = parts.where("kind in ('words', 'docs')").groupBy("lang").agg(F.max(F.when(F.col("kind") == "words", F.col("amount"))).alias("total"), F.max(F.when(F.col("kind") == "docs", F.col("amount"))).alias("docs"))
+    known = known.where((F.col("total") >= REFERENCE_WORDS) & F.col("docs").isNotNull())
     common = parts.where("kind = 'word'").withColumn("salt", F.pmod("key", F.lit(SALTS)))
     for keys in (["lang", "salt"], ["lang"]):  # a language's words are ranked in parts first
         rank = Window.partitionBy(*keys).orderBy(F.desc("amount"), "key")
         common = common.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= TOP_WORDS).drop("r")
-    common = common.drop("salt")
-    rows = common.unionByName(parts.where("kind in ('class', 'docs')")).join(top, "lang").collect()
-    by: dict[str, list] = {}
-    for r in rows:
-        by.setdefault(r["lang"], []).append(r)
-    names = sorted(k for k, v in by.items() if any(r["kind"] == "docs" for r in v))
-    chars = np.zeros((len(names), len(CLASSES)))
-    words = np.zeros((len(names), TOP_WORDS), np.int64)
-    shares = np.zeros((len(names), TOP_WORDS + 1))
-    for k, name in enumerate(names):
-        docs_of = next(r["amount"] for r in by[name] if r["kind"] == "docs")
-        best = sorted((r for r in by[name] if r["kind"] == "word"), key=lambda r: (-r["amount"], r["key"]))
-        steps = np.zeros((len(CLASSES), STEPS))
-        for r in by[name]:
-            if r["kind"] == "class":
-                steps[r["key"] // STEPS, r["key"] % STEPS] = r["amount"]
-        middle = (np.cumsum(steps, 1) >= docs_of / 2).argmax(1)
+    top = common.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct((-F.col("amount")).alias("less"), "key"))).alias("top"))  # TOP_WORDS entries
+    # the step at which half of a language's documents are reached, in each class
+    steps = parts.where("kind = 'class'").join(known.select("lang", "docs"), "lang").withColumn("of", F.floor(F.col("key") / STEPS))
+    reached = F.sum("amount").over(Window.partitionBy("lang", "of").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
+    half = steps.withColumn("reached", reached).where(F.col("reached") >= F.col("docs") / 2).groupBy("lang", "of").agg((F.min("key") % STEPS).alias("step"))
+    middle = half.groupBy("lang").agg(*(F.coalesce(F.max(F.when(F.col("of") == k, F.col("step"))), F.lit(0)).alias(f"m{k}") for k in range(len(CLASSES))))
+    rows = known.join(top, "lang").join(middle, "lang")
+    return stored(rows.select("lang", "total", "docs", F.array(*(f"m{k}" for k in range(len(CLASSES)))).alias("middle"), "top"), "references")
+
+
+def references_of(rows: list[dict]) -> References:
+    """The references that rows of :func:`reference_rows` describe."""
+    rows = sorted(rows, key=lambda r: r["lang"])
+    chars = np.zeros((len(rows), len(CLASSES)))
+    words = np.zeros((len(rows), TOP_WORDS), np.int64)
+    shares = np.zeros((len(rows), TOP_WORDS + 1))
+    for k, r in enumerate(rows):
+        middle = np.array(r["middle"])
         share = np.where(middle > 0, (middle + 0.5) / STEPS, 0.0)
         chars[k] = share / max(share.sum(), 1e-9)
-        for j, r in enumerate(best):
-            words[k, j], shares[k, j] = r["key"], r["amount"] / r["total"]
+        for j, word in enumerate(r["top"]):
+            words[k, j], shares[k, j] = word["key"], -word["less"] / r["total"]
         shares[k, -1] = max(0.0, 1 - shares[k, :-1].sum())
-    return References(names, chars, words, shares)
+    return References([r["lang"] for r in rows], chars, words, shares)
+
+
+class Known(NamedTuple):
+    """References of all languages, or None where they stay a table, and those that texts of no named language are held against."""
+
+    named: References | None
+    common: References
+    table: DataFrame | None
+
+
+def known_references(docs: DataFrame, most: int = MOST_LANGUAGES) -> Known:
+    """The languages' references; they reach the driver only if they are ``most`` rows or fewer."""
+    table = reference_rows(docs)
+    plain = lambda rows: references_of([r.asDict(recursive=True) for r in rows])
+    common = plain(table.orderBy(F.desc("total"), "lang").limit(UNNAMED).collect())
+    n = table.count()
+    if n <= UNNAMED and n <= most:
+        return Known(common, common, None)
+    if n <= most:
+        return Known(plain(table.collect()), common, None)
+    return Known(None, common, table)
+
+
+def references(docs: DataFrame) -> References:
+    """The references of all languages, which must be ``MOST_LANGUAGES`` or fewer."""
+    found = known_references(docs).named
+    if found is None:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages; use known_references")
+    return found
 
 
 def distances(part: scan.Slice, langs: list[str | None], refs: References) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -253,52 +290,87 @@ def distances(part: scan.Slice, langs: list[str | None], refs: References) -> tu
     return by_char, by_word, n_chars, n_words
 
 
+def held_against(part: scan.Slice, langs: list[str | None], rows: list[dict | None] | None, known: References | None, common: References) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distances of the rows of named languages to their own references, of the others to the nearest common one."""
+    if known is common:
+        return distances(part, langs, common)
+    if known is None:  # each row brings its language's reference
+        known = references_of(list({r["lang"]: r for r in rows if r is not None and r["total"] is not None}.values()))
+    other = object()  # no language
+    out = distances(part, [other if x is None else x for x in langs], known)
+    if any(x is None for x in langs):
+        char, word, *_ = distances(part, [None if x is None else other for x in langs], common)
+        unnamed = np.array([x is None for x in langs])
+        out = (np.where(unnamed, char, out[0]), np.where(unnamed, word, out[1]), *out[2:])
+    return out
+
+
 def diverges(char: np.ndarray, word: np.ndarray, n_chars: np.ndarray, n_words: np.ndarray) -> np.ndarray:
     """Whether a distance is over its limit, which widens for short texts; NaN never is."""
     with np.errstate(invalid="ignore"):
         return (char > CHAR_LIMIT + CHAR_SLACK / np.sqrt(np.maximum(1, n_chars))) | (word > WORD_LIMIT + WORD_SLACK / np.sqrt(np.maximum(1, n_words)))
 
 
-def judged(docs: DataFrame, refs: References | None = None) -> DataFrame:
+def _with_references(docs: DataFrame, known: Known) -> tuple[DataFrame, str]:
+    """``docs`` and the name of the column that brings references where they are too many for the driver."""
+    name = free_name(docs, "_reference")
+    if known.table is None or "lang" not in docs.columns:
+        return docs, name
+    table = known.table.select(F.struct("lang", "total", "docs", "middle", "top").alias(name))
+    return docs.join(table, docs["lang"].cast("string") == F.col(f"{name}.lang"), "left"), name
+
+
+def _judge(batch: pa.RecordBatch, part: scan.Slice, names: list[str], reference: str, known: References | None, common: References) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Base counts, the base verdict, the verdict, and both distances of a slice."""
+    rows = slice(part.lo, part.hi)
+    langs = batch.column(names.index("lang"))[rows].cast(pa.string()).to_pylist() if "lang" in names else [None] * (part.hi - part.lo)
+    own = batch.column(names.index(reference))[rows].to_pylist() if reference in names else [None] * len(langs)
+    base = base_counts(part)
+    char, word, n_chars, n = held_against(part, langs, own, known, common)
+    failed = (base["n_words"] < MIN_BASE_WORDS) | (100 * base["n_repeat_words"] > MAX_REPEAT_PERCENT * base["n_words"])
+    return base, failed, ~failed & ~diverges(char, word, n_chars, n), char, word
+
+
+def judged(docs: DataFrame, known: Known | None = None) -> DataFrame:
     """One row a document: base counts, distances and verdict."""
-    refs = refs or references(docs)
+    known = known or known_references(docs)
+    rows, reference = _with_references(pick(docs, doc_id="bigint", lang="string", text="string"), known)
+    names, named, common = rows.columns, known.named, known.common
+    if named is common:
+        named = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = common if named is None and reference not in names else named
         for batch in batches:
             for part in scan.slices(batch.column(2)):
-                rows = slice(part.lo, part.hi)
-                base = base_counts(part)
-                char, word, n_chars, n = distances(part, batch.column(1)[rows].to_pylist(), refs)
-                failed = (base["n_words"] < MIN_BASE_WORDS) | (100 * base["n_repeat_words"] > MAX_REPEAT_PERCENT * base["n_words"])
-                off = diverges(char, word, n_chars, n)
+                base, failed, kept, char, word = _judge(batch, part, names, reference, own, common)
                 columns = [pa.array(base[k].astype(np.int64)) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[rows], *columns, pa.array(failed), pa.array(~failed & ~off), pa.array(char, from_pandas=True), pa.array(word, from_pandas=True)],
+                    [batch.column(0)[part.lo : part.hi], *columns, pa.array(failed), pa.array(kept), pa.array(char, from_pandas=True), pa.array(word, from_pandas=True)],
                     ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance"],
                 )
 
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, char_distance double, word_distance double"
-    return pick(docs, doc_id="bigint", lang="string", text="string").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
-def kept_rows(docs: DataFrame) -> DataFrame:
+def kept_rows(docs: DataFrame, known: Known | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, that the rules keep."""
-    refs = references(docs)
-    names = docs.columns
+    known = known or known_references(docs)
+    rows, reference = _with_references(docs, known)
+    names, named, common, width = rows.columns, known.named, known.common, len(docs.columns)
+    if named is common:
+        named = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = common if named is None and reference not in names else named
         for batch in batches:
-            text = batch.column(names.index("text"))
-            lang = batch.column(names.index("lang")) if "lang" in names else pa.nulls(batch.num_rows, pa.string())
             keep = np.zeros(batch.num_rows, bool)
-            for part in scan.slices(text):
-                base = base_counts(part)
-                char, word, n_chars, n = distances(part, lang[part.lo : part.hi].to_pylist(), refs)
-                failed = (base["n_words"] < MIN_BASE_WORDS) | (100 * base["n_repeat_words"] > MAX_REPEAT_PERCENT * base["n_words"])
-                keep[part.lo : part.hi] = ~(failed | diverges(char, word, n_chars, n))
-            yield batch.filter(pa.array(keep))
-
-    return docs.mapInArrow(run, docs.schema)
+            for part in scan.slices(batch.column(names.index("text"))):
+                keep[part.lo : part.hi] = _judge(batch, part, names, reference, own, common)[2]
+            yield pa.RecordBatch.from_arrays(batch.columns[:width], names[:width]).filter(pa.array(keep))
+
+    return rows.mapInArrow(run, docs.schema)
 
 
 def op1_distribution_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
