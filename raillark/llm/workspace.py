@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +30,29 @@ def shared_dir(spark: SparkSession) -> str:
     return have.rstrip("/")
 
 
+#: Paths that this process has named, in order.
+_named: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _named.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _named[-1]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside go at the end; what is made of them must have been written by then."""
+    had = len(_named)
+    try:
+        yield
+    finally:
+        while len(_named) > had:
+            remove(spark, _named.pop())
 
 
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
