@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from raillark.llm import line_dedup, near_dedup, packing, quality_rules, toxicity
-from raillark.llm.workspace import free_name, fresh_path
+from raillark.llm.workspace import free_name, fresh_path, passing, remove
 
 
 #: Rows of an Arrow batch: texts are long, and a task holds several copies of a batch.
@@ -73,10 +73,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; only the last one's table stays."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = fresh_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with passing(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
