@@ -16,7 +16,7 @@ def fn_search_name(v: Source):
     return v("routes").select("route_id", e.search_name("long_name").alias("search_name"))
 
 
-@query("t_routes", "SELECT route_id, coalesce(nullif(trim(regexp_replace(lower(strip_accents(long_name)), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'stop') AS slug FROM t_routes")
+@query("t_routes", "SELECT route_id, coalesce(nullif(trim(regexp_replace(regexp_replace(strip_accents(replace(replace(replace(replace(lower(long_name),'ä','ae'),'ö','oe'),'ü','ue'),'ß','ss')), '[^\\x00-\\x7F]', '', 'g'), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'stop') AS slug FROM t_routes")
 def fn_slug(v: Source):
     return v("routes").select("route_id", e.slug("long_name").alias("slug"))
 
@@ -157,7 +157,7 @@ def fn_localised_text(v: Source):
     return v("routes").select("route_id", F.coalesce(F.try_element_at(last, F.lit("de")), F.lit("-")).alias("last_text"), F.size(cleaned).alias("n_texts"))
 
 
-@query("t_stops", "SELECT stop_id, trim(lower(stop_name)) AS a, coalesce(nullif(trim(platform_code),''), nullif(trim(parent_station),''), stop_id) AS b, round(" + _HAV.format(a="stop_lat", b="stop_lon", c="48.1", d="8.1") + ", 6) AS metres, CAST(floor(stop_lat/0.25) AS BIGINT) AS y FROM t_stops")
+@query("t_stops", "SELECT stop_id, trim(replace(replace(replace(replace(lower(stop_name),'ä','ae'),'ö','oe'),'ü','ue'),'ß','ss')) AS a, coalesce(nullif(trim(platform_code),''), nullif(trim(parent_station),''), stop_id) AS b, round(" + _HAV.format(a="stop_lat", b="stop_lon", c="48.1", d="8.1") + ", 6) AS metres, CAST(floor(stop_lat/0.25) AS BIGINT) AS y FROM t_stops")
 def udf_surface(v: Source):
     e.register_functions(v.spark)
     return v("stops").selectExpr("stop_id", "tx_search_name(stop_name) AS a", "tx_line_label(platform_code, parent_station, stop_id) AS b", "round(tx_haversine_m(stop_lat, stop_lon, 48.1D, 8.1D), 6) AS metres", "tx_grid_cell(stop_lat, 0.25D) AS y")

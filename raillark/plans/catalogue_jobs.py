@@ -89,7 +89,7 @@ def job_trip_index(v: Source):
     return jobs.trip_index(v.feed(), routes)
 
 
-@query("radius", "SELECT city_id, stop_id, lower(trim(stop_name)) AS search_name FROM radius")
+@query("radius", "SELECT city_id, stop_id, trim(replace(replace(replace(replace(lower(stop_name),'ä','ae'),'ö','oe'),'ü','ue'),'ß','ss')) AS search_name FROM radius")
 def job_radius_packages(v: Source):
     rows, _ = jobs.radius_packages(v("stops"), v("cities"))
     return rows.select("city_id", "stop_id", "search_name")

@@ -9,7 +9,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 VIEWS: dict[str, str] = {
     "t_stops": """
 SELECT 'p'||CAST(p_partkey AS STRING) AS stop_id,
-       'Stop '||CAST(p_partkey % 60 AS STRING) AS stop_name,
+       CASE WHEN p_partkey % 60 = 7 THEN 'Äußere Straße 7' WHEN p_partkey % 60 = 8 THEN 'Évry Øst 8' WHEN p_partkey % 60 = 9 THEN 'Вокзальна 9' ELSE 'Stop '||CAST(p_partkey % 60 AS STRING) END AS stop_name,
        CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 11 = 0 THEN 'gone' ELSE 's'||CAST(CAST(floor(p_partkey / 20) AS BIGINT) + 1 AS STRING) END AS parent_station,
        CASE WHEN p_partkey % 3 = 0 THEN '' ELSE CAST(p_size AS STRING) END AS platform_code,
        CASE WHEN p_partkey % 23 = 0 THEN '2' ELSE '0' END AS location_type,
@@ -23,7 +23,7 @@ SELECT 'p'||CAST(p_partkey AS STRING) AS stop_id,
     "t_routes": """
 SELECT 'r'||CAST(c_custkey AS STRING) AS route_id,
        CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'L'||CAST(c_custkey % 40 AS STRING) END AS short_name,
-       CASE WHEN c_custkey % 9 = 0 THEN '' ELSE c_name END AS long_name,
+       CASE WHEN c_custkey % 9 = 0 THEN '' WHEN c_custkey % 11 = 0 THEN 'Évry–Čerčany Ñ '||CAST(c_custkey AS STRING) WHEN c_custkey % 13 = 0 THEN 'Größe Süd '||CAST(c_custkey AS STRING) ELSE c_name END AS long_name,
        CASE c_custkey % 6 WHEN 0 THEN '0' WHEN 1 THEN '1' WHEN 2 THEN '2' WHEN 3 THEN '3' WHEN 4 THEN '11' ELSE '700' END AS route_type,
        'a'||CAST(c_nationkey AS STRING) AS agency_id
   FROM customer
