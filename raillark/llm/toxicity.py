@@ -33,6 +33,8 @@ BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 PREFIX_BYTES = 5
 PER_CLASS, MAX_CHARS = 4000, 20_000
 EPOCHS, BATCH, RATE = 8, 64, 0.05
+#: Texts that the driver scores in one go for the calibration.
+SCORED = 128
 THRESHOLD = 0.3
 #: A language's threshold counts as much as the common one at so many calibration rows of its rarer label.
 PRIOR_ROWS = 25
@@ -147,6 +149,10 @@ def logits(model: Model, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     return pooled(x, first, model.filters, model.bias) @ model.out + model.out_bias
 
 
+def _scores_of(model: Model, texts: list[np.ndarray]) -> np.ndarray:
+    return logits(model, np.concatenate(texts).reshape(-1, 2), np.concatenate([[0], np.cumsum([len(x) for x in texts])]))
+
+
 def newton(x: np.ndarray, goal: np.ndarray, weight: np.ndarray, start: np.ndarray, ridge: float) -> np.ndarray:
     """Weights of a logistic fit held near ``start``; a step is halved until the loss falls, so it always converges."""
 
@@ -217,9 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_char
     tune = np.flatnonzero(part == 0)
     if len(set(y[tune].tolist())) < 2:
         tune = fits
-    flat = np.concatenate([ids[k] for k in tune]).reshape(-1, 2)
-    first = np.concatenate([[0], np.cumsum([len(ids[k]) for k in tune])])
-    z = logits(model, flat, first)
+    z = np.concatenate([_scores_of(model, [ids[k] for k in tune[lo : lo + SCORED]]) for lo in range(0, len(tune), SCORED)])
     # the sample holds more of the rare label than the labelled rows do; weights undo that
     own_weight = weight[y[tune].astype(np.int64)]
     scale, shift = platt(z, y[tune], own_weight)
