@@ -19,3 +19,13 @@ def test_catalogue_fill_broadcasts_no_cells_of_stops(spark):
     assert out.columns == ["stop_id", "name", "stop_lat", "stop_lon", "city_id", "distance_m"]
     near = {r.stop_id for r in out.collect()}
     assert near == {f"k{k}" for k in range(400) if min(k % 10, 10 - k % 10) > 1 or k > 391}
+
+
+def test_one_large_group_is_dealt_to_cells(spark):
+    stops = spark.range(3000).selectExpr("concat('p', id) as stop_id", "if(id % 3 = 0, 'gone', concat('s', id div 20)) as parent_station", "if(id % 2 = 0, '', 'x') as platform_code")
+    members, outputs = joins.station_groups(stops, stops)
+    want = members.join(outputs, "group_id").select("source_stop_id", "output_stop_id")
+    got = joins.by_output(members, members, outputs, F.col("source_stop_id"), 64, 128)
+    assert got.exceptAll(members.join(outputs, "group_id").select(got.columns)).isEmpty() and got.count() == want.count() > 500_000
+    # 500 outputs by 1,000 members in cells of some 64 by 128: the join's key tells them apart
+    assert "SortMergeJoin [group_id" in plan_of(got) and "_i#" in plan_of(got).split("SortMergeJoin [group_id")[1].split("]")[0]
