@@ -29,3 +29,22 @@ def test_one_large_group_is_dealt_to_cells(spark):
     assert got.exceptAll(members.join(outputs, "group_id").select(got.columns)).isEmpty() and got.count() == want.count() > 500_000
     # 500 outputs by 1,000 members in cells of some 64 by 128: the join's key tells them apart
     assert "SortMergeJoin [group_id" in plan_of(got) and "_i#" in plan_of(got).split("SortMergeJoin [group_id")[1].split("]")[0]
+
+
+def test_alert_lists_are_made_once_a_value(spark):
+    selectors = spark.range(60).selectExpr("concat('al', id div 6) as alert_id", "element_at(array('route_short_name', 'stop_code', 'direction_id'), int(id % 3 + 1)) as selector_type", "string(id % 4) as selector_value")
+    routes = spark.range(40).selectExpr("concat('r', id) as route_id", "if(id % 7 = 0, '', string(id % 3)) as short_name")
+    stops = spark.range(2).selectExpr("concat('p', id) as stop_id", "string(id) as stop_code")
+    made = joins._selected(selectors, routes, stops)
+    assert made.count() == selectors.distinct().count()  # no row a route
+    got = {r.alert_id: r for r in joins.alert_targets(selectors, routes, stops).collect()}
+    asked, named = selectors.collect(), [(r.short_name, r.route_id) for r in routes.collect() if r.short_name]
+    for alert in {a.alert_id for a in asked}:
+        own = [(a.selector_type, a.selector_value) for a in asked if a.alert_id == alert]
+        assert got[alert].route_ids == sorted(i for n, i in named if ("route_short_name", n) in own)
+        assert got[alert].stop_ids == sorted(f"p{v}" for k, v in own if k == "stop_code" and v in "01")
+        assert got[alert].directions == sorted({v for k, v in own if k == "direction_id"})
+        assert got[alert].unmapped == sorted({f"{k}:{v}" for k, v in own if (k, v) in {("route_short_name", "3"), ("stop_code", "2"), ("stop_code", "3")}})
+    from raillark.operators import aggregates
+
+    assert joins.alert_counts(selectors, routes, stops).collect() == aggregates.alert_counts(joins.alert_targets(selectors, routes, stops)).collect()
