@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from raillark.functions.expr import grid_cell
-from raillark.operators.joins import project, segment_grid
+from raillark.operators.joins import SEGMENT, nearest, segment_grid, segment_level, segment_list
 from raillark.streaming.realtime import EXPIRE_S, step
 
 #: Fixed values of the rules: metres, metres a second, degrees, shares.
@@ -50,25 +50,33 @@ _MOVES = ("family", "direction_id", "score", "confident_at", "seen_at", "pending
 _FRESH = {"family": None, "direction_id": None, "score": 0.0, "confident_at": None, "pending": None, "pending_count": 0, "variant_id": None, "destination": None}
 
 
-def evidence(samples: DataFrame, candidates: DataFrame, segments: DataFrame, most_m: float = MOST_M, size: float = 0.01) -> DataFrame:
+def evidence(samples: DataFrame, candidates: DataFrame, segments: DataFrame, most_m: float = MOST_M, size: float = 0.01, routes: DataFrame | None = None) -> DataFrame:
     """``samples`` with ``identity``, ``matches`` and ``candidates``, a row a sample.
 
     ``samples``: vehicle_id, route_id, event_id, ts, latitude, longitude, trip_id, stop_id,
     stop_sequence, bearing.  ``candidates``: route_id, variant_id, direction_id,
     destination, terminal_stop_id, and arrays trip_ids, stop_ids, stop_sequences, shape_ids;
-    ``segments`` as in :func:`raillark.operators.joins.map_match`.  Both are tables.
+    ``segments`` and ``routes`` as in :func:`raillark.operators.joins.map_match`.  All are tables.
+    A table of samples tells its routes, and only their candidates and shapes are worked out.
     """
+    if routes is None:
+        routes, segments = segments.select("route_id", "shape_id"), segments.drop("route_id").distinct()
+    pairs = routes.select("route_id", "shape_id").distinct()
+    if not samples.isStreaming:
+        asked = samples.select("route_id").distinct()
+        candidates, pairs = candidates.join(asked, "route_id", "left_semi"), pairs.join(asked, "route_id", "left_semi")
+    segments = segments.select(*SEGMENT).join(pairs, "shape_id", "left_semi")
     own = F.struct("variant_id", "direction_id", "destination", F.coalesce(F.nullif("terminal_stop_id", F.lit("")), F.nullif("destination", F.lit("")), F.lit("unknown")).alias("family"))
     by_trip = candidates.select("route_id", "variant_id", F.explode(F.array_distinct("trip_ids")).alias("trip_id"), own.alias("c")).groupBy("route_id", "trip_id").agg(F.count("*").alias("_trips"), F.min("c").alias("_trip"))
     stops = candidates.select("route_id", F.explode(F.array_distinct("stop_ids")).alias("stop_id"), F.struct(own.alias("c"), "stop_sequences").alias("x"))
     by_stop = stops.groupBy("route_id", "stop_id").agg(F.collect_list("x").alias("_stops"))  # the variants of one route
-    routes = candidates.groupBy("route_id").agg(F.sort_array(F.collect_list(F.struct("variant_id", "direction_id", "destination", "terminal_stop_id", "shape_ids"))).alias("candidates"))
-    rows = samples.join(by_trip, ["route_id", "trip_id"], "left").join(by_stop, ["route_id", "stop_id"], "left").join(routes, "route_id", "left")
+    variants = candidates.groupBy("route_id").agg(F.sort_array(F.collect_list(F.struct("variant_id", "direction_id", "destination", "terminal_stop_id", "shape_ids"))).alias("candidates"))
+    rows = samples.join(by_trip, ["route_id", "trip_id"], "left").join(by_stop, ["route_id", "stop_id"], "left").join(variants, "route_id", "left")
 
-    fields = ["shape_id", "near", "seq", "lat1", "lon1", "lat2", "lon2", "progress1", "length_m"]
-    grid = segment_grid(segments, size, most_m=most_m)
-    lists = grid.groupBy("route_id", "level", "_cx", "_cy").agg(F.collect_list(F.struct(*fields)).alias("_s"))
-    levels = sorted(r[0] for r in grid.select("level").distinct().collect())  # some twenty at most
+    cell = ["level", "_cx", "_cy"]
+    lists = segment_grid(segments, size, most_m=most_m).groupBy("shape_id", *cell).agg(F.collect_list(segment_list()).alias("_i"))
+    lists = lists.join(pairs, "shape_id").groupBy("route_id", *cell).agg(F.collect_list(F.struct("shape_id", "_i")).alias("_s"))
+    levels = sorted(r[0] for r in segments.select(segment_level(size)).distinct().collect())  # some twenty at most
     found = []
     for k in levels:
         at = lists.where(F.col("level") == k).select("route_id", F.col("_cx").alias(f"_x{k}"), F.col("_cy").alias(f"_y{k}"), F.col("_s").alias(f"_s{k}"))
@@ -76,10 +84,8 @@ def evidence(samples: DataFrame, candidates: DataFrame, segments: DataFrame, mos
         found.append(F.coalesce(f"_s{k}", F.array().cast(lists.schema["_s"].dataType)))
     near = F.concat(*found) if found else F.array().cast(lists.schema["_s"].dataType)
 
-    def place(s: Column) -> Column:
-        return F.struct(s["shape_id"].alias("shape_id"), F.struct((~s["near"]).alias("far"), project(F.col("latitude"), F.col("longitude"), s).alias("p")).alias("q"))
-
-    rows = rows.withColumn("_p", F.transform(near, place))
+    place = F.transform(near, lambda x: F.struct(x["shape_id"].alias("shape_id"), nearest(F.col("latitude"), F.col("longitude"), x["_i"]).alias("q")))
+    rows = rows.withColumn("_p", place)  # one item a shape and level
     shapes = F.array_distinct(F.transform("_p", lambda x: x["shape_id"]))
     best = F.transform(shapes, lambda s: F.struct(s.alias("shape_id"), F.array_min(F.transform(F.filter("_p", lambda x: x["shape_id"] == s), lambda x: x["q"]))["p"].alias("p")))
     flat = F.transform(F.filter(best, lambda x: x["p"]["distance_m"] <= most_m), lambda x: F.struct(x["shape_id"].alias("shape_id"), x["p"]["distance_m"].alias("distance_m"), x["p"]["progress_m"].alias("progress_m"), x["p"]["segment_bearing"].alias("segment_bearing")))

@@ -48,3 +48,17 @@ def test_alert_lists_are_made_once_a_value(spark):
     from raillark.operators import aggregates
 
     assert joins.alert_counts(selectors, routes, stops).collect() == aggregates.alert_counts(joins.alert_targets(selectors, routes, stops)).collect()
+
+
+def test_samples_meet_a_shape_of_many_routes_once(spark):
+    segments = spark.range(600).selectExpr("concat('sh', id div 30) as shape_id", "id as seq", "50.0 + id * 0.0001 as lat1", "30.0D as lon1", "50.0 + (id + 1) * 0.0001 as lat2", "30.0D as lon2", "id * 11.1D as progress1", "11.1D as length_m")
+    routes = spark.range(4000).selectExpr("concat('r', id) as route_id", "concat('sh', id % 20) as shape_id")
+    samples = spark.range(5000).selectExpr("id as sample_id", "concat('r', id % 2) as route_id", "50.0 + id % 30 * 0.0001 as latitude", "30.0 as longitude")
+    for most_m in (None, 5000.0):
+        got = joins.map_match(samples, segments, most_m=most_m, routes=routes)
+        assert "SortMergeJoin [shape_id" in plan_of(got) and "_i#" in plan_of(got)
+        want = joins.map_match(samples, segments.join(routes, "shape_id"), most_m=most_m)
+        assert got.count() == 5000 and got.exceptAll(want).isEmpty()
+    lists = spark.sql("select 'a' as shape_id, array(1, 2) as _s union all select 'b', array(3)")
+    dealt = joins.meet(spark.range(900).selectExpr("id as sample_id", "if(id < 850, 'a', 'b') as shape_id"), lists, ["shape_id"], 100)
+    assert dealt.groupBy("shape_id", "_s").count().orderBy("shape_id").collect() == [("a", [1, 2], 850), ("b", [3], 50)]
