@@ -142,7 +142,7 @@ def decide(scores: list[dict[str, Any]], near_m: float = RULES.near_m) -> dict[s
 
 
 def observe(state: dict[str, Any] | None, row: Any, rules: Rules = RULES) -> tuple[dict[str, Any], tuple]:
-    """One sample's move: the new state and the decision row."""
+    """One sample's move: the new state and the decision row.  ``matches`` of a state is a place by shape."""
     at = row["ts"].timestamp()
     if state is not None and (state["route_id"] != row["route_id"] or at - state["seen_at"] > rules.expire_s):
         state = None
@@ -151,7 +151,7 @@ def observe(state: dict[str, Any] | None, row: Any, rules: Rules = RULES) -> tup
     now = max(at, state["seen_at"])
     state = state | {"seen_at": now}
     places = {m["shape_id"]: (m["distance_m"], m["progress_m"], m["segment_bearing"]) for m in row["matches"] or []}
-    kept = {"at": at, "matches": json.dumps(places)}
+    kept = {"at": at, "matches": places}
     decision = lambda direction, destination, confidence, margin, reason, variant: (row["vehicle_id"], row["event_id"], direction, destination, confidence, margin, reason, variant)
     held = lambda s, reason: decision(s["direction_id"], s["destination"], s["score"] if s["direction_id"] is not None else None, None, reason, s["variant_id"])
 
@@ -168,8 +168,7 @@ def observe(state: dict[str, Any] | None, row: Any, rules: Rules = RULES) -> tup
         state = state | kept | _FRESH
         return state, held(state, "sample-gap-reset")
 
-    before = {k: tuple(v) for k, v in json.loads(state["matches"]).items()}
-    found = decide(score_candidates(before, places, row["candidates"] or [], at - state["at"], row["bearing"]), rules.near_m)
+    found = decide(score_candidates(state["matches"], places, row["candidates"] or [], at - state["at"], row["bearing"]), rules.near_m)
     found = found or {"family": None, "direction_id": None, "score": 0.0, "margin": 0.0, "sure": False, "destination": None, "variant_id": None}
     moved, direction, family, reason = step({k: state[k] for k in _MOVES}, now, found["family"], found["direction_id"], found["score"], found["margin"], found["sure"])
     state = state | kept | moved
@@ -189,13 +188,17 @@ def replay_direction(rows: DataFrame, arrival: str = "event_id", rules: Rules =
     schema = DECISION
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, state = None, None
+        at, state, route, candidates = None, None, None, None
         names = [x.split()[0] for x in schema.split(", ")]
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            listed = batch.column("candidates")
+            for i, row in enumerate(batch.drop_columns(["candidates"]).to_pylist()):
                 if row["vehicle_id"] != at:
-                    at, state = row["vehicle_id"], None
+                    at, state, route = row["vehicle_id"], None, None
+                if row["route_id"] != route:  # the candidates are those of the route
+                    route, candidates = row["route_id"], listed[i].as_py()
+                row["candidates"] = candidates
                 state, made = observe(state, row, rules)
                 out.append(dict(zip(names, made, strict=True)))
             kinds = pa.schema([("vehicle_id", pa.string()), ("event_id", pa.int64()), ("direction_id", pa.string()), ("destination", pa.string()), ("confidence", pa.float64()), ("margin", pa.float64()), ("reason", pa.string()), ("variant_id", pa.string())])
@@ -219,18 +222,25 @@ class _Keyed(StatefulProcessor):
         self.handle = handle
         self.held = handle.getValueState("vehicle", self.schema)
 
+    def read(self, state: dict) -> dict:
+        return state | {"matches": None if state["matches"] is None else {k: tuple(x) for k, x in json.loads(state["matches"]).items()}}
+
+    def written(self, state: dict) -> dict:
+        return state | {"matches": None if state["matches"] is None else json.dumps(state["matches"])}
+
     def move(self, state: dict | None, row: Row) -> tuple[dict, tuple | None]:
         return observe(state, row, self.rules)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
         now = self.held.get()
-        state = None if now is None else dict(zip(self.names, now, strict=True))
+        state = None if now is None else self.read(dict(zip(self.names, now, strict=True)))
         for row in sorted(rows, key=lambda r: (r[self.arrival], r["event_id"])):
             state, made = self.move(state, row)
             if made is not None:
                 yield Row(**dict(zip(self.columns, made, strict=True)))
         if state is not None:
-            self.held.update(tuple(state[n] for n in self.names))
+            held = self.written(state)
+            self.held.update(tuple(held[n] for n in self.names))
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(int((state["seen_at"] + self.idle) * 1000))
@@ -259,6 +269,11 @@ class _Pairs(_Keyed):
     schema = "event_id long, at double, route_id string, seen_at double"
     names, output = ("event_id", "at", "route_id", "seen_at"), PAIR
 
+    def read(self, state: dict) -> dict:
+        return state
+
+    written = read
+
     def move(self, state: dict | None, row: Row) -> tuple[dict, tuple | None]:
         at = row["ts"].timestamp()
         if state is not None and at <= state["at"]:

@@ -159,3 +159,16 @@ def test_scores_equal_the_table_form(spark, seed):
     for r in windows.family_decision(scored.join(known, "candidate")).collect():
         got[r.pair_id] = (r.family, r.direction_id, round(r.score, 9), round(r.margin, 9), r.confident)
     assert got == wanted
+
+
+def test_state_in_memory_holds_places_not_text(spark):
+    rows = [("v", k, k * 20, "r", 50.0, 30.002 + k * 0.001, None, None, None, 90.0) for k in range(6)]
+    found = vehicles.evidence(samples(spark, rows), *topology(spark)).orderBy("event_id").collect()
+    state, made = None, []
+    for row in found:
+        state, out = vehicles.observe(state, row)
+        made.append(out)
+    assert set(state["matches"]) == {"E", "W"} and all(len(x) == 3 for x in state["matches"].values())
+    keyed = vehicles._Keyed("event_id")
+    assert keyed.read(keyed.written(state)) == state
+    assert shown(spark, rows) == [(x[2], x[6]) for x in made]
