@@ -62,3 +62,28 @@ def test_samples_meet_a_shape_of_many_routes_once(spark):
     lists = spark.sql("select 'a' as shape_id, array(1, 2) as _s union all select 'b', array(3)")
     dealt = joins.meet(spark.range(900).selectExpr("id as sample_id", "if(id < 850, 'a', 'b') as shape_id"), lists, ["shape_id"], 100)
     assert dealt.groupBy("shape_id", "_s").count().orderBy("shape_id").collect() == [("a", [1, 2], 850), ("b", [3], 50)]
+
+
+def test_dates_of_a_service_meet_a_call_last(spark):
+    from raillark.operators import windows
+    from raillark.plans.base import Source
+    from raillark.plans.catalogue_rows import all_calls
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(all_calls(Source(spark, "/root/testdata/sf0.001")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = [line.split("SortMergeJoin [")[1].split("#")[0] for line in plan.splitlines() if "SortMergeJoin [" in line]
+    assert joined[0] == "service_id" and joined[1] == "trip_id"
+    calls = spark.sql("select 't' as trip_id, 1 as stop_sequence, 1 as source_order, 'a' as stop_id union all select 't', 1, 2, 'b' union all select 't', 0, 3, 'c'")
+    assert {k: [r.terminal_stop_id for r in windows.terminal_stops(calls, k).collect()] for k in "ABC"} == {"A": ["b"], "B": [], "C": ["c"]}
+
+
+def test_stops_outside_the_cities_are_not_joined_with_trips(spark):
+    from raillark.plans import catalogue_jobs, catalogue_rows
+    from raillark.plans.base import Source
+
+    v = Source(spark, "/root/testdata/sf0.001")
+    for build in (catalogue_jobs.job_city_departures, catalogue_rows.agg_city_lines):
+        assert plan_of(build(v)).count("LeftSemi") >= 1
