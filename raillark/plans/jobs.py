@@ -21,8 +21,12 @@ Feed = dict[str, DataFrame]
 def city_departures(feed: Feed, city_stops: DataFrame, days: DataFrame, variant: str = "union") -> DataFrame:
     """Every dated departure at the canonical stops of the cities."""
     active = sets.active_services(feed["calendar"], feed["calendar_dates"], days, variant)
-    rows = joins.calls(feed["stop_times"], feed["trips"], active, feed["stops"], feed["routes"], windows.terminal_stops(feed["stop_times"], "A"))
-    return rows.join(city_stops.select("city_id", F.col("stop_id").alias("canonical_stop_id")).distinct(), "canonical_stop_id")
+    near = city_stops.select("city_id", F.col("stop_id").alias("canonical_stop_id")).distinct()
+    # the calls of the cities' stops alone go on; their terminals are those of all calls
+    there = joins.canonical_stops(feed["stops"]).join(near, "canonical_stop_id", "left_semi").select("stop_id")
+    here = feed["stop_times"].join(there, "stop_id", "left_semi")
+    rows = joins.calls(here, feed["trips"], active, feed["stops"], feed["routes"], windows.terminal_stops(feed["stop_times"], "A"))
+    return rows.join(near, "canonical_stop_id")
 
 
 def compact_departures(feed: Feed, public: DataFrame, days: DataFrame) -> DataFrame:
@@ -31,11 +35,14 @@ def compact_departures(feed: Feed, public: DataFrame, days: DataFrame) -> DataFr
     trips = feed["trips"].join(active, "service_id", "left_semi")
     resolved = joins.resolve_stops(feed["stops"], public).where("public_id is not null")
     last = windows.terminal_stops(feed["stop_times"], "B").join(feed["stops"].select(F.col("stop_id").alias("terminal_stop_id"), F.col("stop_name").alias("terminal_name")), "terminal_stop_id")
-    place = feed["stops"].select("stop_id", "platform_code")
-    rows = feed["stop_times"].join(trips, "trip_id").join(resolved, "stop_id").join(place, "stop_id").join(feed["routes"], "route_id").join(last, "trip_id", "left")
+    place = feed["stops"].select("stop_id", "platform_code").join(resolved, "stop_id")
+    named = trips.join(feed["routes"], "route_id").join(last, "trip_id", "left")
+    named = named.select("trip_id", "route_id", "direction_id", destination("headsign", "terminal_name", "short_name", "long_name", "route_id").alias("h"))
+    # stops first, trips last: the rows lie by trip, as the distinct rows need them
+    rows = feed["stop_times"].join(place, "stop_id").join(named, "trip_id")
     child = F.col("stop_id") != F.col("public_id")
     return rows.select(
-        "public_id", F.col("departure_time").alias("t"), F.col("route_id").alias("r"), destination("headsign", "terminal_name", "short_name", "long_name", "route_id").alias("h"),
+        "public_id", F.col("departure_time").alias("t"), F.col("route_id").alias("r"), "h",
         F.col("direction_id").alias("d"), F.col("trip_id").alias("p"), F.col("stop_sequence").alias("q"), F.when(child, F.col("stop_id")).alias("s"), F.when(child, F.nullif("platform_code", F.lit(""))).alias("platform"),
     ).distinct()
 
