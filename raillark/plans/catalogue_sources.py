@@ -11,8 +11,8 @@ from raillark.plans.base import Source, query
 from raillark.sources import feeds, sinks
 
 
-def _text(df, path: str) -> str:
-    df.write.text(path)
+def _text(df, path: str, compression: str = "none") -> str:
+    df.write.text(path, compression=compression)
     return path
 
 
@@ -69,7 +69,7 @@ def src_rt_entities(v: Source):
     stop = F.struct("stop_sequence", "stop_id", F.struct(F.col("delay_seconds").alias("delay")).alias("departure"), F.col("stop_relationship").alias("schedule_relationship"))
     entity = F.struct(F.col("trip_id").alias("id"), F.struct(trip.alias("trip"), F.array(stop).alias("stop_time_update")).alias("trip_update"))
     snapshot = F.struct(F.struct(F.col("feed_ts").alias("timestamp")).alias("header"), F.array(entity).alias("entity"))
-    path = _text(v("rt_updates").select(F.to_json(snapshot).alias("value")), scratch(v.spark, "snapshots"))
+    path = _text(v("rt_updates").select(F.to_json(snapshot).alias("value")), scratch(v.spark, "snapshots"), "gzip")  # a row a call: its names and braces outweigh what they hold
     rows = feeds.rt_entities(v.spark.read.text(path), "trip_update")
     return rows.groupBy("feed_ts", "trip_id", "route_id", "stop_id", "stop_sequence", "delay_seconds", "trip_relationship", "stop_relationship").agg(F.count("*").alias("n"))
 
