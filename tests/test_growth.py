@@ -87,3 +87,20 @@ def test_stops_outside_the_cities_are_not_joined_with_trips(spark):
     v = Source(spark, "/root/testdata/sf0.001")
     for build in (catalogue_jobs.job_city_departures, catalogue_rows.agg_city_lines):
         assert plan_of(build(v)).count("LeftSemi") >= 1
+
+
+def test_rows_of_a_shared_feed_are_not_numbered(spark):
+    trips = spark.createDataFrame([("a", "1", "t1", "r"), ("a", "1", "t0", "q"), ("b", "1", "t9", "q"), ("b", "x_2", "t2", "r"), ("c", "2", "t5", "r"), ("a", "2", "t4", "s")], "provider_id string, native_trip_id string, trip_id string, route_id string")
+    rt = spark.createDataFrame([("1", "r", 0), ("1", "r", 0), ("1", "none", 1), ("x_2", "r", 2), ("y_2", "r", 3), ("z", "r", 4), (None, "r", 5)], "trip_id string, route_id string, n int")
+    out = joins.rt_context_join(rt, trips, ["b", "a"])
+    assert out.columns == ["trip_id", "route_id", "n", "provider_id", "static_trip_id", "static_route_id"]
+    assert sorted((r.n, r.provider_id, r.static_trip_id) for r in out.collect()) == [(0, "a", "t1"), (0, "a", "t1"), (1, "b", "t9"), (2, "b", "t2"), (3, "a", "t4")]
+    assert "Window" not in plan_of(out) and "_row" not in plan_of(out)
+
+
+def test_snapshots_are_written_compressed(spark):
+    from raillark.plans.base import Source
+    from raillark.plans.catalogue_sources import src_rt_entities
+
+    names = src_rt_entities(Source(spark, "/root/testdata/sf0.001")).inputFiles()
+    assert names and all(x.endswith(".gz") for x in names)
