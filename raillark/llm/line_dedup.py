@@ -38,6 +38,7 @@ numbered on from text to text, so each row loses only lines that matched; a null
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -467,6 +468,28 @@ def numbered(docs: DataFrame, shared: DataFrame | None) -> DataFrame:
     return base.join(shared, same, "left").select(base["doc_id"], base["text"], F.coalesce("before", F.lit(0)).cast("bigint").alias("before"))
 
 
+def looked_up(posts: DataFrame, open_lines: DataFrame, percent: int) -> DataFrame:
+    """The postings that ``open_lines`` have to be compared with: theirs, with the flag, and those that pass the length and positional filters with one of theirs.
+
+    Lines of a size ratio within the percentage lie in the same or neighbouring bins of sizes, so
+    the rows follow the comparisons to be made and not the length of the lists.
+    """
+    place = F.col("mark").bitwiseAND(F.lit((1 << _SIDE) - 1))
+    n = F.col("key").bitwiseAND(F.lit(LONGEST))
+    # a little wider than the ratio, so that rounding never moves a pair two bins apart
+    width = math.log(100 / min(percent, 99)) * (1 + 1e-9)
+    binned = F.floor(F.log(n) / width)
+    own = posts.join(open_lines, ["doc_id", "line_no"], "left_semi").select(_token("key").alias("_t"), n.alias("_m"), place.alias("_at"), F.explode(F.sequence(binned - 1, binned + 1)).alias("_bin")).distinct()
+    own = stored(own, "tokens")  # of a known size
+    rows = posts.withColumns({"_n": n, "_place": place})
+    shared = F.least(F.col("_n") - F.col("_place"), F.col("_m") - F.col("_at")) + F.least("_place", "_at")
+    fits = (100 * F.least("_n", "_m") >= percent * F.greatest("_n", "_m")) & ((100 + percent) * shared >= percent * (F.col("_n") + F.col("_m")))
+    fits |= F.greatest("_n", "_m") >= LONGEST
+    met = rows.join(own, (_token("key") == F.col("_t")) & (F.floor(F.log("_n") / width) == F.col("_bin")) & fits, "left_semi").drop("_n", "_place")
+    again = met.join(open_lines.withColumn("flag", F.lit(True)), ["doc_id", "line_no"], "left")
+    return again.withColumn("mark", F.when(F.col("flag"), F.col("mark").bitwiseOR(F.lit(1 << _FLAG))).otherwise(F.col("mark"))).drop("flag")
+
+
 def removed_lines(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK, *, shared: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(doc_id, line_no, how) of every line that goes, and (doc_id, line_no, key, key2, n) of all lines with a word.
 
@@ -512,10 +535,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK, *
     near = stored(near.unionByName(matched(rest)), "near")
     open_lines = stored(best.where("more").select("doc_id", "line_no").join(near, ["doc_id", "line_no"], "left_anti"), "open")
     if not open_lines.isEmpty():
-        tokens = posts.join(open_lines, ["doc_id", "line_no"], "left_semi").select(_token("key").alias("_t")).distinct()
-        tokens = stored(tokens, "tokens")  # of a known size
-        again = posts.join(tokens, _token("key") == F.col("_t"), "left_semi").join(open_lines.withColumn("flag", F.lit(True)), ["doc_id", "line_no"], "left")
-        again = again.withColumn("mark", F.when(F.col("flag"), F.col("mark").bitwiseOR(F.lit(1 << _FLAG))).otherwise(F.col("mark"))).drop("flag")
+        again = looked_up(posts, open_lines, percent)
         more = stored(merged(again, True).distinct(), "more")
         texts = _line_texts(base, more)
         near = stored(near.unionByName(matched(more)), "near")
