@@ -1,4 +1,4 @@
-"""Bounded, repeatable samples of labelled documents for classifiers."""
+"""Labelled documents for classifiers: all of them, or bounded, repeatable samples."""
 
 from __future__ import annotations
 
@@ -18,6 +18,13 @@ def part_of(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)).cast("int")
 
 
+def labelled(docs: DataFrame, labels: DataFrame, target: str) -> DataFrame:
+    """doc_id, part, y of every labelled document that is there, but for part 2."""
+    known = pick(labels, doc_id="bigint", **{target: "int"}).where(f"doc_id is not null and {target} in (0, 1)").groupBy("doc_id").agg(F.max(target).alias("y"))
+    known = known.withColumn("part", part_of(F.col("doc_id"))).where("part <> 2")
+    return stored(known.join(docs.select("doc_id"), "doc_id", "left_semi"), "labels")  # of a known size
+
+
 def sample(docs: DataFrame, labels: DataFrame, target: str, per_class: int, max_chars: int) -> tuple[DataFrame, np.ndarray]:
     """doc_id, part, y and the documents' columns of at most ``per_class`` rows of each label; the weight of either label.
 
