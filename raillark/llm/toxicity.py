@@ -29,13 +29,15 @@ from pyspark.sql import functions as F
 
 from raillark.llm import scan
 from raillark.llm.labelled import labelled, part_of, sample, scores
-from raillark.llm.workspace import pick, stored
+from raillark.llm.workspace import pick, shuffles_dropped, stored
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 PREFIX_BYTES = 5
 EPOCHS, BATCH, RATE = 8, 64, 0.05
 #: Rows of a shard, about, and words of a mini-batch of long texts.
 SHARD, BATCH_WORDS = 4096, 1 << 17
+#: Shards of a task, about, where they are more than so many times the cores; else there is a task a core.
+TASK_SHARDS = 16
 #: Steps of a logit's unit that the calibration tells apart, and the largest logit it knows.
 GRID, MOST = 256, 64
 #: Rows of the embedding whose sums go to one task.
@@ -226,10 +228,12 @@ def _add_moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _moves_of(parts)
 
 
-def trained(rows: DataFrame, balance: np.ndarray, seed: int = 5, epochs: int = EPOCHS) -> State:
+def trained(rows: DataFrame, balance: np.ndarray, shards: int = 1, seed: int = 5, epochs: int = EPOCHS) -> State:
     """Weights learnt from all ``rows`` (shard, y, ids; rows of a shard together), those of label y weighing ``balance[y]``."""
     context = rows.sparkSession.sparkContext
     state = first_state(seed)
+    # a task adds up its shards' moves before they are shuffled
+    dealt = rows.select("shard", "y", "ids").coalesce(max(context.defaultParallelism, -(-shards // TASK_SHARDS)))
     for turn in range(epochs):
         sent = context.broadcast((state, turn))  # of fixed size
 
@@ -261,7 +265,8 @@ def trained(rows: DataFrame, balance: np.ndarray, seed: int = 5, epochs: int = E
                     parts.append((chunk, place, own_rows[place].astype(np.float32)))
             yield _moves_of(parts)
 
-        got = rows.select("shard", "y", "ids").mapInArrow(run, _MOVES).repartition("chunk").mapInArrow(_add_moves, _MOVES).toArrow()  # of bounded size
+        with shuffles_dropped(rows.sparkSession):
+            got = dealt.mapInArrow(run, _MOVES).repartition("chunk").mapInArrow(_add_moves, _MOVES).toArrow()  # of bounded size
         for chunk, place, amounts in _moves_in(got):
             if chunk < 0:
                 state.move_small(amounts[:-1] / amounts[-1])
@@ -380,7 +385,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int | None = None, max_ch
     fits = rows.where("part <> 0")
     # both labels weigh the same in training; the calibration undoes it
     each = np.array([have[False, 0], have[False, 1]], float)
-    embed, *filters, bias, out, out_bias = trained(fits, each.sum() / 2 / each).params
+    embed, *filters, bias, out, out_bias = trained(fits, each.sum() / 2 / each, shards).params
     model = Model(embed, filters, bias, out, float(out_bias[0]), 1.0, 0.0, {})
     lang, y, z, count = calibration_counts(rows.where("part = 0") if {(True, 0), (True, 1)} <= have.keys() else fits, model)
     # a sample holds more of the rare label than the labelled rows do; weights undo that

@@ -55,6 +55,18 @@ def passing(spark: SparkSession) -> Iterator[None]:
             remove(spark, _named.pop())
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside leave no shuffle files when they end; for results that are read once."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    had = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if had is None else spark.conf.set(name, had)
+
+
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read again."""
     spark = df.sparkSession
