@@ -44,6 +44,20 @@ def test_no_row_carries_a_ring(spark):
     assert row.most < 120 and row.inside > 1000 and row.n < 1600
 
 
+def test_points_of_one_cell_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(polygons, "DEAL", 1000)
+    box = spark.createDataFrame([("box", [[[[8.0, 48.0], [9.0, 48.0], [9.0, 49.0], [8.0, 49.0]]]])], "code string, polygons array<array<array<array<double>>>>")
+    points = spark.range(0, 40_000).selectExpr("id as point_id", "8.01 + id % 2 as x", "48.01 as y")
+    placed = points.selectExpr("point_id", "x as _lon", "y as _lat", "cast(floor(x / 0.25) as bigint) as _cx", "cast(floor(y / 0.25) as bigint) as _cy")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        met = [r["count"] for r in polygons.meet(placed, polygons.cover(box, 0.25)).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(met) == 40_000 and max(met) < 18_000  # two cells
+    assert polygons.points_in(points, box, 0.25, "y", "x").count() == 20_000
+
+
 def test_suffixes_of_one_shared_last_part(spark):
     trips = spark.range(0, 30_000).selectExpr("concat(id, '_wk') as trip_id")
     asked = spark.range(0, 30_000).selectExpr("concat(id + 15000, '_wk') as rt_trip_id").union(spark.sql("select '_wk' union all select 'k' union all select '' union all select null union all select '29999_wk'"))
