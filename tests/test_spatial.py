@@ -58,6 +58,21 @@ def test_points_of_one_cell_are_dealt(spark, monkeypatch):
     assert polygons.points_in(points, box, 0.25, "y", "x").count() == 20_000
 
 
+def test_suffixes_are_made_in_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(joins, "SUFFIXES", 1000)
+    trips = spark.range(0, 5000).selectExpr("concat('x_', id % 5, '_', id, '_wk') as trip_id")
+    asked = spark.createDataFrame([("3_4998_wk",), ("3_1003_wk",), ("1003_wk",), ("_wk",), ("wk",)], "rt_trip_id string")
+    made = joins.suffixes(trips, asked, 5000)
+    sizes = made.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 2000
+    rows = {r.rt_trip_id for r in made.select("rt_trip_id").distinct().collect()}
+    assert {"3_1003_wk", "1003_wk", "_wk", "wk"} <= rows and not any(x.startswith("2_") for x in rows)
+    got = {r.rt_trip_id: r.trip_id for r in joins.resolve_trip_suffix(asked, trips).collect()}
+    assert got == {"3_1003_wk": "x_3_1003_wk", "1003_wk": "x_3_1003_wk", "3_4998_wk": "x_3_4998_wk"}
+    monkeypatch.setattr(joins, "HEADS", 0)  # too many to list: lengths alone
+    assert {r.rt_trip_id: r.trip_id for r in joins.resolve_trip_suffix(asked, trips).collect()} == got
+
+
 def test_suffixes_of_one_shared_last_part(spark):
     trips = spark.range(0, 30_000).selectExpr("concat(id, '_wk') as trip_id")
     asked = spark.range(0, 30_000).selectExpr("concat(id + 15000, '_wk') as rt_trip_id").union(spark.sql("select '_wk' union all select 'k' union all select '' union all select null union all select '29999_wk'"))
