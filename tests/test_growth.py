@@ -104,3 +104,23 @@ def test_snapshots_are_written_compressed(spark):
 
     names = src_rt_entities(Source(spark, "/root/testdata/sf0.001")).inputFiles()
     assert names and all(x.endswith(".gz") for x in names)
+
+
+def test_calls_of_few_stops_are_dealt_to_tasks(spark):
+    """Two stops and twenty outputs are few pairs of stops, but their 200,000 calls are four million pairs."""
+    from raillark.operators import sets
+    from raillark.plans import jobs
+
+    stops = spark.range(22).selectExpr("concat('k', id) as stop_id", "'big' as parent_station", "if(id < 2, '7', '') as platform_code", "50.0d as stop_lat", "8.0d as stop_lon", "'n' as stop_name", "id as source_order")
+    times = spark.range(0, 200_000).selectExpr("concat('t', id div 50) as trip_id", "concat('k', id % 2) as stop_id", "id % 50 as stop_sequence", "'08:00:00' as departure_time", "id as source_order", "0 as departure_seconds")
+    feed = {
+        "stops": stops, "stop_times": times, "trips": spark.range(4000).selectExpr("concat('t', id) as trip_id", "'r' as route_id", "'w' as service_id", "'H' as headsign"),
+        "routes": spark.sql("select 'r' as route_id, '1' as short_name, '' as long_name, '3' as route_type"), "calendar_dates": spark.sql("select 'w' as service_id, '20240115' as service_date, 1 as exception_type"),
+        "calendar": spark.sql("select '' as service_id, '20240101' as start_date, '20240101' as end_date, 0 as monday, 0 as tuesday, 0 as wednesday, 0 as thursday, 0 as friday, 0 as saturday, 0 as sunday"),
+    }
+    cities = spark.sql("select 'c' as city_id, 50.0D as latitude, 8.0D as longitude, 500D as radius_m")
+    rows = jobs.station_departures(feed, cities, sets.dates(spark, "20240114", "20240116"))
+    shares = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    # 196 cells on four partitions, and the platforms' own groups
+    assert sum(shares) == 200_000 * 20 + 200_000 and max(shares) < 0.5 * sum(shares)
+    assert rows.groupBy("output_stop_id").count().where("count <> 200000 and output_stop_id not in ('k0', 'k1')").isEmpty()
