@@ -124,3 +124,15 @@ def test_calls_of_few_stops_are_dealt_to_tasks(spark):
     # 196 cells on four partitions, and the platforms' own groups
     assert sum(shares) == 200_000 * 20 + 200_000 and max(shares) < 0.5 * sum(shares)
     assert rows.groupBy("output_stop_id").count().where("count <> 200000 and output_stop_id not in ('k0', 'k1')").isEmpty()
+
+
+def test_cells_of_few_bytes_stay_many_tasks(spark):
+    """500 outputs by 1,000 members are a few kilobytes, but half a million pairs."""
+    stops = spark.range(3000).selectExpr("concat('p', id) as stop_id", "if(id % 3 = 0, 'gone', concat('s', id div 20)) as parent_station", "if(id % 2 = 0, '', 'x') as platform_code")
+    members, outputs = joins.station_groups(stops, stops)
+    got = joins.by_output(members, members, outputs, F.col("source_stop_id"), 64, 32).where("group_id = 'parent:gone'")
+    shares = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(shares) == 500_000 and max(shares) < 0.4 * sum(shares)
+    # one member of many outputs: no list is longer than a cell's
+    one = joins.by_output(members.where("source_stop_id = 'p0'"), members.where("source_stop_id = 'p0'"), outputs, F.col("source_stop_id"), 64, 32)
+    assert one.where("group_id = 'parent:gone'").select("output_stop_id").distinct().count() == 500
