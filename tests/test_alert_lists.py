@@ -56,3 +56,13 @@ def test_no_list_is_shuffled(spark):
     assert "collect_list" not in plan and "SortMergeJoin" not in plan and plan.count("Exchange") == 1
     empty = joins.alert_targets(given(spark)[0], *(df.limit(0) for df in given(spark)[1:]), text=True)
     assert empty.where("route_ids <> '' or stop_ids <> ''").isEmpty() and empty.count() == 503
+
+
+def test_alerts_view_shuffles_no_list(spark):
+    from raillark.plans import jobs
+
+    tables = given(spark)
+    view = jobs.alerts_view(*tables)
+    assert "collect_list" not in view._jdf.queryExecution().executedPlan().toString()
+    got = {r.alert_id: (r.route_ids, r.stop_ids, r.directions, r.unmapped) for r in view.collect()}
+    assert got == {k: tuple(",".join(x) for x in v) for k, v in by_hand(*tables).items()}
