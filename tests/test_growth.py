@@ -136,3 +136,38 @@ def test_cells_of_few_bytes_stay_many_tasks(spark):
     # one member of many outputs: no list is longer than a cell's
     one = joins.by_output(members.where("source_stop_id = 'p0'"), members.where("source_stop_id = 'p0'"), outputs, F.col("source_stop_id"), 64, 32)
     assert one.where("group_id = 'parent:gone'").select("output_stop_id").distinct().count() == 500
+
+
+def small_feed(spark):
+    """A stop and a trip that occur twice, unknown stops, routes and services, equal sequences."""
+    stops = spark.sql("select * from values ('p1', 's1', '7', 'One'), ('p2', 'none', '', 'Two'), ('p2', 's1', '8', 'Two again'), ('s1', '', '', 'Station') as t(stop_id, parent_station, platform_code, stop_name)")
+    times = spark.range(60).selectExpr("concat('t', id div 5) as trip_id", "element_at(array('p1', 'p2', 's1', 'gone'), int(id * 7 % 4 + 1)) as stop_id", "int(id % 5 div 2) as stop_sequence", "id * 60 as departure_seconds", "'x' as departure_time", "id as source_order")
+    trips = spark.range(14).selectExpr("concat('t', id % 11) as trip_id", "concat('r', id % 3) as route_id", "concat('w', id % 4) as service_id", "if(id % 2 = 0, '', 'H') as headsign", "'0' as direction_id")
+    routes = spark.sql("select * from values ('r0', '1', ''), ('r1', '', 'Long') as t(route_id, short_name, long_name)")
+    active = spark.sql("select * from values ('w0', '20240101'), ('w0', '20240102'), ('w1', '20240102'), ('w2', '20240103') as t(service_id, service_date)")
+    return times, trips, active, stops, routes
+
+
+def test_every_call_equals_calls(spark):
+    from raillark.operators.windows import terminal_stops
+
+    times, *others = small_feed(spark)
+    got = joins.every_call(times, *others)
+    want = joins.calls(times, *others, terminal_stops(times, "A")).select(got.columns)
+    assert got.count() == want.count() > 60 and got.exceptAll(want).isEmpty()
+
+
+def test_whole_calls_leave_no_shuffle_files(spark):
+    """The two steps that run when ``join_calls`` is made leave none; a call then meets its dates without a shuffle."""
+    import os
+    from pathlib import Path
+
+    from raillark.plans.registry import QUERIES
+
+    local = Path(spark.conf.get("spark.local.dir"))
+    files = lambda: {f for d, _, fs in os.walk(local) for f in fs if f.startswith("shuffle_") and f.endswith(".data")}
+    had = files()
+    out = QUERIES["join_calls"](spark, "/root/testdata/sf0.001")
+    assert files() <= had
+    plan = plan_of(out)
+    assert "Window" not in plan and "service_id" not in plan
